@@ -1,0 +1,167 @@
+"""A custom partitioned source: splits are planned on the driver from file
+metadata, and each split is read by one task.
+
+This is the Python data source counterpart of a custom Hadoop
+``InputFormat`` (``getSplits`` + one ``RecordReader`` per split).  The
+planner only reads Parquet footers; the data itself is read inside the
+tasks, as Arrow record batches (no per-row Python objects).
+
+``spark.read.format("tidewire-splits").option("path", p).option("splits", 3).load()``
+
+Options: ``path`` (file or directory of Parquet), ``splits`` (target
+split count, default: one per row group), ``columns`` (comma list),
+``split_column`` (name of an extra INT column holding the split index).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+
+@dataclass(frozen=True)
+class Unit:
+    """Rows ``[start, stop)`` of one row group of one file."""
+    file: str
+    row_group: int
+    start: int
+    stop: int
+
+
+class Split(InputPartition):
+    """One task's work: a contiguous run of units."""
+
+    def __init__(self, index: int, units: list):
+        super().__init__(index)
+        self.index = index
+        self.units = units
+
+    @property
+    def length(self) -> int:
+        return sum(u.stop - u.start for u in self.units)
+
+
+def _filesystem(path: str):
+    from pyarrow import fs
+    return fs.FileSystem.from_uri(path)
+
+
+def _parquet_files(path: str) -> list[str]:
+    from pyarrow import fs
+    filesystem, root = _filesystem(path)
+    info = filesystem.get_file_info(root)
+    if info.type == fs.FileType.File:
+        return [root]
+    sel = fs.FileSelector(root, recursive=True)
+    return sorted(i.path for i in filesystem.get_file_info(sel)
+                  if i.type == fs.FileType.File and i.path.endswith(".parquet"))
+
+
+def plan_units(path: str, target: int | None) -> list[Unit]:
+    """Row-group units from the footers; groups are cut into row ranges when
+    there are fewer groups than requested splits."""
+    import pyarrow.parquet as pq
+    filesystem, _ = _filesystem(path)
+    units = []
+    for f in _parquet_files(path):
+        md = pq.ParquetFile(f, filesystem=filesystem).metadata
+        for g in range(md.num_row_groups):
+            n = md.row_group(g).num_rows
+            if n:
+                units.append(Unit(f, g, 0, n))
+    if target and 0 < len(units) < target:
+        total = sum(u.stop for u in units)
+        cut = []
+        for u in units:
+            parts = max(1, round(target * u.stop / total))
+            step = -(-u.stop // parts)
+            cut += [Unit(u.file, u.row_group, s, min(s + step, u.stop)) for s in range(0, u.stop, step)]
+        units = cut
+    return units
+
+
+def assign(units: list[Unit], target: int | None) -> list[Split]:
+    """Contiguous runs of units with balanced row counts, in file order."""
+    if not units:
+        return [Split(0, [])]
+    n = min(target or len(units), len(units))
+    total = sum(u.stop - u.start for u in units)
+    splits, acc, cur = [], 0, []
+    for u in units:
+        cur.append(u)
+        acc += u.stop - u.start
+        if acc * n >= total * (len(splits) + 1) and len(splits) < n - 1:
+            splits.append(Split(len(splits), cur))
+            cur = []
+    splits.append(Split(len(splits), cur))
+    return splits
+
+
+class _SplitReader(DataSourceReader):
+    def __init__(self, options, schema):
+        self.path = options["path"]
+        self.target = int(options["splits"]) if options.get("splits") else None
+        cols = options.get("columns")
+        self.columns = [c.strip() for c in cols.split(",")] if cols else None
+        self.split_column = options.get("split_column")
+        self.schema = schema
+
+    def partitions(self):
+        return assign(plan_units(self.path, self.target), self.target)
+
+    def read(self, partition: Split):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        filesystem, _ = _filesystem(self.path)
+        opened = {}
+        for u in partition.units:
+            pf = opened.get(u.file) or opened.setdefault(u.file, pq.ParquetFile(u.file, filesystem=filesystem))
+            tbl = pf.read_row_group(u.row_group, columns=self.columns).slice(u.start, u.stop - u.start)
+            if self.split_column:
+                tbl = tbl.append_column(self.split_column,
+                                        pa.array([partition.index] * tbl.num_rows, pa.int32()))
+            yield from tbl.to_batches()
+
+
+class SplitSource(DataSource):
+    @classmethod
+    def name(cls):
+        return "tidewire-splits"
+
+    def schema(self):
+        import pyarrow.parquet as pq
+        from pyspark.sql.pandas.types import from_arrow_schema
+        from pyspark.sql.types import IntegerType, StructField
+        path = self.options["path"]
+        filesystem, _ = _filesystem(path)
+        first = _parquet_files(path)[0]
+        arrow = pq.ParquetFile(first, filesystem=filesystem).schema_arrow
+        cols = self.options.get("columns")
+        if cols:
+            import pyarrow as pa
+            arrow = pa.schema([arrow.field(c.strip()) for c in cols.split(",")])
+        st = from_arrow_schema(arrow, prefer_timestamp_ntz=True)
+        if self.options.get("split_column"):
+            st = st.add(StructField(self.options["split_column"], IntegerType()))
+        return st
+
+    def reader(self, schema):
+        return _SplitReader(self.options, schema)
+
+
+def register(spark) -> None:
+    spark.dataSource.register(SplitSource)
+
+
+def read_splits(spark, path: str, splits: int | None = None, columns: list[str] | None = None,
+                split_column: str | None = None):
+    register(spark)
+    r = spark.read.format("tidewire-splits").option("path", path)
+    if splits:
+        r = r.option("splits", splits)
+    if columns:
+        r = r.option("columns", ",".join(columns))
+    if split_column:
+        r = r.option("split_column", split_column)
+    return r.load()
