@@ -136,7 +136,7 @@ with b as (select min(epoch_us(ts)) as lo, max(epoch_us(ts)) as hi from events),
 e as (select ts, (epoch_us(ts) - lo) * {REPLAY_SLICES} // (hi - lo + 1) as batch from events, b),
 a as (select ts, batch from e union all select ts, {REPLAY_SLICES} from e where batch = 0),
 m as (select batch, max(epoch_us(ts)) as mx from a group by batch),
-w as (select batch, max(mx) over (order by batch rows between unbounded preceding and 1 preceding)
+w as (select batch, max(mx) over (order by batch rows between unbounded preceding and 2 preceding)
                     - {20 * 1_000_000} as wm
       from m)
 select cast(a.batch as integer) as batch, count(*) as n,
@@ -148,7 +148,9 @@ group by a.batch, wm
 """)
 def late_rows_audit(spark, sf):
     """Which rows of a replay schedule the 20 s lateness rule drops: slices
-    in time order, then slice 0 delivered again (all of it late)."""
+    in time order, then slice 0 delivered again (all of it late), with
+    micro-batches running back to back (late-event watermark lags two
+    batches, see ``streaming.windows.late_rows``)."""
     ev = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").select("ts")
     sliced = time_slices(ev, "ts", REPLAY_SLICES, out="batch")
     arrivals = sliced.unionByName(sliced.filter(F.col("batch") == 0)

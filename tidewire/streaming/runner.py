@@ -19,14 +19,9 @@ def run_available(writer: DataStreamWriter, timeout_s: float | None = None) -> S
 
 
 def rows_dropped_by_watermark(q: StreamingQuery) -> int:
-    """Rows that stateful operators dropped as too late, over all batches."""
-    total = 0
-    for p in q.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            d = op if isinstance(op, dict) else op.jsonValue if hasattr(op, "jsonValue") else op.__dict__
-            total += int(d.get("numRowsDroppedByWatermark", 0) if isinstance(d, dict)
-                         else getattr(op, "numRowsDroppedByWatermark", 0))
-    return total
+    """Rows that stateful operators dropped as too late, over the batches
+    still in ``recentProgress`` (``spark.sql.streaming.numRecentProgressUpdates``)."""
+    return sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
 
 
 def batches_run(q: StreamingQuery) -> int:

@@ -39,12 +39,19 @@ def stream_window_counts(df: DataFrame, ts: str = "ts", length: str = "20 second
 
 
 def late_rows(arrivals: DataFrame, ts: str = "ts", batch: str = "batch",
-              length: str = "20 seconds", lateness: str = "20 seconds") -> DataFrame:
+              length: str = "20 seconds", lateness: str = "20 seconds",
+              lag: int = 2) -> DataFrame:
     """Apply the late-data rule to rows with a known arrival batch.
 
-    The watermark of batch *b* is ``max(event time of batches < b) -
-    lateness`` (none for the first batch); a row is late when its window
-    ends at or before that watermark.  Adds ``watermark`` and ``late``.
+    A stateful operator drops a row when its window ends at or before the
+    *late-event watermark* of the batch it arrives in.  Spark (3.4+) uses
+    the previous batch's eviction watermark for that, and the eviction
+    watermark of a batch is ``max(event time seen before it) - lateness``.
+    So for micro-batches that run back to back the row of batch *b* is
+    checked against ``max(event time of batches <= b - 2) - lateness``
+    (``lag=2``).  When every data batch is followed by a no-data batch
+    (e.g. one run per file) the check uses batches ``<= b - 1``
+    (``lag=1``).  Adds ``watermark`` (NULL: nothing is late) and ``late``.
 
     ``ts`` is UTC wall-clock ``TIMESTAMP_NTZ``.  The per-batch maxima are a
     tiny aggregate (one row per micro-batch) joined back to the rows.
@@ -55,7 +62,7 @@ def late_rows(arrivals: DataFrame, ts: str = "ts", batch: str = "batch",
     per_batch = arrivals.groupBy(batch).agg(F.max(us).alias("_max_us"))
     # running max over earlier batches: a window over one row per batch
     from pyspark.sql import Window
-    prior = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
+    prior = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -lag)
     marks = per_batch.select(batch, (F.max("_max_us").over(prior) - lateness_us).alias("_wm_us"))
     window_end_us = us - F.pmod(us, length_us) + length_us
     # ``marks`` has exactly one row per arrival batch (a schedule, not data
