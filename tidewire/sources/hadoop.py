@@ -1,0 +1,41 @@
+"""JVM Hadoop formats (custom ``InputFormat`` / ``OutputFormat`` classes).
+
+For Hadoop formats that only exist as JVM classes there is no DataFrame
+reader; Spark's Hadoop RDD API plans the format's own splits (one task
+per split) and is the only entry point.  Records cross into Python, so
+this is the slow path: prefer a native reader or ``split_source`` when
+one exists, and convert to a DataFrame right away.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+TEXT = "org.apache.hadoop.io.Text"
+SEQUENCE_IN = "org.apache.hadoop.mapreduce.lib.input.SequenceFileInputFormat"
+SEQUENCE_OUT = "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat"
+
+_KV_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
+
+
+def hadoop_read(spark: SparkSession, path: str, input_format: str = SEQUENCE_IN,
+                key_class: str = TEXT, value_class: str = TEXT, conf: dict | None = None,
+                schema: T.StructType = _KV_SCHEMA) -> DataFrame:
+    """Read ``(key, value)`` records through a Hadoop ``InputFormat``."""
+    rdd = spark.sparkContext.newAPIHadoopFile(path, input_format, key_class, value_class,
+                                              conf=conf or {})
+    return spark.createDataFrame(rdd.map(lambda kv: (str(kv[0]), str(kv[1]))), schema)
+
+
+def hadoop_write(df: DataFrame, path: str, key: str, value: str, num_partitions: int | None = None,
+                 output_format: str = SEQUENCE_OUT, key_class: str = TEXT, value_class: str = TEXT,
+                 conf: dict | None = None) -> None:
+    """Write ``(key, value)`` text pairs through a Hadoop ``OutputFormat``,
+    hash-partitioned by key first when ``num_partitions`` is given.  The
+    Hadoop output committer of the format decides what a failed task leaves
+    behind; Spark retries the task."""
+    if num_partitions:
+        df = df.repartition(num_partitions, key)
+    pairs = df.select(key, value).rdd.map(lambda r: (r[0], r[1]))
+    pairs.saveAsNewAPIHadoopFile(path, output_format, key_class, value_class, conf=conf or {})
