@@ -117,3 +117,16 @@ def test_kafka_frame(spark):
     df = spark.createDataFrame([(1, "k", "v", "t1")], "o long, key string, value string, topic string")
     assert kafka_frame(df, topic="topic").columns == ["topic", "key", "value"]
     assert kafka_frame(df, key=None).columns == ["value"]
+
+
+def test_event_time_policy(spark):
+    from tidewire.operators import event_time_from_policy
+    df = spark.createDataFrame([(0, 0), (1, 1)], "offset long, timestampType int") \
+        .withColumn("timestamp", F.timestamp_seconds("offset"))
+    assert event_time_from_policy(df.filter("timestampType = 0"), "create").count() == 1
+    with pytest.raises(PySparkException, match="not of type create"):
+        event_time_from_policy(df, "create").collect()
+    assert event_time_from_policy(df, "log_append").filter("timestampType = 1").count() == 1
+    assert dict(event_time_from_policy(df, "processing").dtypes)["ts"] == "timestamp"
+    with pytest.raises(ValueError):
+        event_time_from_policy(df, "wall")

@@ -26,8 +26,19 @@ def csv_pair_valid(line) -> Column:
 
 
 def csv_field(line, n: int) -> Column:
-    """Field ``n`` (1-based) of a comma separated line; empty when absent."""
-    return F.split_part(_c(line), F.lit(","), F.lit(n))
+    """Field ``n`` (1-based) of a comma separated line; empty when absent.
+
+    Fields 1 and 2 are cut with ``substring_index`` (a scan to the n-th
+    comma, no array of all fields); the value of a valid line is exactly
+    what ``split_part`` gives.
+    """
+    src = _c(line)
+    if n == 1:
+        return F.substring_index(src, ",", 1)
+    if n == 2:
+        return F.when(src.contains(","), F.substring_index(F.substring_index(src, ",", 2), ",", -1)) \
+            .otherwise(F.lit(""))
+    return F.split_part(src, F.lit(","), F.lit(n))
 
 
 def delimited_field(raw, sep: str, n: int) -> Column:

@@ -29,4 +29,9 @@ from tidewire.operators.records import (  # noqa: F401
     strip_registry_frame,
     to_record,
 )
-from tidewire.operators.windows import assign_event_time, fixed_window, window_counts  # noqa: F401
+from tidewire.operators.windows import (  # noqa: F401
+    assign_event_time,
+    event_time_from_policy,
+    fixed_window,
+    window_counts,
+)

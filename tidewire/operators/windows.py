@@ -51,3 +51,28 @@ def window_counts(df: DataFrame, ts: str = "ts", length: str = "20 seconds",
               .agg(F.count(F.lit(1)).alias("n"))
               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       *keys, "n"))
+
+
+# broker timestamp types (the ``timestampType`` column of the Kafka source)
+CREATE_TIME = 0
+LOG_APPEND_TIME = 1
+
+
+def event_time_from_policy(df: DataFrame, policy: str = "create", out: str = "ts",
+                           timestamp: str = "timestamp", timestamp_type: str = "timestampType") -> DataFrame:
+    """Event time of broker records by policy.
+
+    * ``'create'`` / ``'log_append'``: the record's own timestamp, which must
+      be of that type (a record of the other type fails the job);
+    * ``'processing'``: the micro-batch's processing time
+      (``current_timestamp()``: one value per batch, so a re-run batch may
+      get another time; prefer a record time where one exists).
+    """
+    if policy == "processing":
+        return df.withColumn(out, F.current_timestamp())
+    wanted = {"create": CREATE_TIME, "log_append": LOG_APPEND_TIME}.get(policy)
+    if wanted is None:
+        raise ValueError(f"unknown event-time policy {policy!r}")
+    return df.withColumn(out, F.when(F.col(timestamp_type) == wanted, F.col(timestamp)).otherwise(
+        F.raise_error(F.concat(F.lit(f"record timestamp is not of type {policy}: type "),
+                               F.coalesce(F.col(timestamp_type).cast("string"), F.lit("null"))))))

@@ -160,6 +160,16 @@ def assign_event_time(spark, sf):
     return ops.assign_event_time(kv, PIPELINE_START, BOUNDED_STAMP_OFFSET)
 
 
+@query("event_time_policy", """
+select event_id as "offset", ts from events
+""")
+def event_time_policy(spark, sf):
+    """Record time as event time (create-time policy), back to UTC wall clock."""
+    from tidewire.functions.time import instant_to_ntz
+    rec = ops.event_time_from_policy(event_broker_records(spark, sf), "create")
+    return rec.select("offset", instant_to_ntz("ts").alias("ts"))
+
+
 # ------------------------------------------------------------- aggregates
 
 @query("group_bracket_list", """
@@ -266,6 +276,23 @@ def windowed_cogroup_hourly(spark, sf):
     return ops.windowed_cogroup(stream, bounded, "key", "value", "ts", "1 hour")
 
 
+@query("windowed_cogroup_counts", f"""
+with u as (
+  select cast(user_id as varchar) as key, event_type as value, ts, 0 as side from events
+  union all
+  select cast(c_custkey as varchar), c_mktsegment,
+         timestamp '{PIPELINE_START}' + interval '{BOUNDED_STAMP_OFFSET}', 1 from customer)
+select time_bucket(interval '{JOIN_WINDOW}', ts) as window_start,
+       time_bucket(interval '{JOIN_WINDOW}', ts) + interval '{JOIN_WINDOW}' as window_end,
+       key, side, value, count(*) as n
+from u group by 1, 2, 3, 4, 5
+""")
+def windowed_cogroup_counts(spark, sf):
+    """Long form of the co-group (one row per window, key, side, value)."""
+    stream, bounded = cogroup_inputs(spark, sf)
+    return ops.cogroup_counts(stream, bounded, "key", "value", "ts", JOIN_WINDOW)
+
+
 @query("global_cogroup", _cogroup_sql(None))
 def global_cogroup(spark, sf):
     stream, bounded = cogroup_inputs(spark, sf)

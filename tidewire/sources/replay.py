@@ -49,9 +49,9 @@ def time_slices(df: DataFrame, ts: str, slices: int, out: str = "slice") -> Data
     subqueries (one partial min/max per task).
     """
     us = epoch_micros(ts) if dict(df.dtypes)[ts] == "timestamp_ntz" else F.unix_micros(F.col(ts))
-    bounds = df.agg(F.min(us).alias("lo"), F.max(us).alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
+    # one subquery for both bounds (Spark reuses it for both references)
+    bounds = df.agg(F.struct(F.min(us).alias("lo"), F.max(us).alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     # exact: numerator < 2^53 for any span below ~70 years at 4 slices
     return df.withColumn(out, F.floor((us - lo) * F.lit(slices) / (hi - lo + F.lit(1))).cast("int"))
 
