@@ -64,3 +64,14 @@ def test_windowed_parquet_directory_layout(spark, scratch):
     assert dirs == ["window_dir=2024-01-01", "window_dir=2024-01-02"]
     per_window = window_dir_column(df, grain=None).select("window_dir").distinct().count()
     assert per_window == 3
+
+
+def test_keyed_partition_write_spread_bounds_writers_per_key(spark, scratch):
+    df = spark.range(3000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id") % 7).alias("k"),
+                                  F.col("id").alias("v"))
+    keyed_partition_write(df, "k", 8, scratch, spread=3)
+    back = spark.read.parquet(scratch).withColumn("f", F.input_file_name())
+    assert back.count() == 3000
+    assert back.groupBy("k").agg(F.countDistinct("f").alias("nf")).filter("nf > 3").count() == 0
+    hot_files = back.filter("k = 0").select("f").distinct().count()
+    assert 1 < hot_files <= 3

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewire import operators as ops
@@ -353,28 +352,40 @@ def payload_roundtrip(spark, sf):
         .withColumn("n_bytes", F.col("n_bytes").cast("bigint"))
 
 
-@query("record_equality", """
-select l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       coalesce(lag(l_linenumber) over w is not null
-                and (nullif(l_returnflag, 'N') is not distinct from lag(nullif(l_returnflag, 'N')) over w)
-                and (l_linestatus is not distinct from lag(l_linestatus) over w), false)
-       as same_as_previous
-from lineitem
-window w as (partition by l_orderkey
-             order by l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice,
-                      l_discount, l_tax, l_returnflag, l_linestatus)
+_LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
+               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+@query("record_equality", f"""
+with li as (
+  select *, nullif(l_returnflag, 'N') as flag from lineitem),
+first as (
+  select l_orderkey,
+         arg_min(struct_pack(flag := flag, status := l_linestatus),
+                 struct_pack({", ".join(f"{c} := {c}" for c in _LINE_ORDER)})) as first_rec
+  from li group by l_orderkey)
+select li.l_orderkey, li.l_linenumber, li.l_partkey, li.l_suppkey,
+       (li.flag is not distinct from first.first_rec.flag)
+       and (li.l_linestatus is not distinct from first.first_rec.status) as same_as_first
+from li join first on li.l_orderkey = first.l_orderkey
 """)
 def record_equality(spark, sf):
-    # line numbers repeat within an order here, so the order is total over
-    # all columns: rows that tie are identical and give identical output
-    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
-             "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
-    li = table(spark, sf, "lineitem", "l_orderkey", *order)
+    """Null-safe record equality: is each line's (flag, status) record equal
+    to the first line of its order?
+
+    The first line per order is a ``min_by`` aggregate (partial per task,
+    so a huge order never sits in one task) joined back on the order key
+    (a shuffle join that AQE splits when one order is skewed).  The order
+    is total over all columns: tied rows are identical.
+    """
+    li = table(spark, sf, "lineitem", "l_orderkey", *_LINE_ORDER)
     rec = F.struct(F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"),
                    F.col("l_linestatus").alias("status"))
-    w = Window.partitionBy("l_orderkey").orderBy(*order)
-    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                     rec.eqNullSafe(F.lag(rec).over(w)).alias("same_as_previous"))
+    first = li.groupBy("l_orderkey").agg(
+        F.min_by(rec, F.struct(*_LINE_ORDER)).alias("first_rec"))
+    return (li.join(first, "l_orderkey")
+              .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                      rec.eqNullSafe(F.col("first_rec")).alias("same_as_first")))
 
 
 @query("registry_frame", """

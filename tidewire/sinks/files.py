@@ -7,14 +7,28 @@ from pyspark.sql import functions as F
 
 
 def keyed_partition_write(df: DataFrame, key: str, num_partitions: int, path: str,
-                          fmt: str = "parquet", mode: str = "overwrite") -> None:
+                          fmt: str = "parquet", mode: str = "overwrite", spread: int = 1,
+                          max_records_per_file: int | None = None) -> None:
     """Hash-partition rows by ``key`` into ``num_partitions`` tasks, then
-    write: all rows of a key land in the same output file set.
+    write: all rows of a key land in the same task's output files.
+
+    A key can be too big for one task.  ``spread=s`` hashes on ``(key,
+    pmod(hash(row), s))`` instead, so a key's rows go to at most ``s``
+    tasks (the co-location guarantee becomes "at most ``s`` writers per
+    key").  ``max_records_per_file`` caps file size inside a task.
 
     Spark's commit protocol replaces the original's lock directory: task
     output is committed once, a lost executor's attempt is discarded.
     """
-    df.repartition(num_partitions, key).write.mode(mode).format(fmt).save(path)
+    if spread > 1:
+        salt = F.pmod(F.hash(*[F.col(c) for c in df.columns]), F.lit(spread))
+        parted = df.repartition(num_partitions, F.col(key), salt)
+    else:
+        parted = df.repartition(num_partitions, key)
+    w = parted.write.mode(mode).format(fmt)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    w.save(path)
 
 
 def topic_files(df: DataFrame, path: str, topic: str = "topic", mode: str = "overwrite") -> None:
