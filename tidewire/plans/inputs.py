@@ -22,8 +22,21 @@ ROUTE_TOPICS = ("topic2", "topic1")
 KINESIS_PARTITION_KEY = "key"
 
 
+_handles: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table, projected to ``cols`` (pruned at the scan).
+
+    The unprojected handle is kept per session and path, like a catalog
+    entry: the file listing and footer schema are read once, not at every
+    query build.  Only the handle is kept, never data.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    df = _handles.get(key)
+    if df is None:
+        df = _handles[key] = spark.read.parquet(path)
     return df.select(*cols) if cols else df
 
 

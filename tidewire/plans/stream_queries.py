@@ -22,6 +22,7 @@ from tidewire.plans.inputs import (
     customer_lines,
     debtor_lines,
     event_broker_records,
+    table,
 )
 from tidewire.plans.batch_queries import _LOOKUP_SQL, _ROUTE_SQL, _cogroup_sql
 from tidewire.plans.registry import query
@@ -151,7 +152,7 @@ def late_rows_audit(spark, sf):
     in time order, then slice 0 delivered again (all of it late), with
     micro-batches running back to back (late-event watermark lags two
     batches, see ``streaming.windows.late_rows``)."""
-    ev = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").select("ts")
+    ev = table(spark, sf, "events", "ts")
     sliced = time_slices(ev, "ts", REPLAY_SLICES, out="batch")
     arrivals = sliced.unionByName(sliced.filter(F.col("batch") == 0)
                                         .withColumn("batch", F.lit(REPLAY_SLICES)))
