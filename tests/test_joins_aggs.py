@@ -110,3 +110,21 @@ def test_assign_event_time(spark):
     assert str(r.ts) == "2024-01-01 00:00:30"
     inst = ops.assign_event_time(df, "2024-01-01 00:00:00", "30 seconds", as_instant=True)
     assert dict(inst.dtypes)["ts"] == "timestamp"
+
+
+def test_salted_lookup_join_same_result_and_spread(spark, scratch):
+    rows = [("hot", f"v{i}") for i in range(300)] + [("a", "x"), ("z", "y")]
+    stream = spark.createDataFrame(rows, "key string, value string")
+    lookup = ops.unique_lookup(spark.createDataFrame([("hot", "H"), ("a", "1")], "key string, value string"))
+    plain = sorted(tuple(r) for r in ops.lookup_join(stream, lookup).collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        salted_df = ops.lookup_join(stream, lookup, salt=4)
+        salted = sorted(tuple(r) for r in salted_df.collect())
+        plan = _plan(salted_df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert salted == plain and len(plain) == 302
+    assert "_salt" in plan and "BroadcastHashJoin" not in plan
+    assert "_salt" not in salted_df.columns

@@ -25,6 +25,14 @@ def test_split_source_three_splits_of_five(spark, scratch):
     assert per_split == {0: [0, 1, 2, 3, 4], 1: [5, 6, 7, 8, 9], 2: [10, 11, 12, 13, 14]}
 
 
+def test_split_source_records_per_split(spark, scratch):
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(EMPLOYEES)], "id string, raw string")
+    df.coalesce(1).write.parquet(scratch)
+    out = read_splits(spark, scratch, records_per_split=5, split_column="split")
+    sizes = sorted(r["count"] for r in out.groupBy("split").count().collect())
+    assert sizes == [5, 5, 5]
+
+
 def test_split_assignment_balances_row_groups():
     units = [Unit("f", g, 0, n) for g, n in enumerate([10, 10, 10, 10, 40])]
     splits = assign(units, 2)

@@ -46,7 +46,7 @@ def duplicate_keys(df: DataFrame, key: str = "key") -> DataFrame:
 def lookup_join(stream: DataFrame, lookup: DataFrame, key: str = "key",
                 value: str = "value", lookup_value: str = "lookup_value",
                 miss: str = "null", line: str | None = "line",
-                broadcast: bool | None = None) -> DataFrame:
+                broadcast: bool | None = None, salt: int = 1) -> DataFrame:
     """Left lookup: every ``stream`` row once, plus the looked-up value.
 
     ``lookup`` must be unique on ``key`` (build it with ``unique_lookup``).
@@ -55,12 +55,28 @@ def lookup_join(stream: DataFrame, lookup: DataFrame, key: str = "key",
     (and AQE re-checks with real sizes); beyond that it is a shuffle join,
     where AQE splits skewed stream partitions.  ``broadcast=True`` forces
     the broadcast for callers that know the lookup's size bound.
+
+    ``salt=s`` (shuffle joins, e.g. inside streaming micro-batches where
+    AQE does not run) spreads each key of the stream over ``s`` buckets by
+    a hash of the whole row, and replicates every lookup row into the ``s``
+    buckets: a hot key is then joined by ``s`` tasks, at the price of an
+    ``s`` times larger lookup side.  The salt is deterministic, so a
+    re-run task routes rows the same way.
     """
     lk = lookup.select(key, F.col(value).alias(lookup_value))
+    on = [key]
+    left = stream
+    if salt > 1:
+        left = stream.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in stream.columns]),
+                                                 F.lit(salt)))
+        lk = lk.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
+        on = [key, "_salt"]
     if broadcast:
         lk = F.broadcast(lk)
-    out = stream.join(lk, on=key, how="left") \
+    out = left.join(lk, on=on, how="left") \
         .withColumn(lookup_value, F.coalesce(F.col(lookup_value), F.lit(miss)))
+    if salt > 1:
+        out = out.drop("_salt")
     if line:
         out = out.withColumn(line, F.concat(
             F.lit("K: ["), java_text(key), F.lit("], SVs: "), java_text(value),

@@ -9,8 +9,9 @@ tasks, as Arrow record batches (no per-row Python objects).
 ``spark.read.format("tidewire-splits").option("path", p).option("splits", 3).load()``
 
 Options: ``path`` (file or directory of Parquet), ``splits`` (target
-split count, default: one per row group), ``columns`` (comma list),
-``split_column`` (name of an extra INT column holding the split index).
+split count, default: one per row group) or ``records_per_split`` (target
+rows per split), ``columns`` (comma list), ``split_column`` (name of an
+extra INT column holding the split index).
 """
 
 from __future__ import annotations
@@ -102,13 +103,18 @@ class _SplitReader(DataSourceReader):
     def __init__(self, options, schema):
         self.path = options["path"]
         self.target = int(options["splits"]) if options.get("splits") else None
+        self.per_split = int(options["records_per_split"]) if options.get("records_per_split") else None
         cols = options.get("columns")
         self.columns = [c.strip() for c in cols.split(",")] if cols else None
         self.split_column = options.get("split_column")
         self.schema = schema
 
     def partitions(self):
-        return assign(plan_units(self.path, self.target), self.target)
+        target = self.target
+        if target is None and self.per_split:
+            total = sum(u.stop - u.start for u in plan_units(self.path, None))
+            target = max(1, -(-total // self.per_split))
+        return assign(plan_units(self.path, target), target)
 
     def read(self, partition: Split):
         import pyarrow as pa
@@ -155,11 +161,13 @@ def register(spark) -> None:
 
 
 def read_splits(spark, path: str, splits: int | None = None, columns: list[str] | None = None,
-                split_column: str | None = None):
+                split_column: str | None = None, records_per_split: int | None = None):
     register(spark)
     r = spark.read.format("tidewire-splits").option("path", path)
     if splits:
         r = r.option("splits", splits)
+    if records_per_split:
+        r = r.option("records_per_split", records_per_split)
     if columns:
         r = r.option("columns", ",".join(columns))
     if split_column:
