@@ -5,10 +5,35 @@ from __future__ import annotations
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
-def run_available(writer: DataStreamWriter, timeout_s: float | None = None) -> StreamingQuery:
+def state_partitions(spark) -> int:
+    """Partitions for a new stateful query: the session's shuffle partitions,
+    at most one per core of the cluster (a state store runs per partition
+    in every micro-batch, so idle partitions cost time each batch)."""
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                      spark.sparkContext.defaultParallelism))
+
+
+def start_with_partitions(writer: DataStreamWriter, spark=None, partitions: int | None = None) -> StreamingQuery:
+    """Start ``writer``; with ``partitions``, the query is started with that
+    many shuffle (and state) partitions.  The number is recorded in the
+    checkpoint on the first start and kept by every restart; the session's
+    own setting is restored right after the start."""
+    if partitions is None or spark is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
+def run_available(writer: DataStreamWriter, timeout_s: float | None = None, spark=None,
+                  partitions: int | None = None) -> StreamingQuery:
     """Process everything available now (in as many micro-batches as the
     sources' rate limits give), then stop.  Raises the query's error."""
-    q = writer.trigger(availableNow=True).start()
+    q = start_with_partitions(writer.trigger(availableNow=True), spark, partitions)
     finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if finished is False:
         q.stop()
