@@ -8,8 +8,10 @@ session; only when the cluster names none (local tests) is one created.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -66,3 +68,30 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared checkpoint directory."""
     return f"{checkpoint_root(spark)}/tidewire/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_shipped: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidewire`` importable in Python tasks (custom sources and
+    sinks, RDD functions), once per application.
+
+    The package is zipped once on the driver and handed to
+    ``SparkContext.addPyFile``, which distributes it to every executor, as
+    ``--py-files`` would at submit time.  Nothing is done when the package
+    is already installed on the workers' path (``TIDEWIRE_ON_WORKERS=1``).
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped or os.environ.get("TIDEWIRE_ON_WORKERS") == "1":
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tidewire-pyfiles-"), "tidewire.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(out)
+    _shipped.add(sc.applicationId)

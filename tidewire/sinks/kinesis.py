@@ -125,4 +125,6 @@ class KinesisSink(DataSource):
 
 
 def register(spark) -> None:
+    from tidewire.session import ship_package
+    ship_package(spark)
     spark.dataSource.register(KinesisSink)

@@ -23,6 +23,8 @@ def hadoop_read(spark: SparkSession, path: str, input_format: str = SEQUENCE_IN,
                 key_class: str = TEXT, value_class: str = TEXT, conf: dict | None = None,
                 schema: T.StructType = _KV_SCHEMA) -> DataFrame:
     """Read ``(key, value)`` records through a Hadoop ``InputFormat``."""
+    from tidewire.session import ship_package
+    ship_package(spark)
     rdd = spark.sparkContext.newAPIHadoopFile(path, input_format, key_class, value_class,
                                               conf=conf or {})
     return spark.createDataFrame(rdd.map(lambda kv: (str(kv[0]), str(kv[1]))), schema)
@@ -35,6 +37,8 @@ def hadoop_write(df: DataFrame, path: str, key: str, value: str, num_partitions:
     hash-partitioned by key first when ``num_partitions`` is given.  The
     Hadoop output committer of the format decides what a failed task leaves
     behind; Spark retries the task."""
+    from tidewire.session import ship_package
+    ship_package(df.sparkSession)
     if num_partitions:
         df = df.repartition(num_partitions, key)
     pairs = df.select(key, value).rdd.map(lambda r: (r[0], r[1]))

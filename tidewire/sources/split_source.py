@@ -157,6 +157,8 @@ class SplitSource(DataSource):
 
 
 def register(spark) -> None:
+    from tidewire.session import ship_package
+    ship_package(spark)
     spark.dataSource.register(SplitSource)
 
 
