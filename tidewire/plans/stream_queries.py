@@ -20,7 +20,6 @@ from tidewire.plans.inputs import (
     PIPELINE_START,
     ROUTE_TOPICS,
     customer_lines,
-    debtor_lines,
     event_broker_records,
     table,
 )
