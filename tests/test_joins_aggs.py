@@ -128,3 +128,10 @@ def test_salted_lookup_join_same_result_and_spread(spark, scratch):
     assert salted == plain and len(plain) == 302
     assert "_salt" in plan and "BroadcastHashJoin" not in plan
     assert "_salt" not in salted_df.columns
+
+
+def test_unique_lookup_on_dup_max(spark):
+    dup = spark.createDataFrame([("a", "1"), ("b", "2"), ("a", "9")], "key string, value string")
+    assert sorted(tuple(r) for r in ops.unique_lookup(dup, on_dup="max").collect()) == [("a", "9"), ("b", "2")]
+    with pytest.raises(ValueError):
+        ops.unique_lookup(dup, on_dup="first")

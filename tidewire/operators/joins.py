@@ -21,14 +21,22 @@ BOUNDED_SIDE = 1
 
 # --------------------------------------------------------------- lookups
 
-def unique_lookup(df: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
-    """``(key, value)`` with one row per key; a duplicate key fails the job.
-
-    The check is a distributed aggregate (partial count and any-value per
-    task, merged after one shuffle on the key).  It is lazy: it fires when
-    the value column is computed, so keep the value column in the output
-    of whatever consumes the table (see ``duplicate_keys`` for an audit).
+def unique_lookup(df: DataFrame, key: str = "key", value: str = "value",
+                  on_dup: str = "fail") -> DataFrame:
+    """``(key, value)`` with one row per key.
+
+    ``on_dup='fail'`` (default): a duplicate key fails the job.  The check
+    is a distributed aggregate (partial count and any-value per task,
+    merged after one shuffle on the key).  It is lazy: it fires when the
+    value column is computed, so keep the value column in the output of
+    whatever consumes the table (see ``duplicate_keys`` for an audit).
+    ``on_dup='max'`` keeps the greatest value of a duplicated key instead
+    (deterministic on replay).
     """
+    if on_dup == "max":
+        return df.groupBy(key).agg(F.max(value).alias(value))
+    if on_dup != "fail":
+        raise ValueError("on_dup must be 'fail' or 'max'")
     return (df.groupBy(key)
               .agg(F.count(F.lit(1)).alias("_n"), F.any_value(value).alias("_v"))
               .select(key, F.when(F.col("_n") > 1,

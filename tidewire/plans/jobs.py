@@ -42,9 +42,9 @@ def cogroup_job(records: DataFrame, bounded_lines: DataFrame, start_instant, out
                 checkpoint: str, early_every: str = "20 seconds", **kw):
     """Start P1 with early panes every ``early_every``; read the result with
     ``sinks.latest_pane`` + ``operators.format_cogroup``."""
-    plan = cogroup_plan(records, bounded_lines, start_instant, **kw)
-    return (replay_safe_sink(plan, out, checkpoint, output_mode="update")
-            .trigger(processingTime=early_every).start())
+    from tidewire.streaming.runner import start_early
+    return start_early(cogroup_plan(records, bounded_lines, start_instant, **kw), out, checkpoint,
+                       every=early_every)
 
 
 def lookup_plan(records: DataFrame, lookup_lines: DataFrame) -> DataFrame:

@@ -29,8 +29,7 @@ from tidewire.session import scratch_path
 from tidewire.sinks.files import window_dir_column, windowed_parquet
 from tidewire.sinks.replay_safe import latest_pane, read_batches, replay_safe_sink
 from tidewire.sources.replay import read_replay_stream, time_slices, write_replay_files
-from tidewire.streaming import run_available, stream_cogroup_counts, stream_window_counts
-from tidewire.streaming.runner import state_partitions
+from tidewire.streaming import run_available, run_early, run_final, stream_cogroup_counts, stream_window_counts
 from tidewire.streaming.windows import late_rows
 
 REPLAY_SLICES = 4
@@ -63,15 +62,10 @@ def event_stream(spark, sf: str, redeliver_first: bool = False) -> DataFrame:
 
 
 def _run_to_files(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Append-mode file sink, run to the end of the input, read back through
-    the sink's commit log (only committed files are visible)."""
+    """On-time output through the append-mode file sink, read back."""
     spark = df.sparkSession
     base = scratch_path(spark, name)
-    w = (df.writeStream.format("parquet").outputMode("append")
-           .option("path", f"{base}/data").option("checkpointLocation", f"{base}/checkpoint"))
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    run_available(w, spark=spark, partitions=state_partitions(spark))
+    run_final(df, f"{base}/data", f"{base}/checkpoint", partition_by=partition_by)
     return spark.read.schema(df.schema).parquet(f"{base}/data")
 
 
@@ -79,8 +73,7 @@ def _run_update(df: DataFrame, name: str) -> DataFrame:
     """Update-mode output through the replay-safe sink; returns every pane."""
     spark = df.sparkSession
     base = scratch_path(spark, name)
-    run_available(replay_safe_sink(df, f"{base}/data", f"{base}/checkpoint", output_mode="update"),
-                  spark=spark, partitions=state_partitions(spark))
+    run_early(df, f"{base}/data", f"{base}/checkpoint")
     return read_batches(spark, f"{base}/data")
 
 

@@ -51,3 +51,10 @@ def kafka_sink(df: DataFrame, servers: str, topic: str | None, checkpoint: str,
 def kafka_write(df: DataFrame, servers: str, topic: str | None = None, extra: dict | None = None) -> None:
     """Batch write of a framed DataFrame."""
     df.write.format("kafka").options(**sink_options(servers, topic, extra)).save()
+
+
+def topic_sink(df: DataFrame, servers: str, checkpoint: str, topic: str = "topic",
+               key: str | None = "key", value: str = "value", extra: dict | None = None):
+    """Streaming write where each record names its own topic (the ``topic``
+    column); no ``topic`` option is set, since it would override the column."""
+    return kafka_sink(kafka_frame(df, key, value, topic), servers, None, checkpoint, extra)

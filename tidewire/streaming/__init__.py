@@ -1,5 +1,14 @@
 """Structured Streaming: windowed panes, late data, stream joins, runners."""
 
 from tidewire.streaming.joins import stream_cogroup_counts, stream_lookup_join  # noqa: F401
-from tidewire.streaming.runner import batches_run, rows_dropped_by_watermark, run_available  # noqa: F401
+from tidewire.streaming.runner import (  # noqa: F401
+    batches_run,
+    rows_dropped_by_watermark,
+    run_available,
+    run_early,
+    run_final,
+    start_early,
+    start_with_partitions,
+    state_partitions,
+)
 from tidewire.streaming.windows import late_rows, stream_window_counts, watermarked  # noqa: F401

@@ -51,3 +51,38 @@ def rows_dropped_by_watermark(q: StreamingQuery) -> int:
 
 def batches_run(q: StreamingQuery) -> int:
     return len(q.recentProgress)
+
+
+def run_final(df, path: str, checkpoint: str, partition_by: str | None = None,
+              fmt: str = "parquet", partitions: int | None = None, timeout_s: float | None = None):
+    """On-time results only: append-mode file sink (a windowed aggregate is
+    written once the watermark passes the window end), run to the end of
+    the available input.  Returns the finished query; read the output with
+    ``spark.read`` (the sink's commit log hides uncommitted files)."""
+    w = (df.writeStream.format(fmt).outputMode("append")
+           .option("path", path).option("checkpointLocation", checkpoint))
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    spark = df.sparkSession
+    return run_available(w, timeout_s, spark, partitions if partitions is not None else state_partitions(spark))
+
+
+def run_early(df, path: str, checkpoint: str, fmt: str = "parquet",
+              partitions: int | None = None, timeout_s: float | None = None):
+    """Early (accumulating) results: update-mode output, every pane written
+    through the replay-safe sink to ``<path>/batch_id=<n>``; the complete
+    result is ``sinks.latest_pane`` of what was written."""
+    from tidewire.sinks.replay_safe import replay_safe_sink
+    spark = df.sparkSession
+    return run_available(replay_safe_sink(df, path, checkpoint, output_mode="update", fmt=fmt),
+                         timeout_s, spark, partitions if partitions is not None else state_partitions(spark))
+
+
+def start_early(df, path: str, checkpoint: str, every: str = "20 seconds",
+                partitions: int | None = None):
+    """Long-running form of ``run_early``: a pane update every ``every`` of
+    processing time (the early-firing cadence), until stopped."""
+    from tidewire.sinks.replay_safe import replay_safe_sink
+    spark = df.sparkSession
+    w = replay_safe_sink(df, path, checkpoint, output_mode="update").trigger(processingTime=every)
+    return start_with_partitions(w, spark, partitions if partitions is not None else state_partitions(spark))
