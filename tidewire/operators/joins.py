@@ -45,6 +45,20 @@ def unique_lookup(df: DataFrame, key: str = "key", value: str = "value",
                              .otherwise(F.col("_v")).alias(value)))
 
 
+def checked_lookup(df: DataFrame, key: str = "key", value: str = "value",
+                   on_dup: str = "fail") -> DataFrame:
+    """``unique_lookup``, computed once and cut from its lineage with a
+    reliable ``checkpoint()`` (written below ``spark.checkpoint.dir``).
+
+    This runs a job (the check happens here, eagerly).  Use it for lookups
+    too big to broadcast: a join whose lookup side is the uniqueness
+    aggregate itself reuses that aggregate's shuffle, and AQE cannot split
+    skewed keys of such a join; a checkpointed lookup gets its own join
+    shuffle, which AQE can split.
+    """
+    return unique_lookup(df, key, value, on_dup).checkpoint(eager=True)
+
+
 def duplicate_keys(df: DataFrame, key: str = "key") -> DataFrame:
     """Keys that occur more than once, with their row count."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
@@ -61,8 +75,9 @@ def lookup_join(stream: DataFrame, lookup: DataFrame, key: str = "key",
     The join strategy is left to Spark: it broadcasts the lookup side only
     when its estimated size is below ``spark.sql.autoBroadcastJoinThreshold``
     (and AQE re-checks with real sizes); beyond that it is a shuffle join,
-    where AQE splits skewed stream partitions.  ``broadcast=True`` forces
-    the broadcast for callers that know the lookup's size bound.
+    where AQE splits skewed stream partitions (when the lookup side is a
+    scan or a checkpoint, see ``checked_lookup``).  ``broadcast=True``
+    forces the broadcast for callers that know the lookup's size bound.
 
     ``salt=s`` (shuffle joins, e.g. inside streaming micro-batches where
     AQE does not run) spreads each key of the stream over ``s`` buckets by
