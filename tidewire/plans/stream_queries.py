@@ -29,7 +29,7 @@ from tidewire.session import scratch_path
 from tidewire.sinks.files import window_dir_column, windowed_parquet
 from tidewire.sinks.replay_safe import latest_pane, read_batches, replay_safe_sink
 from tidewire.sources.replay import read_replay_stream, time_slices, write_replay_files
-from tidewire.streaming import run_available, run_early, run_final, stream_cogroup_counts, stream_window_counts
+from tidewire.streaming import run_available, run_early, run_final, stream_window_counts
 from tidewire.streaming.windows import late_rows
 
 REPLAY_SLICES = 4
@@ -164,16 +164,17 @@ def late_rows_audit(spark, sf):
 
 @query("stream_cogroup_final", _cogroup_sql(JOIN_WINDOW))
 def stream_cogroup_final(spark, sf):
-    """Streaming co-group of the event topic with the bounded customer file
-    (read as a file stream, stamped with one event time); update mode,
-    last pane per (window, key) rendered as the co-group line."""
+    """The co-group job (``plans.jobs.cogroup_plan``) on the replayed topic
+    and the bounded customer file (read as a file stream, stamped with one
+    event time); update mode, last pane per (window, key) rendered as the
+    co-group line."""
+    from tidewire.plans.jobs import cogroup_plan
     base = scratch_path(spark, "bounded-customers")
     customer_lines(spark, sf).write.text(base)
+    records = read_replay_stream(spark, event_replay(spark, sf))
     bounded_lines = spark.readStream.format("text").load(base)
-    bounded = ops.assign_event_time(ops.parse_csv_kv(bounded_lines, line="value"),
-                                    PIPELINE_START, BOUNDED_STAMP_OFFSET, as_instant=True)
-    counts = stream_cogroup_counts(event_stream(spark, sf).select("key", "value", "ts"), bounded,
-                                   window=JOIN_WINDOW, lateness=ALLOWED_LATENESS)
+    counts = cogroup_plan(records, bounded_lines, PIPELINE_START, window=JOIN_WINDOW,
+                          lateness=ALLOWED_LATENESS, stamp_offset=BOUNDED_STAMP_OFFSET)
     panes = _run_update(counts, "stream-cogroup")
     last = latest_pane(panes, ["window_start", "key", "side", "value"])
     return ops.format_cogroup(last, windowed=True)
@@ -206,6 +207,28 @@ def copy_routed(spark, sf):
         .select("offset", "topic", "key", "value")
 
 
+@query("copy_kv_stream", """
+select cast(user_id as varchar) as key, cast(user_id as varchar) || ',' || event_type as value
+from events
+""")
+def copy_kv_stream(spark, sf):
+    """Topic copy, mode ``kv`` (``plans.jobs.copy_plan``): key and value as
+    they are; written to files here instead of a topic."""
+    from tidewire.plans.jobs import copy_plan
+    records = read_replay_stream(spark, event_replay(spark, sf))
+    return _run_to_files(copy_plan(records, "kv"), "copy-kv")
+
+
+@query("copy_values_stream", """
+select cast(user_id as varchar) || ',' || event_type as value from events
+""")
+def copy_values_stream(spark, sf):
+    """Topic copy, mode ``values``: the value only, no key."""
+    from tidewire.plans.jobs import copy_plan
+    records = read_replay_stream(spark, event_replay(spark, sf))
+    return _run_to_files(copy_plan(records, "values"), "copy-values")
+
+
 @query("replay_safe_write", """
 select event_id as "offset", cast(user_id as varchar) as key,
        cast(user_id as varchar) || ',' || event_type as value
