@@ -8,6 +8,12 @@ plan.  Credentials come from the executor's environment, never options.
 
 Frame first with ``kinesis_records`` (``partition_key``, ``data``), then
 ``df.write.format("tidewire-kinesis").option("stream", ...).save()``.
+
+Delivery is at-least-once: a task that fails or is re-run after a lost
+executor sends its whole partition again, and record streams have no
+idempotent put.  Consumers that need exactly-once must de-duplicate (for
+example on a payload id); a rejected record fails the task, so nothing is
+silently dropped.
 """
 
 from __future__ import annotations
