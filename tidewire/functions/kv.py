@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidewire.fixed import CSV_SEPARATOR, NULL_TEXT, PREFIX_SEPARATOR, ROUTE_TOPICS
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -22,7 +24,7 @@ def csv_pair_valid(line) -> Column:
     exactly "a comma remains after removing trailing commas".  NULL in,
     NULL out; callers decide how NULL counts.
     """
-    return F.rtrim(_c(line), F.lit(",")).contains(",")
+    return F.rtrim(_c(line), F.lit(CSV_SEPARATOR)).contains(CSV_SEPARATOR)
 
 
 def csv_field(line, n: int) -> Column:
@@ -34,11 +36,12 @@ def csv_field(line, n: int) -> Column:
     """
     src = _c(line)
     if n == 1:
-        return F.substring_index(src, ",", 1)
+        return F.substring_index(src, CSV_SEPARATOR, 1)
     if n == 2:
-        return F.when(src.contains(","), F.substring_index(F.substring_index(src, ",", 2), ",", -1)) \
+        sep = CSV_SEPARATOR
+        return F.when(src.contains(sep), F.substring_index(F.substring_index(src, sep, 2), sep, -1)) \
             .otherwise(F.lit(""))
-    return F.split_part(src, F.lit(","), F.lit(n))
+    return F.split_part(src, F.lit(CSV_SEPARATOR), F.lit(n))
 
 
 def delimited_field(raw, sep: str, n: int) -> Column:
@@ -46,12 +49,12 @@ def delimited_field(raw, sep: str, n: int) -> Column:
     return F.split_part(_c(raw), F.lit(sep), F.lit(n))
 
 
-def null_to_literal(col, literal: str = "null") -> Column:
+def null_to_literal(col, literal: str = NULL_TEXT) -> Column:
     """Replace NULL by a literal string."""
     return F.coalesce(_c(col), F.lit(literal))
 
 
-def alternate_topic(seq, even_topic: str = "topic2", odd_topic: str = "topic1") -> Column:
+def alternate_topic(seq, even_topic: str = ROUTE_TOPICS[0], odd_topic: str = ROUTE_TOPICS[1]) -> Column:
     """Route by the parity of a stored sequence number (offset).
 
     Sequence 0 goes to ``even_topic``, 1 to ``odd_topic`` and so on; a
@@ -60,7 +63,7 @@ def alternate_topic(seq, even_topic: str = "topic2", odd_topic: str = "topic1")
     return F.when(F.pmod(_c(seq), F.lit(2)) == 0, F.lit(even_topic)).otherwise(F.lit(odd_topic))
 
 
-def prefixed(col, prefix: str, sep: str = "_") -> Column:
+def prefixed(col, prefix: str, sep: str = PREFIX_SEPARATOR) -> Column:
     """``<prefix><sep><value>``."""
     return F.concat(F.lit(prefix), F.lit(sep), _c(col))
 
@@ -77,4 +80,4 @@ def long_to_bytes(col) -> Column:
 
 def java_text(col) -> Column:
     """Text of a value as Java string concatenation shows it (NULL -> ``null``)."""
-    return F.coalesce(_c(col).cast("string"), F.lit("null"))
+    return F.coalesce(_c(col).cast("string"), F.lit(NULL_TEXT))

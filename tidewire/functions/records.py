@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidewire.fixed import BRACKET_ITEM, NULL_TEXT, REGISTRY_HEADER_BYTES, REGISTRY_MAGIC_HEX
 from tidewire.functions.kv import java_text
 
 
@@ -42,14 +43,13 @@ def render(template: str, *cols) -> Column:
 
 
 # Schema-registry framing: one magic byte, a 4-byte big-endian schema id,
-# then the encoded payload.
-REGISTRY_HEADER_BYTES = 5
+# then the encoded payload (sizes in ``tidewire.fixed``).
 
 
 def registry_frame(schema_id, payload) -> Column:
     """Build a framed value: magic ``00`` + 4-byte schema id + payload bytes."""
     sid = F.unhex(F.lpad(F.hex(_c(schema_id).cast("int")), 8, "0"))
-    return F.concat(F.unhex(F.lit("00")), sid, _c(payload))
+    return F.concat(F.unhex(F.lit(REGISTRY_MAGIC_HEX)), sid, _c(payload))
 
 
 def frame_magic(framed) -> Column:
@@ -76,7 +76,7 @@ def bracket_join(entries, value_field: str = "value", count_field: str = "n") ->
     pieces = F.transform(
         ordered,
         lambda e: F.repeat(
-            F.concat(F.lit("["), F.coalesce(e[value_field], F.lit("null")), F.lit("],")),
+            F.concat(F.lit(BRACKET_ITEM[0]), F.coalesce(e[value_field], F.lit(NULL_TEXT)), F.lit(BRACKET_ITEM[1])),
             e[count_field].cast("int"),
         ),
     )

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.fixed import COGROUP_LINE, DUPLICATE_KEY_MESSAGE, JOIN_WINDOW, NULL_TEXT
 from tidewire.functions.kv import java_text
 from tidewire.functions.records import bracket_join
 
@@ -40,7 +41,7 @@ def unique_lookup(df: DataFrame, key: str = "key", value: str = "value",
     return (df.groupBy(key)
               .agg(F.count(F.lit(1)).alias("_n"), F.any_value(value).alias("_v"))
               .select(key, F.when(F.col("_n") > 1,
-                                  F.raise_error(F.concat(F.lit("Duplicate values for "),
+                                  F.raise_error(F.concat(F.lit(DUPLICATE_KEY_MESSAGE),
                                                          java_text(key))))
                              .otherwise(F.col("_v")).alias(value)))
 
@@ -67,7 +68,7 @@ def duplicate_keys(df: DataFrame, key: str = "key") -> DataFrame:
 
 def lookup_join(stream: DataFrame, lookup: DataFrame, key: str = "key",
                 value: str = "value", lookup_value: str = "lookup_value",
-                miss: str = "null", line: str | None = "line",
+                miss: str = NULL_TEXT, line: str | None = "line",
                 broadcast: bool | None = None, salt: int = 1) -> DataFrame:
     """Left lookup: every ``stream`` row once, plus the looked-up value.
 
@@ -102,8 +103,8 @@ def lookup_join(stream: DataFrame, lookup: DataFrame, key: str = "key",
         out = out.drop("_salt")
     if line:
         out = out.withColumn(line, F.concat(
-            F.lit("K: ["), java_text(key), F.lit("], SVs: "), java_text(value),
-            F.lit(", BVs: "), F.col(lookup_value)))
+            F.lit(COGROUP_LINE[0]), java_text(key), F.lit(COGROUP_LINE[1]), java_text(value),
+            F.lit(COGROUP_LINE[2]), F.col(lookup_value)))
     return out
 
 
@@ -120,7 +121,7 @@ def tag_sides(left: DataFrame, right: DataFrame, key: str = "key", value: str =
 
 
 def cogroup_counts(left: DataFrame, right: DataFrame, key: str = "key", value: str = "value",
-                   ts: str | None = "ts", window: str | None = "20 seconds") -> DataFrame:
+                   ts: str | None = "ts", window: str | None = JOIN_WINDOW) -> DataFrame:
     """Long form of the co-group: ``(window_start, window_end, key, side, value, n)``.
 
     One aggregation whose partial counts run before the shuffle.  This is
@@ -147,13 +148,13 @@ def format_cogroup(counts: DataFrame, windowed: bool = True) -> DataFrame:
     return (counts.groupBy(*keys)
                   .agg(F.collect_list(F.when(F.col("side") == STREAM_SIDE, entry)).alias("_s"),
                        F.collect_list(F.when(F.col("side") == BOUNDED_SIDE, entry)).alias("_b"))
-                  .select(*keys, F.concat(F.lit("K: ["), java_text("key"), F.lit("], SVs: "),
-                                          bracket_join("_s"), F.lit(", BVs: "),
+                  .select(*keys, F.concat(F.lit(COGROUP_LINE[0]), java_text("key"), F.lit(COGROUP_LINE[1]),
+                                          bracket_join("_s"), F.lit(COGROUP_LINE[2]),
                                           bracket_join("_b")).alias("line")))
 
 
 def windowed_cogroup(left: DataFrame, right: DataFrame, key: str = "key", value: str = "value",
-                     ts: str = "ts", window: str | None = "20 seconds") -> DataFrame:
+                     ts: str = "ts", window: str | None = JOIN_WINDOW) -> DataFrame:
     """Co-group two keyed inputs on key and tumbling window (``window=None``:
     one global window).  Output ``(window_start, key, line)`` / ``(key, line)``.
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.fixed import NULL_TEXT, PREFIX_SEPARATOR, ROUTE_TOPICS
 from tidewire.functions.kv import (
     alternate_topic,
     csv_field,
@@ -71,19 +72,20 @@ def parse_csv_kv(df: DataFrame, line: str = "value", on_bad: str = "fail",
     return good, rejects
 
 
-def null_to_literal(df: DataFrame, cols=("key", "value"), literal: str = "null") -> DataFrame:
+def null_to_literal(df: DataFrame, cols=("key", "value"), literal: str = NULL_TEXT) -> DataFrame:
     """Replace NULL by ``literal`` in ``cols`` (other columns unchanged)."""
     return df.withColumns({c: _null_to_literal(c, literal) for c in cols})
 
 
-def route_alternate(df: DataFrame, seq: str = "offset", topics=("topic2", "topic1"),
+def route_alternate(df: DataFrame, seq: str = "offset", topics=ROUTE_TOPICS,
                     topic_col: str = "topic") -> DataFrame:
     """Add a ``topic`` column alternating between two topics by ``seq`` parity."""
     even, odd = topics
     return df.withColumn(topic_col, alternate_topic(seq, even, odd))
 
 
-def prefix(df: DataFrame, col: str, prefix_value: str, out: str | None = None, sep: str = "_") -> DataFrame:
+def prefix(df: DataFrame, col: str, prefix_value: str, out: str | None = None,
+           sep: str = PREFIX_SEPARATOR) -> DataFrame:
     """``<prefix>_<value>`` with a run-time parameter."""
     return df.withColumn(out or col, prefixed(col, prefix_value, sep))
 

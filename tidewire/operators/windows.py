@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.fixed import BOUNDED_STAMP_OFFSET, JOIN_WINDOW
 from tidewire.functions.time import ntz_to_instant
 
 
@@ -18,7 +19,7 @@ def _instant_literal(instant) -> Column:
     return F.lit(str(instant)).cast("timestamp_ntz")
 
 
-def assign_event_time(df: DataFrame, instant, offset: str | None = "30 seconds",
+def assign_event_time(df: DataFrame, instant, offset: str | None = BOUNDED_STAMP_OFFSET,
                       col: str = "ts", as_instant: bool = False) -> DataFrame:
     """Stamp every row with one event time: ``instant`` (+ ``offset``).
 
@@ -36,14 +37,14 @@ def assign_event_time(df: DataFrame, instant, offset: str | None = "30 seconds",
     return df.withColumn(col, ts)
 
 
-def fixed_window(df: DataFrame, ts: str = "ts", length: str = "20 seconds",
+def fixed_window(df: DataFrame, ts: str = "ts", length: str = JOIN_WINDOW,
                  start: str = "window_start", end: str = "window_end") -> DataFrame:
     """Tag rows with their tumbling window ``[start, end)``, epoch aligned."""
     w = F.window(F.col(ts), length)
     return df.withColumns({start: w.start, end: w.end})
 
 
-def window_counts(df: DataFrame, ts: str = "ts", length: str = "20 seconds",
+def window_counts(df: DataFrame, ts: str = "ts", length: str = JOIN_WINDOW,
                   keys: tuple[str, ...] = ()) -> DataFrame:
     """Rows per tumbling window (and keys): partial counts before the shuffle."""
     w = F.window(F.col(ts), length)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewire import operators as ops
+from tidewire.fixed import EMPLOYEE_SEPARATOR, EMPLOYEE_TEMPLATE, SEQUENCE_LINE
 from tidewire.functions.kv import long_to_bytes
 from tidewire.functions.records import decimal_bytes, registry_frame
 from tidewire.plans.inputs import (
@@ -312,8 +313,8 @@ with e as (
 def employee_records_df(spark, sf):
     c = table(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment")
     raw = c.select(F.col("c_custkey").cast("string").alias("id"),
-                   F.concat_ws("_", "c_name", "c_mktsegment").alias("raw"))
-    return ops.parse_delimited(raw, "raw", "_", ["emp_name", "emp_address"], keep=("id",))
+                   F.concat_ws(EMPLOYEE_SEPARATOR, "c_name", "c_mktsegment").alias("raw"))
+    return ops.parse_delimited(raw, "raw", EMPLOYEE_SEPARATOR, ["emp_name", "emp_address"], keep=("id",))
 
 
 @query("employee_records", _EMPLOYEE_SQL + "select id, emp_name, emp_address from e")
@@ -329,7 +330,6 @@ def parse_delimited(spark, sf):
     return ops.parse_delimited(part, "p_name", " ", ["p_adj", "p_noun"], keep=("p_partkey",))
 
 
-EMPLOYEE_TEMPLATE = "key: %s, val: Employee{Name='%s', Address=%s}"
 
 
 @query("render_records", _EMPLOYEE_SQL + """
@@ -405,7 +405,6 @@ def registry_frame_q(spark, sf):
 
 # ------------------------------------------------------------- sequences, caps
 
-SEQUENCE_LINE = "IO IT Test line of text. Line seed: %s"
 
 
 @query("sequence_lines", """

@@ -9,17 +9,20 @@ from pyspark.sql import functions as F
 
 from tidewire.sources.replay import as_broker_records
 
-# Parameters of the original jobs, kept as fixed values.
-JOIN_WINDOW = "20 seconds"
-FILE_WINDOW = "5 seconds"
-ALLOWED_LATENESS = "20 seconds"
-BOUNDED_STAMP_OFFSET = "30 seconds"
-# "Pipeline start" used to stamp the bounded side (start + 30 s lands on
-# 2024-01-02 00:00:00, inside the events' time range).
+from tidewire.fixed import (  # noqa: F401  (re-exported for the query modules)
+    ALLOWED_LATENESS,
+    BOUNDED_STAMP_OFFSET,
+    FILE_WINDOW,
+    JOIN_WINDOW,
+    KINESIS_PARTITION_KEY,
+    ROUTE_TOPICS,
+    USER_VALUE,
+)
+
+# "Pipeline start" used to stamp the bounded side in the registered queries
+# (our parameter: start + 30 s lands on 2024-01-02 00:00:00, inside the
+# events' time range).
 PIPELINE_START = "2024-01-01 23:59:30"
-USER_VALUE = "UserValue"
-ROUTE_TOPICS = ("topic2", "topic1")
-KINESIS_PARTITION_KEY = "key"
 
 
 _handles: dict = {}

@@ -14,6 +14,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire import operators as ops
+from tidewire.fixed import (
+    ALLOWED_LATENESS,
+    BOUNDED_STAMP_OFFSET,
+    EARLY_FIRING_DELAY,
+    EMPLOYEE_SEPARATOR,
+    EMPLOYEE_TEMPLATE,
+    FILE_WINDOW,
+    JOIN_WINDOW,
+    KINESIS_PARTITION_KEY,
+    ROUTE_TOPICS,
+    SEQUENCE_LINE,
+    USER_VALUE,
+)
 from tidewire.sinks.files import window_dir_column, windowed_parquet
 from tidewire.sinks.kafka import kafka_frame, kafka_sink
 from tidewire.sinks.replay_safe import replay_safe_sink
@@ -21,14 +34,13 @@ from tidewire.streaming.joins import stream_cogroup_counts, stream_lookup_join
 
 COPY_MODES = ("kv", "pr", "once", "values")
 LINE_SCHEMA = T.StructType([T.StructField("row", T.StringType(), False)])
-SEQUENCE_LINE = "IO IT Test line of text. Line seed: %s"
 
 
 # ------------------------------------------------------------------ P1, P2
 
 def cogroup_plan(records: DataFrame, bounded_lines: DataFrame, start_instant,
-                 window: str = "20 seconds", lateness: str = "20 seconds",
-                 stamp_offset: str = "30 seconds") -> DataFrame:
+                 window: str = JOIN_WINDOW, lateness: str = ALLOWED_LATENESS,
+                 stamp_offset: str = BOUNDED_STAMP_OFFSET) -> DataFrame:
     """P1: topic ``k,v`` records x bounded ``k,v`` lines, co-grouped per key
     and window; long form, to be written in update mode."""
     kv = ops.decode_kv(records, keep=("timestamp",))
@@ -39,7 +51,7 @@ def cogroup_plan(records: DataFrame, bounded_lines: DataFrame, start_instant,
 
 
 def cogroup_job(records: DataFrame, bounded_lines: DataFrame, start_instant, out: str,
-                checkpoint: str, early_every: str = "20 seconds", **kw):
+                checkpoint: str, early_every: str = EARLY_FIRING_DELAY, **kw):
     """Start P1 with early panes every ``early_every``; read the result with
     ``sinks.latest_pane`` + ``operators.format_cogroup``."""
     from tidewire.streaming.runner import start_early
@@ -58,7 +70,7 @@ def lookup_plan(records: DataFrame, lookup_lines: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ P3-P6
 
-def copy_plan(records: DataFrame, mode: str = "pr", topics=("topic2", "topic1")) -> DataFrame:
+def copy_plan(records: DataFrame, mode: str = "pr", topics=ROUTE_TOPICS) -> DataFrame:
     """Topic copy in one of the modes ``kv`` (key/value as is), ``pr``
     (NULL -> ``"null"`` and per-record topic by offset parity), ``once``
     (key/value for the replay-safe sink) or ``values`` (values only)."""
@@ -93,7 +105,7 @@ def avro_read_plan(records: DataFrame, schema_json: str) -> DataFrame:
     return ops.decode_avro(framed, "payload", schema_json)
 
 
-def kinesis_job(df: DataFrame, data: str, stream: str, partition_key="key",
+def kinesis_job(df: DataFrame, data: str, stream: str, partition_key=KINESIS_PARTITION_KEY,
                 client_factory: str | None = None, region: str | None = None) -> None:
     """P8: write byte payloads to a record stream."""
     from tidewire.sinks.kinesis import kinesis_records, register
@@ -109,7 +121,7 @@ def kinesis_job(df: DataFrame, data: str, stream: str, partition_key="key",
 
 # ------------------------------------------------------------------ P9
 
-def parquet_plan(sequence: DataFrame, ts: str = "timestamp", window: str = "5 seconds",
+def parquet_plan(sequence: DataFrame, ts: str = "timestamp", window: str = FILE_WINDOW,
                  grain: str | None = "day") -> DataFrame:
     """P9: sequence numbers -> text line -> one-field record, tagged with
     their tumbling window and output directory."""
@@ -134,16 +146,16 @@ def split_read_plan(spark: SparkSession, path: str, splits: int, id_col: str,
     """P10: custom split source -> ``key: k, val: Employee{...}`` lines."""
     from tidewire.sources.split_source import read_splits
     df = read_splits(spark, path, splits, [id_col, name_col, address_col])
-    return ops.render_records(df, "key: %s, val: Employee{Name='%s', Address=%s}",
+    return ops.render_records(df, EMPLOYEE_TEMPLATE,
                               [id_col, name_col, address_col], keep=(id_col,))
 
 
 def keyed_write_plan(raw: DataFrame, id_col: str = "id", raw_col: str = "raw") -> DataFrame:
     """P11 input: ``id -> name_country`` cut into an employee record."""
-    return ops.parse_delimited(raw, raw_col, "_", ["emp_name", "emp_address"], keep=(id_col,))
+    return ops.parse_delimited(raw, raw_col, EMPLOYEE_SEPARATOR, ["emp_name", "emp_address"], keep=(id_col,))
 
 
-def parameter_plan(words: DataFrame, col: str, user_value: str = "UserValue") -> DataFrame:
+def parameter_plan(words: DataFrame, col: str, user_value: str = USER_VALUE) -> DataFrame:
     """P12: prefix each element with a run-time parameter."""
     return ops.prefix(words, col, user_value)
 

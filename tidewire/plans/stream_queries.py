@@ -256,7 +256,7 @@ def windowed_parquet_roundtrip(spark, sf):
     from pyspark.sql import types as T
 
     from tidewire.functions.time import instant_to_ntz
-    from tidewire.plans.batch_queries import SEQUENCE_LINE
+    from tidewire.fixed import SEQUENCE_LINE
     src = read_replay_stream(spark, event_replay(spark, sf))
     w = F.window("timestamp", FILE_WINDOW)
     lines = src.select(F.col("offset").alias("value"),

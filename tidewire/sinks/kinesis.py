@@ -30,10 +30,13 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from tidewire.fixed import KINESIS_PARTITION_KEY
+
 MAX_RECORDS_PER_CALL = 500
 
 
-def kinesis_records(df: DataFrame, data: str = "data", partition_key: str | Column = "key") -> DataFrame:
+def kinesis_records(df: DataFrame, data: str = "data",
+                    partition_key: str | Column = KINESIS_PARTITION_KEY) -> DataFrame:
     """Frame rows as ``(partition_key STRING, data BINARY)``.
 
     A constant key (the original's choice) sends everything to one shard;

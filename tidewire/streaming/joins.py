@@ -17,13 +17,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.fixed import ALLOWED_LATENESS, JOIN_WINDOW
 from tidewire.functions.time import instant_to_ntz
 from tidewire.operators.joins import lookup_join, tag_sides
 
 
 def stream_cogroup_counts(stream: DataFrame, bounded: DataFrame, key: str = "key",
-                          value: str = "value", ts: str = "ts", window: str = "20 seconds",
-                          lateness: str = "20 seconds") -> DataFrame:
+                          value: str = "value", ts: str = "ts", window: str = JOIN_WINDOW,
+                          lateness: str = ALLOWED_LATENESS) -> DataFrame:
     """Streaming long-form co-group: ``(window_start, window_end, key, side,
     value, n)``; ``ts`` must be an instant (``TIMESTAMP``) on both sides."""
     tagged = tag_sides(stream, bounded, key, value, ts).withWatermark("ts", lateness)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidewire.fixed import EARLY_FIRING_DELAY
+
 
 def state_partitions(spark) -> int:
     """Partitions for a new stateful query: the session's shuffle partitions,
@@ -78,7 +80,7 @@ def run_early(df, path: str, checkpoint: str, fmt: str = "parquet",
                          timeout_s, spark, partitions if partitions is not None else state_partitions(spark))
 
 
-def start_early(df, path: str, checkpoint: str, every: str = "20 seconds",
+def start_early(df, path: str, checkpoint: str, every: str = EARLY_FIRING_DELAY,
                 partitions: int | None = None):
     """Long-running form of ``run_early``: a pane update every ``every`` of
     processing time (the early-firing cadence), until stopped."""

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.fixed import ALLOWED_LATENESS, JOIN_WINDOW
 from tidewire.functions.time import epoch_micros, instant_to_ntz
 
 
@@ -26,8 +27,8 @@ def watermarked(df: DataFrame, ts: str, lateness: str) -> DataFrame:
     return df.withWatermark(ts, lateness)
 
 
-def stream_window_counts(df: DataFrame, ts: str = "ts", length: str = "20 seconds",
-                         keys: tuple[str, ...] = (), lateness: str = "20 seconds") -> DataFrame:
+def stream_window_counts(df: DataFrame, ts: str = "ts", length: str = JOIN_WINDOW,
+                         keys: tuple[str, ...] = (), lateness: str = ALLOWED_LATENESS) -> DataFrame:
     """Rows per (tumbling window, keys) with a watermark; window bounds come
     out as UTC wall-clock ``TIMESTAMP_NTZ``."""
     w = F.window(F.col(ts), length)
@@ -39,7 +40,7 @@ def stream_window_counts(df: DataFrame, ts: str = "ts", length: str = "20 second
 
 
 def late_rows(arrivals: DataFrame, ts: str = "ts", batch: str = "batch",
-              length: str = "20 seconds", lateness: str = "20 seconds",
+              length: str = JOIN_WINDOW, lateness: str = ALLOWED_LATENESS,
               lag: int = 2) -> DataFrame:
     """Apply the late-data rule to rows with a known arrival batch.
 
