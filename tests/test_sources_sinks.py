@@ -33,6 +33,17 @@ def test_split_source_records_per_split(spark, scratch):
     assert sizes == [5, 5, 5]
 
 
+def test_split_source_whole_files_without_footers(spark, scratch):
+    df = spark.range(40).select(F.col("id").cast("string").alias("id"))
+    df.repartition(4).write.parquet(scratch)
+    from tidewire.sources.split_source import plan_units
+    units = plan_units(local_path(scratch), 2)
+    assert len(units) == 4 and all(u.row_group is None for u in units)
+    out = read_splits(spark, local_path(scratch), splits=2, split_column="split")
+    assert sorted(int(r.id) for r in out.collect()) == list(range(40))
+    assert out.rdd.getNumPartitions() == 2
+
+
 def test_split_assignment_balances_row_groups():
     units = [Unit("f", g, 0, n) for g, n in enumerate([10, 10, 10, 10, 40])]
     splits = assign(units, 2)

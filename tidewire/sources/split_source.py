@@ -23,9 +23,11 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 @dataclass(frozen=True)
 class Unit:
-    """Rows ``[start, stop)`` of one row group of one file."""
+    """Rows ``[start, stop)`` of one row group of one file; ``row_group=None``
+    means the whole file (``stop`` then holds its size in bytes, used only
+    for balancing)."""
     file: str
-    row_group: int
+    row_group: int | None
     start: int
     stop: int
 
@@ -48,24 +50,33 @@ def _filesystem(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def _parquet_files(path: str) -> list[str]:
+def _parquet_files(path: str) -> list[tuple[str, int]]:
+    """``(file, size in bytes)`` from one listing (no file is opened)."""
     from pyarrow import fs
     filesystem, root = _filesystem(path)
     info = filesystem.get_file_info(root)
     if info.type == fs.FileType.File:
-        return [root]
+        return [(root, info.size)]
     sel = fs.FileSelector(root, recursive=True)
-    return sorted(i.path for i in filesystem.get_file_info(sel)
+    return sorted((i.path, i.size) for i in filesystem.get_file_info(sel)
                   if i.type == fs.FileType.File and i.path.endswith(".parquet"))
 
 
 def plan_units(path: str, target: int | None) -> list[Unit]:
-    """Row-group units from the footers; groups are cut into row ranges when
-    there are fewer groups than requested splits."""
+    """Work units for ``target`` splits.
+
+    With at least as many files as splits, whole files are the units and
+    only the listing is used (no footer is read on the driver).  Otherwise
+    row groups are read from the footers, and cut into row ranges when
+    there are still fewer than ``target``.
+    """
     import pyarrow.parquet as pq
+    files = _parquet_files(path)
+    if target and len(files) >= target:
+        return [Unit(f, None, 0, max(size, 1)) for f, size in files]
     filesystem, _ = _filesystem(path)
     units = []
-    for f in _parquet_files(path):
+    for f, _size in files:
         md = pq.ParquetFile(f, filesystem=filesystem).metadata
         for g in range(md.num_row_groups):
             n = md.row_group(g).num_rows
@@ -83,7 +94,7 @@ def plan_units(path: str, target: int | None) -> list[Unit]:
 
 
 def assign(units: list[Unit], target: int | None) -> list[Split]:
-    """Contiguous runs of units with balanced row counts, in file order."""
+    """Contiguous runs of units with balanced weights, in file order."""
     if not units:
         return [Split(0, [])]
     n = min(target or len(units), len(units))
@@ -99,6 +110,21 @@ def assign(units: list[Unit], target: int | None) -> list[Split]:
     return splits
 
 
+def _unit_batches(pf, u: Unit, columns, batch_rows: int = 65536):
+    """Record batches of one unit, streamed (never a whole file in memory)."""
+    if u.row_group is None:
+        yield from pf.iter_batches(batch_size=batch_rows, columns=columns)
+        return
+    seen = 0
+    for b in pf.iter_batches(batch_size=batch_rows, row_groups=[u.row_group], columns=columns):
+        lo, hi = max(u.start - seen, 0), min(u.stop - seen, b.num_rows)
+        if hi > lo:
+            yield b.slice(lo, hi - lo)
+        seen += b.num_rows
+        if seen >= u.stop:
+            return
+
+
 class _SplitReader(DataSourceReader):
     def __init__(self, options, schema):
         self.path = options["path"]
@@ -120,14 +146,13 @@ class _SplitReader(DataSourceReader):
         import pyarrow as pa
         import pyarrow.parquet as pq
         filesystem, _ = _filesystem(self.path)
-        opened = {}
         for u in partition.units:
-            pf = opened.get(u.file) or opened.setdefault(u.file, pq.ParquetFile(u.file, filesystem=filesystem))
-            tbl = pf.read_row_group(u.row_group, columns=self.columns).slice(u.start, u.stop - u.start)
-            if self.split_column:
-                tbl = tbl.append_column(self.split_column,
-                                        pa.array([partition.index] * tbl.num_rows, pa.int32()))
-            yield from tbl.to_batches()
+            pf = pq.ParquetFile(u.file, filesystem=filesystem)
+            for b in _unit_batches(pf, u, self.columns):
+                if self.split_column:
+                    b = b.append_column(self.split_column,
+                                        pa.array([partition.index] * b.num_rows, pa.int32()))
+                yield b
 
 
 class SplitSource(DataSource):
@@ -141,7 +166,7 @@ class SplitSource(DataSource):
         from pyspark.sql.types import IntegerType, StructField
         path = self.options["path"]
         filesystem, _ = _filesystem(path)
-        first = _parquet_files(path)[0]
+        first = _parquet_files(path)[0][0]
         arrow = pq.ParquetFile(first, filesystem=filesystem).schema_arrow
         cols = self.options.get("columns")
         if cols:
