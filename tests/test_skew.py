@@ -94,3 +94,26 @@ def test_salted_lookup_spreads_hot_key_without_aqe(spark):
             spark.conf.set(k, v)
     assert len(per_task) > 1  # the hot key is joined by several tasks
     assert sum(r["count"] for r in per_task) == hot.filter("key = 'hot'").count()
+
+
+def test_hot_order_first_record_join_is_split_after_checkpoint(spark):
+    """Record equality joins lines to their order's first record; with the
+    first records checkpointed, a hot order is split by AQE."""
+    from tidewire.session import reliable_checkpoint
+    li = spark.read.parquet(f"{SF}/lineitem.parquet").withColumn(
+        "l_orderkey", F.when(F.col("l_partkey") % 3 == 0, F.lit(-1)).otherwise(F.col("l_orderkey"))) \
+        .repartition(8)
+    rec = F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"))
+    first = li.groupBy("l_orderkey").agg(
+        F.min_by(rec, F.struct("l_linenumber", "l_partkey", "l_suppkey")).alias("first_rec"))
+
+    def build(first_side):
+        return li.join(first_side, "l_orderkey").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+            rec.eqNullSafe(F.col("first_rec")).alias("same"))
+
+    rows, plan = _joined_with_conf(spark, lambda: build(reliable_checkpoint(first)))
+    assert len(rows) == li.count()
+    assert "SortMergeJoin(skew=true)" in plan
+    _, plan = _joined_with_conf(spark, lambda: build(first))
+    assert "skew=true" not in plan

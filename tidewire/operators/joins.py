@@ -57,7 +57,8 @@ def checked_lookup(df: DataFrame, key: str = "key", value: str = "value",
     skewed keys of such a join; a checkpointed lookup gets its own join
     shuffle, which AQE can split.
     """
-    return unique_lookup(df, key, value, on_dup).checkpoint(eager=True)
+    from tidewire.session import reliable_checkpoint
+    return reliable_checkpoint(unique_lookup(df, key, value, on_dup))
 
 
 def duplicate_keys(df: DataFrame, key: str = "key") -> DataFrame:

@@ -374,15 +374,18 @@ def record_equality(spark, sf):
     to the first line of its order?
 
     The first line per order is a ``min_by`` aggregate (partial per task,
-    so a huge order never sits in one task) joined back on the order key
-    (a shuffle join that AQE splits when one order is skewed).  The order
-    is total over all columns: tied rows are identical.
+    so a huge order never sits in one task), checkpointed, then joined back
+    on the order key: broadcast while small, otherwise a shuffle join whose
+    hot orders AQE splits (the checkpoint gives the join its own shuffle
+    instead of the aggregate's).  The order is total over all columns: tied
+    rows are identical.
     """
+    from tidewire.session import reliable_checkpoint
     li = table(spark, sf, "lineitem", "l_orderkey", *_LINE_ORDER)
     rec = F.struct(F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"),
                    F.col("l_linestatus").alias("status"))
-    first = li.groupBy("l_orderkey").agg(
-        F.min_by(rec, F.struct(*_LINE_ORDER)).alias("first_rec"))
+    first = reliable_checkpoint(li.groupBy("l_orderkey").agg(
+        F.min_by(rec, F.struct(*_LINE_ORDER)).alias("first_rec")))
     return (li.join(first, "l_orderkey")
               .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                       rec.eqNullSafe(F.col("first_rec")).alias("same_as_first")))

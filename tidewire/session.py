@@ -65,6 +65,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def reliable_checkpoint(df):
+    """``df.checkpoint()`` into the shared checkpoint directory: computes
+    ``df`` once (a job), writes it there and cuts its lineage, so later
+    stages neither recompute it nor inherit its shuffle."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared checkpoint directory."""
     return f"{checkpoint_root(spark)}/tidewire/{name}-{uuid.uuid4().hex[:12]}"
