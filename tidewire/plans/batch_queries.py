@@ -228,7 +228,10 @@ from s left join l on s.key = l.key
 
 
 def debtor_lookup(spark, sf):
-    return ops.unique_lookup(ops.parse_csv_kv(debtor_lines(spark, sf), line="line"), "key", "value")
+    """The checked lookup table, computed once (checkpointed): broadcast
+    while small (its size statistics survive the checkpoint), otherwise a
+    shuffle join that AQE can split on hot keys."""
+    return ops.checked_lookup(ops.parse_csv_kv(debtor_lines(spark, sf), line="line"), "key", "value")
 
 
 @query("lookup_join", _LOOKUP_SQL)

@@ -182,12 +182,10 @@ def stream_cogroup_final(spark, sf):
 
 @query("stream_lookup_join", _LOOKUP_SQL)
 def stream_lookup_join(spark, sf):
-    """Stream-static left lookup: the checked lookup table is written once
-    and read by every micro-batch."""
+    """Stream-static left lookup: the checked lookup table is computed once
+    (checkpointed) and read by every micro-batch."""
     from tidewire.plans.batch_queries import debtor_lookup
-    base = scratch_path(spark, "lookup-debtors")
-    debtor_lookup(spark, sf).write.parquet(base)
-    lookup = spark.read.parquet(base)
+    lookup = debtor_lookup(spark, sf)
     stream = event_stream(spark, sf).withColumnRenamed("offset", "event_id")
     joined = ops.lookup_join(stream, lookup, "key", "value") \
         .select("event_id", "key", "value", "lookup_value", "line")
