@@ -130,3 +130,13 @@ def test_stream_cogroup_matches_batch(spark, scratch):
     want = sorted(r.line for r in ops.windowed_cogroup(b_stream, b_bounded).collect())
     assert got == want
     assert "K: [a], SVs: [x],[y],, BVs: [1]," in got
+
+
+def test_compact_panes_keeps_latest(spark, scratch):
+    from tidewire.sinks.replay_safe import compact_panes
+    write = batch_writer(f"{scratch}/panes")
+    write(spark.createDataFrame([("a", 1), ("b", 1)], "k string, n long"), 0)
+    write(spark.createDataFrame([("a", 3)], "k string, n long"), 1)
+    compact_panes(spark, f"{scratch}/panes", f"{scratch}/compact", ["k"])
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/compact").collect())
+    assert got == [("a", 3), ("b", 1)]

@@ -42,3 +42,14 @@ def latest_pane(df: DataFrame, keys, batch_col: str = "batch_id") -> DataFrame:
     return (df.groupBy(*keys)
               .agg(F.max_by(F.struct(*rest), F.col(batch_col)).alias("_last"))
               .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest]))
+
+
+def compact_panes(spark, path: str, out: str, keys, batch_col: str = "batch_id",
+                  fmt: str = "parquet") -> None:
+    """Fold the per-batch pane directories of an update-mode stream into one
+    table holding the latest pane per group (a distributed ``max_by``
+    aggregate, written with Spark's commit protocol).  Run it periodically
+    on long-running streams, then read ``out`` plus the batches written
+    after the compaction."""
+    latest_pane(read_batches(spark, path, fmt), keys, batch_col) \
+        .write.mode("overwrite").format(fmt).save(out)
