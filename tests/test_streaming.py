@@ -138,5 +138,10 @@ def test_compact_panes_keeps_latest(spark, scratch):
     write(spark.createDataFrame([("a", 1), ("b", 1)], "k string, n long"), 0)
     write(spark.createDataFrame([("a", 3)], "k string, n long"), 1)
     compact_panes(spark, f"{scratch}/panes", f"{scratch}/compact", ["k"])
-    got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/compact").collect())
-    assert got == [("a", 3), ("b", 1)]
+    compacted = spark.read.parquet(f"{scratch}/compact")
+    assert sorted(tuple(r) for r in compacted.select("k", "n").collect()) == [("a", 3), ("b", 1)]
+    # a later batch on top of the compacted table
+    write(spark.createDataFrame([("b", 5)], "k string, n long"), 2)
+    newer = read_batches(spark, f"{scratch}/panes").filter("batch_id > 1")
+    merged = latest_pane(compacted.unionByName(newer), ["k"])
+    assert sorted(tuple(r) for r in merged.select("k", "n").collect()) == [("a", 3), ("b", 5)]

@@ -33,12 +33,16 @@ def read_batches(spark, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 
 
-def latest_pane(df: DataFrame, keys, batch_col: str = "batch_id") -> DataFrame:
+def latest_pane(df: DataFrame, keys, batch_col: str = "batch_id",
+                keep_batch: bool = False) -> DataFrame:
     """Per group, the row of the highest batch id (the last, most complete
     pane of an update-mode aggregate).  ``max_by`` combines map-side, so no
-    group is ever sorted or gathered whole."""
+    group is ever sorted or gathered whole.  ``keep_batch`` keeps the
+    winning batch id as a column."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     rest = [c for c in df.columns if c not in keys and c != batch_col]
+    if keep_batch:
+        rest.append(batch_col)
     return (df.groupBy(*keys)
               .agg(F.max_by(F.struct(*rest), F.col(batch_col)).alias("_last"))
               .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest]))
@@ -49,7 +53,8 @@ def compact_panes(spark, path: str, out: str, keys, batch_col: str = "batch_id",
     """Fold the per-batch pane directories of an update-mode stream into one
     table holding the latest pane per group (a distributed ``max_by``
     aggregate, written with Spark's commit protocol).  Run it periodically
-    on long-running streams, then read ``out`` plus the batches written
-    after the compaction."""
-    latest_pane(read_batches(spark, path, fmt), keys, batch_col) \
+    on long-running streams; the batch id of each kept pane stays in the
+    output, so ``latest_pane`` over ``out`` plus the batches written later
+    gives the current result."""
+    latest_pane(read_batches(spark, path, fmt), keys, batch_col, keep_batch=True) \
         .write.mode("overwrite").format(fmt).save(out)
