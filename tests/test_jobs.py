@@ -92,3 +92,14 @@ def test_parameter_and_codec_plans(spark):
     assert jobs.parameter_plan(words, "w").first().w == "UserValue_word0"
     strings = spark.createDataFrame([("aaa",), ("bbb",), ("ccc",)], "str_data_prop string")
     assert [r.str_data_prop for r in jobs.codec_plan(strings, "str_data_prop").collect()] == ["aaa", "bbb", "ccc"]
+
+
+def test_kinesis_job_with_stand_in_client(spark, tmp_path):
+    import json
+    log = str(tmp_path / "sent.jsonl")
+    df = spark.range(10).select(F.encode(F.col("id").cast("string"), "UTF-8").alias("data"))
+    jobs.kinesis_job(df, "data", "stream-1", client_factory="tests.support.fake_stream_client:factory",
+                     options={"fake_log": log})
+    sent = [r for line in open(log) for r in json.loads(line)["records"]]
+    assert sorted(int(v) for _, v in sent) == list(range(10))
+    assert {json.loads(line)["stream"] for line in open(log)} == {"stream-1"}

@@ -106,12 +106,14 @@ def avro_read_plan(records: DataFrame, schema_json: str) -> DataFrame:
 
 
 def kinesis_job(df: DataFrame, data: str, stream: str, partition_key=KINESIS_PARTITION_KEY,
-                client_factory: str | None = None, region: str | None = None) -> None:
-    """P8: write byte payloads to a record stream."""
+                client_factory: str | None = None, region: str | None = None,
+                options: dict | None = None) -> None:
+    """P8: write byte payloads to a record stream (``options`` go to the
+    client factory, e.g. an endpoint; never credentials)."""
     from tidewire.sinks.kinesis import kinesis_records, register
     register(df.sparkSession)
     w = (kinesis_records(df, data, partition_key).write.format("tidewire-kinesis")
-         .mode("append").option("stream", stream))
+         .mode("append").option("stream", stream).options(**(options or {})))
     if client_factory:
         w = w.option("client_factory", client_factory)
     if region:
