@@ -145,3 +145,19 @@ def test_compact_panes_keeps_latest(spark, scratch):
     newer = read_batches(spark, f"{scratch}/panes").filter("batch_id > 1")
     merged = latest_pane(compacted.unionByName(newer), ["k"])
     assert sorted(tuple(r) for r in merged.select("k", "n").collect()) == [("a", 3), ("b", 5)]
+
+
+def test_start_early_processing_time_cadence(spark, scratch):
+    """The long-running form: panes at a processing-time cadence until stopped."""
+    from tidewire.streaming import start_early
+    _write_files(spark, f"{scratch}/in", [[1, 2], [25]])
+    src = spark.readStream.schema("key string, ts timestamp").parquet(f"{scratch}/in")
+    agg = stream_window_counts(src, "ts", "20 seconds", ("key",), "20 seconds")
+    q = start_early(agg, f"{scratch}/out", f"{scratch}/ck", every="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    last = {r.window_start.second: r.n for r in
+            latest_pane(read_batches(spark, f"{scratch}/out"), ["window_start", "key"]).collect()}
+    assert last == {0: 2, 20: 1}
