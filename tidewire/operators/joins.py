@@ -131,11 +131,12 @@ def cogroup_counts(left: DataFrame, right: DataFrame, key: str = "key", value: s
     """
     tagged = tag_sides(left, right, key, value, ts if window else None)
     if window:
-        w = F.window("ts", window)
-        return (tagged.groupBy(w.alias("w"), "key", "side", "value")
+        # shuffle on the window start only; the end is derived afterwards
+        start = F.window("ts", window).start
+        return (tagged.groupBy(start.alias("window_start"), "key", "side", "value")
                       .agg(F.count(F.lit(1)).alias("n"))
-                      .select(F.col("w.start").alias("window_start"),
-                              F.col("w.end").alias("window_end"),
+                      .select("window_start",
+                              (F.col("window_start") + F.expr(f"INTERVAL {window}")).alias("window_end"),
                               "key", "side", "value", "n"))
     return tagged.groupBy("key", "side", "value").agg(F.count(F.lit(1)).alias("n"))
 

@@ -47,10 +47,11 @@ def fixed_window(df: DataFrame, ts: str = "ts", length: str = JOIN_WINDOW,
 def window_counts(df: DataFrame, ts: str = "ts", length: str = JOIN_WINDOW,
                   keys: tuple[str, ...] = ()) -> DataFrame:
     """Rows per tumbling window (and keys): partial counts before the shuffle."""
-    w = F.window(F.col(ts), length)
-    return (df.groupBy(w.alias("w"), *keys)
+    start = F.window(F.col(ts), length).start
+    return (df.groupBy(start.alias("window_start"), *keys)
               .agg(F.count(F.lit(1)).alias("n"))
-              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+              .select("window_start",
+                      (F.col("window_start") + F.expr(f"INTERVAL {length}")).alias("window_end"),
                       *keys, "n"))
 
 
