@@ -46,8 +46,9 @@ def event_replay(spark, sf: str, redeliver_first: bool = False) -> str:
         path = scratch_path(spark, "replay-events")
         sliced = time_slices(event_broker_records(spark, sf), "timestamp", REPLAY_SLICES)
         write_replay_files(sliced, path, slices=REPLAY_SLICES)
-        if redeliver_first:
-            write_replay_files(sliced, path, slices=1)
+        if redeliver_first:  # slice 0 once more, after the others
+            (spark.read.parquet(f"{path}-staging").filter(F.col("slice") == 0).drop("slice")
+                  .coalesce(1).write.mode("append").parquet(path))
         _replays[k] = path
     return _replays[k]
 

@@ -61,15 +61,20 @@ def write_replay_files(df: DataFrame, path: str, slice_col: str = "slice",
     """Write one file per slice, in slice order, so that file modification
     times follow event time.  Returns the slice ids written.
 
-    One write job per slice (each job reads only its slice thanks to the
-    pushed-down filter).  This is test and replay plumbing; a production
-    stream comes from the broker.
+    The source is scanned once: it is staged partitioned by slice, then
+    each slice is copied in order (a partition-pruned read of its own
+    directory, one file).  This is replay plumbing; a production stream
+    comes from the broker.
     """
+    spark = df.sparkSession
+    staging = f"{path.rstrip('/')}-staging"
+    df.write.mode("overwrite").partitionBy(slice_col).format(fmt).save(staging)
+    staged = spark.read.format(fmt).load(staging)
     ids = list(range(slices)) if slices is not None else \
-        [r[0] for r in df.select(slice_col).distinct().orderBy(slice_col).collect()]
+        [r[0] for r in staged.select(slice_col).distinct().orderBy(slice_col).collect()]
     for i in ids:
-        (df.filter(F.col(slice_col) == i).drop(slice_col).coalesce(1)
-           .write.mode("append").format(fmt).save(path))
+        (staged.filter(F.col(slice_col) == i).drop(slice_col).coalesce(1)
+               .write.mode("append").format(fmt).save(path))
     return ids
 
 
