@@ -94,4 +94,4 @@ def text_to_lines(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("d
                   line: str = "line", line_no: str = "line_no") -> DataFrame:
     """Whole texts -> one row per ``\\n``-separated line (1-based numbers)."""
     return df.select(*keep, F.posexplode(F.split(F.col(text), "\n")).alias("_pos", line)) \
-        .select(*keep, (F.col("_pos") + 1).alias(line_no), line)
+        .select(*keep, (F.col("_pos") + 1).cast("bigint").alias(line_no), line)
