@@ -53,6 +53,18 @@ def event_replay(spark, sf: str, redeliver_first: bool = False) -> str:
     return _replays[k]
 
 
+def bounded_customer_file(spark, sf: str) -> str:
+    """Directory of the bounded ``k,v`` text file (customers), written once
+    per application like the replay files: it stands for an existing
+    input file."""
+    k = (spark.sparkContext.applicationId, sf, "customers")
+    if k not in _replays:
+        path = scratch_path(spark, "bounded-customers")
+        customer_lines(spark, sf).write.text(path)
+        _replays[k] = path
+    return _replays[k]
+
+
 def event_stream(spark, sf: str, redeliver_first: bool = False) -> DataFrame:
     """``(offset, ts, key, value)`` parsed from the replayed topic; ``ts`` is
     the record timestamp (an instant, usable for watermarks)."""
@@ -170,10 +182,8 @@ def stream_cogroup_final(spark, sf):
     event time); update mode, last pane per (window, key) rendered as the
     co-group line."""
     from tidewire.plans.jobs import cogroup_plan
-    base = scratch_path(spark, "bounded-customers")
-    customer_lines(spark, sf).write.text(base)
     records = read_replay_stream(spark, event_replay(spark, sf))
-    bounded_lines = spark.readStream.format("text").load(base)
+    bounded_lines = spark.readStream.format("text").load(bounded_customer_file(spark, sf))
     counts = cogroup_plan(records, bounded_lines, PIPELINE_START, window=JOIN_WINDOW,
                           lateness=ALLOWED_LATENESS, stamp_offset=BOUNDED_STAMP_OFFSET)
     panes = _run_update(counts, "stream-cogroup")
