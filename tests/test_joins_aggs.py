@@ -135,3 +135,22 @@ def test_unique_lookup_on_dup_max(spark):
     assert sorted(tuple(r) for r in ops.unique_lookup(dup, on_dup="max").collect()) == [("a", "9"), ("b", "2")]
     with pytest.raises(ValueError):
         ops.unique_lookup(dup, on_dup="first")
+
+
+def test_bucketed_lookup_is_not_shuffled(spark, scratch):
+    """A large lookup written bucketed by key: only the stream side moves."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lk = spark.range(1000).select(F.col("id").cast("string").alias("key"), F.lit("v").alias("value"))
+        (lk.write.mode("overwrite").option("path", scratch).bucketBy(8, "key")
+           .saveAsTable("tw_lookup_bucketed"))
+        stream = spark.range(5000).select((F.col("id") % 1000).cast("string").alias("key"),
+                                          F.lit("s").alias("value"))
+        joined = ops.lookup_join(stream, spark.table("tw_lookup_bucketed"))
+        plan = _plan(joined)
+        assert joined.filter("lookup_value = 'v'").count() == 5000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS tw_lookup_bucketed")
+    assert plan.count("Exchange hashpartitioning") == 1
