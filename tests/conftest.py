@@ -11,8 +11,12 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from tidewire.session import build_session
-    s = build_session(master="local[*]", shuffle_partitions=8, app="tidewire-tests")
+    warehouse = tempfile.mkdtemp(prefix="tidewire-warehouse-")  # keep tables out of the repo
+    s = build_session(master="local[*]", shuffle_partitions=8, app="tidewire-tests",
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
