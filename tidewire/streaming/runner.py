@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewire.fixed import EARLY_FIRING_DELAY
 
+_start_lock = threading.Lock()  # the partition setting is changed only around start()
+
 
 def state_partitions(spark) -> int:
     """Partitions for a new stateful query: the session's shuffle partitions,
@@ -23,12 +27,13 @@ def start_with_partitions(writer: DataStreamWriter, spark=None, partitions: int
     if partitions is None or spark is None:
         return writer.start()
     key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(partitions))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, old)
+    with _start_lock:
+        old = spark.conf.get(key)
+        spark.conf.set(key, str(partitions))
+        try:
+            return writer.start()
+        finally:
+            spark.conf.set(key, old)
 
 
 def run_available(writer: DataStreamWriter, timeout_s: float | None = None, spark=None,
