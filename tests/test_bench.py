@@ -1,0 +1,23 @@
+"""bench.py prints one JSON line with the contract's keys."""
+
+import json
+import os
+import subprocess
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_REPEATS="1",
+               BENCH_QUERIES="parse_csv_kv,windowed_cogroup,stream_window_append", BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env, cwd=ROOT,
+                         capture_output=True, text=True, timeout=900)
+    assert out.returncode == 0, out.stderr[-2000:]
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert len(lines) == 1
+    d = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(d)
+    assert d["unit"] == "sec" and d["sf"] == 0.001
+    assert set(d["queries"]) == {"parse_csv_kv", "windowed_cogroup", "stream_window_append"}
+    assert d["shuffle_bytes"]["windowed_cogroup"] > 0
