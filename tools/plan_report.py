@@ -58,10 +58,56 @@ def main(argv):
             lines.append(f"- read schema: `{r}`")
         body = [ln if len(ln) <= 180 else ln[:177] + "..." for ln in plan.splitlines()]
         lines += ["", "```", *body, "```", ""]
+    lines += _streaming_plans(spark, sf_dir)
     with open(out, "w") as f:
         f.write("\n".join(lines))
     print(f"wrote {out}")
 
 
+def _streaming_plans(spark, sf_dir) -> list[str]:
+    """Run the three streaming shapes once and report the last micro-batch's
+    physical plan (stateful operators, exchanges, state stores)."""
+    from tidewire import operators as ops
+    from tidewire.fixed import ALLOWED_LATENESS, JOIN_WINDOW
+    from tidewire.plans import stream_queries as SQ
+    from tidewire.plans.batch_queries import debtor_lookup
+    from tidewire.plans.inputs import PIPELINE_START
+    from tidewire.plans.jobs import cogroup_plan
+    from tidewire.session import scratch_path
+    from tidewire.sources.replay import read_replay_stream
+    from tidewire.streaming import run_early, run_final, stream_window_counts
+
+    def records():
+        return read_replay_stream(spark, SQ.event_replay(spark, sf_dir))
+
+    shapes = {
+        "stream_window_append (append mode, file sink)": lambda: run_final(
+            stream_window_counts(SQ.event_stream(spark, sf_dir), "ts", JOIN_WINDOW, ("key",), ALLOWED_LATENESS),
+            *_paths(scratch_path(spark, "plan-append"))),
+        "stream_cogroup_final (update mode, replay-safe sink)": lambda: run_early(
+            cogroup_plan(records(), spark.readStream.format("text").load(SQ.bounded_customer_file(spark, sf_dir)),
+                         PIPELINE_START), *_paths(scratch_path(spark, "plan-cogroup"))),
+        "stream_lookup_join (stream-static join, file sink)": lambda: run_final(
+            ops.lookup_join(SQ.event_stream(spark, sf_dir), debtor_lookup(spark, sf_dir)),
+            *_paths(scratch_path(spark, "plan-lookup"))),
+    }
+    lines = ["# Streaming plans (last micro-batch)", ""]
+    for title, run in shapes.items():
+        q = run()
+        plan = q._jsq.explainInternal(False)
+        body = [ln if len(ln) <= 180 else ln[:177] + "..." for ln in plan.splitlines()]
+        s = summarize(plan)
+        lines += [f"## {title}", "",
+                  f"- exchanges: {s['exchanges']}, broadcasts: {s['broadcasts']}, "
+                  f"joins: {', '.join(s['joins']) or 'none'}, state stores: "
+                  f"{plan.count('StateStoreSave')}, python nodes: {'yes' if s['python'] else 'no'}",
+                  "", "```", *body, "```", ""]
+    return lines
+
+
+def _paths(base: str) -> tuple[str, str]:
+    return f"{base}/data", f"{base}/checkpoint"
+
+
 if __name__ == "__main__":
     main(sys.argv)
