@@ -11,4 +11,4 @@ from tidewire.streaming.runner import (  # noqa: F401
     start_with_partitions,
     state_partitions,
 )
-from tidewire.streaming.windows import late_rows, stream_window_counts, watermarked  # noqa: F401
+from tidewire.streaming.windows import late_groups, late_rows, stream_window_counts, watermarked  # noqa: F401

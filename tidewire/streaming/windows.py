@@ -75,6 +75,21 @@ def late_rows(arrivals: DataFrame, ts: str = "ts", batch: str = "batch",
                     .drop("_wm_us"))
 
 
+def late_groups(marked: DataFrame, batch: str = "batch", ts: str = "ts",
+                length: str = JOIN_WINDOW, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct late ``(batch, window, keys)`` groups of a ``late_rows``
+    result.
+
+    Spark's ``numRowsDroppedByWatermark`` counts rows *after* the partial
+    aggregation that runs before the state store: all late rows of one
+    window and key in one task count once.  For batches read as one task
+    each (one small file per micro-batch), the number of rows returned
+    here equals that metric; ``late_rows`` itself counts input rows.
+    """
+    start = F.window(F.col(ts), length).start.alias("window_start")
+    return marked.filter(F.col("late")).select(batch, start, *keys).distinct()
+
+
 def _duration_us(text: str) -> int:
     n, unit = text.split()
     scale = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60,
