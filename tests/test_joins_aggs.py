@@ -143,11 +143,10 @@ def test_bucketed_lookup_is_not_shuffled(spark, scratch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         lk = spark.range(1000).select(F.col("id").cast("string").alias("key"), F.lit("v").alias("value"))
-        (lk.write.mode("overwrite").option("path", scratch).bucketBy(8, "key")
-           .saveAsTable("tw_lookup_bucketed"))
+        table = ops.bucketed_lookup(lk, "tw_lookup_bucketed", 8, path=scratch)
         stream = spark.range(5000).select((F.col("id") % 1000).cast("string").alias("key"),
                                           F.lit("s").alias("value"))
-        joined = ops.lookup_join(stream, spark.table("tw_lookup_bucketed"))
+        joined = ops.lookup_join(stream, table)
         plan = _plan(joined)
         assert joined.filter("lookup_value = 'v'").count() == 5000
     finally:

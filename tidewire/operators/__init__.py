@@ -3,6 +3,7 @@
 from tidewire.operators.aggs import bracket_list, filter_by_global, global_max, value_counts  # noqa: F401
 from tidewire.operators.bounded import bounded_by_count, bounded_by_time  # noqa: F401
 from tidewire.operators.joins import (  # noqa: F401
+    bucketed_lookup,
     checked_lookup,
     cogroup_counts,
     duplicate_keys,

@@ -61,6 +61,23 @@ def checked_lookup(df: DataFrame, key: str = "key", value: str = "value",
     return reliable_checkpoint(unique_lookup(df, key, value, on_dup))
 
 
+def bucketed_lookup(df: DataFrame, table: str, buckets: int, path: str | None = None,
+                    key: str = "key", value: str = "value", on_dup: str = "fail") -> DataFrame:
+    """Check a lookup once and save it as a table bucketed by ``key``
+    (data at ``path`` when given, e.g. below the shared checkpoint folder).
+
+    For lookups too big to broadcast that are joined again and again (every
+    micro-batch of a stream): a join with a bucketed table shuffles only the
+    other side, to ``buckets`` partitions, so use the stream's shuffle
+    partition count.  Returns the table.
+    """
+    w = unique_lookup(df, key, value, on_dup).write.mode("overwrite")
+    if path:
+        w = w.option("path", path)
+    w.bucketBy(buckets, key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def duplicate_keys(df: DataFrame, key: str = "key") -> DataFrame:
     """Keys that occur more than once, with their row count."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
