@@ -61,10 +61,12 @@ def cogroup_job(records: DataFrame, bounded_lines: DataFrame, start_instant, out
 
 def lookup_plan(records: DataFrame, lookup_lines: DataFrame) -> DataFrame:
     """P2: each topic record looks its key up in the unique-key bounded
-    table; one output line per record (``"null"`` on a miss)."""
+    table; one output line per record (``"null"`` on a miss).  The table is
+    checked once and checkpointed (a job runs here), so micro-batches reuse
+    it instead of re-running the duplicate check."""
     kv = ops.decode_kv(records, keep=("offset",))
     stream = ops.parse_csv_kv(kv, line="value", keep=("offset",))
-    lookup = ops.unique_lookup(ops.parse_csv_kv(lookup_lines, line="value"))
+    lookup = ops.checked_lookup(ops.parse_csv_kv(lookup_lines, line="value"))
     return stream_lookup_join(stream, lookup)
 
 
