@@ -201,3 +201,33 @@ def test_stream_cogroup_last_panes_equal_batch_cogroup(spark, batches, bounded_a
     want_df = ops.windowed_cogroup(kept.filter("side = 0"), kept.filter("side = 1"))
     want = sorted((r.window_start, r.line) for r in want_df.collect())
     assert got == want
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 3), st.integers(1, 4), st.sampled_from(["A", "N", "R"]),
+                          st.sampled_from(["F", "O"])), min_size=1, max_size=25))
+def test_first_record_equality_matches_model(spark, lines):
+    """Each line's (flag, status) record vs the first line of its order,
+    NULL (flag 'N') equal to NULL; ties in the order are identical rows."""
+    df = spark.createDataFrame(lines, "o int, ln int, rf string, ls string")
+    rec = F.struct(F.nullif("rf", F.lit("N")).alias("flag"), F.col("ls").alias("status"))
+    order = ["ln", "rf", "ls"]
+    first = df.groupBy("o").agg(F.min_by(rec, F.struct(*order)).alias("first_rec"))
+    out = df.join(first, "o").select("o", "ln", "rf", "ls", rec.eqNullSafe(F.col("first_rec")).alias("same"))
+    got = sorted((r.o, r.ln, r.rf, r.ls, r.same) for r in out.collect())
+    firsts = {}
+    for o, ln, rf, ls in sorted(lines, key=lambda x: (x[0], x[1], x[2], x[3])):
+        firsts.setdefault(o, (None if rf == "N" else rf, ls))
+    want = sorted((o, ln, rf, ls, (None if rf == "N" else rf, ls) == firsts[o]) for o, ln, rf, ls in lines)
+    assert got == want
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.integers(0, 10**9), min_size=1, max_size=30), st.integers(1, 6))
+def test_time_slices_match_integer_formula(spark, micros, k):
+    from tidewire.sources.replay import time_slices
+    df = spark.createDataFrame([(m,) for m in micros], "us long") \
+        .select("us", F.timestamp_micros("us").alias("t"))
+    got = sorted((r.us, r.slice) for r in time_slices(df, "t", k).collect())
+    lo, hi = min(micros), max(micros)
+    assert got == sorted((m, (m - lo) * k // (hi - lo + 1)) for m in micros)
