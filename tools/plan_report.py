@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SKIP_PREFIXES = ("stream_", "late_redelivery", "copy_routed", "replay_safe", "windowed_parquet",
+SKIP_PREFIXES = ("stream_", "late_redelivery", "copy_routed", "copy_kv_stream", "copy_values_stream", "replay_safe", "windowed_parquet",
                  "text_lines", "topic_sink", "keyed_partition", "partitioned_source")
 
 
