@@ -94,20 +94,21 @@ _VOTES = (0, -1, 1)
 
 def fit_rules(patterns: DataFrame, names: list[str], rounds: int = 15, prior: float = 0.8) -> dict:
     """EM over ``patterns(vote_*, n)``.  One small aggregation a round; only
-    the parameters (three numbers per rule and class, and the prior) reach
-    the driver."""
+    its sums, two per rule and vote, reach the driver."""
     model = {"prior": prior} | {y: {k: BELIEF[y] for k in names} for y in BELIEF}
+    cells = F.posexplode(F.array(*[f"vote_{k}" for k in names])).alias("rule", "vote")
     for _ in range(rounds):
-        p = patterns.withColumn("p", posterior(model, names))
-        sums = {"good_all": F.col("p") * F.col("n"), "bad_all": (1 - F.col("p")) * F.col("n")}
-        sums |= {f"{y}_{k}_{v}": F.when(F.col(f"vote_{k}") == v, sums[f"{y}_all"])
-                 for y in BELIEF for k in names for v in _VOTES}
-        row = p.agg(*[F.coalesce(F.sum(v), F.lit(0)).cast("double").alias(k) for k, v in sums.items()]).first()
-        n = row["good_all"] + row["bad_all"]
+        p = patterns.select("n", posterior(model, names).alias("p"), cells)
+        rows = p.groupBy("rule", "vote").agg(F.sum(F.col("n") * F.col("p")).alias("good"),
+                                             F.sum(F.col("n") * (1 - F.col("p"))).alias("bad")).collect()
+        hit = {(r["rule"], r["vote"]): r for r in rows}
+        whole = {y: sum(r[y] for r in rows if r["rule"] == 0) for y in BELIEF}
+        n = whole["good"] + whole["bad"]
         weight = max(1.0, BELIEF_WEIGHT * n)
-        model = {"prior": (row["good_all"] + prior * weight) / (n + weight)} | {
-            y: {k: tuple((row[f"{y}_{k}_{v}"] + weight * b) / (row[f"{y}_all"] + weight)
-                         for v, b in zip(_VOTES, BELIEF[y])) for k in names} for y in BELIEF}
+        seen = lambda i, v, y: hit[i, v][y] if (i, v) in hit else 0.0  # noqa: E731, B023
+        model = {"prior": (whole["good"] + prior * weight) / (n + weight)} | {
+            y: {k: tuple((seen(i, v, y) + weight * b) / (whole[y] + weight) for v, b in zip(_VOTES, BELIEF[y]))
+                for i, k in enumerate(names)} for y in BELIEF}
     return model
 
 
