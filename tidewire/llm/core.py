@@ -123,13 +123,14 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     return have[:n]
 
 
-def words_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(start, end, row)`` of the words of a block, in order."""
+def words_of(raw: np.ndarray, off: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(start, end, row)`` of the words of a block, in order; ``gap`` marks the
+    bytes that part words."""
     n = len(raw)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, z
-    word = ~SPACE[raw]
+    word = ~gap[raw]
     cut = np.zeros(n + 1, dtype=bool)
     cut[off] = True
     before = np.empty(n, dtype=bool)

@@ -33,3 +33,28 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewire.llm.quality_rules import weak_quality
     ready(spark)
     return weak_quality(documents(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidewire.llm.packing import pack
+    ready(spark)
+    return pack(documents(spark, sf_dir, "documents", "doc_id", "text"),
+                str(public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewire.llm.toxicity import toxicity
+    ready(spark)
+    return toxicity(documents(spark, sf_dir, "documents", "doc_id", "text"), documents(spark, sf_dir, "labels"))
+
+
+@query
+def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewire.llm.quality_fm import quality
+    ready(spark)
+    return quality(documents(spark, sf_dir, "documents", "doc_id", "text", "n_chars"),
+                   documents(spark, sf_dir, "labels"))
