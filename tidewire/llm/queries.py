@@ -58,3 +58,10 @@ def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return quality(documents(spark, sf_dir, "documents", "doc_id", "text", "n_chars"),
                    documents(spark, sf_dir, "labels"))
+
+
+@query
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewire.llm.near_dedup import near_duplicates
+    ready(spark)
+    return near_duplicates(documents(spark, sf_dir, "documents", "doc_id", "text"))
