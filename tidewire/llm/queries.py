@@ -65,3 +65,10 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewire.llm.near_dedup import near_duplicates
     ready(spark)
     return near_duplicates(documents(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewire.llm.decontam import contaminated
+    ready(spark)
+    return contaminated(documents(spark, sf_dir, "documents", "doc_id", "text"), documents(spark, sf_dir, "benchmark"))
