@@ -72,3 +72,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewire.llm.decontam import contaminated
     ready(spark)
     return contaminated(documents(spark, sf_dir, "documents", "doc_id", "text"), documents(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewire.llm.suffix_dedup import suffix_dedup
+    ready(spark)
+    return suffix_dedup(documents(spark, sf_dir, "documents", "doc_id", "text"))
