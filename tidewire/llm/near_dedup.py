@@ -19,8 +19,9 @@ candidates per tree.
 Defined cases: a null or blank text has no shingles and links with nothing; a
 text of fewer words than a shingle has one shingle, all its words; a null
 ``doc_id`` links with nothing, has a null component and is kept; repeated rows
-are copies of each other, with one ``doc_id`` all of them are kept; an empty table
-gives an empty result.
+are copies of each other, with one ``doc_id`` all of them are kept; different
+texts under one ``doc_id`` are one document that is linked through any of them; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,8 +40,9 @@ WORDS, PERCENT = 4, 80
 TREES, DEPTH, DEEPER = 24, 4, 3
 #: Following neighbours that each document is compared with in each tree.
 NEAR = 3
-#: Least share of equal signature values: 3.5 standard errors below PERCENT.
-MIN_SHARE = 0.66
+#: Signature values beside the trees', that only sharpen the share of equal ones,
+#: and the least such share: 3 standard errors below PERCENT.
+MORE_VALUES, MIN_SHARE = 64, 0.7
 
 _U = np.uint64
 
@@ -68,11 +70,11 @@ def signatures(docs: DataFrame, words: int = WORDS, trees: int = TREES, depth: i
     """Per document: the number of shingles, a 128-bit key of the set, per tree
     a key of the first ``depth`` values and one of the deeper ones, and a byte
     of every value."""
-    n_values = trees * depth
+    n_values = trees * depth + MORE_VALUES
 
     def run(batches):
         mul, add = _seeds(n_values)
-        at = (np.arange(trees)[:, None] * depth + np.arange(depth + deeper)) % n_values
+        at = (np.arange(trees)[:, None] * depth + np.arange(depth + deeper)) % (trees * depth)
         for b in batches:
             for i, j, raw, off in text_blocks(b):
                 n = j - i
@@ -193,10 +195,26 @@ def likely(pairs: DataFrame, reps: DataFrame, percent: int = PERCENT, min_share:
     return both.mapInArrow(run, "a long, b long, share double")
 
 
-def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """``(doc_id, packed)``: texts compressed one by one, for a shuffle that moves them all."""
+    def run(batches):
+        import zstandard
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([pack((t.as_py() or "").encode()) for t in b.column(1)], pa.binary())],
+                names=["doc_id", "packed"])
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, packed binary")
+
+
+def shingle_sets(packed: DataFrame, words: int = WORDS) -> DataFrame:
     """``(doc_id, s)``: the distinct shingles of each text as 64-bit hashes."""
     def run(batches):
+        import zstandard
+        unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
+            texts = pa.array([unpack(t.as_py()) for t in b.column(1)], pa.binary()).cast(pa.string())
+            b = pa.RecordBatch.from_arrays([b.column(0), texts], names=["doc_id", "text"])
             for i, j, raw, off in text_blocks(b):
                 flat, row = block_shingles(raw, off, words)
                 flat = flat.view(np.int64)
@@ -204,7 +222,7 @@ def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.ListArray.from_arrays(edge, pa.array(flat))],
                     names=["doc_id", "s"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, s array<long>")
+    return packed.mapInArrow(run, "doc_id long, s array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -222,12 +240,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     sigs = written(signatures(docs, words), "signatures")
     own = sigs.where("n > 0 and doc_id is not null")
     groups = written(own.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("rep")), "set-groups")
-    reps = written(own.join(groups.select(F.col("rep").alias("doc_id"), "n", "hi", "lo"), ["doc_id", "n", "hi", "lo"])
-                   .dropDuplicates(["doc_id"]), "representatives")
+    reps = own.join(groups.select(F.col("rep").alias("doc_id"), "n", "hi", "lo"), ["doc_id", "n", "hi", "lo"])
+    reps = reps.dropDuplicates(["doc_id", "n", "hi", "lo"])
     places = written(forest(reps), "forest")
-    pairs = written(likely(neighbours(places).union(hubs(places)), reps, percent), "candidates")
+    pairs = written(likely(written(neighbours(places).union(hubs(places)), "pairs"), reps, percent), "candidates")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = written(shingle_sets(docs.join(ends, "doc_id", "left_semi"), words).dropDuplicates(["doc_id"]), "sets")
+    sets = written(shingle_sets(packed_texts(docs).join(ends, "doc_id", "left_semi").dropDuplicates(), words), "sets")
     # first the best candidate of every document
     best = pairs.select(F.explode(F.array("a", "b")).alias("d"), "share").groupBy("d").agg(F.max("share").alias("top"))
     tops = [pairs.join(best.withColumnRenamed("d", c), c).where("share = top").groupBy(c).agg(
