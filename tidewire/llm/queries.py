@@ -79,3 +79,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewire.llm.suffix_dedup import suffix_dedup
     ready(spark)
     return suffix_dedup(documents(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewire.llm.lm_score import lm_score
+    ready(spark)
+    return lm_score(documents(spark, sf_dir, "documents", "doc_id", "text"))
