@@ -187,15 +187,39 @@ def _search(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
         run, "doc_id long, item_id long, start long, stop long, edits long")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """One row per document and benchmark item found in it: ``doc_id,
-    item_id, start, stop`` (bytes of the text), ``edits``."""
+def _parts(benchmark: DataFrame, part_bytes: int):
+    """The benchmark's items in parts of about ``part_bytes`` of text, one at a time."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-total // part_bytes))
-    found = []
     for p in range(parts):
         some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p)
-        hits = _search(docs, [(r["item_id"], r["text"]) for r in some.collect()])
+        yield parts, [(r["item_id"], r["text"]) for r in some.collect()]
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """One row per document and benchmark item found in it: ``doc_id,
+    item_id, start, stop`` (bytes of the text), ``edits``."""
+    found = []
+    for parts, items in _parts(benchmark, part_bytes):
+        hits = _search(docs, items)
         found.append(hits if parts == 1 else written(hits, "contaminated"))
     return reduce(DataFrame.union, found)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The rows of ``docs`` (all its columns) in which no item is found,
+    without a shuffle."""
+    def clean(shared):
+        def run(batches):
+            index = Items(shared.value)
+            for b in batches:
+                keep = np.ones(b.num_rows, dtype=bool)
+                for i, _, raw, off in text_blocks(b):
+                    keep[[i + hit[0] for hit in index.search(_FOLD[raw], off)]] = False
+                yield b.filter(pa.array(keep))
+        return run
+
+    for _, items in _parts(benchmark, part_bytes):
+        docs = docs.mapInArrow(clean(docs.sparkSession.sparkContext.broadcast(items)), docs.schema)
+    return docs

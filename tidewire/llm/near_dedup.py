@@ -269,3 +269,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     return linked.union(alone).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` (all its columns) with one document of each group of near
+    duplicates, the one with the smallest ``doc_id``; of repeated rows one stays.  Rows
+    without a ``doc_id`` are copies of nothing and stay."""
+    kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(written(kept, "kept"), "doc_id", "left_semi").select(*docs.columns)
+    return named.dropDuplicates(["doc_id"]).union(docs.where("doc_id is null"))

@@ -86,3 +86,10 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewire.llm.lm_score import lm_score
     ready(spark)
     return lm_score(documents(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewire.llm.url_graph import url_filter
+    ready(spark)
+    return url_filter(documents(spark, sf_dir, "pages", "page_id", "url", "html"))
