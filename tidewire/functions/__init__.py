@@ -13,6 +13,7 @@ from tidewire.functions.kv import (  # noqa: F401
 )
 from tidewire.functions.records import (  # noqa: F401
     bracket_join,
+    checked_frame,
     decimal_bytes,
     frame_magic,
     frame_payload,

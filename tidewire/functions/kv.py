@@ -69,8 +69,11 @@ def prefixed(col, prefix: str, sep: str = PREFIX_SEPARATOR) -> Column:
 
 
 def long_from_bytes(col) -> Column:
-    """Signed big-endian 8-byte key -> LONG (what a Long deserializer yields)."""
-    return F.conv(F.hex(_c(col)), 16, -10).cast("bigint")
+    """Signed big-endian 8-byte key -> LONG (what a Long deserializer yields);
+    a key of any other length fails the job."""
+    c = _c(col)
+    return F.when(c.isNull() | (F.octet_length(c) == 8), F.conv(F.hex(c), 16, -10).cast("bigint")).otherwise(
+        F.raise_error(F.concat(F.lit("a long key has 8 bytes, not "), F.octet_length(c).cast("string"))))
 
 
 def long_to_bytes(col) -> Column:

@@ -52,17 +52,26 @@ def registry_frame(schema_id, payload) -> Column:
     return F.concat(F.unhex(F.lit(REGISTRY_MAGIC_HEX)), sid, _c(payload))
 
 
+def checked_frame(framed) -> Column:
+    """The framed value itself; a value shorter than the header or with
+    another magic byte fails the job (NULL stays NULL)."""
+    c = _c(framed)
+    ok = (F.octet_length(c) >= REGISTRY_HEADER_BYTES) & (F.hex(F.substring(c, 1, 1)) == REGISTRY_MAGIC_HEX)
+    return F.when(c.isNull() | ok, c).otherwise(F.raise_error(F.concat(
+        F.lit("not a registry-framed value: "), F.hex(F.substring(c, 1, REGISTRY_HEADER_BYTES)))).cast("binary"))
+
+
 def frame_magic(framed) -> Column:
-    return F.lower(F.hex(F.substring(_c(framed), 1, 1)))
+    return F.lower(F.hex(F.substring(checked_frame(framed), 1, 1)))
 
 
 def frame_schema_id(framed) -> Column:
-    return F.conv(F.hex(F.substring(_c(framed), 2, 4)), 16, 10).cast("int")
+    return F.conv(F.hex(F.substring(checked_frame(framed), 2, 4)), 16, 10).cast("int")
 
 
 def frame_payload(framed) -> Column:
     """Bytes after the 5-byte header (what an Avro decoder is given)."""
-    return F.substring(_c(framed), REGISTRY_HEADER_BYTES + 1, 2147483647)
+    return F.substring(checked_frame(framed), REGISTRY_HEADER_BYTES + 1, 2147483647)
 
 
 def bracket_join(entries, value_field: str = "value", count_field: str = "n") -> Column:
@@ -71,13 +80,16 @@ def bracket_join(entries, value_field: str = "value", count_field: str = "n") ->
     Entries are sorted by value; each value is repeated ``n`` times, which
     lets callers pre-aggregate equal values before the group shuffle.
     NULL values render as ``null``; an empty or NULL array gives ``""``.
+    The result is one string per group, so this is a view for small groups;
+    a count that no string can hold fails the job, it is never cut.
     """
     ordered = F.array_sort(_c(entries))
     pieces = F.transform(
         ordered,
         lambda e: F.repeat(
             F.concat(F.lit(BRACKET_ITEM[0]), F.coalesce(e[value_field], F.lit(NULL_TEXT)), F.lit(BRACKET_ITEM[1])),
-            e[count_field].cast("int"),
+            F.when(e[count_field] <= 2147483647, e[count_field]).otherwise(F.raise_error(F.concat(
+                F.lit("too many equal values for one line: "), e[count_field].cast("string")))).cast("int"),
         ),
     )
     return F.coalesce(F.array_join(pieces, ""), F.lit(""))

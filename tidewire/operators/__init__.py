@@ -1,4 +1,5 @@
-"""DataFrame -> DataFrame operators; none runs a Spark action."""
+"""DataFrame -> DataFrame operators.  Only ``checked_lookup`` and
+``bucketed_lookup`` run a Spark action: they write the table they return."""
 
 from tidewire.operators.aggs import bracket_list, filter_by_global, global_max, value_counts  # noqa: F401
 from tidewire.operators.bounded import bounded_by_count, bounded_by_time  # noqa: F401
@@ -23,7 +24,6 @@ from tidewire.operators.kv import (  # noqa: F401
     values_only,
 )
 from tidewire.operators.records import (  # noqa: F401
-    compare_records,
     decode_avro,
     parse_delimited,
     payload_roundtrip,

@@ -12,10 +12,11 @@ def bounded_by_time(df: DataFrame, ts: str = "ts", duration: str = "10 seconds")
     The original caps *reading time* on the wall clock, which depends on
     machine speed; capping by the records' own time gives the same
     answer on every run.  The start is an uncorrelated scalar subquery
-    (one partial/final ``min``), so the big side is filtered in place.
+    (one partial/final ``min``) that already holds the end, so the filter
+    compares the column with a plain value, which reaches the scan.
     """
-    start = df.agg(F.min(ts)).scalar()
-    return df.filter(F.col(ts) < start + F.expr(f"INTERVAL {duration}"))
+    end = df.agg((F.min(ts) + F.expr(f"INTERVAL {duration}")).alias("end")).scalar()
+    return df.filter(F.col(ts) < end)
 
 
 def bounded_by_count(df: DataFrame, order_col: str = "offset", n: int = 5) -> DataFrame:

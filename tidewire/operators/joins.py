@@ -87,7 +87,8 @@ def duplicate_keys(df: DataFrame, key: str = "key") -> DataFrame:
 def lookup_join(stream: DataFrame, lookup: DataFrame, key: str = "key",
                 value: str = "value", lookup_value: str = "lookup_value",
                 miss: str = NULL_TEXT, line: str | None = "line",
-                broadcast: bool | None = None, salt: int = 1) -> DataFrame:
+                broadcast: bool | None = None, salt: int = 1,
+                broadcast_limit: int = 1_000_000) -> DataFrame:
     """Left lookup: every ``stream`` row once, plus the looked-up value.
 
     ``lookup`` must be unique on ``key`` (build it with ``unique_lookup``).
@@ -96,10 +97,11 @@ def lookup_join(stream: DataFrame, lookup: DataFrame, key: str = "key",
     (and AQE re-checks with real sizes); beyond that it is a shuffle join,
     where AQE splits skewed stream partitions (when the lookup side is a
     scan or a checkpoint, see ``checked_lookup``).  ``broadcast=True``
-    forces the broadcast for callers that know the lookup's size bound.
+    forces the broadcast for callers that know the lookup's size bound;
+    beyond ``broadcast_limit`` rows it fails the job instead of growing.
 
-    ``salt=s`` (shuffle joins, e.g. inside streaming micro-batches where
-    AQE does not run) spreads each key of the stream over ``s`` buckets by
+    ``salt=s`` (shuffle joins whose hot keys AQE cannot split, for example
+    when the lookup side reuses an aggregate's shuffle) spreads each key of the stream over ``s`` buckets by
     a hash of the whole row, and replicates every lookup row into the ``s``
     buckets: a hot key is then joined by ``s`` tasks, at the price of an
     ``s`` times larger lookup side.  The salt is deterministic, so a
@@ -114,7 +116,10 @@ def lookup_join(stream: DataFrame, lookup: DataFrame, key: str = "key",
         lk = lk.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
         on = [key, "_salt"]
     if broadcast:
-        lk = F.broadcast(lk)
+        # the size is checked where it is broadcast: one row too many fails the job
+        size = lk.agg(F.count(F.lit(1))).scalar()
+        lk = F.broadcast(lk.where(F.when(size <= broadcast_limit, True).otherwise(
+            F.raise_error(F.lit(f"a lookup of more than {broadcast_limit} rows is not broadcast")).cast("boolean"))))
     out = left.join(lk, on=on, how="left") \
         .withColumn(lookup_value, F.coalesce(F.col(lookup_value), F.lit(miss)))
     if salt > 1:

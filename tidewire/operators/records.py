@@ -14,7 +14,6 @@ from tidewire.functions.records import (
     frame_schema_id,
     from_payload,
     render,
-    same_record,
     to_payload,
 )
 
@@ -83,11 +82,6 @@ def payload_roundtrip(df: DataFrame, col: str, charset: str = "UTF-8",
                      from_payload(payload, charset).alias(col))
 
 
-def compare_records(left_cols: list, right_cols: list):
-    """Null-safe equality of two field lists (as structs)."""
-    return same_record(F.struct(*left_cols), F.struct(*right_cols))
-
-
 def strip_registry_frame(df: DataFrame, col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Split registry-framed bytes into ``magic``, ``schema_id``, ``payload``."""
     return df.select(*keep,

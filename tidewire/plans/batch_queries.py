@@ -7,19 +7,18 @@ from pyspark.sql import functions as F
 from tidewire import operators as ops
 from tidewire.fixed import EMPLOYEE_SEPARATOR, EMPLOYEE_TEMPLATE, SEQUENCE_LINE
 from tidewire.functions.kv import long_to_bytes
-from tidewire.functions.records import decimal_bytes, registry_frame
+from tidewire.functions.records import decimal_bytes, registry_frame, same_record
 from tidewire.plans.inputs import (
     BOUNDED_STAMP_OFFSET,
     FILE_WINDOW,
     JOIN_WINDOW,
-    KINESIS_PARTITION_KEY,
     PIPELINE_START,
     ROUTE_TOPICS,
     USER_VALUE,
     customer_lines,
-    debtor_lines,
     event_broker_records,
     event_lines,
+    supplier_lines,
     table,
 )
 from tidewire.plans.registry import query
@@ -161,13 +160,18 @@ def assign_event_time(spark, sf):
 
 
 @query("event_time_policy", """
-select event_id as "offset", ts from events
+select event_id as "offset", ts as created, ts as appended, true as processed from events
 """)
 def event_time_policy(spark, sf):
-    """Record time as event time (create-time policy), back to UTC wall clock."""
+    """The three policies: records stamped by their producer, by the broker at
+    append (its time type), and by the clock of the run that processes them."""
     from tidewire.functions.time import instant_to_ntz
-    rec = ops.event_time_from_policy(event_broker_records(spark, sf), "create")
-    return rec.select("offset", instant_to_ntz("ts").alias("ts"))
+    created = ops.event_time_from_policy(event_broker_records(spark, sf), "create", out="created")
+    appended = created.withColumn("timestampType", F.lit(1))
+    both = ops.event_time_from_policy(appended, "log_append", out="appended")
+    out = ops.event_time_from_policy(both, "processing", out="processed")
+    return out.select("offset", instant_to_ntz("created").alias("created"), instant_to_ntz("appended").alias("appended"),
+                      (F.col("processed") > F.col("timestamp")).alias("processed"))
 
 
 # ------------------------------------------------------------- aggregates
@@ -219,25 +223,22 @@ def duplicate_keys(spark, sf):
 
 _LOOKUP_SQL = """
 with s as (select event_id, cast(user_id as varchar) as key, event_type as value from events),
-     l as (select cast(c_custkey as varchar) as key, c_mktsegment as lookup_value
-           from customer where c_acctbal < 0)
+     l as (select cast(s_suppkey as varchar) as key, s_name as lookup_value from supplier)
 select s.event_id, s.key, s.value, coalesce(l.lookup_value, 'null') as lookup_value,
        'K: [' || s.key || '], SVs: ' || s.value || ', BVs: ' || coalesce(l.lookup_value, 'null') as line
 from s left join l on s.key = l.key
 """
 
 
-def debtor_lookup(spark, sf):
-    """The checked lookup table, computed once (checkpointed): broadcast
-    while small (its size statistics survive the checkpoint), otherwise a
-    shuffle join that AQE can split on hot keys."""
-    return ops.checked_lookup(ops.parse_csv_kv(debtor_lines(spark, sf), line="line"), "key", "value")
+def supplier_lookup(spark, sf):
+    """All suppliers as a lookup; uniqueness is checked where it is joined."""
+    return ops.unique_lookup(ops.parse_csv_kv(supplier_lines(spark, sf), line="line"), "key", "value")
 
 
 @query("lookup_join", _LOOKUP_SQL)
 def lookup_join(spark, sf):
     stream = ops.parse_csv_kv(event_lines(spark, sf), line="line", keep=("event_id",))
-    return ops.lookup_join(stream, debtor_lookup(spark, sf), "key", "value") \
+    return ops.lookup_join(stream, supplier_lookup(spark, sf), "key", "value") \
         .select("event_id", "key", "value", "lookup_value", "line")
 
 
@@ -296,6 +297,20 @@ def windowed_cogroup_counts(spark, sf):
     return ops.cogroup_counts(stream, bounded, "key", "value", "ts", JOIN_WINDOW)
 
 
+@query("global_cogroup_counts", """
+with u as (
+  select cast(user_id as varchar) as key, event_type as value, 0 as side from events
+  union all
+  select cast(c_custkey as varchar), c_mktsegment, 1 from customer)
+select key, side, value, count(*) as n from u group by 1, 2, 3
+""")
+def global_cogroup_counts(spark, sf):
+    """Long form of the co-group over one global window: one shuffle, and a
+    hot key is spread over its values."""
+    stream, bounded = cogroup_inputs(spark, sf)
+    return ops.cogroup_counts(stream, bounded, "key", "value", "ts", None)
+
+
 @query("global_cogroup", _cogroup_sql(None))
 def global_cogroup(spark, sf):
     stream, bounded = cogroup_inputs(spark, sf)
@@ -355,43 +370,25 @@ def payload_roundtrip(spark, sf):
         .withColumn("n_bytes", F.col("n_bytes").cast("bigint"))
 
 
-_LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
-               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
-
-
-@query("record_equality", f"""
-with li as (
-  select *, nullif(l_returnflag, 'N') as flag from lineitem),
-first as (
-  select l_orderkey,
-         arg_min(struct_pack(flag := flag, status := l_linestatus),
-                 struct_pack({", ".join(f"{c} := {c}" for c in _LINE_ORDER)})) as first_rec
-  from li group by l_orderkey)
-select li.l_orderkey, li.l_linenumber, li.l_partkey, li.l_suppkey,
-       (li.flag is not distinct from first.first_rec.flag)
-       and (li.l_linestatus is not distinct from first.first_rec.status) as same_as_first
-from li join first on li.l_orderkey = first.l_orderkey
+@query("record_equality", """
+select l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+       (nullif(l.l_returnflag, 'N') is not distinct from (case when o.o_totalprice > 150000 then 'R' end))
+       and (l.l_linestatus is not distinct from nullif(o.o_orderstatus, 'P')) as same_record
+from lineitem l join orders o on l.l_orderkey = o.o_orderkey
 """)
 def record_equality(spark, sf):
     """Null-safe record equality: is each line's (flag, status) record equal
-    to the first line of its order?
-
-    The first line per order is a ``min_by`` aggregate (partial per task,
-    so a huge order never sits in one task), checkpointed, then joined back
-    on the order key: broadcast while small, otherwise a shuffle join whose
-    hot orders AQE splits (the checkpoint gives the join its own shuffle
-    instead of the aggregate's).  The order is total over all columns: tied
-    rows are identical.
-    """
-    from tidewire.session import reliable_checkpoint
-    li = table(spark, sf, "lineitem", "l_orderkey", *_LINE_ORDER)
-    rec = F.struct(F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"),
-                   F.col("l_linestatus").alias("status"))
-    first = reliable_checkpoint(li.groupBy("l_orderkey").agg(
-        F.min_by(rec, F.struct(*_LINE_ORDER)).alias("first_rec")))
-    return (li.join(first, "l_orderkey")
+    to one built from its order?  One scan of each table and one join, whose hot
+    orders AQE can split."""
+    li = table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
+               "l_linestatus")
+    orders = table(spark, sf, "orders", "o_orderkey", "o_totalprice", "o_orderstatus")
+    line = F.struct(F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"), F.col("l_linestatus").alias("status"))
+    order = F.struct(F.when(F.col("o_totalprice") > 150000, "R").alias("flag"),
+                     F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status"))
+    return (li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
               .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                      rec.eqNullSafe(F.col("first_rec")).alias("same_as_first")))
+                      same_record(line, order).alias("same_record")))
 
 
 @query("registry_frame", """
@@ -417,8 +414,13 @@ def registry_frame_q(spark, sf):
 select event_id as value, 'IO IT Test line of text. Line seed: ' || event_id as "row" from events
 """)
 def sequence_lines(spark, sf):
+    """The sequence source, as long as ``events``, as one-field line records."""
     from pyspark.sql import types as T
-    seq = table(spark, sf, "events", "event_id").withColumnRenamed("event_id", "value")
+
+    from tidewire.sources.files import sequence
+    ids = table(spark, sf, "events", "event_id")
+    last = ids.agg(F.max("event_id")).first()[0]  # one number, from the file statistics
+    seq = sequence(spark, end=0 if last is None else last + 1)
     lines = seq.select("value", F.format_string(SEQUENCE_LINE, F.col("value")).alias("row"))
     schema = T.StructType([T.StructField("row", T.StringType(), False)])
     return ops.to_record(lines, schema, keep=("value",)).select("value", "record.row")
@@ -440,12 +442,13 @@ def bounded_by_count(spark, sf):
     return ops.bounded_by_count(ev, "event_id", 5)
 
 
-@query("kinesis_records", f"""
-select '{KINESIS_PARTITION_KEY}' as partition_key, hex(encode(cast(event_id as varchar))) as data_hex
+@query("kinesis_records", """
+select cast(user_id as varchar) as partition_key, hex(encode(cast(event_id as varchar))) as data_hex
 from events
 """)
 def kinesis_records(spark, sf):
+    """Framed records, spread over shards by the user they belong to."""
     from tidewire.sinks.kinesis import kinesis_records as frame
-    ev = table(spark, sf, "events", "event_id")
-    out = frame(ev.select(decimal_bytes("event_id").alias("data")), "data", KINESIS_PARTITION_KEY)
+    ev = table(spark, sf, "events", "event_id", "user_id")
+    out = frame(ev.select("user_id", decimal_bytes("event_id").alias("data")), "data", F.col("user_id"))
     return out.select("partition_key", F.hex("data").alias("data_hex"))

@@ -25,21 +25,10 @@ from tidewire.fixed import (  # noqa: F401  (re-exported for the query modules)
 PIPELINE_START = "2024-01-01 23:59:30"
 
 
-_handles: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """A given table, projected to ``cols`` (pruned at the scan).
-
-    The unprojected handle is kept per session and path, like a catalog
-    entry: the file listing and footer schema are read once, not at every
-    query build.  Only the handle is kept, never data.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    df = _handles.get(key)
-    if df is None:
-        df = _handles[key] = spark.read.parquet(path)
+    """A given table, projected to ``cols`` (pruned at the scan).  Read anew
+    every time, so rows added meanwhile are seen."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
 
 
@@ -66,8 +55,8 @@ def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), F.col("c_mktsegment")).alias("line"))
 
 
-def debtor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lookup side of the lookup join: customers with a negative balance."""
-    c = table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment", "c_acctbal")
-    return c.filter(F.col("c_acctbal") < 0).select(
-        F.concat_ws(",", F.col("c_custkey").cast("string"), F.col("c_mktsegment")).alias("line"))
+def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup side of the lookup join: every supplier as ``s_suppkey,s_name``.
+    Suppliers have fewer keys than users, so there are hits and misses."""
+    s = table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
+    return s.select(F.concat_ws(",", F.col("s_suppkey").cast("string"), F.col("s_name")).alias("line"))

@@ -12,7 +12,6 @@ from tidewire.plans.registry import query
 from tidewire.session import scratch_path
 from tidewire.sinks.files import keyed_partition_write, topic_files
 from tidewire.sources.files import text_lines
-from tidewire.sources.split_source import read_splits
 
 
 @query("text_lines", """
@@ -41,21 +40,9 @@ def topic_sink_roundtrip(spark, sf):
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders
 """)
 def keyed_partition_write_q(spark, sf):
-    """Rows hash-partitioned by customer key before the write."""
+    """Rows hash-partitioned by customer key before the write; a customer's
+    rows go to eight writers at most, so one that holds much of the table is split."""
     orders = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     path = scratch_path(spark, "keyed-write")
-    keyed_partition_write(orders, "o_custkey", spark.sparkContext.defaultParallelism, path)
+    keyed_partition_write(orders, "o_custkey", path, spread=8)
     return spark.read.parquet(path)
-
-
-@query("partitioned_source", """
-select cast(c_custkey as varchar) as id, c_name as emp_name, c_mktsegment as emp_address
-from customer
-""")
-def partitioned_source(spark, sf):
-    """Custom split-planned source: three splits planned from the file's
-    metadata, each read by its own task, rows shaped as ``id -> record``."""
-    df = read_splits(spark, f"{sf.rstrip('/')}/customer.parquet", splits=3,
-                     columns=["c_custkey", "c_name", "c_mktsegment"])
-    return df.select(F.col("c_custkey").cast("string").alias("id"),
-                     F.col("c_name").alias("emp_name"), F.col("c_mktsegment").alias("emp_address"))

@@ -1,9 +1,9 @@
-"""Structured Streaming queries, replayed from files derived from the tables.
+"""Structured Streaming queries, replayed from slices of the tables.
 
-``events`` is turned into broker-shaped rows and written as time-ordered
-files (one per time slice); each query streams them one file per
-micro-batch with an ``availableNow`` trigger, writes through a real sink
-into the shared checkpoint directory, and returns the read-back output.
+``events`` is turned into broker-shaped rows and written once, by all tasks, one
+directory per time slice; each query is run once per slice, resuming from its
+checkpoint, writes through a real sink into the shared checkpoint directory, and
+returns the read-back output.
 """
 
 from __future__ import annotations
@@ -21,73 +21,77 @@ from tidewire.plans.inputs import (
     ROUTE_TOPICS,
     customer_lines,
     event_broker_records,
-    table,
 )
-from tidewire.plans.batch_queries import _LOOKUP_SQL, _ROUTE_SQL, _cogroup_sql
+from tidewire.plans.batch_queries import _LOOKUP_SQL, _ROUTE_SQL, _cogroup_sql, supplier_lookup
 from tidewire.plans.registry import query
 from tidewire.session import scratch_path
 from tidewire.sinks.files import window_dir_column, windowed_parquet
-from tidewire.sinks.replay_safe import latest_pane, read_batches, replay_safe_sink
-from tidewire.sources.replay import read_replay_stream, time_slices, write_replay_files
+from tidewire.sinks.replay_safe import latest_count, read_batches, replay_safe_sink
+from tidewire.sources.replay import BROKER_SCHEMA, read_slices, time_slices, write_slices
 from tidewire.streaming import run_available, run_early, run_final, stream_window_counts
-from tidewire.streaming.windows import late_rows
 
 REPLAY_SLICES = 4
-
-_replays: dict = {}
-
-
-def event_replay(spark, sf: str, redeliver_first: bool = False) -> str:
-    """Directory of time-ordered broker files for ``events`` (cached per
-    application; files are immutable once written).  ``redeliver_first``
-    appends slice 0 again at the end, as a late re-delivery."""
-    k = (spark.sparkContext.applicationId, sf, redeliver_first)
-    if k not in _replays:
-        path = scratch_path(spark, "replay-events")
-        sliced = time_slices(event_broker_records(spark, sf), "timestamp", REPLAY_SLICES)
-        write_replay_files(sliced, path, slices=REPLAY_SLICES)
-        if redeliver_first:  # slice 0 once more, after the others
-            (spark.read.parquet(f"{path}-staging").filter(F.col("slice") == 0).drop("slice")
-                  .coalesce(1).write.mode("append").parquet(path))
-        _replays[k] = path
-    return _replays[k]
-
-
-def bounded_customer_file(spark, sf: str) -> str:
-    """Directory of the bounded ``k,v`` text file (customers), written once
-    per application like the replay files: it stands for an existing
-    input file."""
-    k = (spark.sparkContext.applicationId, sf, "customers")
-    if k not in _replays:
-        path = scratch_path(spark, "bounded-customers")
-        customer_lines(spark, sf).write.text(path)
-        _replays[k] = path
-    return _replays[k]
-
-
-def event_stream(spark, sf: str, redeliver_first: bool = False) -> DataFrame:
+#: A start after the last event: everything in the topic is a backlog.
+BACKLOG_START = "2024-03-01 00:00:00"
+
+#: Records of every seventh event arrive this much after their time, which is less
+#: than the allowed lateness: none of them may be lost.
+DELAY, DELAYED = "10 seconds", 7
+
+
+def event_slices(spark, sf: str, redeliver_first: bool = False) -> tuple[str, int]:
+    """``(path, slices)`` of the broker-shaped ``events`` in slices of their
+    arrival.  ``redeliver_first`` appends slice 0 again at the end, as a late
+    re-delivery."""
+    path = scratch_path(spark, "replay-events")
+    records = event_broker_records(spark, sf)
+    late = F.col("offset") % DELAYED == 0
+    arrival = F.when(late, F.col("timestamp") + F.expr(f"INTERVAL {DELAY}")).otherwise(F.col("timestamp"))
+    sliced = time_slices(records.withColumn("arrival", arrival), "arrival", REPLAY_SLICES).drop("arrival")
+    write_slices(sliced, path)
+    if not redeliver_first:
+        return path, REPLAY_SLICES
+    again = spark.read.schema(BROKER_SCHEMA).parquet(f"{path}/slice=0")
+    write_slices(again.withColumn("slice", F.lit(REPLAY_SLICES)), path)
+    return path, REPLAY_SLICES + 1
+
+
+def replayed(spark, sf: str, build, run, redeliver_first: bool = False) -> None:
+    """Run ``run(build(records))`` once per slice of the replayed topic."""
+    path, slices = event_slices(spark, sf, redeliver_first)
+    for i in range(slices):
+        run(build(read_slices(spark, path, i)))
+
+
+def event_pairs(records: DataFrame) -> DataFrame:
     """``(offset, ts, key, value)`` parsed from the replayed topic; ``ts`` is
     the record timestamp (an instant, usable for watermarks)."""
-    src = read_replay_stream(spark, event_replay(spark, sf, redeliver_first))
-    kv = ops.decode_kv(src, keep=("offset", "timestamp"))
+    kv = ops.decode_kv(records, keep=("offset", "timestamp"))
     return ops.parse_csv_kv(kv, line="value", keep=("offset", "timestamp")) \
         .withColumnRenamed("timestamp", "ts")
 
 
-def _run_to_files(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def _run_to_files(spark, sf, build, name: str, partition_by: str | None = None,
+                  redeliver_first: bool = False) -> DataFrame:
     """On-time output through the append-mode file sink, read back."""
-    spark = df.sparkSession
-    base = scratch_path(spark, name)
-    run_final(df, f"{base}/data", f"{base}/checkpoint", partition_by=partition_by)
-    return spark.read.schema(df.schema).parquet(f"{base}/data")
+    base, schema = scratch_path(spark, name), []
+
+    def run(df):
+        schema[:] = [df.schema]
+        run_final(df, f"{base}/data", f"{base}/checkpoint", partition_by=partition_by)
+    replayed(spark, sf, build, run, redeliver_first)
+    return spark.read.schema(schema[0]).parquet(f"{base}/data")
 
 
-def _run_update(df: DataFrame, name: str) -> DataFrame:
-    """Update-mode output through the replay-safe sink; returns every pane."""
-    spark = df.sparkSession
+def _run_update(spark, sf, build, name: str) -> str:
+    """Update-mode output through the replay-safe sink; returns its path."""
     base = scratch_path(spark, name)
-    run_early(df, f"{base}/data", f"{base}/checkpoint")
-    return read_batches(spark, f"{base}/data")
+    replayed(spark, sf, build, lambda df: run_early(df, f"{base}/data", f"{base}/checkpoint"))
+    return f"{base}/data"
+
+
+def _window_counts(records: DataFrame) -> DataFrame:
+    return stream_window_counts(event_pairs(records), "ts", JOIN_WINDOW, ("key",), ALLOWED_LATENESS)
 
 
 # --------------------------------------------------------------- windows
@@ -106,10 +110,9 @@ where window_end <= (select max(ts) from events) - interval '{ALLOWED_LATENESS}'
 @query("stream_window_append", _APPEND_SQL)
 def stream_window_append(spark, sf):
     """On-time panes only: a window is emitted once the watermark passes
-    its end; windows still open at the end of the input are not."""
-    counts = stream_window_counts(event_stream(spark, sf), "ts", JOIN_WINDOW, ("key",),
-                                  ALLOWED_LATENESS)
-    return _run_to_files(counts, "stream-window-append")
+    its end; windows still open at the end of the input are not.  Records that
+    arrive late by less than the allowed lateness are counted."""
+    return _run_to_files(spark, sf, _window_counts, "stream-window-append")
 
 
 @query("late_redelivery_stream", _APPEND_SQL)
@@ -117,9 +120,7 @@ def late_redelivery_stream(spark, sf):
     """Same stream with the first slice delivered again at the end: every
     re-delivered row is behind the watermark, dropped, and not counted
     twice, so the output equals the on-time result."""
-    counts = stream_window_counts(event_stream(spark, sf, redeliver_first=True), "ts",
-                                  JOIN_WINDOW, ("key",), ALLOWED_LATENESS)
-    return _run_to_files(counts, "stream-late-redelivery")
+    return _run_to_files(spark, sf, _window_counts, "stream-late-redelivery", redeliver_first=True)
 
 
 @query("stream_early_panes", f"""
@@ -132,75 +133,55 @@ def stream_early_panes(spark, sf):
     """Update mode: every micro-batch re-emits the full current count of the
     groups it touched (accumulating panes); the last pane per group is
     the complete result, including windows that are still open."""
-    counts = stream_window_counts(event_stream(spark, sf), "ts", JOIN_WINDOW, ("key",),
-                                  ALLOWED_LATENESS)
-    panes = _run_update(counts, "stream-early-panes")
-    return latest_pane(panes, ["window_start", "key"]).select(
-        "window_start", "window_end", "key", "n")
-
-
-@query("late_rows_audit", f"""
-with b as (select min(epoch_us(ts)) as lo, max(epoch_us(ts)) as hi from events),
-e as (select ts, (epoch_us(ts) - lo) * {REPLAY_SLICES} // (hi - lo + 1) as batch from events, b),
-a as (select ts, batch from e union all select ts, {REPLAY_SLICES} from e where batch = 0),
-m as (select batch, max(epoch_us(ts)) as mx from a group by batch),
-w as (select batch, max(mx) over (order by batch rows between unbounded preceding and 2 preceding)
-                    - {20 * 1_000_000} as wm
-      from m)
-select cast(a.batch as integer) as batch, count(*) as n,
-       count(*) filter (where epoch_us(ts) - epoch_us(ts) % {20 * 1_000_000} + {20 * 1_000_000} <= wm)
-         as n_late,
-       make_timestamp(wm) as watermark
-from a join w on a.batch = w.batch
-group by a.batch, wm
-""")
-def late_rows_audit(spark, sf):
-    """Which rows of a replay schedule the 20 s lateness rule drops: slices
-    in time order, then slice 0 delivered again (all of it late), with
-    micro-batches running back to back (late-event watermark lags two
-    batches, see ``streaming.windows.late_rows``)."""
-    ev = table(spark, sf, "events", "ts")
-    sliced = time_slices(ev, "ts", REPLAY_SLICES, out="batch")
-    # slice 0 arrives twice (batch 0 and, re-delivered, batch REPLAY_SLICES):
-    # one scan, rows of slice 0 exploded into both arrivals
-    arrivals = sliced.withColumn("batch", F.explode(
-        F.when(F.col("batch") == 0, F.array(F.lit(0), F.lit(REPLAY_SLICES)))
-         .otherwise(F.array(F.col("batch")))))
-    marked = late_rows(arrivals, "ts", "batch", JOIN_WINDOW, ALLOWED_LATENESS)
-    return (marked.groupBy("batch", "watermark")
-                  .agg(F.count(F.lit(1)).alias("n"),
-                       F.count(F.when(F.col("late"), 1)).alias("n_late"))
-                  .select("batch", "n", "n_late", "watermark"))
+    panes = read_batches(spark, _run_update(spark, sf, _window_counts, "stream-early-panes"))
+    return latest_count(panes, ["window_start", "window_end", "key"])
 
 
 # --------------------------------------------------------------- joins
 
+def _cogroup(spark, sf, start: str, name: str) -> DataFrame:
+    """P1 on the replayed topic and the customers as the bounded side."""
+    from tidewire.plans.jobs import cogroup_plan, cogroup_result
+    out = _run_update(spark, sf, lambda r: cogroup_plan(r, JOIN_WINDOW, ALLOWED_LATENESS), name)
+    lines = customer_lines(spark, sf).withColumnRenamed("line", "value")
+    return cogroup_result(spark, out, lines, start, JOIN_WINDOW, BOUNDED_STAMP_OFFSET)
+
+
 @query("stream_cogroup_final", _cogroup_sql(JOIN_WINDOW))
 def stream_cogroup_final(spark, sf):
-    """The co-group job (``plans.jobs.cogroup_plan``) on the replayed topic
-    and the bounded customer file (read as a file stream, stamped with one
-    event time); update mode, last pane per (window, key) rendered as the
-    co-group line."""
-    from tidewire.plans.jobs import cogroup_plan
-    records = read_replay_stream(spark, event_replay(spark, sf))
-    bounded_lines = spark.readStream.format("text").load(bounded_customer_file(spark, sf))
-    counts = cogroup_plan(records, bounded_lines, PIPELINE_START, window=JOIN_WINDOW,
-                          lateness=ALLOWED_LATENESS, stamp_offset=BOUNDED_STAMP_OFFSET)
-    panes = _run_update(counts, "stream-cogroup")
-    last = latest_pane(panes, ["window_start", "key", "side", "value"])
-    return ops.format_cogroup(last, windowed=True)
+    """The co-group job on the replayed topic and the bounded customers,
+    stamped with one event time; last panes, rendered as co-group lines."""
+    return ops.format_cogroup(_cogroup(spark, sf, PIPELINE_START, "stream-cogroup"), windowed=True)
+
+
+@query("stream_cogroup_backlog", f"""
+with u as (
+  select cast(user_id as varchar) as key, event_type as value, ts, 0 as side from events
+  union all
+  select cast(c_custkey as varchar), c_mktsegment,
+         timestamp '{BACKLOG_START}' + interval '{BOUNDED_STAMP_OFFSET}', 1 from customer)
+select time_bucket(interval '{JOIN_WINDOW}', ts) as window_start,
+       time_bucket(interval '{JOIN_WINDOW}', ts) + interval '{JOIN_WINDOW}' as window_end,
+       key, side, value, count(*) as n
+from u group by 1, 2, 3, 4, 5
+""")
+def stream_cogroup_backlog(spark, sf):
+    """The same job started after the last event was written, the normal first
+    start on a topic's earliest offset: no record is late against the bounded
+    side's stamp.  Long form."""
+    return _cogroup(spark, sf, BACKLOG_START, "stream-backlog")
 
 
 @query("stream_lookup_join", _LOOKUP_SQL)
 def stream_lookup_join(spark, sf):
-    """Stream-static left lookup: the checked lookup table is computed once
-    (checkpointed) and read by every micro-batch."""
-    from tidewire.plans.batch_queries import debtor_lookup
-    lookup = debtor_lookup(spark, sf)
-    stream = event_stream(spark, sf).withColumnRenamed("offset", "event_id")
-    joined = ops.lookup_join(stream, lookup, "key", "value") \
-        .select("event_id", "key", "value", "lookup_value", "line")
-    return _run_to_files(joined, "stream-lookup")
+    """Stream-static left lookup of every record's user among the suppliers."""
+    lookup = supplier_lookup(spark, sf)
+
+    def build(records):
+        stream = event_pairs(records).withColumnRenamed("offset", "event_id")
+        return ops.lookup_join(stream, lookup, "key", "value").select(
+            "event_id", "key", "value", "lookup_value", "line")
+    return _run_to_files(spark, sf, build, "stream-lookup")
 
 
 # --------------------------------------------------------------- copies, sinks
@@ -209,11 +190,10 @@ def stream_lookup_join(spark, sf):
 def copy_routed(spark, sf):
     """Topic copy in routing mode: NULL key/value -> ``"null"``, alternate
     topics by offset parity, per-topic output directories."""
-    src = read_replay_stream(spark, event_replay(spark, sf))
-    kv = ops.null_to_literal(ops.decode_kv(src, keep=("offset",)), ("key", "value"))
-    routed = ops.route_alternate(kv, "offset", ROUTE_TOPICS).select("offset", "topic", "key", "value")
-    return _run_to_files(routed, "copy-routed", partition_by="topic") \
-        .select("offset", "topic", "key", "value")
+    def build(records):
+        kv = ops.null_to_literal(ops.decode_kv(records, keep=("offset",)), ("key", "value"))
+        return ops.route_alternate(kv, "offset", ROUTE_TOPICS).select("offset", "topic", "key", "value")
+    return _run_to_files(spark, sf, build, "copy-routed", partition_by="topic").select("offset", "topic", "key", "value")
 
 
 @query("copy_kv_stream", """
@@ -224,8 +204,7 @@ def copy_kv_stream(spark, sf):
     """Topic copy, mode ``kv`` (``plans.jobs.copy_plan``): key and value as
     they are; written to files here instead of a topic."""
     from tidewire.plans.jobs import copy_plan
-    records = read_replay_stream(spark, event_replay(spark, sf))
-    return _run_to_files(copy_plan(records, "kv"), "copy-kv")
+    return _run_to_files(spark, sf, lambda r: copy_plan(r, "kv"), "copy-kv")
 
 
 @query("copy_values_stream", """
@@ -234,8 +213,7 @@ select cast(user_id as varchar) || ',' || event_type as value from events
 def copy_values_stream(spark, sf):
     """Topic copy, mode ``values``: the value only, no key."""
     from tidewire.plans.jobs import copy_plan
-    records = read_replay_stream(spark, event_replay(spark, sf))
-    return _run_to_files(copy_plan(records, "values"), "copy-values")
+    return _run_to_files(spark, sf, lambda r: copy_plan(r, "values"), "copy-values")
 
 
 @query("replay_safe_write", """
@@ -245,11 +223,10 @@ from events
 """)
 def replay_safe_write(spark, sf):
     """Exactly-once copy re-aimed: every micro-batch overwrites its own
-    ``batch_id`` directory, so a re-run batch replaces its output."""
-    src = read_replay_stream(spark, event_replay(spark, sf))
-    kv = ops.decode_kv(src, keep=("offset",))
+    directory, so a re-run batch replaces its output."""
     base = scratch_path(spark, "replay-safe")
-    run_available(replay_safe_sink(kv, f"{base}/data", f"{base}/checkpoint"))
+    replayed(spark, sf, lambda r: ops.decode_kv(r, keep=("offset",)),
+             lambda df: run_available(replay_safe_sink(df, f"{base}/data", f"{base}/checkpoint")))
     return read_batches(spark, f"{base}/data").select("offset", "key", "value")
 
 
@@ -264,18 +241,24 @@ def windowed_parquet_roundtrip(spark, sf):
     files grouped by window (directories per day), read back."""
     from pyspark.sql import types as T
 
-    from tidewire.functions.time import instant_to_ntz
     from tidewire.fixed import SEQUENCE_LINE
-    src = read_replay_stream(spark, event_replay(spark, sf))
-    w = F.window("timestamp", FILE_WINDOW)
-    lines = src.select(F.col("offset").alias("value"),
-                       instant_to_ntz(w.start).alias("window_start"),
-                       instant_to_ntz(w.end).alias("window_end"),
-                       F.format_string(SEQUENCE_LINE, F.col("offset")).alias("row"))
+    from tidewire.functions.time import instant_to_ntz
     schema = T.StructType([T.StructField("row", T.StringType(), False)])
-    records = ops.to_record(lines, schema, keep=("value", "window_start", "window_end"))
-    out = window_dir_column(records, "window_start", grain="day")
-    base = scratch_path(spark, "windowed-parquet")
-    run_available(windowed_parquet(out, f"{base}/data", f"{base}/checkpoint"))
-    back = spark.read.schema(out.schema).parquet(f"{base}/data")
+    base, out = scratch_path(spark, "windowed-parquet"), []
+
+    def build(records):
+        w = F.window("timestamp", FILE_WINDOW)
+        lines = records.select(F.col("offset").alias("value"),
+                               instant_to_ntz(w.start).alias("window_start"),
+                               instant_to_ntz(w.end).alias("window_end"),
+                               F.format_string(SEQUENCE_LINE, F.col("offset")).alias("row"))
+        rows = ops.to_record(lines, schema, keep=("value", "window_start", "window_end"))
+        return window_dir_column(rows, "window_start", grain="day")
+
+    def run(df):
+        out[:] = [df.schema]
+        run_available(windowed_parquet(df, f"{base}/data", f"{base}/checkpoint"))
+    replayed(spark, sf, build, run)
+    back = spark.read.schema(out[0]).parquet(f"{base}/data")
     return back.select("value", "record.row", "window_start", "window_end")
+

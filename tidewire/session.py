@@ -60,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidewire-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")

@@ -6,6 +6,7 @@ from tidewire.sinks.kinesis import KinesisSink, kinesis_records  # noqa: F401
 from tidewire.sinks.replay_safe import (  # noqa: F401
     batch_writer,
     compact_panes,
+    latest_count,
     latest_pane,
     read_batches,
     replay_safe_sink,

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def keyed_partition_write(df: DataFrame, key: str, num_partitions: int, path: str,
-                          fmt: str = "parquet", mode: str = "overwrite", spread: int = 1,
-                          max_records_per_file: int | None = None) -> None:
-    """Hash-partition rows by ``key`` into ``num_partitions`` tasks, then
-    write: all rows of a key land in the same task's output files.
+def keyed_partition_write(df: DataFrame, key: str, path: str, fmt: str = "parquet", mode: str = "overwrite",
+                          spread: int = 1, max_records_per_file: int | None = None) -> None:
+    """Hash-partition rows by ``key``, then write: all rows of a key land in
+    the same task's output files.  The number of writers follows the data:
+    Spark starts from its shuffle partitions and joins small ones at run time.
 
     A key can be too big for one task.  ``spread=s`` hashes on ``(key,
     pmod(hash(row), s))`` instead, so a key's rows go to at most ``s``
@@ -22,9 +22,9 @@ def keyed_partition_write(df: DataFrame, key: str, num_partitions: int, path: st
     """
     if spread > 1:
         salt = F.pmod(F.hash(*[F.col(c) for c in df.columns]), F.lit(spread))
-        parted = df.repartition(num_partitions, F.col(key), salt)
+        parted = df.repartition(F.col(key), salt)
     else:
-        parted = df.repartition(num_partitions, key)
+        parted = df.repartition(F.col(key))
     w = parted.write.mode(mode).format(fmt)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)

@@ -12,27 +12,34 @@ Frame first with ``kinesis_records`` (``partition_key``, ``data``), then
 Delivery is at-least-once: a task that fails or is re-run after a lost
 executor sends its whole partition again, and record streams have no
 idempotent put.  Consumers that need exactly-once must de-duplicate (for
-example on a payload id); a rejected record fails the task, so nothing is
+example on a payload id).  Records that the service rejects (throttling) are sent
+again, they alone, for a bounded time; after that the task fails, so nothing is
 silently dropped.
 """
 
 from __future__ import annotations
 
 import importlib
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
-    DataSourceStreamWriter,
-    DataSourceWriter,
+    DataSourceArrowWriter,
+    DataSourceStreamArrowWriter,
     WriterCommitMessage,
 )
 
 from tidewire.fixed import KINESIS_PARTITION_KEY
 
+# limits of the service: records and bytes (data and keys) a call, bytes a record
 MAX_RECORDS_PER_CALL = 500
+MAX_CALL_BYTES = 5 * 1024 * 1024
+MAX_RECORD_BYTES = 1024 * 1024
+#: Seconds for which rejected records of a call are sent again.
+RETRY_SECONDS = 60.0
 
 
 def kinesis_records(df: DataFrame, data: str = "data",
@@ -64,31 +71,52 @@ class SentCount(WriterCommitMessage):
     calls: int
 
 
-def _send_partition(options: dict, rows) -> SentCount:
+def _throttled_call(client, stream: str, records: list[dict], deadline: float) -> int:
+    """Send one call's records; those the service rejects, and only those,
+    are sent again with growing pauses until ``deadline``.  Returns the calls made."""
+    calls, pause = 0, 0.1
+    while records:
+        answer = client.put_records(StreamName=stream, Records=records) or {}
+        calls += 1
+        if not answer.get("FailedRecordCount"):
+            break
+        results = answer.get("Records") or []
+        if len(results) != len(records):
+            raise RuntimeError(f"stream {stream} rejected records without saying which")
+        records = [r for r, a in zip(records, results) if a.get("ErrorCode")]
+        if time.monotonic() + pause > deadline:
+            codes = sorted({a["ErrorCode"] for a in results if a.get("ErrorCode")})
+            raise RuntimeError(f"{len(records)} records were rejected by stream {stream} until the time was up: {codes}")
+        time.sleep(pause)
+        pause = min(5.0, 2 * pause)
+    return calls
+
+
+def _send_partition(options: dict, batches) -> SentCount:
+    """Send record batches in calls that keep to the service's limits."""
     stream = options["stream"]
     client = _load_factory(options.get("client_factory"))(options)
-    batch, records, calls = [], 0, 0
-
-    def flush():
-        nonlocal batch, records, calls
-        if batch:
-            resp = client.put_records(StreamName=stream, Records=batch)
-            failed = (resp or {}).get("FailedRecordCount", 0)
-            if failed:
-                raise RuntimeError(f"{failed} records were rejected by stream {stream}")
-            records += len(batch)
-            calls += 1
-            batch = []
-
-    for row in rows:
-        batch.append({"Data": bytes(row["data"]), "PartitionKey": row["partition_key"]})
-        if len(batch) >= MAX_RECORDS_PER_CALL:
-            flush()
-    flush()
+    retry = float(options.get("retry_seconds", RETRY_SECONDS))
+    call, size, records, calls = [], 0, 0, 0
+    for b in batches:
+        keys, data = b.column("partition_key").to_pylist(), b.column("data").to_pylist()
+        for key, payload in zip(keys, data):
+            payload = payload or b""
+            weight = len(payload) + len((key or "").encode())
+            if weight > MAX_RECORD_BYTES:
+                raise ValueError(f"a record of {weight} bytes is over the service's limit of {MAX_RECORD_BYTES}")
+            if call and (len(call) >= MAX_RECORDS_PER_CALL or size + weight > MAX_CALL_BYTES):
+                calls += _throttled_call(client, stream, call, time.monotonic() + retry)
+                call, size = [], 0
+            call.append({"Data": payload, "PartitionKey": key})
+            size += weight
+            records += 1
+    if call:
+        calls += _throttled_call(client, stream, call, time.monotonic() + retry)
     return SentCount(records, calls)
 
 
-class _KinesisWriter(DataSourceWriter):
+class _KinesisWriter(DataSourceArrowWriter):
     def __init__(self, options):
         self.options = dict(options)
         if "stream" not in self.options:
@@ -104,7 +132,7 @@ class _KinesisWriter(DataSourceWriter):
         pass
 
 
-class _KinesisStreamWriter(DataSourceStreamWriter):
+class _KinesisStreamWriter(DataSourceStreamArrowWriter):
     def __init__(self, options):
         self.options = dict(options)
 

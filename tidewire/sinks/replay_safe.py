@@ -1,22 +1,29 @@
 """Replay-safe (effectively exactly-once) streaming output.
 
-Each micro-batch is written to its own ``batch_id=<n>`` directory in
-overwrite mode.  If a batch is re-run after a failure (Spark re-runs the
-last uncommitted batch with the same id and the same input offsets), it
-replaces its earlier output instead of adding to it.  The same sink takes
-update-mode output, which Spark's file sink does not accept.
+Each micro-batch is written to a directory of its own, named by the streaming
+query's id and the batch id, in overwrite mode.  If a batch is re-run after a
+failure (Spark re-runs the last uncommitted batch with the same id and the
+same input offsets), it replaces its earlier output instead of adding to it.  A
+query with a new checkpoint has another id, so it never touches what an older one
+wrote.  The same sink takes update-mode output, which Spark's file sink does
+not accept.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def batch_writer(path: str, fmt: str = "parquet"):
-    """The ``foreachBatch`` function: overwrite ``<path>/batch_id=<n>``."""
+    """The ``foreachBatch`` function: overwrite ``<path>/query_id=<q>/batch_id=<n>``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            raise RuntimeError("the streaming query's id is not known in this batch")
+        batch.write.mode("overwrite").format(fmt).save(f"{path}/query_id={query}/batch_id={batch_id}")
     return write
 
 
@@ -28,19 +35,37 @@ def replay_safe_sink(df: DataFrame, path: str, checkpoint: str, output_mode: str
               .foreachBatch(batch_writer(path, fmt)))
 
 
-def read_batches(spark, path: str, fmt: str = "parquet") -> DataFrame:
-    """All batches written so far, with their ``batch_id`` column."""
-    return spark.read.format(fmt).load(path)
+def _fs(spark, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def complete_batches(spark, path: str) -> list[str]:
+    """Directories of the batches whose write job has committed."""
+    p, fs = _fs(spark, f"{path}/query_id=*/batch_id=*/_SUCCESS")
+    return sorted(s.getPath().getParent().toString() for s in fs.globStatus(p) or [])
+
+
+def read_batches(spark, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
+    """All batches completely written so far, with their ``query_id`` and
+    ``batch_id`` columns.  Without any, ``schema`` gives the empty result."""
+    found = complete_batches(spark, path)
+    if not found:
+        if schema is None:
+            raise FileNotFoundError(f"no complete batch below {path}")
+        return spark.createDataFrame([], schema)
+    return spark.read.option("basePath", path).format(fmt).load(found)
 
 
 def latest_pane(df: DataFrame, keys, batch_col: str = "batch_id",
                 keep_batch: bool = False) -> DataFrame:
     """Per group, the row of the highest batch id (the last, most complete
     pane of an update-mode aggregate).  ``max_by`` combines map-side, so no
-    group is ever sorted or gathered whole.  ``keep_batch`` keeps the
-    winning batch id as a column."""
+    group is gathered whole, but its buffer is a struct, so Spark sorts by
+    the keys on both sides of the shuffle; for counts use ``latest_count``.
+    ``keep_batch`` keeps the winning batch id as a column."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    rest = [c for c in df.columns if c not in keys and c != batch_col]
+    rest = [c for c in df.columns if c not in keys and c not in (batch_col, "query_id")]
     if keep_batch:
         rest.append(batch_col)
     return (df.groupBy(*keys)
@@ -48,13 +73,37 @@ def latest_pane(df: DataFrame, keys, batch_col: str = "batch_id",
               .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest]))
 
 
-def compact_panes(spark, path: str, out: str, keys, batch_col: str = "batch_id",
-                  fmt: str = "parquet") -> None:
-    """Fold the per-batch pane directories of an update-mode stream into one
-    table holding the latest pane per group (a distributed ``max_by``
-    aggregate, written with Spark's commit protocol).  Run it periodically
-    on long-running streams; the batch id of each kept pane stays in the
-    output, so ``latest_pane`` over ``out`` plus the batches written later
-    gives the current result."""
-    latest_pane(read_batches(spark, path, fmt), keys, batch_col, keep_batch=True) \
-        .write.mode("overwrite").format(fmt).save(out)
+def latest_count(df: DataFrame, keys, count: str = "n") -> DataFrame:
+    """Per group, the last pane of a count: within one query a group's count
+    only grows, so that is its maximum, a plain hash aggregate."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.groupBy(*keys).agg(F.max(count).alias(count))
+
+
+def compact_panes(spark, path: str, keys, batch_col: str = "batch_id", fmt: str = "parquet") -> None:
+    """Fold the complete batches of each query into one that holds the latest
+    pane per group.  It is written beside them under a query id of its own, as the
+    last batch folded, and they go only after it has committed; the newest batch,
+    which a restart may write again, is left alone.
+
+    Batch ids stay in the output, so ``latest_pane`` gives the same result before
+    and after.  A crash in between leaves both the fold and its inputs: the same
+    panes twice, which ``latest_pane`` folds again."""
+    found = complete_batches(spark, path)
+    by_query: dict[str, list[str]] = {}
+    for d in found:
+        by_query.setdefault(d.split("query_id=")[1].split("/")[0], []).append(d)
+    for query, dirs in by_query.items():
+        dirs.sort(key=lambda d: int(d.rsplit("batch_id=", 1)[1]))
+        old = dirs[:-1]
+        if len(old) < 2:
+            continue
+        last = old[-1].rsplit("batch_id=", 1)[1]
+        panes = spark.read.option("basePath", path).format(fmt).load(old)
+        folded = latest_pane(panes, keys, batch_col).select(
+            *[c for c in panes.columns if c not in ("query_id", batch_col)])
+        fold = f"{path}/query_id={query.split('-fold-')[0]}-fold-{uuid.uuid4().hex[:8]}/batch_id={last}"
+        folded.write.format(fmt).save(fold)
+        for d in old:
+            p, fs = _fs(spark, d)
+            fs.delete(p, True)

@@ -1,13 +1,12 @@
-"""Sources: broker readers, text and sequences, split-planned custom
-source, Hadoop formats and time-ordered replay of tables as streams."""
+"""Sources: broker readers, text and sequences, Hadoop formats and the replay
+of tables as streams in time slices."""
 
 from tidewire.sources.files import sequence, text_lines  # noqa: F401
 from tidewire.sources.kafka import kafka_batch, kafka_stream, source_options  # noqa: F401
 from tidewire.sources.replay import (  # noqa: F401
     BROKER_SCHEMA,
     as_broker_records,
-    read_replay_stream,
+    read_slices,
     time_slices,
-    write_replay_files,
+    write_slices,
 )
-from tidewire.sources.split_source import SplitSource, read_splits  # noqa: F401

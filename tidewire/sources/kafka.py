@@ -41,7 +41,8 @@ def kafka_stream(spark: SparkSession, servers: str, topics, **kw) -> DataFrame:
     """Unbounded read: rows ``key, value (BINARY), topic, partition, offset,
     timestamp, timestampType``; shape with ``operators.decode_kv``."""
     opts = source_options(servers, topics, **kw)
-    opts.pop("endingTimestamp", None)
+    if "endingTimestamp" in opts:
+        raise ValueError("a streaming read has no end; bound it with kafka_batch")
     return spark.readStream.format("kafka").options(**opts).load()
 
 

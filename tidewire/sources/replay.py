@@ -1,10 +1,10 @@
-"""Broker-shaped records and time-ordered replay files.
+"""Broker-shaped records and their replay in time slices.
 
 Without a broker, a stream is replayed from Parquet files that Spark
-writes from a table: each file holds one time slice, files are written in
-slice order, and ``maxFilesPerTrigger=1`` turns each into one micro-batch.
-The rows have the broker source's columns, so the same downstream code
-runs against a real topic.
+writes from a table, one directory per time slice, in one pass of all tasks.
+The streaming query is then run once per slice, resuming from its checkpoint, so
+that every slice is one micro-batch.  The rows have the broker source's
+columns, so the same downstream code runs against a real topic.
 """
 
 from __future__ import annotations
@@ -28,8 +28,10 @@ BROKER_SCHEMA = T.StructType([
 
 def as_broker_records(df: DataFrame, key: Column, value: Column, offset: Column,
                       ts: Column, topic: str = "input", partition: int = 0,
-                      ts_is_ntz: bool = True) -> DataFrame:
-    """Rows shaped like the broker source: key/value bytes plus metadata."""
+                      ts_is_ntz: bool = True,
+                      timestamp_type: int = 0) -> DataFrame:
+    """Rows shaped like the broker source: key/value bytes plus metadata
+    (``timestamp_type`` 0: set by the producer, 1: by the broker at append)."""
     instant = ntz_to_instant(ts) if ts_is_ntz else ts
     return df.select(
         F.encode(key.cast("string"), "UTF-8").alias("key"),
@@ -38,7 +40,7 @@ def as_broker_records(df: DataFrame, key: Column, value: Column, offset: Column,
         F.lit(partition).cast("int").alias("partition"),
         offset.cast("bigint").alias("offset"),
         instant.alias("timestamp"),
-        F.lit(0).alias("timestampType"),
+        F.lit(timestamp_type).alias("timestampType"),
     )
 
 
@@ -52,34 +54,20 @@ def time_slices(df: DataFrame, ts: str, slices: int, out: str = "slice") -> Data
     # one subquery for both bounds (Spark reuses it for both references)
     bounds = df.agg(F.struct(F.min(us).alias("lo"), F.max(us).alias("hi"))).scalar()
     lo, hi = bounds.getField("lo"), bounds.getField("hi")
-    # exact: numerator < 2^53 for any span below ~70 years at 4 slices
-    return df.withColumn(out, F.floor((us - lo) * F.lit(slices) / (hi - lo + F.lit(1))).cast("int"))
+    slice_us = F.call_function("div", hi - lo, F.lit(slices).cast("bigint")) + F.lit(1)
+    return df.withColumn(out, F.call_function("div", us - lo, slice_us).cast("int"))
 
 
-def write_replay_files(df: DataFrame, path: str, slice_col: str = "slice",
-                       slices: int | None = None, fmt: str = "parquet") -> list[int]:
-    """Write one file per slice, in slice order, so that file modification
-    times follow event time.  Returns the slice ids written.
-
-    The source is scanned once: it is staged partitioned by slice, then
-    each slice is copied in order (a partition-pruned read of its own
-    directory, one file).  This is replay plumbing; a production stream
-    comes from the broker.
-    """
-    spark = df.sparkSession
-    staging = f"{path.rstrip('/')}-staging"
-    df.write.mode("overwrite").partitionBy(slice_col).format(fmt).save(staging)
-    staged = spark.read.format(fmt).load(staging)
-    ids = list(range(slices)) if slices is not None else \
-        [r[0] for r in staged.select(slice_col).distinct().orderBy(slice_col).collect()]
-    for i in ids:
-        (staged.filter(F.col(slice_col) == i).drop(slice_col).coalesce(1)
-               .write.mode("append").format(fmt).save(path))
-    return ids
+def write_slices(df: DataFrame, path: str, slice_col: str = "slice", fmt: str = "parquet") -> None:
+    """Write the rows once, by all tasks, one directory per slice."""
+    df.write.mode("append").partitionBy(slice_col).format(fmt).save(path)
 
 
-def read_replay_stream(spark: SparkSession, path: str, schema: T.StructType = BROKER_SCHEMA,
-                       files_per_trigger: int = 1, fmt: str = "parquet") -> DataFrame:
-    """Stream the replay files back, one file per micro-batch."""
-    return (spark.readStream.format(fmt).schema(schema)
-                 .option("maxFilesPerTrigger", files_per_trigger).load(path))
+def read_slices(spark: SparkSession, path: str, upto: int, schema: T.StructType = BROKER_SCHEMA,
+                fmt: str = "parquet") -> DataFrame:
+    """Stream the slices ``0 .. upto``.  A query that is run once per slice,
+    with ``upto`` one higher each time and the same checkpoint, finds the earlier
+    slices' files in its log and takes the new slice as one micro-batch, however
+    many files it has."""
+    slices = ",".join(str(i) for i in range(upto + 1))
+    return spark.readStream.format(fmt).schema(schema).load(f"{path.rstrip('/')}/slice={{{slices}}}")

@@ -1,6 +1,11 @@
-"""Structured Streaming: windowed panes, late data, stream joins, runners."""
+"""Structured Streaming: windowed panes, stream joins, runners."""
 
-from tidewire.streaming.joins import stream_cogroup_counts, stream_lookup_join  # noqa: F401
+from tidewire.streaming.joins import (  # noqa: F401
+    bounded_side_counts,
+    merged_cogroup,
+    stream_lookup_join,
+    stream_side_counts,
+)
 from tidewire.streaming.runner import (  # noqa: F401
     batches_run,
     rows_dropped_by_watermark,
@@ -8,7 +13,5 @@ from tidewire.streaming.runner import (  # noqa: F401
     run_early,
     run_final,
     start_early,
-    start_with_partitions,
-    state_partitions,
 )
-from tidewire.streaming.windows import late_groups, late_rows, stream_window_counts, watermarked  # noqa: F401
+from tidewire.streaming.windows import stream_window_counts  # noqa: F401

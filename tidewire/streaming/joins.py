@@ -1,15 +1,14 @@
 """Stream x bounded joins as Structured Streaming queries.
 
-Co-group: a stream-static full outer join is not allowed, so the bounded
-side is read as a (file) *stream* too, both are tagged and unioned, and
-one windowed aggregation does the co-group.  There is one watermark,
-set after the union: per-side watermarks would let the exhausted bounded
-side hold the global watermark back.  Bounded rows are read in the first
-micro-batch (no rate limit on that source), before the watermark moves.
-
-The state kept per (window, key) is the long form ``(side, value, n)``:
-it grows with distinct values, not with rows, and it is what the update
--mode output carries; the one-line rendering happens on the read-back.
+Co-group: the bounded side is known before the stream starts and all its rows
+carry one event time, so it fills one known window.  Only the stream is aggregated
+as a stream; the bounded side is counted as a batch and the two long forms are put
+together when the result is read.  The watermark then follows the stream's own
+times alone: a topic read from its earliest offset is never late against the
+bounded side's stamp, and the bounded rows take no state.
+
+The state kept per (window, key) is the long form ``(side, value, n)``: it grows
+with distinct values, not with rows, and it is what the update-mode output carries.
 """
 
 from __future__ import annotations
@@ -19,21 +18,37 @@ from pyspark.sql import functions as F
 
 from tidewire.fixed import ALLOWED_LATENESS, JOIN_WINDOW
 from tidewire.functions.time import instant_to_ntz
-from tidewire.operators.joins import lookup_join, tag_sides
-
-
-def stream_cogroup_counts(stream: DataFrame, bounded: DataFrame, key: str = "key",
-                          value: str = "value", ts: str = "ts", window: str = JOIN_WINDOW,
-                          lateness: str = ALLOWED_LATENESS) -> DataFrame:
-    """Streaming long-form co-group: ``(window_start, window_end, key, side,
-    value, n)``; ``ts`` must be an instant (``TIMESTAMP``) on both sides."""
-    tagged = tag_sides(stream, bounded, key, value, ts).withWatermark("ts", lateness)
-    w = F.window("ts", window)
-    return (tagged.groupBy(w.alias("w"), "key", "side", "value")
-                  .agg(F.count(F.lit(1)).alias("n"))
-                  .select(instant_to_ntz("w.start").alias("window_start"),
-                          instant_to_ntz("w.end").alias("window_end"),
-                          "key", "side", "value", "n"))
+from tidewire.operators.joins import BOUNDED_SIDE, STREAM_SIDE, lookup_join
+from tidewire.sinks.replay_safe import latest_count
+
+LONG_KEYS = ["window_start", "window_end", "key", "side", "value"]
+
+
+def _counts(df: DataFrame, side: int, key: str, value: str, ts: str, window: str) -> DataFrame:
+    w = F.window(ts, window)
+    return (df.groupBy(w.alias("w"), F.col(key).alias("key"), F.col(value).cast("string").alias("value"))
+              .agg(F.count(F.lit(1)).alias("n"))
+              .select(instant_to_ntz("w.start").alias("window_start"), instant_to_ntz("w.end").alias("window_end"),
+                      "key", F.lit(side).alias("side"), "value", "n"))
+
+
+def stream_side_counts(stream: DataFrame, key: str = "key", value: str = "value", ts: str = "ts",
+                       window: str = JOIN_WINDOW, lateness: str = ALLOWED_LATENESS) -> DataFrame:
+    """Streaming long form of the stream side: ``(window_start, window_end,
+    key, side, value, n)``; ``ts`` must be an instant (``TIMESTAMP``)."""
+    return _counts(stream.withWatermark(ts, lateness), STREAM_SIDE, key, value, ts, window)
+
+
+def bounded_side_counts(bounded: DataFrame, key: str = "key", value: str = "value", ts: str = "ts",
+                        window: str = JOIN_WINDOW) -> DataFrame:
+    """The same long form of the bounded side, as a batch."""
+    return _counts(bounded, BOUNDED_SIDE, key, value, ts, window)
+
+
+def merged_cogroup(panes: DataFrame, bounded: DataFrame) -> DataFrame:
+    """The co-group so far, in long form: the last pane of every stream count
+    and the bounded side's counts.  One hash aggregate over the panes."""
+    return latest_count(panes, LONG_KEYS).unionByName(bounded.select(*LONG_KEYS, "n"))
 
 
 def stream_lookup_join(stream: DataFrame, lookup: DataFrame, key: str = "key",

@@ -2,45 +2,14 @@
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewire.fixed import EARLY_FIRING_DELAY
 
-_start_lock = threading.Lock()  # the partition setting is changed only around start()
-
-
-def state_partitions(spark) -> int:
-    """Partitions for a new stateful query: the session's shuffle partitions,
-    at most one per core of the cluster (a state store runs per partition
-    in every micro-batch, so idle partitions cost time each batch)."""
-    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                      spark.sparkContext.defaultParallelism))
-
-
-def start_with_partitions(writer: DataStreamWriter, spark=None, partitions: int | None = None) -> StreamingQuery:
-    """Start ``writer``; with ``partitions``, the query is started with that
-    many shuffle (and state) partitions.  The number is recorded in the
-    checkpoint on the first start and kept by every restart; the session's
-    own setting is restored right after the start."""
-    if partitions is None or spark is None:
-        return writer.start()
-    key = "spark.sql.shuffle.partitions"
-    with _start_lock:
-        old = spark.conf.get(key)
-        spark.conf.set(key, str(partitions))
-        try:
-            return writer.start()
-        finally:
-            spark.conf.set(key, old)
-
-
-def run_available(writer: DataStreamWriter, timeout_s: float | None = None, spark=None,
-                  partitions: int | None = None) -> StreamingQuery:
+def run_available(writer: DataStreamWriter, timeout_s: float | None = None) -> StreamingQuery:
     """Process everything available now (in as many micro-batches as the
     sources' rate limits give), then stop.  Raises the query's error."""
-    q = start_with_partitions(writer.trigger(availableNow=True), spark, partitions)
+    q = writer.trigger(availableNow=True).start()
     finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if finished is False:
         q.stop()
@@ -61,35 +30,30 @@ def batches_run(q: StreamingQuery) -> int:
 
 
 def run_final(df, path: str, checkpoint: str, partition_by: str | None = None,
-              fmt: str = "parquet", partitions: int | None = None, timeout_s: float | None = None):
+              fmt: str = "parquet", timeout_s: float | None = None):
     """On-time results only: append-mode file sink (a windowed aggregate is
     written once the watermark passes the window end), run to the end of
     the available input.  Returns the finished query; read the output with
-    ``spark.read`` (the sink's commit log hides uncommitted files)."""
+    ``spark.read`` (the sink's commit log hides uncommitted files).  Stateful
+    queries take the session's ``spark.sql.shuffle.partitions`` as their number of
+    state partitions, for good: the checkpoint records it."""
     w = (df.writeStream.format(fmt).outputMode("append")
            .option("path", path).option("checkpointLocation", checkpoint))
     if partition_by:
         w = w.partitionBy(partition_by)
-    spark = df.sparkSession
-    return run_available(w, timeout_s, spark, partitions if partitions is not None else state_partitions(spark))
+    return run_available(w, timeout_s)
 
 
-def run_early(df, path: str, checkpoint: str, fmt: str = "parquet",
-              partitions: int | None = None, timeout_s: float | None = None):
+def run_early(df, path: str, checkpoint: str, fmt: str = "parquet", timeout_s: float | None = None):
     """Early (accumulating) results: update-mode output, every pane written
-    through the replay-safe sink to ``<path>/batch_id=<n>``; the complete
-    result is ``sinks.latest_pane`` of what was written."""
+    through the replay-safe sink; the complete result is
+    ``sinks.latest_pane`` (or ``latest_count``) of what was written."""
     from tidewire.sinks.replay_safe import replay_safe_sink
-    spark = df.sparkSession
-    return run_available(replay_safe_sink(df, path, checkpoint, output_mode="update", fmt=fmt),
-                         timeout_s, spark, partitions if partitions is not None else state_partitions(spark))
+    return run_available(replay_safe_sink(df, path, checkpoint, output_mode="update", fmt=fmt), timeout_s)
 
 
-def start_early(df, path: str, checkpoint: str, every: str = EARLY_FIRING_DELAY,
-                partitions: int | None = None):
+def start_early(df, path: str, checkpoint: str, every: str = EARLY_FIRING_DELAY):
     """Long-running form of ``run_early``: a pane update every ``every`` of
     processing time (the early-firing cadence), until stopped."""
     from tidewire.sinks.replay_safe import replay_safe_sink
-    spark = df.sparkSession
-    w = replay_safe_sink(df, path, checkpoint, output_mode="update").trigger(processingTime=every)
-    return start_with_partitions(w, spark, partitions if partitions is not None else state_partitions(spark))
+    return replay_safe_sink(df, path, checkpoint, output_mode="update").trigger(processingTime=every).start()

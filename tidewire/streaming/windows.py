@@ -1,5 +1,4 @@
-"""Streaming windowed aggregation: final (append), early (update) panes,
-and the late-data rule.
+"""Streaming windowed aggregation: final (append) and early (update) panes.
 
 Mapping of the original trigger settings:
 
@@ -19,12 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.fixed import ALLOWED_LATENESS, JOIN_WINDOW
-from tidewire.functions.time import epoch_micros, instant_to_ntz
-
-
-def watermarked(df: DataFrame, ts: str, lateness: str) -> DataFrame:
-    """``withWatermark`` on an instant (``TIMESTAMP``) column."""
-    return df.withWatermark(ts, lateness)
+from tidewire.functions.time import instant_to_ntz
 
 
 def stream_window_counts(df: DataFrame, ts: str = "ts", length: str = JOIN_WINDOW,
@@ -32,66 +26,10 @@ def stream_window_counts(df: DataFrame, ts: str = "ts", length: str = JOIN_WINDO
     """Rows per (tumbling window, keys) with a watermark; window bounds come
     out as UTC wall-clock ``TIMESTAMP_NTZ``."""
     w = F.window(F.col(ts), length)
-    return (watermarked(df, ts, lateness)
+    return (df.withWatermark(ts, lateness)
             .groupBy(w.alias("w"), *keys)
             .agg(F.count(F.lit(1)).alias("n"))
             .select(instant_to_ntz("w.start").alias("window_start"),
                     instant_to_ntz("w.end").alias("window_end"), *keys, "n"))
 
 
-def late_rows(arrivals: DataFrame, ts: str = "ts", batch: str = "batch",
-              length: str = JOIN_WINDOW, lateness: str = ALLOWED_LATENESS,
-              lag: int = 2) -> DataFrame:
-    """Apply the late-data rule to rows with a known arrival batch.
-
-    A stateful operator drops a row when its window ends at or before the
-    *late-event watermark* of the batch it arrives in.  Spark (3.4+) uses
-    the previous batch's eviction watermark for that, and the eviction
-    watermark of a batch is ``max(event time seen before it) - lateness``.
-    So for micro-batches that run back to back the row of batch *b* is
-    checked against ``max(event time of batches <= b - 2) - lateness``
-    (``lag=2``).  When every data batch is followed by a no-data batch
-    (e.g. one run per file) the check uses batches ``<= b - 1``
-    (``lag=1``).  Adds ``watermark`` (NULL: nothing is late) and ``late``.
-
-    ``ts`` is UTC wall-clock ``TIMESTAMP_NTZ``.  The per-batch maxima are a
-    tiny aggregate (one row per micro-batch) joined back to the rows.
-    """
-    us = epoch_micros(ts)
-    length_us = F.lit(_duration_us(length))
-    lateness_us = F.lit(_duration_us(lateness))
-    per_batch = arrivals.groupBy(batch).agg(F.max(us).alias("_max_us"))
-    # running max over earlier batches: a window over one row per batch
-    from pyspark.sql import Window
-    prior = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -lag)
-    marks = per_batch.select(batch, (F.max("_max_us").over(prior) - lateness_us).alias("_wm_us"))
-    window_end_us = us - F.pmod(us, length_us) + length_us
-    # ``marks`` has exactly one row per arrival batch (a schedule, not data
-    # volume), so broadcasting it is bounded by the number of micro-batches
-    return (arrivals.join(F.broadcast(marks), on=batch, how="left")
-                    .withColumn("late", F.coalesce(window_end_us <= F.col("_wm_us"), F.lit(False)))
-                    .withColumn("watermark", F.timestamp_micros("_wm_us"))
-                    .withColumn("watermark", instant_to_ntz("watermark"))
-                    .drop("_wm_us"))
-
-
-def late_groups(marked: DataFrame, batch: str = "batch", ts: str = "ts",
-                length: str = JOIN_WINDOW, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Distinct late ``(batch, window, keys)`` groups of a ``late_rows``
-    result.
-
-    Spark's ``numRowsDroppedByWatermark`` counts rows *after* the partial
-    aggregation that runs before the state store: all late rows of one
-    window and key in one task count once.  For batches read as one task
-    each (one small file per micro-batch), the number of rows returned
-    here equals that metric; ``late_rows`` itself counts input rows.
-    """
-    start = F.window(F.col(ts), length).start.alias("window_start")
-    return marked.filter(F.col("late")).select(batch, start, *keys).distinct()
-
-
-def _duration_us(text: str) -> int:
-    n, unit = text.split()
-    scale = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60,
-             "hour": 3600, "hours": 3600, "day": 86400, "days": 86400}[unit.lower()]
-    return int(n) * scale * 1_000_000
