@@ -18,3 +18,27 @@ class _Client:
 
 def factory(options):
     return _Client(options["fake_log"])
+
+
+class _Throttling(_Client):
+    """Rejects every third record of a call the first time it is sent."""
+
+    def __init__(self, log):
+        super().__init__(log)
+        self.refused = set()
+
+    def put_records(self, StreamName, Records):  # noqa: N803 (client API names)
+        taken, answer = [], []
+        for i, r in enumerate(Records):
+            if i % 3 == 0 and r["Data"] not in self.refused:
+                self.refused.add(r["Data"])
+                answer.append({"ErrorCode": "ProvisionedThroughputExceededException"})
+            else:
+                taken.append(r)
+                answer.append({"SequenceNumber": "1"})
+        super().put_records(StreamName, taken)
+        return {"FailedRecordCount": len(Records) - len(taken), "Records": answer}
+
+
+def throttling(options):
+    return _Throttling(options["fake_log"])

@@ -14,7 +14,7 @@ spec.loader.exec_module(E)
 from pyspark.sql import SparkSession
 spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false").getOrCreate())
-print("ROWS", E.queries()["partitioned_source"](spark, "/root/testdata/sf0.001").count())
+print("ROWS", E.queries()["employee_records"](spark, "/root/testdata/sf0.001").count())
 print("ENTRY", E.entry(spark).count())
 spark.stop()
 """

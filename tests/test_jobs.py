@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewire.plans import jobs
-from tidewire.sinks.replay_safe import latest_pane, read_batches
 from tidewire.sources.hadoop import hadoop_read, hadoop_write
 from tidewire.sources.replay import BROKER_SCHEMA, as_broker_records
 from tidewire.streaming import run_available
@@ -22,7 +21,7 @@ def test_copy_modes(spark):
     assert pr == [("topic1", "k", "null"), ("topic2", "k2", "b,2"), ("topic2", "null", "a,1")]
     assert jobs.copy_plan(recs, "values").columns == ["value"]
     assert jobs.copy_plan(recs, "kv").columns == ["key", "value"]
-    with pytest.raises(ValueError, match="Unknown run mode"):
+    with pytest.raises(ValueError, match="mode must be one of"):
         jobs.copy_plan(recs, "xx")
 
 
@@ -31,16 +30,64 @@ def test_cogroup_job_end_to_end(spark, scratch):
         .coalesce(1).write.parquet(f"{scratch}/topic")
     spark.createDataFrame([("a,1",), ("b,2",)], "value string").write.text(f"{scratch}/bounded")
     recs = spark.readStream.schema(BROKER_SCHEMA).parquet(f"{scratch}/topic")
-    lines = spark.readStream.format("text").load(f"{scratch}/bounded")
-    plan = jobs.cogroup_plan(recs, lines, "1970-01-01 00:00:00", stamp_offset="5 seconds")
+    lines = spark.read.text(f"{scratch}/bounded")
     from tidewire.sinks.replay_safe import replay_safe_sink
-    run_available(replay_safe_sink(plan, f"{scratch}/out", f"{scratch}/ck", output_mode="update"))
+    run_available(replay_safe_sink(jobs.cogroup_plan(recs), f"{scratch}/out", f"{scratch}/ck", output_mode="update"))
     from tidewire import operators as ops
-    last = latest_pane(read_batches(spark, f"{scratch}/out"), ["window_start", "key", "side", "value"])
-    assert sorted(r.line for r in ops.format_cogroup(last).collect()) == [
+    out = jobs.cogroup_result(spark, f"{scratch}/out", lines, "1970-01-01 00:00:00", stamp_offset="5 seconds")
+    assert sorted(r.line for r in ops.format_cogroup(out).collect()) == [
         "K: [a], SVs: [x],[y],, BVs: [1],", "K: [b], SVs: , BVs: [2],", "K: [s], SVs: [w],, BVs: "]
 
 
+def test_cogroup_backlog_is_not_late_against_the_start(spark, scratch):
+    """Topic rows at 1000, 1040, 1080 and 1120 s, one file each, start 5000 s:
+    all four are counted."""
+    from tidewire.sinks.replay_safe import replay_safe_sink
+    for i, s in enumerate((1000, 1040, 1080, 1120)):
+        _records(spark, [("x", "a,v", i, s)]).coalesce(1).write.mode("append").parquet(f"{scratch}/topic")
+    recs = spark.readStream.schema(BROKER_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/topic")
+    run_available(replay_safe_sink(jobs.cogroup_plan(recs), f"{scratch}/out", f"{scratch}/ck", output_mode="update"))
+    lines = spark.createDataFrame([("a,1",)], "value string")
+    out = jobs.cogroup_result(spark, f"{scratch}/out", lines, "1970-01-01 01:23:20").collect()
+    assert sum(r.n for r in out if r.side == 0) == 4 and sum(r.n for r in out if r.side == 1) == 1
+
+
+def test_cogroup_result_before_the_first_batch(spark, scratch):
+    lines = spark.createDataFrame([("a,1",)], "value string")
+    out = jobs.cogroup_result(spark, f"{scratch}/none", lines, "1970-01-01 00:00:00").collect()
+    assert [(r.key, r.side, r.n) for r in out] == [("a", 1, 1)]
+
+
+def test_copy_bounds(spark, scratch):
+    recs = _records(spark, [("k", f"v{i}", i, 10 * i) for i in range(6)])
+    assert jobs.copy_plan(recs, "pr", for_time="25 seconds").count() == 3
+    assert sorted(r.value for r in jobs.copy_plan(recs, "kv", for_count=2).collect()) == ["v0", "v1"]
+    recs.write.parquet(scratch)
+    with pytest.raises(ValueError, match="batch read"):
+        jobs.copy_plan(spark.readStream.schema(BROKER_SCHEMA).parquet(scratch), "pr", for_count=1)
+
+
+def test_lookup_job(spark, scratch):
+    _records(spark, [("x", "a,x", 0, 1), ("x", "z,y", 1, 2)]).coalesce(1).write.parquet(f"{scratch}/topic")
+    recs = spark.readStream.schema(BROKER_SCHEMA).parquet(f"{scratch}/topic")
+    q = jobs.lookup_job(recs, spark.createDataFrame([("a,1",)], "value string"), f"{scratch}/out", f"{scratch}/ck")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.line for r in spark.read.parquet(f"{scratch}/out").collect()) == [
+        "K: [a], SVs: x, BVs: 1", "K: [z], SVs: y, BVs: null"]
+
+
+def test_keyed_write_job(spark, scratch):
+    raw = spark.createDataFrame([(str(i % 5), f"n{i}_c{i}") for i in range(20)], "id string, raw string")
+    jobs.keyed_write_job(raw, scratch)
+    back = spark.read.parquet(scratch)
+    assert sorted(tuple(r) for r in back.collect()) == sorted((str(i % 5), f"n{i}", f"c{i}") for i in range(20))
+    files = back.withColumn("f", F.input_file_name()).groupBy("id").agg(F.countDistinct("f").alias("n"))
+    assert files.filter("n > 1").count() == 0
+
+
 def test_lookup_plan_streaming(spark, scratch):
     _records(spark, [("x", "a,x", 0, 1), ("x", "z,y", 1, 2)]).coalesce(1).write.parquet(f"{scratch}/topic")
     recs = spark.readStream.schema(BROKER_SCHEMA).parquet(f"{scratch}/topic")
@@ -79,21 +126,6 @@ def test_hadoop_format_roundtrip(spark, scratch):
     assert sorted(tuple(r) for r in back.collect()) == sorted((str(i), f"e{i}") for i in range(15))
 
 
-def test_split_read_plan(spark, scratch):
-    spark.createDataFrame([("0", "Alex", "US"), ("1", "John", "UK")], "id string, n string, a string") \
-        .write.parquet(scratch)
-    out = sorted(r.text for r in jobs.split_read_plan(spark, scratch, 2, "id", "n", "a").collect())
-    assert out == ["key: 0, val: Employee{Name='Alex', Address=US}",
-                   "key: 1, val: Employee{Name='John', Address=UK}"]
-
-
-def test_parameter_and_codec_plans(spark):
-    words = spark.createDataFrame([(f"word{i}",) for i in range(10)], "w string")
-    assert jobs.parameter_plan(words, "w").first().w == "UserValue_word0"
-    strings = spark.createDataFrame([("aaa",), ("bbb",), ("ccc",)], "str_data_prop string")
-    assert [r.str_data_prop for r in jobs.codec_plan(strings, "str_data_prop").collect()] == ["aaa", "bbb", "ccc"]
-
-
 def test_kinesis_job_with_stand_in_client(spark, tmp_path):
     import json
     log = str(tmp_path / "sent.jsonl")

@@ -10,9 +10,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import compare, duck  # noqa: E402
 
+from tidewire.plans.registry import all_oracle_sql, all_queries  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = all_queries()  # those of the llm subpackage are tested in tests/llm
+SQL = all_oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -32,5 +34,5 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["window_start", "key", "line"]
+    assert df.columns == ["window_start", "window_end", "key", "side", "value", "n"]
     assert df.count() > 0

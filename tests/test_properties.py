@@ -68,36 +68,6 @@ BATCHES = st.lists(st.lists(st.integers(min_value=0, max_value=200), min_size=1,
                    min_size=2, max_size=5)
 
 
-@settings(max_examples=6, deadline=None)
-@given(BATCHES)
-def test_late_row_audit_matches_engine(spark, batches):
-    """Random arrival schedules: the engine's dropped-row count equals the
-    audit's late (batch, window) groups under the two-batch-lag rule
-    (back-to-back batches; the engine counts rows after partial
-    aggregation)."""
-    from tidewire.session import scratch_path
-    from tidewire.streaming import (
-        late_groups,
-        late_rows,
-        rows_dropped_by_watermark,
-        run_available,
-        stream_window_counts,
-    )
-    base = scratch_path(spark, "prop-late")
-    for b in batches:
-        (spark.createDataFrame([("a", s) for s in b], "key string, s long")
-              .select("key", F.timestamp_seconds("s").alias("ts"))
-              .coalesce(1).write.mode("append").parquet(f"{base}/in"))
-    src = spark.readStream.schema("key string, ts timestamp").option("maxFilesPerTrigger", 1) \
-        .parquet(f"{base}/in")
-    agg = stream_window_counts(src, "ts", "20 seconds", ("key",), "20 seconds")
-    q = run_available(agg.writeStream.format("parquet").outputMode("append")
-                      .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck"))
-    arrivals = spark.createDataFrame([(i, s) for i, b in enumerate(batches) for s in b], "batch int, s long") \
-        .select("batch", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"))
-    assert rows_dropped_by_watermark(q) == late_groups(late_rows(arrivals, lag=2)).count()
-
-
 def _java_split(line):
     parts = line.split(",")
     while parts and parts[-1] == "":
@@ -105,6 +75,17 @@ def _java_split(line):
     return parts if line != "" else [""]
 
 
+def _kept(batches, ts):
+    """Rows that back-to-back micro-batches count: a row is late if its 20 s
+    window ended at or before (latest time two batches or more ago) - 20 s."""
+    out, seen = [], []
+    for b in batches:
+        mark = max((ts(r) for x in seen[:-1] for r in x), default=0) - 20
+        out += [r for r in b if ts(r) - ts(r) % 20 + 20 > mark]
+        seen.append(b)
+    return out
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.text(alphabet="ab,é", max_size=7), min_size=1, max_size=15))
 def test_csv_key_value_match_java_split(spark, lines):
@@ -146,7 +127,7 @@ def test_update_mode_last_pane_equals_batch(spark, batches):
     batch count over the rows the engine kept (the late groups dropped)."""
     from tidewire.session import scratch_path
     from tidewire.sinks.replay_safe import latest_pane, read_batches
-    from tidewire.streaming import late_rows, run_early, stream_window_counts
+    from tidewire.streaming import run_early, stream_window_counts
     base = scratch_path(spark, "prop-update")
     for b in batches:
         (spark.createDataFrame([("a", s) for s in b], "key string, s long")
@@ -158,9 +139,8 @@ def test_update_mode_last_pane_equals_batch(spark, batches):
               f"{base}/out", f"{base}/ck")
     last = {(r.window_start, r.n) for r in
             latest_pane(read_batches(spark, f"{base}/out"), ["window_start", "key"]).collect()}
-    arrivals = spark.createDataFrame([(i, s) for i, b in enumerate(batches) for s in b], "batch int, s long") \
-        .select("batch", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"))
-    kept = late_rows(arrivals, lag=2).filter("not late")
+    kept = spark.createDataFrame([(v,) for v in _kept(batches, lambda v: v)], "s long") \
+        .select(F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"))
     want = {(r.window_start, r.n) for r in ops.window_counts(kept, "ts", "20 seconds").collect()}
     assert last == want
 
@@ -171,12 +151,11 @@ def test_update_mode_last_pane_equals_batch(spark, batches):
                 min_size=2, max_size=4),
        st.integers(min_value=0, max_value=150))
 def test_stream_cogroup_last_panes_equal_batch_cogroup(spark, batches, bounded_at):
-    """Stream batches plus a bounded side read in the first batch (one
-    watermark after the union): the rendered last panes equal the batch
-    co-group of the rows the engine keeps."""
+    """Stream batches plus a bounded side at any time: the rendered last panes
+    equal the batch co-group of the rows the engine keeps."""
     from tidewire.session import scratch_path
-    from tidewire.sinks.replay_safe import latest_pane, read_batches
-    from tidewire.streaming import late_rows, run_early, stream_cogroup_counts
+    from tidewire.sinks.replay_safe import read_batches
+    from tidewire.streaming import bounded_side_counts, merged_cogroup, run_early, stream_side_counts
     base = scratch_path(spark, "prop-cogroup")
     schema = "key string, value string, s long"
     for b in batches:
@@ -187,18 +166,16 @@ def test_stream_cogroup_last_panes_equal_batch_cogroup(spark, batches, bounded_a
           .coalesce(1).write.parquet(f"{base}/bounded"))
     ss = "key string, value string, ts timestamp"
     stream = spark.readStream.schema(ss).option("maxFilesPerTrigger", 1).parquet(f"{base}/stream")
-    bounded = spark.readStream.schema(ss).parquet(f"{base}/bounded")
-    run_early(stream_cogroup_counts(stream, bounded), f"{base}/out", f"{base}/ck")
-    last = latest_pane(read_batches(spark, f"{base}/out"), ["window_start", "key", "side", "value"])
+    run_early(stream_side_counts(stream), f"{base}/out", f"{base}/ck")
+    bounded = spark.read.schema(ss).parquet(f"{base}/bounded")
+    last = merged_cogroup(read_batches(spark, f"{base}/out"), bounded_side_counts(bounded))
     got = sorted((r.window_start, r.line) for r in ops.format_cogroup(last).collect())
 
-    # batch model: both sides arrive by batch (bounded side in batch 0), one watermark
-    rows = [(i, 0, k, v, s) for i, b in enumerate(batches) for k, v, s in b] + \
-           [(0, 1, k, v, s) for k, v, s in bounded_rows]
-    arr = spark.createDataFrame(rows, "batch int, side int, key string, value string, s long") \
-        .select("batch", "side", "key", "value", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"))
-    kept = late_rows(arr, lag=2).filter("not late")
-    want_df = ops.windowed_cogroup(kept.filter("side = 0"), kept.filter("side = 1"))
+    # only the stream can be late, against its own times
+    def frame(rows):
+        return spark.createDataFrame(rows, schema).select(
+            "key", "value", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"))
+    want_df = ops.windowed_cogroup(frame(_kept(batches, lambda r: r[2])), frame(bounded_rows))
     want = sorted((r.window_start, r.line) for r in want_df.collect())
     assert got == want
 
@@ -230,4 +207,4 @@ def test_time_slices_match_integer_formula(spark, micros, k):
         .select("us", F.timestamp_micros("us").alias("t"))
     got = sorted((r.us, r.slice) for r in time_slices(df, "t", k).collect())
     lo, hi = min(micros), max(micros)
-    assert got == sorted((m, (m - lo) * k // (hi - lo + 1)) for m in micros)
+    assert got == sorted((m, (m - lo) // ((hi - lo) // k + 1)) for m in micros)

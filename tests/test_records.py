@@ -5,22 +5,18 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tests.support.rows import PEOPLE
 from tidewire import operators as ops
-from tidewire.functions.records import registry_frame
-
-EMPLOYEES = ["Alex_US", "John_UK", "Tom_UK", "Nick_UAE", "Smith_IND", "Taylor_US", "Gray_UK",
-             "James_UAE", "Jordan_IND", "Leena_UK", "Zara_UAE", "Talia_IND", "Rose_UK",
-             "Kelvin_UAE", "Goerge_IND"]
-
+from tidewire.functions.records import registry_frame, same_record
 
 def test_employee_fixture_parse_and_render(spark):
-    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(EMPLOYEES)], "id string, raw string")
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(PEOPLE)], "id string, raw string")
     rec = ops.parse_delimited(df, "raw", "_", ["emp_name", "emp_address"], keep=("id",))
     rows = {r.id: (r.emp_name, r.emp_address) for r in rec.collect()}
-    assert rows["0"] == ("Alex", "US") and rows["14"] == ("Goerge", "IND") and len(rows) == 15
+    assert rows["0"] == ("Ada", "LND") and rows["8"] == ("Ivo", "PRG") and len(rows) == 9
     text = ops.render_records(rec, "key: %s, val: Employee{Name='%s', Address=%s}",
                               ["id", "emp_name", "emp_address"], keep=("id",))
-    assert text.filter("id = '3'").collect()[0].text == "key: 3, val: Employee{Name='Nick', Address=UAE}"
+    assert text.filter("id = '3'").collect()[0].text == "key: 3, val: Employee{Name='Dora', Address=VIE}"
 
 
 def test_underscore_rule_keeps_trailing_empty(spark):
@@ -49,11 +45,32 @@ def test_payload_roundtrip(spark):
 def test_record_equality_null_safe(spark):
     df = spark.createDataFrame([(None, "x", None, "x"), (None, "x", "n", "x"), ("a", "b", "a", "b")],
                                "n1 string, a1 string, n2 string, a2 string")
-    same = [r[0] for r in df.select(ops.compare_records([F.col("n1"), F.col("a1")],
-                                                        [F.col("n2"), F.col("a2")])).collect()]
+    same = [r[0] for r in df.select(same_record(F.struct("n1", "a1"), F.struct("n2", "a2"))).collect()]
     assert same == [True, False, True]
 
 
+def test_registry_frame_refuses_other_bytes(spark):
+    for bad in ("7F0000002A0A48", "00", ""):
+        df = spark.createDataFrame([(bytearray.fromhex(bad),)], "value binary")
+        with pytest.raises(PySparkException, match="not a registry-framed value"):
+            ops.strip_registry_frame(df).collect()
+
+
+def test_long_key_refuses_other_lengths(spark):
+    from tidewire.functions.kv import long_from_bytes
+    ok = spark.createDataFrame([(bytearray.fromhex("FFFFFFFFFFFFFFFF"),), (None,)], "k binary")
+    assert [r[0] for r in ok.select(long_from_bytes("k")).collect()] == [-1, None]
+    with pytest.raises(PySparkException, match="8 bytes"):
+        spark.createDataFrame([(bytearray.fromhex("FFFFFFFF"),)], "k binary").select(long_from_bytes("k")).collect()
+
+
+def test_rendered_counts_are_never_cut(spark):
+    from tidewire.functions.records import bracket_join
+    df = spark.sql("select array(named_struct('value', 'v', 'n', 2147483649L)) as e")
+    with pytest.raises(PySparkException, match="too many equal values"):
+        df.select(bracket_join("e")).collect()
+
+
 def test_registry_frame(spark):
     df = spark.createDataFrame([(42, bytearray.fromhex("0A48"))], "sid int, payload binary")
     framed = df.select(registry_frame("sid", "payload").alias("value"))

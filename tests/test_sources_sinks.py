@@ -1,4 +1,4 @@
-"""Custom partitioned source, Kinesis-style sink, file sinks."""
+"""Kinesis-style sink, file sinks."""
 
 import json
 import os
@@ -8,47 +8,6 @@ from pyspark.sql import functions as F
 from tests.conftest import local_path
 from tidewire.sinks.files import keyed_partition_write, window_dir_column, windowed_parquet
 from tidewire.sinks.kinesis import kinesis_records, register as register_kinesis
-from tidewire.sources.split_source import Unit, assign, read_splits
-
-EMPLOYEES = ["Alex_US", "John_UK", "Tom_UK", "Nick_UAE", "Smith_IND", "Taylor_US", "Gray_UK",
-             "James_UAE", "Jordan_IND", "Leena_UK", "Zara_UAE", "Talia_IND", "Rose_UK",
-             "Kelvin_UAE", "Goerge_IND"]
-
-
-def test_split_source_three_splits_of_five(spark, scratch):
-    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(EMPLOYEES)], "id string, raw string")
-    df.coalesce(1).write.parquet(scratch)
-    out = read_splits(spark, scratch, splits=3, split_column="split")
-    assert out.rdd.getNumPartitions() == 3
-    per_split = {r.split: sorted(int(x) for x in r.ids) for r in
-                 out.groupBy("split").agg(F.collect_list("id").alias("ids")).collect()}
-    assert per_split == {0: [0, 1, 2, 3, 4], 1: [5, 6, 7, 8, 9], 2: [10, 11, 12, 13, 14]}
-
-
-def test_split_source_records_per_split(spark, scratch):
-    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(EMPLOYEES)], "id string, raw string")
-    df.coalesce(1).write.parquet(scratch)
-    out = read_splits(spark, scratch, records_per_split=5, split_column="split")
-    sizes = sorted(r["count"] for r in out.groupBy("split").count().collect())
-    assert sizes == [5, 5, 5]
-
-
-def test_split_source_whole_files_without_footers(spark, scratch):
-    df = spark.range(40).select(F.col("id").cast("string").alias("id"))
-    df.repartition(4).write.parquet(scratch)
-    from tidewire.sources.split_source import plan_units
-    units = plan_units(local_path(scratch), 2)
-    assert len(units) == 4 and all(u.row_group is None for u in units)
-    out = read_splits(spark, local_path(scratch), splits=2, split_column="split")
-    assert sorted(int(r.id) for r in out.collect()) == list(range(40))
-    assert out.rdd.getNumPartitions() == 2
-
-
-def test_split_assignment_balances_row_groups():
-    units = [Unit("f", g, 0, n) for g, n in enumerate([10, 10, 10, 10, 40])]
-    splits = assign(units, 2)
-    assert [s.length for s in splits] == [40, 40]
-
 
 def test_kinesis_sink_sends_all_rows_in_batches(spark, tmp_path):
     log = str(tmp_path / "sent.jsonl")
@@ -65,9 +24,53 @@ def test_kinesis_sink_sends_all_rows_in_batches(spark, tmp_path):
     assert all(len(c["records"]) <= 500 for c in calls)
 
 
+def test_kinesis_sink_keeps_to_the_byte_limit(spark, tmp_path):
+    log = str(tmp_path / "sent.jsonl")
+    register_kinesis(spark)
+    data = spark.range(120).select(F.encode(F.rpad(F.col("id").cast("string"), 200_000, "."), "UTF-8").alias("data"))
+    frame = kinesis_records(data, "data", "key").coalesce(1)
+    (frame.write.format("tidewire-kinesis").mode("append")
+          .option("stream", "s1").option("client_factory", "tests.support.fake_stream_client:factory")
+          .option("fake_log", log).save())
+    calls = [json.loads(x) for x in open(log)]
+    assert all(sum(len(v) + len(k) for k, v in c["records"]) <= 5 * 1024 * 1024 for c in calls)
+    assert sorted(int(v.rstrip(".")) for c in calls for _, v in c["records"]) == list(range(120))
+
+
+def test_kinesis_sink_resends_rejected_records_only(spark, tmp_path):
+    log = str(tmp_path / "sent.jsonl")
+    register_kinesis(spark)
+    data = spark.range(700).select(F.encode(F.col("id").cast("string"), "UTF-8").alias("data"))
+    (kinesis_records(data, "data", "key").coalesce(1).write.format("tidewire-kinesis").mode("append")
+          .option("stream", "s1").option("client_factory", "tests.support.fake_stream_client:throttling")
+          .option("fake_log", log).save())
+    taken = [v for line in open(log) for _, v in json.loads(line)["records"]]
+    assert sorted(int(v) for v in taken) == list(range(700))  # every record, none twice
+    assert sum(1 for _ in open(log)) == 4
+
+
+def test_kinesis_sink_refuses_what_the_service_cannot_take(spark, tmp_path):
+    import pytest
+    register_kinesis(spark)
+    big = spark.range(1).select(F.encode(F.rpad(F.lit("x"), 1_100_000, "x"), "UTF-8").alias("data"))
+    w = kinesis_records(big, "data", "key").write.format("tidewire-kinesis").mode("append").option(
+        "stream", "s1").option("client_factory", "tests.support.fake_stream_client:factory").option(
+        "fake_log", str(tmp_path / "x"))
+    with pytest.raises(Exception, match="over the service's limit"):
+        w.save()
+
+
+def test_endless_topic_read_takes_no_end(spark):
+    import pytest
+
+    from tidewire.sources.kafka import kafka_stream
+    with pytest.raises(ValueError, match="no end"):
+        kafka_stream(spark, "h:1", "t", ending_timestamp_ms=5)
+
+
 def test_keyed_partition_write_colocates_keys(spark, scratch):
     df = spark.range(1000).select((F.col("id") % 37).alias("k"), F.col("id").alias("v"))
-    keyed_partition_write(df, "k", 4, scratch)
+    keyed_partition_write(df, "k", scratch)
     back = spark.read.parquet(scratch).withColumn("f", F.input_file_name())
     files_per_key = back.groupBy("k").agg(F.countDistinct("f").alias("nf"))
     assert files_per_key.filter("nf > 1").count() == 0
@@ -88,7 +91,12 @@ def test_windowed_parquet_directory_layout(spark, scratch):
 def test_keyed_partition_write_spread_bounds_writers_per_key(spark, scratch):
     df = spark.range(3000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id") % 7).alias("k"),
                                   F.col("id").alias("v"))
-    keyed_partition_write(df, "k", 8, scratch, spread=3)
+    # small partitions are joined at run time; here they are kept apart to see the spread
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        keyed_partition_write(df, "k", scratch, spread=3)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     back = spark.read.parquet(scratch).withColumn("f", F.input_file_name())
     assert back.count() == 3000
     assert back.groupBy("k").agg(F.countDistinct("f").alias("nf")).filter("nf > 3").count() == 0

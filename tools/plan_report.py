@@ -16,7 +16,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SKIP_PREFIXES = ("stream_", "late_redelivery", "copy_routed", "copy_kv_stream", "copy_values_stream", "replay_safe", "windowed_parquet",
-                 "text_lines", "topic_sink", "keyed_partition", "partitioned_source")
+                 "text_lines", "topic_sink", "keyed_partition")
 
 
 def summarize(plan: str) -> dict:
@@ -68,27 +68,25 @@ def _streaming_plans(spark, sf_dir) -> list[str]:
     """Run the three streaming shapes once and report the last micro-batch's
     physical plan (stateful operators, exchanges, state stores)."""
     from tidewire import operators as ops
-    from tidewire.fixed import ALLOWED_LATENESS, JOIN_WINDOW
     from tidewire.plans import stream_queries as SQ
-    from tidewire.plans.batch_queries import debtor_lookup
-    from tidewire.plans.inputs import PIPELINE_START
+    from tidewire.plans.batch_queries import supplier_lookup
     from tidewire.plans.jobs import cogroup_plan
     from tidewire.session import scratch_path
-    from tidewire.sources.replay import read_replay_stream
-    from tidewire.streaming import run_early, run_final, stream_window_counts
+    from tidewire.sources.replay import read_slices
+    from tidewire.streaming import run_early, run_final
+
+    path, slices = SQ.event_slices(spark, sf_dir)
 
     def records():
-        return read_replay_stream(spark, SQ.event_replay(spark, sf_dir))
+        return read_slices(spark, path, slices - 1)
 
     shapes = {
         "stream_window_append (append mode, file sink)": lambda: run_final(
-            stream_window_counts(SQ.event_stream(spark, sf_dir), "ts", JOIN_WINDOW, ("key",), ALLOWED_LATENESS),
-            *_paths(scratch_path(spark, "plan-append"))),
-        "stream_cogroup_final (update mode, replay-safe sink)": lambda: run_early(
-            cogroup_plan(records(), spark.readStream.format("text").load(SQ.bounded_customer_file(spark, sf_dir)),
-                         PIPELINE_START), *_paths(scratch_path(spark, "plan-cogroup"))),
+            SQ._window_counts(records()), *_paths(scratch_path(spark, "plan-append"))),
+        "stream_cogroup_final (stream side, update mode, replay-safe sink)": lambda: run_early(
+            cogroup_plan(records()), *_paths(scratch_path(spark, "plan-cogroup"))),
         "stream_lookup_join (stream-static join, file sink)": lambda: run_final(
-            ops.lookup_join(SQ.event_stream(spark, sf_dir), debtor_lookup(spark, sf_dir)),
+            ops.lookup_join(SQ.event_pairs(records()), supplier_lookup(spark, sf_dir)),
             *_paths(scratch_path(spark, "plan-lookup"))),
     }
     lines = ["# Streaming plans (last micro-batch)", ""]

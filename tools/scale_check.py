@@ -51,7 +51,7 @@ def main(argv):
         bounded = ops.assign_event_time(
             customer.select(F.col("c_custkey").cast("string").alias("key"), F.col("c_mktsegment").alias("value")),
             PIPELINE_START)
-        lookup = ops.checked_lookup(customer.filter("c_acctbal < 0").select(
+        lookup = ops.checked_lookup(customer.select(
             F.col("c_custkey").cast("string").alias("key"), F.col("c_mktsegment").alias("value")))
         shapes = {
             "windowed_cogroup": lambda: ops.windowed_cogroup(stream, bounded),
