@@ -21,6 +21,105 @@ def query(fn):
     return fn
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words_sql(gap: str) -> str:
+    """Lower-cased words of every document, ``d(doc_id, w)``."""
+    return f"""d as (
+  select doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{gap}'), lambda x: x <> '') as w
+  from documents)"""
+
+
+def _license_sql() -> str:
+    from tidewire.llm.license_scan import GAP, K, MAX_STRETCH, MIN_COVER, PHRASES, TEMPLATES
+    rows = []
+    for tid, (label, text, phrase) in enumerate([(*p, True) for p in PHRASES] + [(*t, False) for t in TEMPLATES]):
+        w = text.split()
+        rows += [f"({tid}, '{label}', {phrase}, {len(w) - K + 1}, {i}, '{' '.join(w[i:i + K])}')"
+                 for i in range(len(w) - K + 1)]
+    return rf"""
+with {_words_sql(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")},
+t(tid, label, phrase, grams, t, gram) as (values {", ".join(rows)}),
+g as (
+  select doc_id, i - 1 as pos, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as gram
+  from (select doc_id, w, unnest(range(1, len(w) - {K - 2})) as i from d)),
+v as (
+  select doc_id, tid, label, phrase, grams, pos - t as diagonal, count(*) as votes, min(pos) as a, max(pos) + {K} as z
+  from g join t using (gram) group by all),
+r as (
+  select *, sum(case when phrase or step is null or step > {GAP} then 1 else 0 end)
+            over (partition by doc_id, tid order by diagonal rows unbounded preceding) as run
+  from (select *, diagonal - lag(diagonal) over (partition by doc_id, tid order by diagonal) as step from v)),
+m as (
+  select doc_id, label, phrase, grams, sum(votes) as votes, min(a) as a, max(z) as z
+  from r group by doc_id, tid, label, phrase, grams, run),
+f as (
+  select *, least(1.0, votes::double / grams) as cover from m
+  where case when phrase then votes = grams
+             else votes::double / grams >= {MIN_COVER} and z - a <= {MAX_STRETCH} * (grams + {K - 1}) end)
+select d.doc_id, len(d.w)::bigint as n_words, count(f.a) filter (f.phrase) as n_base,
+       (min(f.a) filter (f.phrase))::bigint as first_word, (max(f.a) filter (f.phrase))::bigint as last_word,
+       coalesce(string_agg(distinct f.label, ',' order by f.label) filter (f.phrase), '') as base_labels,
+       coalesce(string_agg(distinct f.label, ',' order by f.label), '') as labels,
+       coalesce(max(f.cover), 0.0)::double as score
+from d left join f on d.doc_id = f.doc_id group by d.doc_id, d.w
+"""
+
+
+ORACLE_SQL["op6_license_scan"] = _license_sql()
+
+ORACLE_SQL["op8_near_dedup"] = rf"""
+with recursive {_words_sql(r"[\x20\x09-\x0D]+")},
+s as (
+  select distinct doc_id, unnest(case
+    when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g
+  from d),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (
+  select x.doc_id as a, y.doc_id as b, count(*) as i
+  from s x join s y on x.g = y.g and x.doc_id < y.doc_id group by 1, 2),
+l as (
+  select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b
+  where 100 * i >= 80 * (na.n + nb.n - i)),
+e as (select a, b from l union select b, a from l),
+r as (
+  select doc_id as node, doc_id as seen from d
+  union
+  select r.node, e.b from r join e on e.a = r.seen)
+select d.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r.seen) as component_id, d.doc_id = min(r.seen) as kept
+from d join r on r.node = d.doc_id left join n on n.doc_id = d.doc_id group by d.doc_id
+"""
+
+ORACLE_SQL["op5_suffix_dedup"] = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as materialized (
+  select doc_id, s, md5_number(substr(h, 2 * s + 1, 200)) as k
+  from (select doc_id, h, unnest(range(0, greatest(0, len(h) // 2 - 99))) as s from d)),
+f as (select k, min(doc_id * 1000000000 + s) as first from w group by k having count(*) > 1),
+g as (
+  select doc_id, s, s - lag(s) over (partition by doc_id order by s) as step
+  from w join f using (k) where doc_id * 1000000000 + s > first),
+r as (
+  select doc_id, min(s) as a, max(s) + 100 as z
+  from (select doc_id, s, sum(case when step is null or step > 100 then 1 else 0 end)
+                          over (partition by doc_id order by s rows unbounded preceding) as run from g)
+  group by doc_id, run),
+c as (
+  select r.doc_id, substr(any_value(d.h), 2 * coalesce(lag(r.z) over (partition by r.doc_id order by r.a), 0) + 1,
+                          2 * (r.a - coalesce(lag(r.z) over (partition by r.doc_id order by r.a), 0))) as part, r.a, r.z
+  from r join d using (doc_id) group by r.doc_id, r.a, r.z),
+k as (
+  select doc_id, string_agg(part, '' order by a) as front, max(z) as z, sum(z - a) as gone, count(*) as spans
+  from c group by doc_id)
+select d.doc_id, len(h) // 2 as n_bytes, coalesce(gone, 0)::bigint as n_removed, coalesce(spans, 0) as n_spans,
+       sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(z, 0) + 1))) as kept_sha256
+from d left join k using (doc_id)
+"""
+
+
 @query
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewire.llm.license_scan import license_scan
