@@ -130,11 +130,13 @@ class Model:
         cut = np.searchsorted(which[order], np.arange(0, len(u) + chunk, chunk))
         out = np.empty(len(word), np.float64)
         for i in range(0, len(u), chunk):
-            s = self.predicted(u[i:i + chunk] // self.k, u[i:i + chunk] % self.k) @ self.q.T + self.b
-            top = s.max(axis=1, keepdims=True)
-            z = top[:, 0] + np.log(np.exp(s - top).sum(axis=1))
+            s = self.predicted(u[i:i + chunk] // self.k, u[i:i + chunk] % self.k) @ self.q.T
+            s += self.b
+            s -= s.max(axis=1, keepdims=True)
             at = order[cut[i // chunk]:cut[i // chunk + 1]]
-            out[at] = s[which[at] - i, word[at]] - z[which[at] - i]
+            own = s[which[at] - i, word[at]]
+            np.exp(s, out=s)
+            out[at] = own - np.log(s.sum(axis=1))[which[at] - i]
         return out
 
 
@@ -149,7 +151,6 @@ def train_block(model: Model, squares: np.ndarray, share: np.ndarray, one, two,
 
     def scatter(index, grad):
         return np.bincount((index[:, None] * d + dims).ravel(), grad.ravel(), k * d).reshape(k, d).astype(np.float32)
-
     for at in range(0, len(order), BATCH):
         i = order[at:at + BATCH]
         a, b, w = one[i], two[i], word[i]
@@ -159,7 +160,11 @@ def train_block(model: Model, squares: np.ndarray, share: np.ndarray, one, two,
         qw, qn = model.q[w], model.q[noise]
         # data: pushed up by what it lacks; noise: pushed down by what it has
         up = 1 / (1 + np.exp((p * qw).sum(axis=1) + model.b[w] - base[w]))
-        down = (NOISE / SAMPLES) / (1 + np.exp(-(p @ qn.T + model.b[noise] - base[noise])))
+        down = p @ -qn.T
+        down -= model.b[noise] - base[noise]
+        np.exp(down, out=down)
+        down += 1
+        np.divide(NOISE / SAMPLES, down, out=down)
         dp = up[:, None] * qw - down @ qn
         n = len(i)
         grads = (scatter(np.r_[a, b], np.r_[dp @ model.c[0].T, dp @ model.c[1].T]),
@@ -167,9 +172,11 @@ def train_block(model: Model, squares: np.ndarray, share: np.ndarray, one, two,
                  np.stack([ra.T @ dp, rb.T @ dp]),
                  np.bincount(np.r_[w, noise], np.r_[up, -down.sum(axis=0)], k).astype(np.float32))
         for own, sq, g in zip((model.r, model.q, model.c, model.b), (acc.r, acc.q, acc.c, acc.b), grads):
-            g = g / n
+            g /= n
             sq += g * g
-            own += rate * g / np.sqrt(sq + 1e-8)
+            g *= rate
+            g /= np.sqrt(sq + 1e-8)
+            own += g
 
 
 def _classes(words: list[str], number: dict[str, int], k: int) -> np.ndarray:
