@@ -250,7 +250,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     best = pairs.select(F.explode(F.array("a", "b")).alias("d"), "share").groupBy("d").agg(F.max("share").alias("top"))
     tops = [pairs.join(best.withColumnRenamed("d", c), c).where("share = top").groupBy(c).agg(
         F.min("b" if c == "a" else "a").alias("b" if c == "a" else "a")).select("a", "b") for c in ("a", "b")]
-    sure = written(confirmed(tops[0].union(tops[1]).distinct(), sets, percent), "links", small=True)
+    sure = written(confirmed(tops[0].union(tops[1]).distinct(), sets, percent), "links")
     at = components(sure)
     # then those that could still join two components
     ra = at.select(F.col("node").alias("a"), F.col("root").alias("ra"))
@@ -258,7 +258,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     apart = pairs.join(ra, "a", "left").join(rb, "b", "left").withColumns(
         {"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")}).where("ra <> rb")
     more = confirmed(apart, sets, percent).join(apart, ["a", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    above = components(written(more, "links", small=True))
+    above = components(written(more, "links"))
     up = above.select(F.col("node").alias("root"), F.col("root").alias("top"))
     roots = at.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(
         above.join(at.select("node"), "node", "left_anti"))
