@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewire.plans import jobs
-from tidewire.sources.hadoop import hadoop_read, hadoop_write
 from tidewire.sources.replay import BROKER_SCHEMA, as_broker_records
 from tidewire.streaming import run_available
 
@@ -119,13 +118,6 @@ def test_parquet_plan_windows(spark):
     assert starts == [0, 5, 10]
 
 
-def test_hadoop_format_roundtrip(spark, scratch):
-    df = spark.createDataFrame([(str(i), f"e{i}") for i in range(15)], "id string, raw string")
-    hadoop_write(df, scratch, "id", "raw", num_partitions=3)
-    back = hadoop_read(spark, scratch)
-    assert sorted(tuple(r) for r in back.collect()) == sorted((str(i), f"e{i}") for i in range(15))
-
-
 def test_kinesis_job_with_stand_in_client(spark, tmp_path):
     import json
     log = str(tmp_path / "sent.jsonl")

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewire import operators as ops
-from tidewire.fixed import EMPLOYEE_SEPARATOR, EMPLOYEE_TEMPLATE, SEQUENCE_LINE
+from tidewire.fixed import (
+    BRACKET_ITEM,
+    COGROUP_LINE,
+    EMPLOYEE_SEPARATOR,
+    EMPLOYEE_TEMPLATE,
+    NULL_TEXT,
+    SEQUENCE_LINE,
+)
 from tidewire.functions.kv import long_to_bytes
 from tidewire.functions.records import decimal_bytes, registry_frame, same_record
 from tidewire.plans.inputs import (
@@ -176,8 +183,8 @@ def event_time_policy(spark, sf):
 
 # ------------------------------------------------------------- aggregates
 
-@query("group_bracket_list", """
-select user_id, string_agg('[' || event_type || '],', '' order by event_type) as value_list
+@query("group_bracket_list", f"""
+select user_id, string_agg('{BRACKET_ITEM[0]}' || event_type || '{BRACKET_ITEM[1]}', '' order by event_type) as value_list
 from events group by user_id
 """)
 def group_bracket_list(spark, sf):
@@ -221,11 +228,12 @@ def duplicate_keys(spark, sf):
     return ops.duplicate_keys(orders, "key")
 
 
-_LOOKUP_SQL = """
+_LOOKUP_SQL = f"""
 with s as (select event_id, cast(user_id as varchar) as key, event_type as value from events),
      l as (select cast(s_suppkey as varchar) as key, s_name as lookup_value from supplier)
-select s.event_id, s.key, s.value, coalesce(l.lookup_value, 'null') as lookup_value,
-       'K: [' || s.key || '], SVs: ' || s.value || ', BVs: ' || coalesce(l.lookup_value, 'null') as line
+select s.event_id, s.key, s.value, coalesce(l.lookup_value, '{NULL_TEXT}') as lookup_value,
+       '{COGROUP_LINE[0]}' || s.key || '{COGROUP_LINE[1]}' || s.value || '{COGROUP_LINE[2]}'
+       || coalesce(l.lookup_value, '{NULL_TEXT}') as line
 from s left join l on s.key = l.key
 """
 
@@ -252,10 +260,12 @@ with u as (
   select cast(c_custkey as varchar), c_mktsegment,
          timestamp '{PIPELINE_START}' + interval '{BOUNDED_STAMP_OFFSET}', 1 from customer)
 select {w}key,
-       'K: [' || key || '], SVs: '
-       || coalesce(string_agg('[' || value || '],', '' order by value) filter (where side = 0), '')
-       || ', BVs: '
-       || coalesce(string_agg('[' || value || '],', '' order by value) filter (where side = 1), '')
+       '{COGROUP_LINE[0]}' || key || '{COGROUP_LINE[1]}'
+       || coalesce(string_agg('{BRACKET_ITEM[0]}' || value || '{BRACKET_ITEM[1]}', '' order by value)
+                   filter (where side = 0), '')
+       || '{COGROUP_LINE[2]}'
+       || coalesce(string_agg('{BRACKET_ITEM[0]}' || value || '{BRACKET_ITEM[1]}', '' order by value)
+                   filter (where side = 1), '')
        as line
 from u {g}
 """
@@ -350,9 +360,12 @@ def parse_delimited(spark, sf):
 
 
 
-@query("render_records", _EMPLOYEE_SQL + """
-select id, 'key: ' || id || ', val: Employee{Name=''' || emp_name || ''', Address=' || emp_address || '}'
-       as text
+_EMPLOYEE_TEXT = [x.replace("'", "''") for x in EMPLOYEE_TEMPLATE.split("%s")]
+
+
+@query("render_records", _EMPLOYEE_SQL + f"""
+select id, '{_EMPLOYEE_TEXT[0]}' || id || '{_EMPLOYEE_TEXT[1]}' || emp_name || '{_EMPLOYEE_TEXT[2]}' || emp_address
+           || '{_EMPLOYEE_TEXT[3]}' as text
 from e
 """)
 def render_records(spark, sf):
@@ -410,8 +423,8 @@ def registry_frame_q(spark, sf):
 
 
 
-@query("sequence_lines", """
-select event_id as value, 'IO IT Test line of text. Line seed: ' || event_id as "row" from events
+@query("sequence_lines", f"""
+select event_id as value, replace('{SEQUENCE_LINE}', '%s', event_id::varchar) as "row" from events
 """)
 def sequence_lines(spark, sf):
     """The sequence source, as long as ``events``, as one-field line records."""

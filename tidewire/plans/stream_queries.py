@@ -23,6 +23,7 @@ from tidewire.plans.inputs import (
     event_broker_records,
 )
 from tidewire.plans.batch_queries import _LOOKUP_SQL, _ROUTE_SQL, _cogroup_sql, supplier_lookup
+from tidewire.fixed import SEQUENCE_LINE
 from tidewire.plans.registry import query
 from tidewire.session import scratch_path
 from tidewire.sinks.files import window_dir_column, windowed_parquet
@@ -231,7 +232,7 @@ def replay_safe_write(spark, sf):
 
 
 @query("windowed_parquet_roundtrip", f"""
-select event_id as value, 'IO IT Test line of text. Line seed: ' || event_id as "row",
+select event_id as value, replace('{SEQUENCE_LINE}', '%s', event_id::varchar) as "row",
        time_bucket(interval '{FILE_WINDOW}', ts) as window_start,
        time_bucket(interval '{FILE_WINDOW}', ts) + interval '{FILE_WINDOW}' as window_end
 from events
@@ -241,7 +242,6 @@ def windowed_parquet_roundtrip(spark, sf):
     files grouped by window (directories per day), read back."""
     from pyspark.sql import types as T
 
-    from tidewire.fixed import SEQUENCE_LINE
     from tidewire.functions.time import instant_to_ntz
     schema = T.StructType([T.StructField("row", T.StringType(), False)])
     base, out = scratch_path(spark, "windowed-parquet"), []

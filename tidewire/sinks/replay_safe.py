@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def batch_writer(path: str, fmt: str = "parquet"):
-    """The ``foreachBatch`` function: overwrite ``<path>/query_id=<q>/batch_id=<n>``."""
+def batch_writer(path: str, fmt: str = "parquet", query_id: str | None = None):
+    """The ``foreachBatch`` function: overwrite ``<path>/query_id=<q>/batch_id=<n>``;
+    the running query's id unless ``query_id`` is given."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        query = query_id or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not query:
             raise RuntimeError("the streaming query's id is not known in this batch")
         batch.write.mode("overwrite").format(fmt).save(f"{path}/query_id={query}/batch_id={batch_id}")

@@ -1,5 +1,5 @@
-"""Sources: broker readers, text and sequences, Hadoop formats and the replay
-of tables as streams in time slices."""
+"""Sources: broker readers, text and sequences, and the replay of
+tables as streams in time slices."""
 
 from tidewire.sources.files import sequence, text_lines  # noqa: F401
 from tidewire.sources.kafka import kafka_batch, kafka_stream, source_options  # noqa: F401
