@@ -3,8 +3,8 @@ of its exchanges, join strategies, aggregate kinds and scan pushdown.
 
 Usage: python tools/plan_report.py [sf_dir] [out.md]
 
-Streaming and round-trip queries run when they are built, so their
-read-back plans are not informative and they are skipped.
+Streaming and round-trip queries and those of the llm subpackage run when they
+are built, so their read-back plans are not informative and they are skipped.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ def summarize(plan: str) -> dict:
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     out = argv[2] if len(argv) > 2 else os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
-    import __spark_entry__ as E
+    from tidewire.plans.registry import all_queries
     from tidewire.session import build_session
     spark = build_session()
     lines = ["# Physical plans", "",
@@ -42,7 +42,7 @@ def main(argv):
              "adaptive re-planning). Streaming and write-then-read queries are skipped: they run",
              "when built. `exchanges` counts shuffles; `PushedFilters`/`ReadSchema` show what",
              "reaches the Parquet reader.", ""]
-    for name, fn in E.queries().items():
+    for name, fn in all_queries().items():
         if name.startswith(SKIP_PREFIXES):
             continue
         df = fn(spark, sf_dir)
