@@ -30,10 +30,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     executor repeats one round at most; only a checksum reaches the driver.
     The number of rounds grows with the logarithm of the longest path."""
     e = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                .distinct(), "links", small=True)
+                .distinct(), "links", per_core=1)
     before = None
     for _ in range(max_rounds):
-        e = written(_star(_star(e, True), False), "links", small=True)
+        e = written(_star(_star(e, True), False), "links", per_core=1)
         now = tuple(e.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first())
         if now == before:
             return e.select(F.col("b").alias("node"), F.col("a").alias("root")).union(

@@ -39,15 +39,20 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents", *cols:
     return df.select(*cols) if cols else df
 
 
-def written(df: DataFrame, name: str, small: bool = False) -> DataFrame:
+#: Files per core of a table that is written from a shuffle.
+FILES_PER_CORE = 4
+
+
+def written(df: DataFrame, name: str, per_core: int | None = None) -> DataFrame:
     """``df`` written once as Parquet below the shared checkpoint folder and
     read again: cuts the lineage, so a lost executor costs one stage, and no
-    later step computes it a second time.  ``small``: one file per core at most
-    instead of one per shuffle partition, for narrow tables of many rounds."""
+    later step computes it a second time.  ``per_core``: that many files for
+    each of the cluster's cores at most, each made from several shuffle partitions one
+    after the other, instead of one file per shuffle partition."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    if small:
-        df = df.coalesce(max(1, spark.sparkContext.defaultParallelism))
+    if per_core:
+        df = df.coalesce(max(1, per_core * spark.sparkContext.defaultParallelism))
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.components import components
-from tidewire.llm.core import (LOWER, mix, shingle_hashes, text_blocks, word_hashes, words_of, written)
+from tidewire.llm.core import (FILES_PER_CORE, LOWER, mix, shingle_hashes, text_blocks, word_hashes, words_of, written)
 
 WORDS, PERCENT = 4, 80
 #: Trees, signature values of the least common prefix, and deeper values in the order.
@@ -158,7 +158,7 @@ def neighbours(places: DataFrame, near: int = NEAR) -> DataFrame:
 
     ordered = places.select("head", "tail", "doc_id").repartitionByRange("head", "tail", "doc_id")
     got = written(ordered.sortWithinPartitions("head", "tail", "doc_id").mapInArrow(
-        run, "kind int, part int, head long, a long, b long"), "neighbours")
+        run, "kind int, part int, head long, a long, b long"), "neighbours", FILES_PER_CORE)
     first = got.where("kind = 1").select("head", F.col("a").alias("b"), F.col("part").alias("at"))
     last = got.where("kind = 2").select("head", "a", (F.col("part") + 1).alias("at"))
     return got.where("kind = 0").select("a", "b").union(last.join(first, ["head", "at"]).select("a", "b"))
@@ -239,18 +239,18 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     docs = docs.select("doc_id", "text")
     sigs = written(signatures(docs, words), "signatures")
     own = sigs.where("n > 0 and doc_id is not null")
-    groups = written(own.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("rep")), "set-groups")
+    groups = written(own.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("rep")), "set-groups", FILES_PER_CORE)
     reps = own.join(groups.select(F.col("rep").alias("doc_id"), "n", "hi", "lo"), ["doc_id", "n", "hi", "lo"])
     reps = reps.dropDuplicates(["doc_id", "n", "hi", "lo"])
-    places = written(forest(reps), "forest")
-    pairs = written(likely(written(neighbours(places).union(hubs(places)), "pairs"), reps, percent), "candidates")
+    places = written(forest(reps), "forest", FILES_PER_CORE)
+    pairs = written(likely(written(neighbours(places).union(hubs(places)), "pairs", FILES_PER_CORE), reps, percent), "candidates", FILES_PER_CORE)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = written(shingle_sets(packed_texts(docs).join(ends, "doc_id", "left_semi").dropDuplicates(), words), "sets")
+    sets = written(shingle_sets(packed_texts(docs).join(ends, "doc_id", "left_semi").dropDuplicates(), words), "sets", FILES_PER_CORE)
     # first the best candidate of every document
     best = pairs.select(F.explode(F.array("a", "b")).alias("d"), "share").groupBy("d").agg(F.max("share").alias("top"))
     tops = [pairs.join(best.withColumnRenamed("d", c), c).where("share = top").groupBy(c).agg(
         F.min("b" if c == "a" else "a").alias("b" if c == "a" else "a")).select("a", "b") for c in ("a", "b")]
-    sure = written(confirmed(tops[0].union(tops[1]).distinct(), sets, percent), "links")
+    sure = written(confirmed(tops[0].union(tops[1]).distinct(), sets, percent), "links", FILES_PER_CORE)
     at = components(sure)
     # then those that could still join two components
     ra = at.select(F.col("node").alias("a"), F.col("root").alias("ra"))
@@ -258,7 +258,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     apart = pairs.join(ra, "a", "left").join(rb, "b", "left").withColumns(
         {"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")}).where("ra <> rb")
     more = confirmed(apart, sets, percent).join(apart, ["a", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    above = components(written(more, "links"))
+    above = components(written(more, "links", FILES_PER_CORE))
     up = above.select(F.col("node").alias("root"), F.col("root").alias("top"))
     roots = at.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(
         above.join(at.select("node"), "node", "left_anti"))
@@ -268,7 +268,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     alone = sigs.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return linked.union(alone).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept", FILES_PER_CORE))
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -276,5 +276,5 @@ def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     duplicates, the one with the smallest ``doc_id``; of repeated rows one stays.  Rows
     without a ``doc_id`` are copies of nothing and stay."""
     kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(written(kept, "kept"), "doc_id", "left_semi").select(*docs.columns)
+    named = docs.where("doc_id is not null").join(written(kept, "kept", FILES_PER_CORE), "doc_id", "left_semi").select(*docs.columns)
     return named.dropDuplicates(["doc_id"]).union(docs.where("doc_id is null"))

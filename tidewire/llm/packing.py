@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.core import written
+from tidewire.llm.core import FILES_PER_CORE, written
 
 WINDOW = 2048
 END_ID = 1
@@ -238,7 +238,7 @@ def pack_plan(hist: list[int], window: int = WINDOW) -> dict[str, np.ndarray]:
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFrame:
     """``docs(doc_id, text)`` packed: one row per piece."""
     pieces = written(token_pieces(docs, tokenizer_path, window), "pieces")
-    counts = written(pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
+    counts = written(pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "piece-counts", FILES_PER_CORE)
     hist = [0] * (window + 1)
     for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most `window` rows
         hist[r["length"]] = r["n"]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.bwt import collection_bwt
-from tidewire.llm.core import mix, text_blocks, written
+from tidewire.llm.core import FILES_PER_CORE, mix, text_blocks, written
 
 LENGTH, GRAM, CORE = 100, 32, 80
 #: Windows in a run at most (one without equal hashes has 69 at most); runs that a task gathers before it collapses them.
@@ -187,7 +187,7 @@ def frequent_hashes(docs: DataFrame, buckets: int) -> np.ndarray:
             yield out()
 
     found = docs.select("doc_id", "text").mapInArrow(run, "key long, n long, total long")
-    found = written(found.groupBy("key").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "frequent-hashes")
+    found = written(found.groupBy("key").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "frequent-hashes", FILES_PER_CORE)
     total = found.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     rows = found.where((F.col("n") >= max(FREQUENT, total // (2 * buckets))) & (F.col("n") > 0)).select("key").collect()
     return np.sort(np.array([r["key"] for r in rows], np.int64).view(np.uint64))
@@ -393,8 +393,8 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * docs.rdd.getNumPartitions())
     docs = docs.select("doc_id", "text")
-    first = written(run_places(docs, buckets), "runs")
-    more = written(suffix_places(docs, first.where("not later"), buckets), "suffix-repeats")
+    first = written(run_places(docs, buckets), "runs", FILES_PER_CORE)
+    more = written(suffix_places(docs, first.where("not later"), buckets), "suffix-repeats", FILES_PER_CORE)
     return _per_document(first.where("later").union(more))
 
 

@@ -89,11 +89,11 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: fl
     ``seeds(host, kind, mass)`` over ``edges(src, dst, kind, w)``; ``w`` are shares
     of what a host passes on, a host without links passes on nothing."""
     start = seeds.select("host", "kind", (F.col("mass") * (1 - damping)).alias("rank"))
-    rank = written(start, "ranks", small=True)
+    rank = written(start, "ranks", per_core=1)
     for _ in range(rounds):
         passed = rank.join(edges, (rank["host"] == edges["src"]) & (rank["kind"] == edges["kind"])).select(
             edges["dst"].alias("host"), edges["kind"], (rank["rank"] * edges["w"] * damping).alias("rank"))
-        rank = written(passed.union(start).groupBy("host", "kind").agg(F.sum("rank").alias("rank")), "ranks", small=True)
+        rank = written(passed.union(start).groupBy("host", "kind").agg(F.sum("rank").alias("rank")), "ranks", per_core=1)
     return rank
 
 
@@ -115,7 +115,7 @@ def host_scores(pages: DataFrame, judged: DataFrame) -> DataFrame:
         "host", F.lit(0).alias("kind"), F.col("allowed").cast("double").alias("mass"))
     bad = per.where(f"blocked > {BLOCKED_SHARE} * pages").select(
         "host", F.lit(1).alias("kind"), F.col("blocked").cast("double").alias("mass"))
-    seeds = written(trusted.union(bad), "seeds", small=True)
+    seeds = written(trusted.union(bad), "seeds", per_core=1)
     whole = {r["kind"]: r["m"] for r in seeds.groupBy("kind").agg(F.sum("mass").alias("m")).collect()}  # two rows
     share = F.when(F.col("kind") == 0, F.col("mass") / whole.get(0, 1.0)).otherwise(F.col("mass") / whole.get(1, 1.0))
     rank = spread(steps, seeds.withColumn("mass", share))
