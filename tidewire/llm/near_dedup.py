@@ -158,7 +158,7 @@ def neighbours(places: DataFrame, near: int = NEAR) -> DataFrame:
 
     ordered = places.select("head", "tail", "doc_id").repartitionByRange("head", "tail", "doc_id")
     got = written(ordered.sortWithinPartitions("head", "tail", "doc_id").mapInArrow(
-        run, "kind int, part int, head long, a long, b long"), "neighbours", FILES_PER_CORE)
+        run, "kind int, part int, head long, a long, b long"), "neighbours")  # one task per range: `part` counts them
     first = got.where("kind = 1").select("head", F.col("a").alias("b"), F.col("part").alias("at"))
     last = got.where("kind = 2").select("head", "a", (F.col("part") + 1).alias("at"))
     return got.where("kind = 0").select("a", "b").union(last.join(first, ["head", "at"]).select("a", "b"))
@@ -243,9 +243,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     reps = own.join(groups.select(F.col("rep").alias("doc_id"), "n", "hi", "lo"), ["doc_id", "n", "hi", "lo"])
     reps = reps.dropDuplicates(["doc_id", "n", "hi", "lo"])
     places = written(forest(reps), "forest", FILES_PER_CORE)
-    pairs = written(likely(written(neighbours(places).union(hubs(places)), "pairs", FILES_PER_CORE), reps, percent), "candidates", FILES_PER_CORE)
+    near = written(neighbours(places).union(hubs(places)), "pairs", FILES_PER_CORE)
+    pairs = written(likely(near, reps, percent), "candidates", FILES_PER_CORE)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = written(shingle_sets(packed_texts(docs).join(ends, "doc_id", "left_semi").dropDuplicates(), words), "sets", FILES_PER_CORE)
+    some = packed_texts(docs).join(ends, "doc_id", "left_semi").dropDuplicates()
+    sets = written(shingle_sets(some, words), "sets", FILES_PER_CORE)
     # first the best candidate of every document
     best = pairs.select(F.explode(F.array("a", "b")).alias("d"), "share").groupBy("d").agg(F.max("share").alias("top"))
     tops = [pairs.join(best.withColumnRenamed("d", c), c).where("share = top").groupBy(c).agg(
@@ -268,7 +270,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     alone = sigs.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return linked.union(alone).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept", FILES_PER_CORE))
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -276,5 +278,6 @@ def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     duplicates, the one with the smallest ``doc_id``; of repeated rows one stays.  Rows
     without a ``doc_id`` are copies of nothing and stay."""
     kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(written(kept, "kept", FILES_PER_CORE), "doc_id", "left_semi").select(*docs.columns)
+    kept = written(kept, "kept", FILES_PER_CORE)
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
     return named.dropDuplicates(["doc_id"]).union(docs.where("doc_id is null"))
