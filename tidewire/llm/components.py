@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.core import written
+from tidewire.llm.core import FILES_PER_CORE, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -30,7 +30,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     executor repeats one round at most; only a checksum reaches the driver.
     The number of rounds grows with the logarithm of the longest path."""
     e = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                .distinct(), "links", per_core=1)
+                .distinct(), "links", FILES_PER_CORE)
     before = None
     for _ in range(max_rounds):
         e = written(_star(_star(e, True), False), "links", per_core=1)

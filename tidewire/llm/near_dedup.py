@@ -243,8 +243,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     reps = own.join(groups.select(F.col("rep").alias("doc_id"), "n", "hi", "lo"), ["doc_id", "n", "hi", "lo"])
     reps = reps.dropDuplicates(["doc_id", "n", "hi", "lo"])
     places = written(forest(reps), "forest", FILES_PER_CORE)
-    near = written(neighbours(places).union(hubs(places)), "pairs", FILES_PER_CORE)
-    pairs = written(likely(near, reps, percent), "candidates", FILES_PER_CORE)
+    pairs = written(likely(neighbours(places).union(hubs(places)), reps, percent), "candidates", FILES_PER_CORE)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     some = packed_texts(docs).join(ends, "doc_id", "left_semi").dropDuplicates()
     sets = written(shingle_sets(some, words), "sets", FILES_PER_CORE)
@@ -252,15 +251,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     best = pairs.select(F.explode(F.array("a", "b")).alias("d"), "share").groupBy("d").agg(F.max("share").alias("top"))
     tops = [pairs.join(best.withColumnRenamed("d", c), c).where("share = top").groupBy(c).agg(
         F.min("b" if c == "a" else "a").alias("b" if c == "a" else "a")).select("a", "b") for c in ("a", "b")]
-    sure = written(confirmed(tops[0].union(tops[1]).distinct(), sets, percent), "links", FILES_PER_CORE)
-    at = components(sure)
+    at = components(confirmed(tops[0].union(tops[1]).distinct(), sets, percent))
     # then those that could still join two components
     ra = at.select(F.col("node").alias("a"), F.col("root").alias("ra"))
     rb = at.select(F.col("node").alias("b"), F.col("root").alias("rb"))
     apart = pairs.join(ra, "a", "left").join(rb, "b", "left").withColumns(
         {"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")}).where("ra <> rb")
     more = confirmed(apart, sets, percent).join(apart, ["a", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    above = components(written(more, "links", FILES_PER_CORE))
+    above = components(more)
     up = above.select(F.col("node").alias("root"), F.col("root").alias("top"))
     roots = at.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(
         above.join(at.select("node"), "node", "left_anti"))
@@ -278,6 +276,5 @@ def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     duplicates, the one with the smallest ``doc_id``; of repeated rows one stays.  Rows
     without a ``doc_id`` are copies of nothing and stay."""
     kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    kept = written(kept, "kept", FILES_PER_CORE)
     named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
     return named.dropDuplicates(["doc_id"]).union(docs.where("doc_id is null"))
