@@ -77,6 +77,16 @@ def test_keep_first_keeps_one_row_of_each_group(spark):
     assert ids.count(None) == 1
 
 
+def test_near_duplicates_at_the_limit_whatever_their_signatures(spark):
+    """Pairs at 8 of 10 shingles whose signatures, by chance, agree in fewer values."""
+    rows = []
+    for p in (1158, 1474, 2667, 23609):
+        w = [f"p{p}w{i}" for i in range(13)]
+        rows += [(2 * p, " ".join(w[:12])), (2 * p + 1, " ".join(w[1:]))]
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in out} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_components_of_paths_and_stars(spark):
     e = [(i, i + 1) for i in range(60)] + [(100, j) for j in range(101, 140)] + [(7, 7)]
     random.Random(1).shuffle(e)

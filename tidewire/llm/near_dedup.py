@@ -10,8 +10,8 @@ also compares each of its documents with its most central one, the document
 that meets most others over all trees, so that a group of copies hangs
 together through the text they were copied from.
 
-Candidates are pruned by set size and by the share of equal signature values,
-and confirmed on the full shingle sets: first each document's best candidate,
+Candidates are pruned by set size and by parity bitmaps of the sets, which rule out
+no link, and confirmed on the full shingle sets: first each document's best candidate,
 then, for documents not yet in one component, all others.  No step compares all
 documents of a group with each other: a document has at most ``NEAR + 1``
 candidates per tree.
@@ -40,9 +40,8 @@ WORDS, PERCENT = 4, 80
 TREES, DEPTH, DEEPER = 24, 4, 3
 #: Following neighbours that each document is compared with in each tree.
 NEAR = 3
-#: Signature values beside the trees', that only sharpen the share of equal ones,
-#: and the least such share: 3 standard errors below PERCENT.
-MORE_VALUES, MIN_SHARE = 64, 0.7
+#: Bits of a set's parity bitmap.
+BITS = 1024
 
 _U = np.uint64
 
@@ -68,9 +67,9 @@ def block_shingles(raw: np.ndarray, off: np.ndarray, words: int) -> tuple[np.nda
 def signatures(docs: DataFrame, words: int = WORDS, trees: int = TREES, depth: int = DEPTH,
                deeper: int = DEEPER) -> DataFrame:
     """Per document: the number of shingles, a 128-bit key of the set, per tree
-    a key of the first ``depth`` values and one of the deeper ones, and a byte
-    of every value."""
-    n_values = trees * depth + MORE_VALUES
+    a key of the first ``depth`` values and one of the deeper ones, and a bitmap
+    of the set: bit ``i`` is the parity of the shingles whose hash is ``i`` mod ``BITS``."""
+    n_values = trees * depth
 
     def run(batches):
         mul, add = _seeds(n_values)
@@ -84,6 +83,9 @@ def signatures(docs: DataFrame, words: int = WORDS, trees: int = TREES, depth: i
                 first = np.cumsum(count)[have] - count[have]
                 hi, lo = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
                 sig = np.zeros((n, n_values), np.uint32)
+                bitmap = np.zeros((n, BITS // 8), np.uint8)
+                np.bitwise_xor.at(bitmap, (row, ((x % _U(BITS)) >> _U(3)).astype(np.int64)),
+                                  np.uint8(1) << (x & _U(7)).astype(np.uint8))
                 if len(have):
                     hi[have] = np.add.reduceat(x, first)
                     lo[have] = np.add.reduceat(mix(x + _U(1)), first)
@@ -103,11 +105,11 @@ def signatures(docs: DataFrame, words: int = WORDS, trees: int = TREES, depth: i
                      pa.array(lo.view(np.int64)),
                      pa.ListArray.from_arrays(lists, pa.array(head.view(np.int64).ravel())),
                      pa.ListArray.from_arrays(lists, pa.array(tail.view(np.int64).ravel())),
-                     pa.array([r.tobytes() for r in (sig >> 24).astype(np.uint8)], pa.binary())],
-                    names=["doc_id", "n", "hi", "lo", "head", "tail", "bytes"])
+                     pa.array([r.tobytes() for r in bitmap], pa.binary())],
+                    names=["doc_id", "n", "hi", "lo", "head", "tail", "bits"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, hi long, lo long, head array<long>, tail array<long>, bytes binary")
+        run, "doc_id long, n long, hi long, lo long, head array<long>, tail array<long>, bits binary")
 
 
 def forest(reps: DataFrame) -> DataFrame:
@@ -173,26 +175,30 @@ def hubs(places: DataFrame) -> DataFrame:
     return rows.join(best, "head").select(F.col("doc_id").alias("a"), F.col("hub").alias("b"))
 
 
-def likely(pairs: DataFrame, reps: DataFrame, percent: int = PERCENT, min_share: float = MIN_SHARE) -> DataFrame:
-    """``(a, b, share)``: pairs whose set sizes allow a link and whose
-    signatures agree in ``min_share`` of the values at least."""
+def likely(pairs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``(a, b, share)``: pairs whose set sizes and bitmaps allow a link.  Sets
+    differ in at least as many shingles as their bitmaps in bits, so no link is lost;
+    ``share`` only tells which candidate to confirm first."""
     p = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    s = reps.select("doc_id", "n", "bytes")
-    left = s.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bytes").alias("ba"))
-    right = s.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bytes").alias("bb"))
+    s = reps.select("doc_id", "n", "bits")
+    left = s.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
+    right = s.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
     both = p.join(left, "a").join(right, "b").where(
-        100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b", "ba", "bb")
+        100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select(
+        "a", "b", (F.col("na") + F.col("nb")).alias("size"), "ba", "bb")
 
     def run(batches):
         for x in batches:
             if not x.num_rows:
                 continue
-            u, v = (np.frombuffer(b"".join(x.column(k).to_pylist()), np.uint8).reshape(x.num_rows, -1) for k in (2, 3))
-            share = (u == v).mean(axis=1)
-            ok = pa.array(share >= min_share)
+            u, v = (np.frombuffer(b"".join(x.column(k).to_pylist()), np.uint64).reshape(x.num_rows, -1) for k in (3, 4))
+            differ = np.bitwise_count(u ^ v).sum(axis=1, dtype=np.int64)
+            size = x.column(2).to_numpy(zero_copy_only=False)
+            ok = pa.array((100 + percent) * differ <= (100 - percent) * size)
             yield pa.RecordBatch.from_arrays([x.column(0).filter(ok), x.column(1).filter(ok),
-                                              pa.array(share).filter(ok)], names=["a", "b", "share"])
-    return both.mapInArrow(run, "a long, b long, share double")
+                                              pa.array(1 - differ / size).filter(ok)], names=["a", "b", "share"])
+    # ids with several texts have several bitmaps
+    return both.mapInArrow(run, "a long, b long, share double").groupBy("a", "b").agg(F.max("share").alias("share"))
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
