@@ -87,6 +87,16 @@ def test_near_duplicates_at_the_limit_whatever_their_signatures(spark):
     assert {r.doc_id: r.component_id for r in out} == {i: i - i % 2 for i, _ in rows}
 
 
+def test_near_duplicates_in_a_crowd_of_one_template(spark):
+    """All texts share 154 of 180 shingles (similarity 0.748), each pair 162 (0.818)."""
+    rows, head = [], " ".join(f"t{i}" for i in range(157))
+    for p in range(1500):
+        both = " ".join(f"p{p}w{i}" for i in range(8))
+        rows += [(i, " ".join([head, both, *(f"d{i}w{j}" for j in range(18))])) for i in (2 * p, 2 * p + 1)]
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    assert {r.doc_id: r.component_id for r in out} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_components_of_paths_and_stars(spark):
     e = [(i, i + 1) for i in range(60)] + [(100, j) for j in range(101, 140)] + [(7, 7)]
     random.Random(1).shuffle(e)

@@ -12,9 +12,10 @@ together through the text they were copied from.
 
 Candidates are pruned by set size and by parity bitmaps of the sets, which rule out
 no link, and confirmed on the full shingle sets: first each document's best candidate,
-then, for documents not yet in one component, all others.  No step compares all
-documents of a group with each other: a document has at most ``NEAR + 1``
-candidates per tree.
+then, for documents not yet in one component, all others.  A document has at most
+``NEAR + 1`` candidates per tree, so trees miss links in crowded regions.  What they
+miss an exact prefix-filter join finds: documents of different components that share
+a shingle among their rarest ones, early enough for a link, are confirmed too.
 
 Defined cases: a null or blank text has no shingles and links with nothing; a
 text of fewer words than a shingle has one shingle, all its words; a null
@@ -42,6 +43,12 @@ TREES, DEPTH, DEEPER = 24, 4, 3
 NEAR = 3
 #: Bits of a set's parity bitmap.
 BITS = 1024
+#: Cells of the counts that order shingles from rare to frequent (any order is right,
+#: a sharper one is cheaper).
+CELLS = 1 << 20
+#: Documents of a shingle that one task compares with others, and parts of a shingle's
+#: documents where they meet its counts.
+TOGETHER, PARTS = 2000, 16
 
 _U = np.uint64
 
@@ -240,6 +247,113 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return both.where(100 * F.col("i") >= percent * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b")
 
 
+def shingle_counts(docs: DataFrame, words: int = WORDS, cells: int = CELLS) -> np.ndarray:
+    """How often shingles fall into each of ``cells`` cells of their hash."""
+    slices = 64
+    width = cells // slices
+
+    def run(batches):
+        have = np.zeros(cells, np.int32)
+        for b in batches:
+            for _, _, raw, off in text_blocks(b):
+                cell = (block_shingles(raw, off, words)[0] % _U(cells)).astype(np.int64)
+                have += np.bincount(cell, minlength=cells).astype(np.int32)
+        if have.any():
+            part = have.reshape(slices, width)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(slices, dtype=np.int32)), pa.array([p.tobytes() for p in part], pa.binary())],
+                names=["slice", "counts"])
+
+    def add(parts: pa.Table) -> pa.Table:  # as many rows as tasks, that is, cores
+        total = np.zeros(width, np.int64)
+        for c in parts["counts"]:
+            total += np.frombuffer(c.as_py(), "<i4")
+        total = np.minimum(total, np.iinfo(np.int32).max).astype("<i4")
+        return pa.table({"slice": parts["slice"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    tasks = docs.select("text").coalesce(docs.sparkSession.sparkContext.defaultParallelism)
+    got = tasks.mapInArrow(run, "slice int, counts binary").groupBy("slice").applyInArrow(add, "slice int, counts binary")
+    out = np.zeros((slices, width), np.int32)
+    for r in got.collect():  # 64 rows, CELLS * 4 bytes
+        out[r["slice"]] = np.frombuffer(r["counts"], "<i4")
+    return out.ravel()
+
+
+def rare_shingles(docs: DataFrame, counts: np.ndarray, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``(doc_id, n, shingles, most)``: of each text the shingles, from rare to frequent,
+    that can be the first one in common with a linked text, and the most shingles such a
+    text can have.  Two sets whose first common shingle stands before ``r`` and ``q``
+    remaining ones share at most the smaller of them, so a link needs
+    ``(100 + percent) * r >= percent * (n + m)``, and the same of ``q``."""
+    cells = len(counts)
+    state = docs.sparkSession.sparkContext.broadcast(counts)  # fixed by CELLS
+
+    def run(batches):
+        for b in batches:
+            for i, j, raw, off in text_blocks(b):
+                x, row = block_shingles(raw, off, words)
+                order = np.lexsort((x, state.value[(x % _U(cells)).astype(np.int64)], row))
+                x, row = x[order], row[order]
+                n = np.bincount(row, minlength=j - i)
+                left = np.repeat(np.cumsum(n), n) - np.arange(len(x))  # this one and those after it
+                most = (100 + percent) * left // percent - n[row]
+                use = 100 * most >= percent * n[row]
+                x, row, most = x[use], row[use], most[use]
+                edge = np.searchsorted(row, np.arange(j - i + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i), pa.array(n.astype(np.int64)),
+                     pa.ListArray.from_arrays(edge, pa.array(x.view(np.int64))),
+                     pa.ListArray.from_arrays(edge, pa.array(most.astype(np.int32)))],
+                    names=["doc_id", "n", "shingles", "most"])
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, shingles array<long>, most array<int>")
+
+
+def unmet(docs: DataFrame, reps: DataFrame, at: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``(a, b)``: every pair of representatives of different components ``at(node,
+    root)`` that can be linked by its rare shingles and set sizes.  Shingles that only one
+    component has are dropped by their counts; of the others, documents outside the largest
+    component meet all documents, ``TOGETHER`` at a time."""
+    ids = reps.select("doc_id").distinct().join(at.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "doc_id", F.coalesce("root", "doc_id").alias("root"))
+    rare = rare_shingles(docs, shingle_counts(docs, words), words, percent)
+    rows = written(rare.join(ids, "doc_id").select("doc_id", "n", "root", "shingles", "most").dropDuplicates(
+        ["doc_id", "shingles"]), "rare-shingles", FILES_PER_CORE)
+    rows = rows.select(F.explode(F.arrays_zip("shingles", "most")).alias("t"), "doc_id", "n", "root").select(
+        F.col("t.shingles").alias("g"), F.col("t.most").alias("most"), "doc_id", "n", "root",
+        F.pmod(F.hash("doc_id"), F.lit(PARTS)).alias("part"))
+    shared = rows.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least"),
+                                   F.count(F.lit(1)).alias("crowd")).where("lo <> hi")
+    shared = shared.select("g", "least", "crowd", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    rows = written(rows.join(shared, ["g", "part"]).where("most >= least").select(
+        "g", "doc_id", "n", "most", "root", F.ceil(F.col("crowd") / TOGETHER).cast("int").alias("blocks")),
+        "met-shingles", FILES_PER_CORE)
+    main = rows.groupBy("g", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("g").agg(
+        F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    main = main.select("g", F.col("m.root").alias("main"), F.explode(
+        F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    rows = rows.withColumn("part", F.pmod(F.hash("doc_id"), F.lit(PARTS))).join(main, ["g", "part"])
+    some = rows.where("root <> main").select(
+        "g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("doc_id").alias("a"),
+        F.col("n").alias("na"), F.col("most").alias("ma"), F.col("root").alias("ra"))
+    all_ = rows.select("g", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), F.col("doc_id").alias("b"),
+                       F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("root").alias("rb"))
+    pairs = some.join(all_, ["g", "block"]).where("ra <> rb and nb <= ma and na <= mb").where(
+        100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def merged(at: DataFrame, links: DataFrame) -> DataFrame:
+    """``at(node, root)`` after ``links(a, b)`` have joined its components; a node without
+    links need not be in it."""
+    ra = at.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    rb = at.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    above = components(links.join(ra, "a", "left").join(rb, "b", "left").select(
+        F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+    up = above.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return at.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(
+        above.join(at.select("node"), "node", "left_anti"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs(doc_id, text)`` as ``doc_id, n_shingles, component_id, kept``."""
     docs = docs.select("doc_id", "text")
@@ -263,11 +377,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     rb = at.select(F.col("node").alias("b"), F.col("root").alias("rb"))
     apart = pairs.join(ra, "a", "left").join(rb, "b", "left").withColumns(
         {"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")}).where("ra <> rb")
-    more = confirmed(apart, sets, percent).join(apart, ["a", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    above = components(more)
-    up = above.select(F.col("node").alias("root"), F.col("root").alias("top"))
-    roots = at.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(
-        above.join(at.select("node"), "node", "left_anti"))
+    at = written(merged(at, confirmed(apart, sets, percent)), "roots", FILES_PER_CORE)
+    # last, what no tree brought together
+    pairs = written(likely(unmet(docs, reps, at, words, percent), reps, percent), "unmet", FILES_PER_CORE)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    some = packed_texts(docs).join(ends, "doc_id", "left_semi").dropDuplicates()
+    sets = written(shingle_sets(some, words), "unmet-sets", FILES_PER_CORE)
+    roots = merged(at, confirmed(pairs, sets, percent))
     member = own.select("doc_id", "n", "hi", "lo").join(groups, ["n", "hi", "lo"]).select("doc_id", "n", "rep")
     linked = member.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", "n", F.coalesce("root", "rep").alias("component_id"))
