@@ -8,6 +8,7 @@ works on whole blocks and never on single rows.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Iterator
 
@@ -107,30 +108,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.empty(n, dtype=np.uint64)
-    out[0] = 1
-    have = 1
-    while have < n:
-        take = min(have, n - have)
-        out[have:have + take] = out[:take] * _U(pow(base, have, 1 << 64))
-        have += take
-    return out
-
-
-_pow_cache: dict = {}
-
-
-def powers(n: int, inverse: bool = False) -> np.ndarray:
-    """The first ``n`` powers of the hash multiplier (or of its inverse) mod 2^64."""
-    have = _pow_cache.get(inverse)
-    if have is None or len(have) < n:
-        have = _powers(max(n, BLOCK_BYTES + 2), pow(_ODD, -1, 1 << 64) if inverse else _ODD)
-        if n <= 4 * BLOCK_BYTES:
-            _pow_cache[inverse] = have
-    return have[:n]
-
-
 def words_of(raw: np.ndarray, off: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(start, end, row)`` of the words of a block, in order; ``gap`` marks the
     bytes that part words."""
@@ -153,13 +130,33 @@ def words_of(raw: np.ndarray, off: np.ndarray, gap: np.ndarray = SPACE) -> tuple
     return start, end, row
 
 
+#: Longest word, in bytes, that is hashed eight bytes at a time with all others.
+_STEPPED = 64
+#: Masks that keep the first 0 to 8 bytes of a little-endian integer.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+
 def word_hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, the same wherever the word stands."""
+    """A 64-bit hash of each word, the same wherever the word stands.  Every eight
+    bytes are mixed into the state before the next eight, so no pattern of letters
+    cancels out; words over ``_STEPPED`` bytes are hashed one by one, by BLAKE2."""
     if not len(start):
         return np.zeros(0, np.uint64)
-    run = np.zeros(len(low) + 1, dtype=np.uint64)
-    np.cumsum((low.astype(np.uint64) + _U(1)) * powers(len(low)), out=run[1:])
-    return mix((run[end] - run[start]) * powers(len(low) + 1, inverse=True)[start] + (end - start).astype(np.uint64))
+    padded = np.zeros(len(low) + 8, np.uint8)
+    padded[:len(low)] = low
+    eight = np.ndarray(len(low) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    size = end - start
+    h = mix(size.astype(np.uint64) + _U(_ODD))
+    at, todo = start, np.flatnonzero(size <= _STEPPED)
+    left, at = size[todo], start[todo]
+    while len(todo):
+        h[todo] = mix(h[todo] ^ (eight[at] & _FIRST[np.minimum(left, 8)]))
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > _STEPPED):
+        digest = hashlib.blake2b(low[start[i]:end[i]].tobytes(), digest_size=8).digest()
+        h[i] = _U(int.from_bytes(digest, "little"))
+    return h
 
 
 def shingle_hashes(h: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -177,17 +174,18 @@ def shingle_hashes(h: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray,
     full = np.zeros(n, dtype=bool)
     if n >= k:
         full[:n - k + 1] = row[k - 1:] == row[:n - k + 1]
-    out_h, out_r = mix(acc[full]), row[full]
-    for f, c in zip(first[count < k], count[count < k]):
-        v = h[f:f + 1].copy()
-        for j in range(1, c):
-            v = v * m + h[f + j:f + j + 1]
-        out_h = np.r_[out_h, mix(v + _U(int(c)))]
-        out_r = np.r_[out_r, row[f:f + 1]]
-    if (count < k).any():
-        order = np.argsort(out_r, kind="stable")
-        out_h, out_r = out_h[order], out_r[order]
-    return out_h, out_r
+    short = count < k
+    if not short.any():
+        return mix(acc[full]), row[full]
+    at, size = first[short], count[short]
+    few = h[at]
+    for j in range(1, k - 1):
+        have = size > j
+        few[have] = few[have] * m + h[at[have] + j]
+    out_h = np.concatenate([mix(acc[full]), mix(few + size.astype(np.uint64))])
+    out_r = np.concatenate([row[full], row[at]])
+    order = np.argsort(out_r, kind="stable")
+    return out_h[order], out_r[order]
 
 
 def distinct_per_row(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
