@@ -70,11 +70,15 @@ from d left join f on d.doc_id = f.doc_id group by d.doc_id, d.w
 
 ORACLE_SQL["op6_license_scan"] = _license_sql()
 
-ORACLE_SQL["op8_near_dedup"] = rf"""
+def _linked_sql(k: int) -> str:
+    """Components of documents whose sets of ``k``-word shingles reach 80 %: ``d(doc_id)``, set
+    sizes ``n(doc_id, n)``, and ``r(node, seen)``, what each document reaches."""
+    gram = " || ' ' || ".join(f"w[i + {j}]" if j else "w[i]" for j in range(k))
+    return rf"""
 with recursive {_words_sql(r"[\x20\x09-\x0D]+")},
 s as (
   select distinct doc_id, unnest(case
-    when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])
+    when len(w) >= {k} then list_transform(range(1, len(w) - {k - 2}), lambda i: {gram})
     when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g
   from d),
 n as (select doc_id, count(*) as n from s group by doc_id),
@@ -88,11 +92,53 @@ e as (select a, b from l union select b, a from l),
 r as (
   select doc_id as node, doc_id as seen from d
   union
-  select r.node, e.b from r join e on e.a = r.seen)
+  select r.node, e.b from r join e on e.a = r.seen)"""
+
+
+ORACLE_SQL["op8_near_dedup"] = _linked_sql(4) + """
 select d.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r.seen) as component_id, d.doc_id = min(r.seen) as kept
 from d join r on r.node = d.doc_id left join n on n.doc_id = d.doc_id group by d.doc_id
 """
 
+ORACLE_SQL["op12_ngram_join"] = _linked_sql(5) + """
+select d.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r.seen) as component_id
+from d join r on r.node = d.doc_id left join n on n.doc_id = d.doc_id group by d.doc_id
+"""
+
+
+def _clusters_sql(rounds: int = 10, k: int = 8, dims: int = 64) -> str:
+    """Every round in two steps: ``a``, the nearest centroid of each vector (the smaller of
+    ``distance * k + number``), and ``c``, the new centroids."""
+    each = f"range(1, {dims + 1})"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} as materialized (
+  select vec_id, x, min(list_sum(list_transform({each}, lambda i: (x[i] - m[i]) * (x[i] - m[i])))::bigint * {k} + c) as best
+  from v cross join c{r} group by vec_id, x)""")
+        if r < rounds:
+            steps.append(f"""s{r} as (
+  select best % {k} as c, i, sum(x[i]) as s, count(*)::hugeint as n from a{r} cross join (select unnest({each}) as i) group by 1, 2),
+c{r + 1} as materialized (
+  select c{r}.c, coalesce(u.m, c{r}.m) as m from c{r} left join (
+    select c, list(((s - ((s % n) + n) % n) // n)::bigint order by i) as m from s{r} group by c) u on u.c = c{r}.c)""")
+    return f"""
+with v as materialized (
+  select vec_id, list_transform(embedding, lambda x: floor({1024} * x::double)::bigint) as x
+  from embeddings
+  where len(embedding) = {dims} and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+c0 as materialized (
+  select row_number() over (order by sha256('3:' || vec_id)) - 1 as c, x as m
+  from v order by sha256('3:' || vec_id) limit {k}),
+{", ".join(steps)}
+select vec_id, (best % {k})::integer as "cluster", (best // {k})::bigint as distance,
+       sum(best // {k}) over (partition by best % {k})::bigint as cluster_inertia,
+       sum(best // {k}) over ()::bigint as inertia, sha256(array_to_string(m, ',')) as centroid_sha256
+from a{rounds} join c{rounds} on c = best % {k}
+"""
+
+
+ORACLE_SQL["op11_bisector_clusters"] = _clusters_sql()
+
 ORACLE_SQL["op5_suffix_dedup"] = """
 with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
 w as materialized (
@@ -192,3 +238,28 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewire.llm.url_graph import url_filter
     ready(spark)
     return url_filter(documents(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query
+def op11_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewire.llm.bisector_kmeans import centroid_clusters
+    ready(spark)
+    return centroid_clusters(documents(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@query
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidewire.llm.alignment import cross_alignment
+    ready(spark)
+    return cross_alignment(documents(spark, sf_dir, "documents", "doc_id", "text"),
+                           str(public_tokenizers.path("byte_bpe_50k.json")),
+                           str(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@query
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewire.llm.ngram_join import jaccard_components
+    ready(spark)
+    return jaccard_components(documents(spark, sf_dir, "documents", "doc_id", "text"))
