@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
 
 def all_queries() -> dict[str, QueryFn]:
     # importing the modules registers their queries
-    from tidewire.plans import batch_queries, io_queries, stream_queries  # noqa: F401
+    from tidewire.plans import batch_queries, io_queries, ledger_queries, pane_queries, stream_queries  # noqa: F401
     return dict(QUERIES)
 
 

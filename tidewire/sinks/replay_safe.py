@@ -58,27 +58,43 @@ def read_batches(spark, path: str, fmt: str = "parquet", schema=None) -> DataFra
     return spark.read.option("basePath", path).format(fmt).load(found)
 
 
+def _one_query():
+    """The query that wrote a pane; a fold counts as the query it was folded from."""
+    return F.regexp_replace("query_id", "-fold-.*$", "")
+
+
 def latest_pane(df: DataFrame, keys, batch_col: str = "batch_id",
                 keep_batch: bool = False) -> DataFrame:
     """Per group, the row of the highest batch id (the last, most complete
     pane of an update-mode aggregate).  ``max_by`` combines map-side, so no
     group is gathered whole, but its buffer is a struct, so Spark sorts by
     the keys on both sides of the shuffle; for counts use ``latest_count``.
-    ``keep_batch`` keeps the winning batch id as a column."""
+    Batch ids of two queries cannot be compared, so a group that two queries wrote to fails
+    the job.  ``keep_batch`` keeps the winning batch id as a column."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     rest = [c for c in df.columns if c not in keys and c not in (batch_col, "query_id")]
     if keep_batch:
         rest.append(batch_col)
-    return (df.groupBy(*keys)
-              .agg(F.max_by(F.struct(*rest), F.col(batch_col)).alias("_last"))
-              .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest]))
+    last = F.max_by(F.struct(*rest), F.col(batch_col)).alias("_last")
+    if "query_id" not in df.columns:
+        one = df.groupBy(*keys).agg(last)
+    else:
+        query = _one_query()
+        one = df.groupBy(*keys).agg(last, F.min(query).alias("_q0"), F.max(query).alias("_q1")).withColumn(
+            "_last", F.when(F.col("_q0") == F.col("_q1"), F.col("_last")).otherwise(F.raise_error(F.concat(
+                F.lit("panes of one group come from two queries: "), "_q0", F.lit(", "), "_q1"))))
+    return one.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
 
 def latest_count(df: DataFrame, keys, count: str = "n") -> DataFrame:
     """Per group, the last pane of a count: within one query a group's count
-    only grows, so that is its maximum, a plain hash aggregate."""
+    only grows, so that is its maximum, a plain hash aggregate.  What several queries have
+    counted (``query_id``), each from where the one before it stopped, is added up."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(F.max(count).alias(count))
+    if "query_id" not in df.columns:
+        return df.groupBy(*keys).agg(F.max(count).alias(count))
+    each = df.groupBy(*keys, _one_query().alias("_query")).agg(F.max(count).alias(count))
+    return each.groupBy(*keys).agg(F.sum(count).alias(count))
 
 
 def compact_panes(spark, path: str, keys, batch_col: str = "batch_id", fmt: str = "parquet") -> None:

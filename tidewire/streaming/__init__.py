@@ -12,6 +12,7 @@ from tidewire.streaming.runner import (  # noqa: F401
     run_available,
     run_early,
     run_final,
+    run_timers,
     start_early,
 )
 from tidewire.streaming.windows import stream_window_counts  # noqa: F401

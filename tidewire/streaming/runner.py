@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import time
+
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewire.fixed import EARLY_FIRING_DELAY
@@ -57,3 +60,33 @@ def start_early(df, path: str, checkpoint: str, every: str = EARLY_FIRING_DELAY)
     processing time (the early-firing cadence), until stopped."""
     from tidewire.sinks.replay_safe import replay_safe_sink
     return replay_safe_sink(df, path, checkpoint, output_mode="update").trigger(processingTime=every).start()
+
+
+def run_timers(df, path: str, checkpoint: str, delay: str = EARLY_FIRING_DELAY, every: str = "1 second",
+               timeout_s: float = 600):
+    """Run a query with processing-time timers of ``delay`` until its input is used up and no
+    timer can be pending, then stop it.  Its output goes through the replay-safe sink.
+
+    A timer that an earlier run left is due ``delay`` after this one's start at the latest, one of
+    this run ``delay`` after the last micro-batch with rows: the first micro-batch without rows that
+    begins after both has fired them all."""
+    from tidewire.sinks.replay_safe import replay_safe_sink
+    from tidewire.streaming.panes import millis
+    wait = dt.timedelta(milliseconds=millis(delay))
+    due = dt.datetime.now(dt.timezone.utc) + wait
+    q = replay_safe_sink(df, path, checkpoint, output_mode="update").trigger(processingTime=every).start()
+    until, seen = time.monotonic() + timeout_s, -1
+    try:
+        while time.monotonic() < until:
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
+            for p in [p for p in q.recentProgress if p.batchId > seen]:
+                seen, began = p.batchId, dt.datetime.fromisoformat(p.timestamp)
+                if p.numInputRows:
+                    due = max(due, began + wait)
+                elif began > due:
+                    return q
+            time.sleep(0.2)
+        raise TimeoutError(f"timers still pending after {timeout_s} s")
+    finally:
+        q.stop()
