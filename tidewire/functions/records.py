@@ -74,22 +74,30 @@ def frame_payload(framed) -> Column:
     return F.substring(checked_frame(framed), REGISTRY_HEADER_BYTES + 1, 2147483647)
 
 
-def bracket_join(entries, value_field: str = "value", count_field: str = "n") -> Column:
+#: Longest one-line rendering of a group, in characters; beyond it use ``operators.bracket_parts``.
+LINE_LIMIT = 1 << 28
+
+
+def bracket_join(entries, value_field: str = "value", count_field: str = "n", limit: int = LINE_LIMIT) -> Column:
     """Render an array of ``struct(value, n)`` as ``[v],[v],...``.
 
     Entries are sorted by value; each value is repeated ``n`` times, which
     lets callers pre-aggregate equal values before the group shuffle.
     NULL values render as ``null``; an empty or NULL array gives ``""``.
-    The result is one string per group, so this is a view for small groups;
-    a count that no string can hold fails the job, it is never cut.
+    The result is one string per group, so this is a view for small groups: its size is
+    counted first, and a line of more than ``limit`` characters fails the job; it is never cut.
     """
     ordered = F.array_sort(_c(entries))
+    extra = len(BRACKET_ITEM[0]) + len(BRACKET_ITEM[1])
+    size = F.aggregate(ordered, F.lit(0).cast("long"), lambda total, e: total + e[count_field] * (
+        F.length(F.coalesce(e[value_field].cast("string"), F.lit(NULL_TEXT))) + extra))
     pieces = F.transform(
         ordered,
         lambda e: F.repeat(
             F.concat(F.lit(BRACKET_ITEM[0]), F.coalesce(e[value_field], F.lit(NULL_TEXT)), F.lit(BRACKET_ITEM[1])),
-            F.when(e[count_field] <= 2147483647, e[count_field]).otherwise(F.raise_error(F.concat(
-                F.lit("too many equal values for one line: "), e[count_field].cast("string")))).cast("int"),
+            e[count_field].cast("int"),
         ),
     )
-    return F.coalesce(F.array_join(pieces, ""), F.lit(""))
+    line = F.when(F.coalesce(size, F.lit(0)) <= limit, F.array_join(pieces, "")).otherwise(F.raise_error(F.concat(
+        F.lit(f"a list is too long for one line of {limit} characters (use bracket_parts): "), size.cast("string"))))
+    return F.coalesce(line, F.lit(""))

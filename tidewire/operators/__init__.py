@@ -1,5 +1,5 @@
-"""DataFrame -> DataFrame operators.  Only ``checked_lookup`` and
-``bucketed_lookup`` run a Spark action: they write the table they return."""
+"""DataFrame -> DataFrame operators.  Only ``checked_lookup``, ``bucketed_lookup`` and those of
+``numbering`` run a Spark action: they write the table they return or number."""
 
 from tidewire.operators.aggs import bracket_list, filter_by_global, global_max, value_counts  # noqa: F401
 from tidewire.operators.bounded import bounded_by_count, bounded_by_time  # noqa: F401
@@ -23,6 +23,7 @@ from tidewire.operators.kv import (  # noqa: F401
     text_to_lines,
     values_only,
 )
+from tidewire.operators.numbering import bracket_parts, dense_numbers, route_dense  # noqa: F401
 from tidewire.operators.records import (  # noqa: F401
     decode_avro,
     parse_delimited,

@@ -1,7 +1,7 @@
 """End-to-end jobs, one per pipeline of the original collection.
 
 Each job takes its input as a DataFrame of broker-shaped records (from
-``sources.kafka_stream`` on a cluster, or ``sources.read_replay_stream``
+``sources.kafka_stream`` on a cluster, or ``sources.replay.read_slices``
 offline), so the same code runs against a topic or a replay.  ``*_plan``
 functions return the DataFrame to be written (testable without a broker);
 ``*_job`` functions attach the sink and start the query.

@@ -1,18 +1,18 @@
-"""Panes by timers (``streaming.panes``) over the replayed ``events``."""
+"""Panes by timers (``streaming.panes``) and the co-group of two streams, over the replayed ``events``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.fixed import JOIN_WINDOW
+from tidewire.fixed import ALLOWED_LATENESS, JOIN_WINDOW
 from tidewire.plans.inputs import event_broker_records
 from tidewire.plans.registry import query
-from tidewire.plans.stream_queries import event_pairs, event_slices
+from tidewire.plans.stream_queries import REPLAY_SLICES, event_pairs, event_slices
 from tidewire.session import scratch_path
 from tidewire.sinks.replay_safe import latest_count, read_batches
 from tidewire.sources.replay import read_slices, time_slices, write_slices
-from tidewire.streaming import run_early, run_timers
+from tidewire.streaming import run_early, run_final, run_timers, stream_stream_cogroup
 from tidewire.streaming.panes import late_panes, timer_panes
 
 #: Early firing of the registered query; the operator's own default is the original's.
@@ -77,3 +77,29 @@ def stream_late_panes(spark, sf) -> DataFrame:
                            window=LATE_WINDOW, lateness=LATE_BY)
         run_early(panes, f"{base}/data", f"{base}/checkpoint")
     return read_batches(spark, f"{base}/data").drop("query_id", "batch_id")
+
+
+@query("stream_stream_cogroup", f"""
+with e as (select *, event_id % 3 = 0 as is_right from events),
+g as (
+  select time_bucket(interval '{JOIN_WINDOW}', ts) as window_start,
+         time_bucket(interval '{JOIN_WINDOW}', ts) + interval '{JOIN_WINDOW}' as window_end,
+         cast(user_id as varchar) as key, is_right::integer as side, event_type as value, count(*) as n
+  from e group by 1, 2, 3, 4, 5)
+select * from g
+where window_end <= (select least(max(ts) filter (is_right), max(ts) filter (not is_right)) from e) - interval '{ALLOWED_LATENESS}'
+""")
+def stream_stream_cogroup_q(spark, sf) -> DataFrame:
+    """Both sides endless: two topics of ``events``, the second one a slice behind until the last run."""
+    topics, base, schema = [], scratch_path(spark, "two-streams"), None
+    for name, kept in (("left", F.col("offset") % 3 != 0), ("right", F.col("offset") % 3 == 0)):
+        path = scratch_path(spark, f"replay-{name}")
+        write_slices(time_slices(event_broker_records(spark, sf).where(kept), "timestamp", REPLAY_SLICES), path)
+        topics.append(path)
+    for i in range(REPLAY_SLICES):
+        left = event_pairs(read_slices(spark, topics[0], i))
+        right = event_pairs(read_slices(spark, topics[1], i if i == REPLAY_SLICES - 1 else max(0, i - 1)))
+        both = stream_stream_cogroup(left, right)
+        schema = both.schema
+        run_final(both, f"{base}/data", f"{base}/checkpoint")
+    return spark.read.schema(schema).parquet(f"{base}/data")

@@ -5,6 +5,7 @@ from tidewire.streaming.joins import (  # noqa: F401
     merged_cogroup,
     stream_lookup_join,
     stream_side_counts,
+    stream_stream_cogroup,
 )
 from tidewire.streaming.runner import (  # noqa: F401
     batches_run,

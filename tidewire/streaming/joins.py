@@ -51,6 +51,29 @@ def merged_cogroup(panes: DataFrame, bounded: DataFrame) -> DataFrame:
     return latest_count(panes, LONG_KEYS).unionByName(bounded.select(*LONG_KEYS, "n"))
 
 
+def stream_stream_cogroup(left: DataFrame, right: DataFrame, key: str = "key", value: str = "value", ts: str = "ts",
+                          window: str = JOIN_WINDOW, lateness: str = ALLOWED_LATENESS) -> DataFrame:
+    """Co-group of two endless inputs inside the stream, long form, for append output.
+
+    Each side has its own watermark; the query's is the smaller of the two (Spark's default policy),
+    so a window is written, once, when both sides have passed its end, and its state goes then.
+    A side that lags holds windows open and loses nothing; a key that only one side has gives that
+    side's rows, as in a full outer join, but without a row for each pair.  After a restart Spark knows a
+    side's own watermark again only when that side has new rows: until then no window is written."""
+    if not (left.isStreaming and right.isStreaming):
+        raise ValueError("both sides must be streams")
+    if left.sparkSession.conf.get("spark.sql.streaming.multipleWatermarkPolicy", "min") != "min":
+        raise ValueError("the watermark must follow the slower side (spark.sql.streaming.multipleWatermarkPolicy=min)")
+    sides = [df.withWatermark(ts, lateness).select(F.col(ts).alias("ts"), F.col(key).alias("key"), F.col(value).cast("string").alias("value"),
+                                                   F.lit(side).alias("side"))
+             for df, side in ((left, STREAM_SIDE), (right, BOUNDED_SIDE))]
+    both = sides[0].unionByName(sides[1])
+    w = F.window("ts", window)
+    return (both.groupBy(w.alias("w"), "key", "side", "value").agg(F.count(F.lit(1)).alias("n"))
+                .select(instant_to_ntz("w.start").alias("window_start"), instant_to_ntz("w.end").alias("window_end"),
+                        "key", "side", "value", "n"))
+
+
 def stream_lookup_join(stream: DataFrame, lookup: DataFrame, key: str = "key",
                        value: str = "value", **kw) -> DataFrame:
     """Stream-static left lookup join; ``lookup`` is a batch DataFrame
