@@ -1,19 +1,23 @@
-"""Panes by timers (``streaming.panes``) and the co-group of two streams, over the replayed ``events``."""
+"""Panes by timers, the co-group of two streams, complete windows and a running side input, over the
+replayed ``events``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.fixed import ALLOWED_LATENESS, JOIN_WINDOW
+from tidewire.fixed import ALLOWED_LATENESS, FILE_WINDOW, JOIN_WINDOW
+from tidewire.functions.time import instant_to_ntz
 from tidewire.plans.inputs import event_broker_records
 from tidewire.plans.registry import query
 from tidewire.plans.stream_queries import REPLAY_SLICES, event_pairs, event_slices
 from tidewire.session import scratch_path
 from tidewire.sinks.replay_safe import latest_count, read_batches
+from tidewire.sinks.windows import complete_windows_sink, read_complete_windows
 from tidewire.sources.replay import read_slices, time_slices, write_slices
-from tidewire.streaming import run_early, run_final, run_timers, stream_stream_cogroup
+from tidewire.streaming import run_available, run_early, run_final, run_timers, stream_stream_cogroup
 from tidewire.streaming.panes import late_panes, timer_panes
+from tidewire.streaming.side_input import publish_max, with_side_input
 
 #: Early firing of the registered query; the operator's own default is the original's.
 TIMER_DELAY = "2 seconds"
@@ -103,3 +107,45 @@ def stream_stream_cogroup_q(spark, sf) -> DataFrame:
         schema = both.schema
         run_final(both, f"{base}/data", f"{base}/checkpoint")
     return spark.read.schema(schema).parquet(f"{base}/data")
+
+
+@query("complete_windows", f"""
+select event_id as "offset", cast(user_id as varchar) as key, ts::timestamp as ts,
+       time_bucket(interval '{FILE_WINDOW}', ts) as window_start,
+       time_bucket(interval '{FILE_WINDOW}', ts) + interval '{FILE_WINDOW}' as window_end
+from events
+where time_bucket(interval '{FILE_WINDOW}', ts) + interval '{FILE_WINDOW}' <= (select max(ts) from events) - interval '{ALLOWED_LATENESS}'
+""")
+def complete_windows_q(spark, sf) -> DataFrame:
+    """Windowed files: only windows that the watermark has passed are read; records inside
+    the allowed lateness are in them."""
+    path, slices = event_slices(spark, sf)
+    base, schema = scratch_path(spark, "complete-windows"), None
+    for i in range(slices):
+        rows = event_pairs(read_slices(spark, path, i)).select("offset", "key", "ts")
+        schema = rows.schema
+        run_available(complete_windows_sink(rows, base, f"{base}/checkpoint"))
+    return read_complete_windows(spark, base, schema).withColumn("ts", instant_to_ntz("ts"))
+
+
+@query("stream_length_cutoff", f"""
+with e as (select event_id, user_id, event_type, epoch_us(ts) as us from events),
+b as (select min(us) as lo, (max(us) - min(us)) // {REPLAY_SLICES} + 1 as step from e),
+s as (select e.*, (us - lo) // step as slice from e, b),
+m as (select slice, max(max(length(event_type) + user_id % 5)) over (order by slice) as cutoff from s group by slice)
+select event_id as "offset", event_type as value, cutoff::bigint as cutoff
+from s join m using (slice) where 2 * length(event_type) <= cutoff
+""")
+def stream_length_cutoff(spark, sf) -> DataFrame:
+    """The global cut-off as a running side input: one stream publishes the largest length so far, another
+    keeps the records of at most half of it, as of each micro-batch."""
+    path, base = scratch_path(spark, "replay-cutoff"), scratch_path(spark, "length-cutoff")
+    write_slices(time_slices(event_broker_records(spark, sf), "timestamp", REPLAY_SLICES), path)
+
+    def keep(batch: DataFrame, cutoff):
+        return batch.where(2 * F.length("value") <= F.lit(cutoff)).select("offset", "value", F.lit(cutoff).cast("long").alias("cutoff"))
+    for i in range(REPLAY_SLICES):
+        rows = event_pairs(read_slices(spark, path, i))
+        run_available(publish_max(rows, F.length("value") + F.col("key").cast("long") % 5, f"{base}/side", f"{base}/ck-side"))
+        run_available(with_side_input(rows, f"{base}/side", keep, f"{base}/data", f"{base}/ck-main"))
+    return read_batches(spark, f"{base}/data").select("offset", "value", "cutoff")
