@@ -45,7 +45,7 @@ SLICES = 16
 #: Documents of a list that one task compares with others.
 TOGETHER = 2000
 #: Bytes of text worked on together.
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 
 _U = np.uint64
 
@@ -128,9 +128,8 @@ def count_tables(parts: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``(doc_id, n, hi, lo, grams, most, others, central)``: of each text the first n-grams of the
-    first order, for each the largest set that can still be linked if it is the first n-gram in common,
-    the prefixes of the other orders, and how frequent its prefix is."""
+    """``(doc_id, n, hi, lo, grams, others, central)``: of each text the prefixes under all orders, and
+    how frequent the first one is."""
     state = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, (1 << 62)))  # fixed by ORDERS and CELLS
 
     def run(batches):
@@ -155,34 +154,35 @@ def prefixes(docs: DataFrame, counts: np.ndarray, words: int = WORDS, percent: i
                     lists.append(x[order][prefix])
                     if not k:
                         weight = np.log(np.maximum(1, count[order][prefix]))
-                left = (n[row] - place)[prefix]
-                most = (100 + percent) * left // percent - n[row[prefix]]
                 central = np.bincount(row[prefix], weights=weight, minlength=j - i) / np.maximum(1, np.diff(edge))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array(n), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64)),
                      pa.ListArray.from_arrays(edge, pa.array(lists[0].view(np.int64))),
-                     pa.ListArray.from_arrays(edge, pa.array(most)),
                      *[pa.ListArray.from_arrays(edge, pa.array((g >> _U(32)).astype(np.uint32).view(np.int32)))
-                       for g in lists[1:]], pa.array(central)],
-                    names=["doc_id", "n", "hi", "lo", "grams", "most", *_OTHERS, "central"])
+                       for g in lists[1:]], pa.array(central.astype(np.float32))],
+                    names=["doc_id", "n", "hi", "lo", "grams", *_OTHERS, "central"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n long, hi long, lo long, grams array<long>, most array<long>, "
-             + "".join(f"{c} array<int>, " for c in _OTHERS) + "central double")
+        run, "doc_id long, n long, hi long, lo long, grams array<long>, "
+             + "".join(f"{c} array<int>, " for c in _OTHERS) + "central float")
 
 
 _OTHERS = [f"order{k}" for k in range(1, ORDERS)]
 
 
-def shared_grams(reps: DataFrame) -> DataFrame:
-    """``(g, doc_id, n, most, crowd, hub)``: the rows of the first order's inverted lists that
-    hold several documents; ``hub`` is a most central document of the list."""
-    rows = reps.select(F.explode(F.arrays_zip("grams", "most")).alias("t"), "doc_id", "n", "central").select(
-        F.col("t.grams").alias("g"), F.col("t.most").alias("most"), "doc_id", "n", "central")
-    lists = written(rows.groupBy("g").agg(
-        F.count(F.lit(1)).alias("crowd"), F.max_by("doc_id", "central").alias("hub"),
-        F.min("n").alias("least")).where("crowd > 1"), "lists", FILES_PER_CORE)
-    return rows.join(lists, "g").where("most >= least").select("g", "doc_id", "n", "most", "crowd", "hub")
+def shared_grams(reps: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``(g, doc_id, n, most, crowd, hub)``: the rows of the first order's inverted lists that hold
+    several documents.  ``most`` is the largest set that can still be linked if this is the first n-gram in
+    common; ``hub`` is a most central document of the list."""
+    rows = reps.select(F.posexplode("grams").alias("place", "g"), "doc_id", F.col("n").cast("int").alias("n"), "central")
+    # lists of one document, most of them, go before anything else is known of them
+    held = written(rows.groupBy("g").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1"), "held", FILES_PER_CORE)
+    rows = written(rows.join(held, "g"), "several", FILES_PER_CORE)
+    lists = written(rows.groupBy("g").agg(F.max_by("doc_id", "central").alias("hub"), F.min("n").alias("least")),
+                    "lists", FILES_PER_CORE)
+    most = F.floor((100 + percent) * (F.col("n") - F.col("place")) / percent) - F.col("n")
+    return rows.join(lists, "g").withColumn("most", most.cast("int")).where("most >= least").select(
+        "g", "doc_id", "n", "most", "crowd", "hub")
 
 
 def in_all_orders(pairs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -248,7 +248,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     reps = prefixes(docs, counts, words, percent).join(
         groups.select(F.col("rep").alias("doc_id"), "n", "hi", "lo"), ["doc_id", "n", "hi", "lo"])
     reps = written(reps.dropDuplicates(["doc_id", "n", "hi", "lo"]), "prefixes", FILES_PER_CORE)
-    shared = written(shared_grams(reps), "shared", FILES_PER_CORE)
+    shared = written(shared_grams(reps, percent), "shared", FILES_PER_CORE)
     pairs = written(in_all_orders(to_hubs(shared), reps, percent), "hub-pairs", FILES_PER_CORE)
     at = written(components(linked(pairs, docs, words, percent, "hub")), "hub-roots", FILES_PER_CORE)
     pairs = written(in_all_orders(across(shared, at, percent), reps, percent), "pairs", FILES_PER_CORE)
