@@ -146,3 +146,28 @@ def test_page_rank_against_power_iteration(spark):
             nxt[d] = nxt.get(d, 0) + 0.85 * rank.get(s, 0) * w
         rank = nxt
     assert got.keys() == rank.keys() and all(got[k] == pytest.approx(rank[k]) for k in rank)
+
+
+def test_distrust_reaches_the_far_end_of_a_chain(spark):
+    """Thirty hosts, each linking to the next, the last one to a bad host: all are suspect, and a host
+    that only they link to is not."""
+    rows = [(i, f"http://h{i}.org/", f'<a href="http://h{i + 1}.org/"> <a href="http://seen.com/">') for i in range(30)]
+    rows += [(30, "http://h30.org/", '<a href="http://bad.net/">'), (31, "http://bad.net/x", ""), (32, "http://seen.com/", None)]
+    got = {r.page_id: r for r in url_filter(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {i for i, r in got.items() if r.verdict == "block"} == set(range(32))
+    assert all(0 < got[i].distrust < got[i + 1].distrust for i in range(28))
+
+
+def test_page_rank_ends_where_power_iteration_ends(spark):
+    links = {("a", "b"): 1.0, ("b", "a"): 0.5, ("b", "c"): 0.5, ("c", "a"): 1.0}
+    edges = spark.createDataFrame([(s, d, 0, w) for (s, d), w in links.items()], "src string, dst string, kind int, w double")
+    seeds = spark.createDataFrame([("a", 0, 1.0)], "host string, kind int, mass double")
+    rank = {"a": 0.15}
+    for _ in range(300):
+        nxt = {"a": 0.15}
+        for (s, d), w in links.items():
+            nxt[d] = nxt.get(d, 0) + 0.85 * rank.get(s, 0) * w
+        rank = nxt
+    got = {r.host: r["rank"] for r in spread(edges, seeds).collect()}
+    assert got.keys() == rank.keys() and all(got[k] == pytest.approx(rank[k], abs=2e-6) for k in rank)
+    assert spread(edges, seeds.where("false")).collect() == []

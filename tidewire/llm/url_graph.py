@@ -5,17 +5,18 @@ trust starts at hosts with allowed pages and follows links, distrust starts at
 hosts most of whose pages a rule for whole hosts blocks (a rule for one path says
 little about the rest) and follows links backwards (who links to a bad host is
 suspect); both are personalised PageRanks, computed side by side by
-repeated joins over the host edges.  A host is blocked where its distrust outweighs
-its trust.
+repeated joins over the host edges until they have settled (``SETTLED``) and reach no
+further host.  A host is blocked where its distrust outweighs its trust.
 
-Edges are the absolute links of the pages' html, weighted by how often they occur,
-and, both ways, a link between a host and its parent domain, so that subdomains
+Edges are the absolute links of the pages' html, weighted by how many pages hold them, and, both ways, a link between a host and its parent domain, so that subdomains
 share their fate.  Links are counted per pair of hosts before anything is joined,
 and ranks are summed within tasks first, so a hub host is no hot key.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits no
-rule and is allowed; null html has no links; a host without trust and distrust is
-allowed; repeated rows are judged one by one; an empty table gives an empty result.
+rule and is allowed; null html has no links; a host without trust and distrust, or with
+equal ones, is allowed; of rules of equal length the later one wins; repeated rows are judged one by
+one, their links count each; a very long html is read whole; an empty table gives an empty
+result; columns besides ``page_id``, ``url`` and ``html`` are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +29,12 @@ from tidewire.llm.core import written
 #: (verdict, host, path) of the rules.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
          ("allow", "org", "/fr/")]
-DAMPING, ROUNDS = 0.85, 12
+DAMPING = 0.85
+#: The walks end when what still moves is at most this share of all rank, of trust and of distrust
+#: alike, and no host was reached for the first time.
+SETTLED = 1e-6
+#: Rounds between two writes.
+STEPS = 4
 #: A host is blocked if its distrust is more than this many times its trust.
 BALANCE = 1.0
 #: A host starts distrust if more than this share of its pages is blocked by rules
@@ -84,17 +90,35 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     return both.groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """``(host, kind, rank)`` after ``rounds`` of personalised PageRank from
-    ``seeds(host, kind, mass)`` over ``edges(src, dst, kind, w)``; ``w`` are shares
-    of what a host passes on, a host without links passes on nothing."""
-    start = seeds.select("host", "kind", (F.col("mass") * (1 - damping)).alias("rank"))
-    rank = written(start, "ranks", per_core=1)
-    for _ in range(rounds):
-        passed = rank.join(edges, (rank["host"] == edges["src"]) & (rank["kind"] == edges["kind"])).select(
-            edges["dst"].alias("host"), edges["kind"], (rank["rank"] * edges["w"] * damping).alias("rank"))
-        rank = written(passed.union(start).groupBy("host", "kind").agg(F.sum("rank").alias("rank")), "ranks", per_core=1)
-    return rank
+def spread(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING,
+           settled: float = SETTLED) -> DataFrame:
+    """``(host, kind, rank)`` of personalised PageRank from ``seeds(host, kind, mass)`` over
+    ``edges(src, dst, kind, w)``; ``w`` are shares of what a host passes on, a host without links
+    passes on nothing.  Each round moves on what the last one moved (``delta``), so what moves shrinks by
+    ``damping`` a round and the walks end by themselves, however long the paths are.  Two rows reach
+    the driver per write.  ``rounds`` stops after so many, for comparison."""
+    rank = written(seeds.select("host", "kind", (F.col("mass") * (1 - damping)).alias("rank"),
+                                (F.col("mass") * (1 - damping)).alias("delta")), "ranks", per_core=1)
+    step = edges.select(F.col("src").alias("host"), "kind", "dst", "w")
+    done, reached = 0, -1
+    while rounds is None or done < rounds:
+        for _ in range(STEPS if rounds is None else min(STEPS, rounds - done)):
+            moved = rank.where("delta > 0").join(step, ["host", "kind"]).select(
+                F.col("dst").alias("host"), "kind", (F.col("delta") * F.col("w") * damping).alias("delta"))
+            rank = rank.select("host", "kind", "rank", F.lit(0.0).alias("delta")).union(
+                moved.select("host", "kind", F.col("delta").alias("rank"), "delta")).groupBy("host", "kind").agg(
+                F.sum("rank").alias("rank"), F.sum("delta").alias("delta"))
+            done += 1
+        rank = written(rank, "ranks", per_core=1)
+        if rounds is None:
+            now = rank.groupBy("kind").agg(F.sum("delta").alias("d"), F.sum("rank").alias("r"), F.count(F.lit(1)).alias("n")).collect()
+            hosts = sum(r["n"] for r in now)
+            if hosts == reached and all(r["d"] <= settled * r["r"] for r in now):
+                break
+            reached = hosts
+            if not now:
+                break
+    return rank.select("host", "kind", "rank")
 
 
 def host_scores(pages: DataFrame, judged: DataFrame) -> DataFrame:
