@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.components import components
 from tidewire.llm.core import FILES_PER_CORE, mix, text_blocks, written
-from tidewire.llm.near_dedup import block_shingles, confirmed, merged, packed_texts, shingle_sets
+from tidewire.llm.near_dedup import block_shingles, merged, packed_texts, shingle_sets
 
 WORDS, PERCENT = 5, 80
 #: Token orders, and cells of the count table of each.
@@ -177,11 +177,11 @@ def shared_grams(reps: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = reps.select(F.posexplode("grams").alias("place", "g"), "doc_id", F.col("n").cast("int").alias("n"), "central")
     # lists of one document, most of them, go before anything else is known of them
     held = written(rows.groupBy("g").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1"), "held", FILES_PER_CORE)
-    rows = written(rows.join(held, "g"), "several", FILES_PER_CORE)
+    rows = written(rows.join(held.hint("merge"), "g"), "several", FILES_PER_CORE)
     lists = written(rows.groupBy("g").agg(F.max_by("doc_id", "central").alias("hub"), F.min("n").alias("least")),
                     "lists", FILES_PER_CORE)
     most = F.floor((100 + percent) * (F.col("n") - F.col("place")) / percent) - F.col("n")
-    return rows.join(lists, "g").withColumn("most", most.cast("int")).where("most >= least").select(
+    return rows.join(lists.hint("merge"), "g").withColumn("most", most.cast("int")).where("most >= least").select(
         "g", "doc_id", "n", "most", "crowd", "hub")
 
 
@@ -190,7 +190,7 @@ def in_all_orders(pairs: DataFrame, reps: DataFrame, percent: int = PERCENT) ->
     def side(id_, tag):
         return reps.select(F.col("doc_id").alias(id_), F.col("n").alias(f"n{tag}"),
                            *[F.col(c).alias(f"{c}{tag}") for c in _OTHERS])
-    both = pairs.join(side("a", "a"), "a").join(side("b", "b"), "b").where(
+    both = pairs.join(side("a", "a").hint("merge"), "a").join(side("b", "b").hint("merge"), "b").where(
         100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     for c in _OTHERS:
         both = both.where(F.arrays_overlap(f"{c}a", f"{c}b"))
@@ -198,10 +198,15 @@ def in_all_orders(pairs: DataFrame, reps: DataFrame, percent: int = PERCENT) ->
 
 
 def linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int, name: str) -> DataFrame:
-    """The pairs whose full sets reach the similarity."""
+    """The pairs whose full sets reach the similarity.  Nothing bounds the pairs, so they are
+    never broadcast: both joins are shuffles at every size."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    some = packed_texts(docs).join(ends, "doc_id", "left_semi").dropDuplicates()
-    return confirmed(pairs, written(shingle_sets(some, words), f"{name}-sets", FILES_PER_CORE), percent)
+    some = packed_texts(docs).join(ends.hint("merge"), "doc_id", "left_semi").dropDuplicates()
+    sets = written(shingle_sets(some, words), f"{name}-sets", FILES_PER_CORE)
+    left = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")).hint("merge")
+    right = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")).hint("merge")
+    both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("sa", "sb")))
+    return both.where(100 * F.col("i") >= percent * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b")
 
 
 def _pair(x, y) -> list:
@@ -223,7 +228,7 @@ def across(shared: DataFrame, at: DataFrame, percent: int = PERCENT) -> DataFram
     held = rows.groupBy("g", "root").agg(F.count(F.lit(1)).alias("c"))
     mixed = written(held.groupBy("g").agg(F.max_by("root", "c").alias("main"), F.count(F.lit(1)).alias("roots")).where(
         "roots > 1").select("g", "main"), "mixed-lists", FILES_PER_CORE)
-    rows = written(rows.join(mixed, "g").withColumn("blocks", F.ceil(F.col("crowd") / TOGETHER).cast("int")),
+    rows = written(rows.join(mixed.hint("merge"), "g").withColumn("blocks", F.ceil(F.col("crowd") / TOGETHER).cast("int")),
                    "mixed-rows", FILES_PER_CORE)
     some = rows.where("root <> main").select(
         "g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("doc_id").alias("x"),
