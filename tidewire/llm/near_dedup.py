@@ -49,6 +49,8 @@ CELLS = 1 << 20
 #: Documents of a shingle that one task compares with others, and parts of a shingle's
 #: documents where they meet its counts.
 TOGETHER, PARTS = 2000, 16
+#: Bytes of text worked on together: a Python worker holds a dozen arrays of that many words.
+BLOCK = 1 << 18
 
 _U = np.uint64
 
@@ -82,7 +84,7 @@ def signatures(docs: DataFrame, words: int = WORDS, trees: int = TREES, depth: i
         mul, add = _seeds(n_values)
         at = (np.arange(trees)[:, None] * depth + np.arange(depth + deeper)) % (trees * depth)
         for b in batches:
-            for i, j, raw, off in text_blocks(b):
+            for i, j, raw, off in text_blocks(b, limit=BLOCK):
                 n = j - i
                 x, row = block_shingles(raw, off, words)
                 count = np.bincount(row, minlength=n)
@@ -228,7 +230,7 @@ def shingle_sets(packed: DataFrame, words: int = WORDS) -> DataFrame:
         for b in batches:
             texts = pa.array([unpack(t.as_py()) for t in b.column(1)], pa.binary()).cast(pa.string())
             b = pa.RecordBatch.from_arrays([b.column(0), texts], names=["doc_id", "text"])
-            for i, j, raw, off in text_blocks(b):
+            for i, j, raw, off in text_blocks(b, limit=BLOCK):
                 flat, row = block_shingles(raw, off, words)
                 flat = flat.view(np.int64)
                 edge = np.searchsorted(row, np.arange(j - i + 1)).astype(np.int32)
@@ -255,7 +257,7 @@ def shingle_counts(docs: DataFrame, words: int = WORDS, cells: int = CELLS) -> n
     def run(batches):
         have = np.zeros(cells, np.int32)
         for b in batches:
-            for _, _, raw, off in text_blocks(b):
+            for _, _, raw, off in text_blocks(b, limit=BLOCK):
                 cell = (block_shingles(raw, off, words)[0] % _U(cells)).astype(np.int64)
                 have += np.bincount(cell, minlength=cells).astype(np.int32)
         if have.any():
@@ -290,7 +292,7 @@ def rare_shingles(docs: DataFrame, counts: np.ndarray, words: int = WORDS, perce
 
     def run(batches):
         for b in batches:
-            for i, j, raw, off in text_blocks(b):
+            for i, j, raw, off in text_blocks(b, limit=BLOCK):
                 x, row = block_shingles(raw, off, words)
                 order = np.lexsort((x, state.value[(x % _U(cells)).astype(np.int64)], row))
                 x, row = x[order], row[order]
