@@ -33,8 +33,6 @@ DAMPING = 0.85
 #: The walks end when what still moves is at most this share of all rank, of trust and of distrust
 #: alike, and no host was reached for the first time.
 SETTLED = 1e-6
-#: Rounds between two writes.
-STEPS = 4
 #: A host is blocked if its distrust is more than this many times its trust.
 BALANCE = 1.0
 #: A host starts distrust if more than this share of its pages is blocked by rules
@@ -95,20 +93,19 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, dampin
     """``(host, kind, rank)`` of personalised PageRank from ``seeds(host, kind, mass)`` over
     ``edges(src, dst, kind, w)``; ``w`` are shares of what a host passes on, a host without links
     passes on nothing.  Each round moves on what the last one moved (``delta``), so what moves shrinks by
-    ``damping`` a round and the walks end by themselves, however long the paths are.  Two rows reach
-    the driver per write.  ``rounds`` stops after so many, for comparison."""
+    ``damping`` a round and the walks end by themselves, however long the paths are.  Every round is
+    written, since it reads the one before twice; two rows reach the driver.  ``rounds`` stops after so many, for comparison."""
     rank = written(seeds.select("host", "kind", (F.col("mass") * (1 - damping)).alias("rank"),
                                 (F.col("mass") * (1 - damping)).alias("delta")), "ranks", per_core=1)
     step = edges.select(F.col("src").alias("host"), "kind", "dst", "w")
     done, reached = 0, -1
     while rounds is None or done < rounds:
-        for _ in range(STEPS if rounds is None else min(STEPS, rounds - done)):
-            moved = rank.where("delta > 0").join(step, ["host", "kind"]).select(
-                F.col("dst").alias("host"), "kind", (F.col("delta") * F.col("w") * damping).alias("delta"))
-            rank = rank.select("host", "kind", "rank", F.lit(0.0).alias("delta")).union(
-                moved.select("host", "kind", F.col("delta").alias("rank"), "delta")).groupBy("host", "kind").agg(
-                F.sum("rank").alias("rank"), F.sum("delta").alias("delta"))
-            done += 1
+        moved = rank.where("delta > 0").join(step, ["host", "kind"]).select(
+            F.col("dst").alias("host"), "kind", (F.col("delta") * F.col("w") * damping).alias("delta"))
+        rank = rank.select("host", "kind", "rank", F.lit(0.0).alias("delta")).union(
+            moved.select("host", "kind", F.col("delta").alias("rank"), "delta")).groupBy("host", "kind").agg(
+            F.sum("rank").alias("rank"), F.sum("delta").alias("delta"))
+        done += 1
         rank = written(rank, "ranks", per_core=1)
         if rounds is None:
             now = rank.groupBy("kind").agg(F.sum("delta").alias("d"), F.sum("rank").alias("r"), F.count(F.lit(1)).alias("n")).collect()
