@@ -30,7 +30,7 @@ from tidewire.llm.core import written
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
          ("allow", "org", "/fr/")]
 DAMPING = 0.85
-#: The walks end when what still moves is at most this share of all rank, of trust and of distrust
+#: The walks end when all that is still to move is at most this share of all rank, of trust and of distrust
 #: alike, and no host was reached for the first time.
 SETTLED = 1e-6
 #: A host is blocked if its distrust is more than this many times its trust.
@@ -110,7 +110,7 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, dampin
         if rounds is None:
             now = rank.groupBy("kind").agg(F.sum("delta").alias("d"), F.sum("rank").alias("r"), F.count(F.lit(1)).alias("n")).collect()
             hosts = sum(r["n"] for r in now)
-            if hosts == reached and all(r["d"] <= settled * r["r"] for r in now):
+            if hosts == reached and all(r["d"] * damping / (1 - damping) <= settled * r["r"] for r in now):
                 break
             reached = hosts
             if not now:
