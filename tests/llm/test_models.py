@@ -190,6 +190,20 @@ def test_least_squares_fits_a_histogram_made_of_combinations():
     assert sum(n for _, n in best_fit(hist, 16)) >= 77
 
 
+def test_packed_ids_of_long_blank_and_odd_texts():
+    from tidewire.llm.packing import WordTokens
+    tok = WordTokens(_tokenizer())
+    rng = np.random.default_rng(3)
+    alphabet = list("abcdeXYZ .,\n\t éÉß÷×ñ!3") + ["\u00a0", "\u0301", "中", "<s>", "[SEP]"]
+    texts = ["", " ", "\n \n", "w" * 10_000, " " * 300_000, prose(30, 1) * 4000, "Éa. b,, c.,\n."] + [
+        "".join(rng.choice(alphabet, int(rng.integers(0, 60)))) for _ in range(3000)]
+    data = [t.encode() for t in texts]
+    off = np.r_[0, np.cumsum([len(d) for d in data])]
+    ids, bound = tok.encode(np.frombuffer(b"".join(data), np.uint8), off)
+    for k, t in enumerate(texts):
+        assert ids[bound[k]:bound[k + 1]].tolist() == [*tok.whole.encode(t, add_special_tokens=False).ids, 1], t[:60]
+
+
 # --- decontamination
 
 def _distance(item, text):

@@ -14,31 +14,37 @@ only lengths and checksums are written.  Ranks are counted in two steps, within
 a task and over the tasks' counts, so no length, however frequent, meets in one
 task.
 
-Defined cases: a null text is empty and still gives the end id; a null
-``doc_id`` is kept; repeated rows are packed one by one; an empty table gives an
-empty result.  A long document is held in memory whole by its task, no other
-state grows with it.
+Defined cases: a null or empty text still gives the end id; a null ``doc_id`` is
+kept; repeated rows are packed one by one; pieces of equal length, which are all
+alike to the plan, take its places in the order of their tasks and rows; an empty table gives an
+empty result; columns besides the id and the text are not read, whatever their names.  A
+very long document is a block of its own, held in memory whole by its task, no other
+state grows with it; a word over ``LONGEST`` characters is encoded each time it occurs.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.core import FILES_PER_CORE, written
+from tidewire.llm.core import FILES_PER_CORE, text_blocks, written
 
 WINDOW = 2048
 END_ID = 1
-#: Words remembered by a Python worker; forgotten all at once beyond it.
-CACHE_WORDS = 600_000
+#: Bytes of text whose words are looked up together.
+BLOCK = 4 << 20
+#: Words that a Python worker remembers at least, each of at most ``LONGEST`` characters.
+WORDS, LONGEST = 400_000, 64
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long")
 
@@ -49,9 +55,10 @@ class WordTokens(dict):
     """Words to the little-endian 32-bit ids of a word-level BPE tokenizer.
 
     The tokenizer never joins what white space parts, so words are encoded one
-    by one and remembered.  Plain words of Latin letters, with at most a full
-    stop or comma behind, skip the normaliser and go to the BPE model at once;
-    everything else is encoded in full.
+    by one and remembered, in two generations: beyond ``WORDS`` words, those not
+    met since the last change are forgotten.  Plain words of Latin letters, with at
+    most a full stop or comma behind, skip the normaliser and go to the BPE model at
+    once; everything else is encoded in full.
     """
 
     plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
@@ -62,33 +69,49 @@ class WordTokens(dict):
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.bytes_of = {i: "".join(_byte_chars()[b] for b in chr(i).encode()) for i in range(128, 256)}
-        self[""] = b""
-
-    def _ids(self, ids) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-            self[""] = b""
-        if m := self.plain.fullmatch(word):
-            stem, mark = m.groups()
-            low = stem.lower()
-            out = self.get(low)
-            if out is None:
-                out = self._ids([t.id for t in self.model.tokenize(low.translate(self.bytes_of))])
-                self[low] = out
-            if mark:
-                if mark not in self:
-                    self[mark] = self._ids(self.whole.encode(mark, add_special_tokens=False).ids)
-                out += self[mark]
-        else:
-            out = self._ids(self.whole.encode(word, add_special_tokens=False).ids)
-        self[word] = out
+        out = self.old.get(word)
+        if out is None:
+            if m := self.plain.fullmatch(word):
+                stem, mark = m.groups()
+                low = stem.lower()
+                if low == word:
+                    out = _packed([t.id for t in self.model.tokenize(low.translate(self.bytes_of))])
+                else:
+                    out = self[low] + self[mark] if mark else self[low]
+            else:
+                out = _packed(self.whole.encode(word, add_special_tokens=False).ids)
+        if len(word) <= LONGEST:
+            self[word] = out
         return out
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+    def encode(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, bounds)`` of the texts of a block, each with the end id behind: the
+        different words of the block are looked up once, all else is done on arrays."""
+        cut = np.zeros(len(raw) + 1, dtype=bool)
+        cut[off] = True
+        cut[1:] |= (raw == 32) | (raw == 10)
+        start = np.flatnonzero(cut).astype(np.int32)  # a word goes on until the next one starts
+        words = pa.StringArray.from_buffers(len(start) - 1, pa.py_buffer(start), pa.py_buffer(raw)).dictionary_encode()
+        known = [self[w] for w in pc.utf8_rtrim(words.dictionary, " \n").to_pylist()]
+        known.append(_packed([END_ID]))
+        if len(self) > WORDS:
+            self.old = dict(self)
+            self.clear()
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids = np.frombuffer(b"".join(known), "<u4")
+        before = np.searchsorted(start[:-1], off[1:])  # words up to the end of each text
+        word = np.insert(words.indices.to_numpy(), before, len(known) - 1)
+        first, size = (np.cumsum(size) - size)[word], size[word]
+        stop = np.cumsum(size)
+        at = np.repeat(first - (stop - size), size) + np.arange(stop[-1])
+        return ids[at], np.r_[0, stop[before + np.arange(len(before))]]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _byte_chars() -> dict[int, str]:
@@ -108,24 +131,31 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) ->
     length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _tokenizers.setdefault(tokenizer_path, None) or WordTokens(tokenizer_path)
-        _tokenizers[tokenizer_path] = tok
+        if tokenizer_path not in _tokenizers:
+            _tokenizers[tokenizer_path] = WordTokens(tokenizer_path)
+        tok = _tokenizers[tokenizer_path]
         part, seen = TaskContext.get().partitionId(), np.zeros(window + 1, dtype=np.int64)
-        end = END_ID.to_bytes(4, "little")
         for b in batches:
-            out: list[tuple] = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = tok.encode(text.as_py() or "") + end
-                n = len(ids) // 4
-                for at in range(0, n, window):
-                    cut = ids[4 * at:4 * (at + window)]
-                    size = len(cut) // 4
-                    out.append((doc, at, size, zlib.crc32(cut), n, part, int(seen[size])))
-                    seen[size] += 1
-            cols = list(zip(*out)) or [[]] * 7
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int32() if i == 5 else pa.int64()) for i, c in enumerate(cols)],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth"])
+            for i, j, raw, off in text_blocks(b, limit=BLOCK):
+                ids, bound = tok.encode(raw, off)
+                tokens = np.diff(bound)
+                pieces = -(-tokens // window)
+                row = np.repeat(np.arange(j - i), pieces)
+                start = (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * window
+                length = np.minimum(window, tokens[row] - start)
+                view, at = memoryview(ids).cast("B"), 4 * (bound[row] + start)
+                crc = [zlib.crc32(view[x:y]) for x, y in zip(at.tolist(), (at + 4 * length).tolist())]
+                # rank among the task's pieces of the same length
+                order = np.argsort(length, kind="stable")
+                sorted_ = length[order]
+                nth = np.empty(len(row), np.int64)
+                nth[order] = np.arange(len(row)) - np.searchsorted(sorted_, sorted_) + seen[sorted_]
+                seen += np.bincount(length, minlength=window + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(i + row)), pa.array(start), pa.array(length),
+                     pa.array(crc, pa.int64()), pa.array(tokens[row]),
+                     pa.array(np.full(len(row), part, np.int32)), pa.array(nth)],
+                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth"])
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)
 
@@ -248,7 +278,10 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFram
     ranked = pieces.join(first, ["length", "part"]).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("first") + F.col("nth")).alias("rank"))
 
+    shared = docs.sparkSession.sparkContext.broadcast(plan)  # grows with the window alone
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan = shared.value
         key = (plan["length"] << 44) | plan["rank"]
         for b in batches:
             length, rank = (b.column(i).to_numpy(zero_copy_only=False) for i in (2, 5))
