@@ -190,6 +190,31 @@ def test_least_squares_fits_a_histogram_made_of_combinations():
     assert sum(n for _, n in best_fit(hist, 16)) >= 77
 
 
+def test_least_squares_reach_the_gradient_bound_at_production_settings():
+    rng = np.random.default_rng(4)
+    hist = [0, *rng.geometric(0.01, 128).tolist()]
+    hist[7], hist[64] = 0, 3000
+    combos = fill_combinations([v for v in range(1, 129) if hist[v]], 128)
+    x = np.array(repeat_counts(combos, hist))
+    a = np.zeros((129, len(combos)))
+    for i, c in enumerate(combos):
+        for v in c:
+            a[v, i] += 1
+    slope = a.T @ (np.array(hist) - a @ x)
+    bound = max(0.5, 1e-4 * max(hist))
+    assert (x >= 0).all() and slope.max() <= bound + 1e-6 and np.abs(slope[x > 0]).max() <= bound + 1e-6
+    # no worse than a thousand passes over all combinations
+    plain, rest = np.zeros(len(combos)), np.array(hist, float)
+    for _ in range(1000):
+        for i, c in enumerate(combos):
+            step = max(rest[list(c)].sum() / (a[:, i] ** 2).sum(), -plain[i])
+            plain[i] += step
+            for v in c:
+                rest[v] -= step
+    error = ((np.array(hist) - a @ x) ** 2).sum()
+    assert error <= (rest ** 2).sum() + bound * (np.abs(x).sum() + np.abs(plain).sum())
+
+
 def test_packed_ids_of_long_blank_and_odd_texts():
     from tidewire.llm.packing import WordTokens
     tok = WordTokens(_tokenizer())

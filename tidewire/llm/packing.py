@@ -45,6 +45,9 @@ END_ID = 1
 BLOCK = 4 << 20
 #: Words that a Python worker remembers at least, each of at most ``LONGEST`` characters.
 WORDS, LONGEST = 400_000, 64
+#: Gradient, as a share of the largest count, at which the least squares are solved, and the
+#: passes between two looks at all gradients.
+SLOPE, LOOK = 1e-4, 20
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long")
 
@@ -176,25 +179,41 @@ def fill_combinations(lengths: list[int], window: int) -> list[tuple[int, ...]]:
     return out
 
 
-def repeat_counts(combos: list[tuple[int, ...]], hist: list[int], passes: int = 3) -> list[float]:
+def repeat_counts(combos: list[tuple[int, ...]], hist: list[int], passes: int | None = None) -> list[float]:
     """Non-negative least squares, ``min |A x - hist|``, by coordinate descent
     from zero: one column of A per combination, its entries the number of times
     each length occurs.  Starting from zero the long pieces, which fit few
-    combinations, are served first and most counts stay zero."""
+    combinations, are served first.
+
+    It ends when every gradient, of a positive count to both sides and of a zero count
+    upwards, is at most half a piece or ``SLOPE`` of the largest count.  Between two looks at all
+    gradients only combinations that are used or still want to rise are worked on.
+    ``passes`` ends it earlier."""
     rest, x = [float(h) for h in hist], [0.0] * len(combos)
-    for _ in range(passes):
-        for i, c in enumerate(combos):
-            dot = 0.0
-            for v in c:
-                dot += rest[v]
-            if dot <= 0 and not x[i]:
-                continue
-            norm = len(c) if len(set(c)) == len(c) else sum(c.count(v) ** 2 for v in set(c))
-            step = max(dot / norm, -x[i])
-            if step:
-                x[i] += step
-                for v in c:
-                    rest[v] -= step
+    column = np.array([(*c, 0, 0)[:3] for c in combos], dtype=np.int64).reshape(-1, 3)  # length 0 fills up
+    norm = [len(c) if len(set(c)) == len(c) else sum(c.count(v) ** 2 for v in set(c)) for c in combos]
+    bound = max(0.5, SLOPE * max(hist, default=0))
+    todo, done = list(range(len(combos))), 0
+    while todo and done != passes:
+        for _ in range(1 if not done else min(LOOK, (passes or done + LOOK) - done)):
+            for i in todo:
+                dot = 0.0
+                for v in combos[i]:
+                    dot += rest[v]
+                if dot <= 0 and not x[i]:
+                    continue
+                step = max(dot / norm[i], -x[i])
+                if step:
+                    x[i] += step
+                    for v in combos[i]:
+                        rest[v] -= step
+            done += 1
+        left = np.array(rest)
+        left[0] = 0
+        slope, used = left[column].sum(axis=1), np.array(x) > 0
+        if (np.where(used, np.abs(slope), slope) <= bound).all():
+            break
+        todo = np.flatnonzero(used | (slope > bound / 2)).tolist()
     return x
 
 
