@@ -17,6 +17,9 @@ then, for documents not yet in one component, all others.  A document has at mos
 miss an exact prefix-filter join finds: documents of different components that share
 a shingle among their rarest ones, early enough for a link, are confirmed too.
 
+Tables of documents, pairs and shingles have no size bound and are shuffled by key at
+every size, never broadcast.
+
 Defined cases: a null or blank text has no shingles and links with nothing; a
 text of fewer words than a shingle has one shingle, all its words; a null
 ``doc_id`` links with nothing, has a null component and is kept; repeated rows
@@ -127,7 +130,7 @@ def forest(reps: DataFrame) -> DataFrame:
     rows = reps.select("doc_id", F.explode(F.arrays_zip("head", "tail")).alias("t")).select(
         F.col("t.head").alias("head"), F.col("t.tail").alias("tail"), "doc_id")
     shared = rows.groupBy("head").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
-    return rows.join(shared, "head")
+    return rows.join(shared.hint("merge"), "head")
 
 
 def neighbours(places: DataFrame, near: int = NEAR) -> DataFrame:
@@ -178,10 +181,10 @@ def neighbours(places: DataFrame, near: int = NEAR) -> DataFrame:
 def hubs(places: DataFrame) -> DataFrame:
     """Pairs of each document with the most central one of its region."""
     central = places.groupBy("doc_id").agg(F.sum(F.log("crowd")).alias("central"))
-    rows = places.select("head", "doc_id").join(central, "doc_id")
+    rows = places.select("head", "doc_id").join(central.hint("merge"), "doc_id")
     best = rows.groupBy("head").agg(F.max(F.struct("central", -F.col("doc_id"))).alias("m")).select(
         "head", (-F.col("m")["col2"]).alias("hub"))
-    return rows.join(best, "head").select(F.col("doc_id").alias("a"), F.col("hub").alias("b"))
+    return rows.join(best.hint("merge"), "head").select(F.col("doc_id").alias("a"), F.col("hub").alias("b"))
 
 
 def likely(pairs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -192,7 +195,7 @@ def likely(pairs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFra
     s = reps.select("doc_id", "n", "bits")
     left = s.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
     right = s.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
-    both = p.join(left, "a").join(right, "b").where(
+    both = p.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(
         100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select(
         "a", "b", (F.col("na") + F.col("nb")).alias("size"), "ba", "bb")
 
@@ -244,7 +247,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     """The pairs whose full sets reach the similarity."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    both = pairs.select("a", "b").join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     both = both.withColumn("i", F.size(F.array_intersect("sa", "sb")))
     return both.where(100 * F.col("i") >= percent * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b")
 
@@ -315,10 +318,10 @@ def unmet(docs: DataFrame, reps: DataFrame, at: DataFrame, words: int = WORDS, p
     root)`` that can be linked by its rare shingles and set sizes.  Shingles that only one
     component has are dropped by their counts; of the others, documents outside the largest
     component meet all documents, ``TOGETHER`` at a time."""
-    ids = reps.select("doc_id").distinct().join(at.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+    ids = reps.select("doc_id").distinct().join(at.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left").select(
         "doc_id", F.coalesce("root", "doc_id").alias("root"))
     rare = rare_shingles(docs, shingle_counts(docs, words), words, percent)
-    rows = written(rare.join(ids, "doc_id").select("doc_id", "n", "root", "shingles", "most").dropDuplicates(
+    rows = written(rare.join(ids.hint("merge"), "doc_id").select("doc_id", "n", "root", "shingles", "most").dropDuplicates(
         ["doc_id", "shingles"]), "rare-shingles", FILES_PER_CORE)
     rows = rows.select(F.explode(F.arrays_zip("shingles", "most")).alias("t"), "doc_id", "n", "root").select(
         F.col("t.shingles").alias("g"), F.col("t.most").alias("most"), "doc_id", "n", "root",
@@ -326,20 +329,20 @@ def unmet(docs: DataFrame, reps: DataFrame, at: DataFrame, words: int = WORDS, p
     shared = rows.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least"),
                                    F.count(F.lit(1)).alias("crowd")).where("lo <> hi")
     shared = shared.select("g", "least", "crowd", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
-    rows = written(rows.join(shared, ["g", "part"]).where("most >= least").select(
+    rows = written(rows.join(shared.hint("merge"), ["g", "part"]).where("most >= least").select(
         "g", "doc_id", "n", "most", "root", F.ceil(F.col("crowd") / TOGETHER).cast("int").alias("blocks")),
         "met-shingles", FILES_PER_CORE)
     main = rows.groupBy("g", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("g").agg(
         F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
     main = main.select("g", F.col("m.root").alias("main"), F.explode(
         F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
-    rows = rows.withColumn("part", F.pmod(F.hash("doc_id"), F.lit(PARTS))).join(main, ["g", "part"])
+    rows = rows.withColumn("part", F.pmod(F.hash("doc_id"), F.lit(PARTS))).join(main.hint("merge"), ["g", "part"])
     some = rows.where("root <> main").select(
         "g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("doc_id").alias("a"),
         F.col("n").alias("na"), F.col("most").alias("ma"), F.col("root").alias("ra"))
     all_ = rows.select("g", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"), F.col("doc_id").alias("b"),
                        F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("root").alias("rb"))
-    pairs = some.join(all_, ["g", "block"]).where("ra <> rb and nb <= ma and na <= mb").where(
+    pairs = some.join(all_.hint("merge"), ["g", "block"]).where("ra <> rb and nb <= ma and na <= mb").where(
         100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -349,11 +352,11 @@ def merged(at: DataFrame, links: DataFrame) -> DataFrame:
     links need not be in it."""
     ra = at.select(F.col("node").alias("a"), F.col("root").alias("ra"))
     rb = at.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    above = components(links.join(ra, "a", "left").join(rb, "b", "left").select(
+    above = components(links.join(ra.hint("merge"), "a", "left").join(rb.hint("merge"), "b", "left").select(
         F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
     up = above.select(F.col("node").alias("root"), F.col("root").alias("top"))
-    return at.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(
-        above.join(at.select("node"), "node", "left_anti"))
+    return at.join(up.hint("merge"), "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(
+        above.join(at.select("node").hint("merge"), "node", "left_anti"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -362,32 +365,32 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     sigs = written(signatures(docs, words), "signatures")
     own = sigs.where("n > 0 and doc_id is not null")
     groups = written(own.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("rep")), "set-groups", FILES_PER_CORE)
-    reps = own.join(groups.select(F.col("rep").alias("doc_id"), "n", "hi", "lo"), ["doc_id", "n", "hi", "lo"])
+    reps = own.join(groups.select(F.col("rep").alias("doc_id"), "n", "hi", "lo").hint("merge"), ["doc_id", "n", "hi", "lo"])
     reps = reps.dropDuplicates(["doc_id", "n", "hi", "lo"])
     places = written(forest(reps), "forest", FILES_PER_CORE)
     pairs = written(likely(neighbours(places).union(hubs(places)), reps, percent), "candidates", FILES_PER_CORE)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    some = packed_texts(docs).join(ends, "doc_id", "left_semi").dropDuplicates()
+    some = packed_texts(docs).join(ends.hint("merge"), "doc_id", "left_semi").dropDuplicates()
     sets = written(shingle_sets(some, words), "sets", FILES_PER_CORE)
     # first the best candidate of every document
     best = pairs.select(F.explode(F.array("a", "b")).alias("d"), "share").groupBy("d").agg(F.max("share").alias("top"))
-    tops = [pairs.join(best.withColumnRenamed("d", c), c).where("share = top").groupBy(c).agg(
+    tops = [pairs.join(best.withColumnRenamed("d", c).hint("merge"), c).where("share = top").groupBy(c).agg(
         F.min("b" if c == "a" else "a").alias("b" if c == "a" else "a")).select("a", "b") for c in ("a", "b")]
     at = components(confirmed(tops[0].union(tops[1]).distinct(), sets, percent))
     # then those that could still join two components
     ra = at.select(F.col("node").alias("a"), F.col("root").alias("ra"))
     rb = at.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    apart = pairs.join(ra, "a", "left").join(rb, "b", "left").withColumns(
+    apart = pairs.join(ra.hint("merge"), "a", "left").join(rb.hint("merge"), "b", "left").withColumns(
         {"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")}).where("ra <> rb")
     at = written(merged(at, confirmed(apart, sets, percent)), "roots", FILES_PER_CORE)
     # last, what no tree brought together
     pairs = written(likely(unmet(docs, reps, at, words, percent), reps, percent), "unmet", FILES_PER_CORE)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    some = packed_texts(docs).join(ends, "doc_id", "left_semi").dropDuplicates()
+    some = packed_texts(docs).join(ends.hint("merge"), "doc_id", "left_semi").dropDuplicates()
     sets = written(shingle_sets(some, words), "unmet-sets", FILES_PER_CORE)
     roots = merged(at, confirmed(pairs, sets, percent))
-    member = own.select("doc_id", "n", "hi", "lo").join(groups, ["n", "hi", "lo"]).select("doc_id", "n", "rep")
-    linked = member.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
+    member = own.select("doc_id", "n", "hi", "lo").join(groups.hint("merge"), ["n", "hi", "lo"]).select("doc_id", "n", "rep")
+    linked = member.join(roots.withColumnRenamed("node", "rep").hint("merge"), "rep", "left").select(
         "doc_id", "n", F.coalesce("root", "rep").alias("component_id"))
     alone = sigs.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return linked.union(alone).select(
@@ -400,5 +403,5 @@ def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     duplicates, the one with the smallest ``doc_id``; of repeated rows one stays.  Rows
     without a ``doc_id`` are copies of nothing and stay."""
     kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
+    named = docs.where("doc_id is not null").join(kept.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
     return named.dropDuplicates(["doc_id"]).union(docs.where("doc_id is null"))
