@@ -58,6 +58,15 @@ def written(df: DataFrame, name: str, per_core: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ready(spark: SparkSession) -> None:
     """Ship the package to the Python tasks (once per application), and let
     Spark drop the shuffle files of a statement when it ends: every operator

@@ -18,7 +18,8 @@ miss an exact prefix-filter join finds: documents of different components that s
 a shingle among their rarest ones, early enough for a link, are confirmed too.
 
 Tables of documents, pairs and shingles have no size bound and are shuffled by key at
-every size, never broadcast.
+every size, never broadcast; those of the trees are deleted when their components are
+written.
 
 Defined cases: a null or blank text has no shingles and links with nothing; a
 text of fewer words than a shingle has one shingle, all its words; a null
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.components import components
-from tidewire.llm.core import (FILES_PER_CORE, LOWER, mix, shingle_hashes, text_blocks, word_hashes, words_of, written)
+from tidewire.llm.core import (FILES_PER_CORE, LOWER, discard, mix, shingle_hashes, text_blocks, word_hashes, words_of, written)
 
 WORDS, PERCENT = 4, 80
 #: Trees, signature values of the least common prefix, and deeper values in the order.
@@ -383,6 +384,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     apart = pairs.join(ra.hint("merge"), "a", "left").join(rb.hint("merge"), "b", "left").withColumns(
         {"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")}).where("ra <> rb")
     at = written(merged(at, confirmed(apart, sets, percent)), "roots", FILES_PER_CORE)
+    discard(places, pairs, sets)
     # last, what no tree brought together
     pairs = written(likely(unmet(docs, reps, at, words, percent), reps, percent), "unmet", FILES_PER_CORE)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
