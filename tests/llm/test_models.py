@@ -262,6 +262,56 @@ def test_band_search_against_edit_distance(seed, edits, before):
         assert not got
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6))
+def test_bands_count_distinct_places_also_in_runs_and_portions(seed):
+    from tidewire.llm import decontam
+    rng = np.random.default_rng(seed)
+
+    def made(n):
+        return b"".join(rng.choice([b"a", b"b", b" ", b"ab", b"xyz"]) * int(rng.integers(1, 40)) for _ in range(n))
+    items = Items([(i, made(6).decode() + "end") for i in range(3)])
+    texts = [made(12), b"", items.texts[-1][:40] + made(3) if items.texts else b"", b"a" * 200]
+    low = np.frombuffer(b"".join(texts), np.uint8)
+    off = np.r_[0, np.cumsum([len(t) for t in texts])]
+    want = set()
+    for row, t in enumerate(texts):
+        for item, u in enumerate(items.texts):
+            step, places = int(items.step[item]), defaultdict(set)
+            for y in range(len(u) - decontam.Q + 1):
+                at = t.find(u[y:y + decontam.Q])
+                while at >= 0:
+                    for b in ((at - y) // step, (at - y) // step - 1):
+                        places[b].add(y)
+                    at = t.find(u[y:y + decontam.Q], at + 1)
+            want |= {(row, item, b) for b, have in places.items() if len(have) >= items.need[item]}
+    whole = items.counted(*items.shared(low, off), off)
+    assert set(zip(*(v.tolist() for v in whole))) == want
+    before = decontam.CUT, decontam.ENTRIES, decontam.WIDE
+    try:
+        plain = items.regions(low, off)
+        decontam.CUT, decontam.ENTRIES, decontam.WIDE = 7, 20, 1
+        got = {(r, i, lo // int(items.step[i])) for r, i, lo, _ in items.regions(low, off)}
+    finally:
+        decontam.CUT, decontam.ENTRIES, decontam.WIDE = before
+    assert got == want
+    covered = {(r, i, b) for r, i, lo, hi in plain for b in range(lo // int(items.step[i]), hi // int(items.step[i]))}
+    assert covered == want
+
+
+def test_long_runs_of_one_letter_take_seconds():
+    import time
+    item = prose(8, 3)[:40] + " " * 200 + prose(8, 4)[:40]
+    other = "z" * 250 + "unlike anything else"
+    index = Items([(1, item), (2, other)])
+    hidden = b" " * 700_000 + fold(item.encode()) + b" " * 700_000
+    began = time.process_time()
+    for text, want in ((b" " * 2_000_000, []), (b"z" * 2_000_000, []), (hidden, [(0, 1)])):
+        got = index.search(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        assert [g[:2] for g in got] == want and all(g[4] == 0 for g in got)
+    assert time.process_time() - began < 120
+
+
 def test_contaminated_documents(spark):
     item = "The quick movement of twelve painted wagons surprised nobody in the old harbour town that winter morning."
     near = item.replace("painted", "pajnted").replace("old ", "olde ")

@@ -5,7 +5,9 @@ An item of length m that stands in a text with at most e edits shares
 them lie on diagonals (text place minus item place) at most e apart.  So the
 shared q-grams of a document are counted, per item, in overlapping bands of
 diagonals, each wide enough to hold such an alignment whole; a band below the
-bound cannot hold one, a band that reaches it is verified by banded alignment.
+bound cannot hold one, a band that reaches it is verified by banded alignment,
+together with those that overlap it.  Runs of one q-gram (blanks, one letter) are counted as
+intervals, not place by place, and all counting is done in portions of bounded size.
 
 Texts and items are compared as bytes, A-Z lower-cased and every white space
 byte as a space.  The edit budget is ``RATE`` of the item's length, less for items
@@ -16,9 +18,12 @@ The documents are read in one pass without a shuffle.  The items go to the
 executors in parts of at most ``PART_BYTES`` of text, one pass over the
 documents for each, so no size of the benchmark table is assumed.
 
-Defined cases: null or blank items match nothing; a null text is empty; equal
-items are found each for itself; repeated documents are searched one by one; an
-empty table on either side gives an empty result.
+Defined cases: null or blank items match nothing; a null or blank text holds no
+item; equal items are found each for itself; repeated documents are searched one by one; of
+places with equally few edits the first one counts; a very long text is searched whole, as a
+block of its own; columns besides the named ones are not read by ``contaminated`` and kept by
+``drop_contaminated``, whatever their names; an empty table on either side gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -34,6 +39,8 @@ from tidewire.llm.core import LOWER, SPACE, text_blocks, written
 
 Q, RATE, LEAST = 12, 0.06, 8
 PART_BYTES = 16 << 20
+#: Longest run of one q-gram in a text, entries counted at a time, and diagonals aligned together.
+CUT, ENTRIES, WIDE = 4096, 1 << 19, 1 << 16
 
 _U = np.uint64
 _FOLD = LOWER.copy()
@@ -61,6 +68,11 @@ def edit_budget(m: int, q: int = Q, rate: float = RATE, least: int = LEAST) -> i
     return max(0, min(int(rate * m), (m - q + 1 - least) // q))
 
 
+def _steps(n: np.ndarray) -> np.ndarray:
+    """``0 .. n[0] - 1, 0 .. n[1] - 1, ...``"""
+    return np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+
+
 class Items:
     """The q-grams of a part of the benchmark, sorted by key."""
 
@@ -78,47 +90,94 @@ class Items:
         key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
         place = np.concatenate([np.arange(len(k)) for k in keys]) if keys else np.zeros(0, np.int64)
+        # places that follow each other with one and the same q-gram are one entry
         order = np.argsort(key, kind="stable")
-        self.item, self.place = item[order], place[order]
-        self.key, self.first, self.count = np.unique(key[order], return_index=True, return_counts=True)
+        key, item, place = key[order], item[order], place[order]
+        opens = np.ones(len(key), bool)
+        opens[1:] = (key[1:] != key[:-1]) | (item[1:] != item[:-1]) | (place[1:] != place[:-1] + 1)
+        entry = np.flatnonzero(opens)
+        self.item, self.place, self.run = item[entry], place[entry], np.diff(np.r_[entry, len(key)])
+        self.key, self.first, self.count = np.unique(key[entry], return_index=True, return_counts=True)
+        #: The bytes of a text that a band reaches over at most.
+        self.span = int((2 * self.step + self.size).max()) if len(self.ids) else 0
         # one byte per slot says whether any key falls there: most places of a text end here
         self.bits = max(16, min(27, int(16 * len(self.key) + 1).bit_length()))
         self.slot = np.zeros(1 << self.bits, dtype=bool)
         self.slot[(self.key >> _U(64 - self.bits)).astype(np.int64)] = True
 
-    def shared(self, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(text place, item, item place)`` of all shared q-grams."""
+    def shared(self, low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(text place, key number, length)`` of the text's q-grams that items have; places
+        that follow each other with one q-gram are one run, cut after ``CUT``."""
         key = gram_keys(low)
         at = np.flatnonzero(self.slot[(key >> _U(64 - self.bits)).astype(np.int64)])
         k = np.searchsorted(self.key, key[at])
         ok = (k < len(self.key)) & (self.key[np.minimum(k, max(0, len(self.key) - 1))] == key[at]) \
             if len(self.key) else np.zeros(len(at), bool)
+        ok &= at + Q <= off[np.searchsorted(off, at, side="right").clip(max=len(off) - 1)]  # within one text
         at, k = at[ok], k[ok]
-        n = self.count[k]
-        entry = np.repeat(self.first[k] - np.r_[0, np.cumsum(n)[:-1]] if len(n) else n, n) + np.arange(n.sum())
-        return np.repeat(at, n), self.item[entry], self.place[entry]
+        opens = np.ones(len(at), bool)
+        opens[1:] = (k[1:] != k[:-1]) | (at[1:] != at[:-1] + 1)
+        first = np.flatnonzero(opens)
+        run = np.diff(np.r_[first, len(at)])
+        pieces = -(-run // CUT)
+        behind = CUT * _steps(pieces)
+        return (np.repeat(at[first], pieces) + behind, np.repeat(k[first], pieces),
+                np.minimum(CUT, np.repeat(run, pieces) - behind))
+
+    def counted(self, pos: np.ndarray, key: np.ndarray, run: np.ndarray, off: np.ndarray):
+        """``(row, item, band)`` of the bands that reach the bound with these runs.  A run
+        of the text and one of an item share, in a band, an interval of item places; what counts is
+        the length of the intervals' union."""
+        n = self.count[key]
+        entry = np.repeat(self.first[key], n) + _steps(n)
+        row = np.searchsorted(off, pos, side="right") - 1
+        p, last, row = np.repeat(pos - off[row], n), np.repeat(run - 1, n), np.repeat(row, n)
+        item, place, more = self.item[entry], self.place[entry], self.run[entry] - 1
+        step = self.step[item]
+        low_band = (p - place - more) // step - 1  # a diagonal lies in two bands that overlap
+        n = (p + last - place) // step - low_band + 1
+        band = np.repeat(low_band, n) + _steps(n)
+        p, last, row, item, place, more, step = (np.repeat(v, n) for v in (p, last, row, item, place, more, step))
+        lo = np.maximum(place, p - (band + 2) * step + 1)
+        hi = np.minimum(place + more, p + last - band * step)
+        order = np.lexsort((lo, band, item, row))
+        row, item, band, lo, hi = (v[order] for v in (row, item, band, lo, hi))
+        if not len(row):
+            return row, item, band
+        opens = np.ones(len(row), bool)
+        opens[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])
+        base = (np.cumsum(opens) - 1) * (int(self.size.max()) + 1)  # above every place of the group before
+        reach = np.maximum.accumulate(base + hi)
+        before = np.r_[-1, reach[:-1]]
+        fresh = np.maximum(0, base + hi - np.maximum(base + lo - 1, before))
+        first = np.flatnonzero(opens)
+        hit = first[np.add.reduceat(fresh, first) >= self.need[item[first]]]
+        return row[hit], item[hit], band[hit]
 
     def regions(self, low: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """``(row, item, first diagonal, last diagonal)`` of the bands that reach the bound."""
-        pos, item, place = self.shared(low)
-        row = np.searchsorted(off, pos, side="right") - 1
-        inside = pos + Q <= off[row + 1]
-        pos, item, place, row = pos[inside], item[inside], place[inside], row[inside]
-        diagonal = pos - off[row] - place
-        band = diagonal // self.step[item]
-        # distinct item places per band; a q-gram counts in the two bands that overlap it
-        rows, items, bands = np.r_[row, row], np.r_[item, item], np.r_[band, band - 1]
-        order = np.lexsort((np.r_[place, place], bands, items, rows))
-        rows, items, bands, places = rows[order], items[order], bands[order], np.r_[place, place][order]
-        if not len(rows):
+        """``(row, item, first diagonal, last diagonal)`` of the bands that reach the bound;
+        bands that overlap are one region, up to ``WIDE`` diagonals.  Runs are counted at
+        most about ``ENTRIES`` entries at a time: each portion goes on as far as a band reaches that
+        starts in it, so every band is whole in one of them."""
+        pos, key, run = self.shared(low, off)
+        cost = np.cumsum(self.count[key] * (2 + run // max(1, int(self.step.min(initial=1)))))
+        found, begin = [], 0
+        while begin < len(pos):
+            end = max(begin + 1, int(np.searchsorted(cost, (cost[begin - 1] if begin else 0) + ENTRIES, side="right")))
+            stop = int(np.searchsorted(pos, pos[end - 1] + self.span + CUT, side="right"))
+            found.append(np.stack(self.counted(pos[begin:stop], key[begin:stop], run[begin:stop], off), axis=1))
+            begin = end
+        if not found:
             return []
-        same = (rows[1:] == rows[:-1]) & (items[1:] == items[:-1]) & (bands[1:] == bands[:-1])
-        fresh = np.r_[True, ~same | (places[1:] != places[:-1])]
-        first = np.flatnonzero(np.r_[True, ~same])
-        many = np.add.reduceat(fresh.astype(np.int64), first)
-        hit = first[many >= self.need[items[first]]]
-        return [(int(rows[k]), int(items[k]), int(bands[k] * self.step[items[k]]),
-                 int((bands[k] + 2) * self.step[items[k]] - 1)) for k in hit]
+        out: list[list[int]] = []
+        for row, item, band in np.unique(np.concatenate(found), axis=0).tolist():
+            step = int(self.step[item])
+            lo, hi = band * step, (band + 2) * step - 1
+            if out and out[-1][:2] == [row, item] and lo <= out[-1][3] and hi - out[-1][2] < max(WIDE, 2 * step):
+                out[-1][3] = hi
+            else:
+                out.append([row, item, lo, hi])
+        return [tuple(x) for x in out]
 
     def align(self, text: bytes, item: int, lo: int, hi: int) -> tuple[int, int, int] | None:
         """Best placing of an item whose diagonals lie in ``lo .. hi``:
