@@ -48,6 +48,8 @@ WORDS, LONGEST = 400_000, 64
 #: Gradient, as a share of the largest count, at which the least squares are solved, and the
 #: passes between two looks at all gradients.
 SLOPE, LOOK = 1e-4, 20
+#: Combinations that are Python numbers at a time; all are kept as arrays.
+PORTION = 4096
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long")
 
@@ -165,55 +167,62 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) ->
 
 # --- plan -----------------------------------------------------------------
 
-def fill_combinations(lengths: list[int], window: int) -> list[tuple[int, ...]]:
-    """All combinations of one to three of ``lengths`` that add up to ``window``."""
-    have, out = set(lengths), []
-    if window in have:
-        out.append((window,))
-    for a in sorted((x for x in have if x < window), reverse=True):
+def combination_table(lengths: list[int], window: int) -> np.ndarray:
+    """All combinations of one to three of ``lengths`` that add up to ``window``, a row
+    each, longest length first and 0 behind the last one."""
+    have = np.zeros(window + 1, dtype=bool)
+    have[[v for v in lengths if v <= window]] = True
+    out = [np.array([[window, 0, 0]])] if have[window] else []
+    for a in np.flatnonzero(have[:window])[::-1].tolist():
         rest = window - a
-        if rest in have and rest <= a:
-            out.append((a, rest))
-        out += [(a, b, rest - b) for b in range(min(a, rest - 1), (rest - 1) // 2, -1)
-                if b in have and rest - b in have]
-    return out
+        b = np.arange(min(a, rest), (rest - 1) // 2, -1)
+        b = b[have[b] & ((b == rest) | have[rest - b])]
+        out.append(np.stack([np.full(len(b), a), b, rest - b], axis=1))
+    return np.concatenate([np.zeros((0, 3), np.int64), *out]).astype(np.int32)
+
+
+def fill_combinations(lengths: list[int], window: int) -> list[tuple[int, ...]]:
+    """The same as tuples without the zeros."""
+    return [tuple(v for v in c if v) for c in combination_table(lengths, window).tolist()]
 
 
-def repeat_counts(combos: list[tuple[int, ...]], hist: list[int], passes: int | None = None) -> list[float]:
+def repeat_counts(combos, hist: list[int], passes: int | None = None) -> np.ndarray:
     """Non-negative least squares, ``min |A x - hist|``, by coordinate descent
     from zero: one column of A per combination, its entries the number of times
     each length occurs.  Starting from zero the long pieces, which fit few
-    combinations, are served first.
+    combinations, are served first.  ``combos``: tuples, or a ``combination_table``.
 
     It ends when every gradient, of a positive count to both sides and of a zero count
     upwards, is at most half a piece or ``SLOPE`` of the largest count.  Between two looks at all
     gradients only combinations that are used or still want to rise are worked on.
     ``passes`` ends it earlier."""
-    rest, x = [float(h) for h in hist], [0.0] * len(combos)
-    column = np.array([(*c, 0, 0)[:3] for c in combos], dtype=np.int64).reshape(-1, 3)  # length 0 fills up
-    norm = [len(c) if len(set(c)) == len(c) else sum(c.count(v) ** 2 for v in set(c)) for c in combos]
+    if not isinstance(combos, np.ndarray):
+        combos = np.array([(*c, 0, 0)[:3] for c in combos], dtype=np.int32).reshape(-1, 3)
+    rest, x = [0.0, *map(float, hist[1:])], np.zeros(len(combos))  # length 0 only fills up
+    twice = sum((combos[:, i] == combos[:, j]) & (combos[:, i] > 0) for i, j in ((0, 1), (0, 2), (1, 2)))
+    norm = (combos > 0).sum(axis=1) + 2 * twice
     bound = max(0.5, SLOPE * max(hist, default=0))
-    todo, done = list(range(len(combos))), 0
-    while todo and done != passes:
+    todo, done = np.arange(len(combos)), 0
+    while len(todo) and done != passes:
         for _ in range(1 if not done else min(LOOK, (passes or done + LOOK) - done)):
-            for i in todo:
-                dot = 0.0
-                for v in combos[i]:
-                    dot += rest[v]
-                if dot <= 0 and not x[i]:
-                    continue
-                step = max(dot / norm[i], -x[i])
-                if step:
-                    x[i] += step
-                    for v in combos[i]:
-                        rest[v] -= step
+            for at in range(0, len(todo), PORTION):
+                some = todo[at:at + PORTION]
+                counts = x[some].tolist()
+                for i, ((a, b, c), n) in enumerate(zip(combos[some].tolist(), norm[some].tolist())):
+                    dot = rest[a] + rest[b] + rest[c]
+                    if dot > 0 or counts[i]:
+                        step = max(dot / n, -counts[i])
+                        counts[i] += step
+                        rest[a] -= step
+                        rest[b] -= step
+                        rest[c] -= step
+                        rest[0] = 0.0
+                x[some] = counts
             done += 1
-        left = np.array(rest)
-        left[0] = 0
-        slope, used = left[column].sum(axis=1), np.array(x) > 0
+        slope, used = np.array(rest)[combos].sum(axis=1), x > 0
         if (np.where(used, np.abs(slope), slope) <= bound).all():
             break
-        todo = np.flatnonzero(used | (slope > bound / 2)).tolist()
+        todo = np.flatnonzero(used | (slope > bound / 2))
     return x
 
 
@@ -257,12 +266,14 @@ def pack_plan(hist: list[int], window: int = WINDOW) -> dict[str, np.ndarray]:
     ``length`` stand at ``offset`` of the sequences ``sequence ...``."""
     left = list(hist)
     lengths = [v for v in range(1, window + 1) if left[v]]
-    combos = fill_combinations(lengths, window)
+    combos = combination_table(lengths, window)
     groups: list[tuple[tuple[int, ...], int]] = []
-    for c, x in sorted(zip(combos, repeat_counts(combos, left)), key=lambda t: -t[1]):
-        n = int(x + 0.5)
+    counts = repeat_counts(combos, left)
+    for i in np.argsort(-counts, kind="stable").tolist():
+        n = int(counts[i] + 0.5)
         if n < 1:
             break
+        c = tuple(v for v in combos[i].tolist() if v)
         n = min(n, *(left[v] // c.count(v) for v in c))
         if n > 0:
             groups.append((c, n))
