@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 def test_registry():
     import __spark_entry__ as E
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries() and set(ORACLE_SQL) <= set(QUERIES)
 
 
