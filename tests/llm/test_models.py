@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tests.llm.rows import edge_docs, empty_docs, labels, prose
 from tidewire.llm import quality_fm, toxicity
 from tidewire.llm.decontam import Items, contaminated, drop_contaminated, edit_budget, fold
-from tidewire.llm.lm_score import Model, lm_score
+from tidewire.llm.lm_score import Model, lm_score, train_block
 from tidewire.llm.packing import WINDOW, best_fit, fill_combinations, pack, pack_plan, repeat_counts
 
 SF, SF_CHECK = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -110,6 +110,42 @@ def test_lm_is_normalised_and_beats_counts(spark):
     assert r.s > r.b
 
 
+def test_lm_training_comes_near_the_true_conditionals():
+    """Words drawn from known conditionals: noise-contrastive training reaches their
+    entropy, whatever the triples' counts, and stays far from the unigram share."""
+    rng = np.random.default_rng(5)
+    k, n = 12, 60_000
+    true = rng.dirichlet(np.full(k, 0.3), k)
+    cdf, word, u = true.cumsum(axis=1), np.zeros(n, np.int64), rng.random(n)
+    for i in range(1, n):
+        word[i] = min(k - 1, np.searchsorted(cdf[word[i - 1]], u[i]))
+    one, two = np.r_[0, word[:-1]], np.r_[0, 0, word[:-2]]
+    share = (np.bincount(word, minlength=k) + 1) / (n + k)
+    m = Model.start(share)
+    squares = np.zeros(len(m.flat), np.float32)
+    for _ in range(300):
+        train_block(m, squares, share, one, two, word, rng)
+    own, unigram = m.log_probs(one, two, word).mean(), np.log(share[word]).mean()
+    best = np.log(true[one, word]).mean()
+    assert best - own < 0.15 * (best - unigram)
+
+
+def test_lm_probabilities_by_brute_force():
+    rng = np.random.default_rng(6)
+    k = 23
+    m = Model.start(np.full(k, 1 / k))
+    m.flat[:] = rng.normal(0, 0.7, len(m.flat))
+    one, two, word = rng.integers(0, k, (3, 400))
+    want = []
+    for a, b, w in zip(one, two, word):
+        p = m.r[a] @ m.c[0] + m.r[b] @ m.c[1]
+        kinds = m.qc @ p + m.bc
+        lo = w // m.width * m.width
+        words = (m.q @ p + m.b)[lo:lo + m.width]
+        want.append(kinds[w // m.width] - np.log(np.exp(kinds).sum()) + words[w - lo] - np.log(np.exp(words).sum()))
+    assert np.allclose(m.log_probs(one, two, word, chunk=37), want, atol=1e-4)
+
+
 def test_lm_empty_table(spark):
     assert lm_score(empty_docs(spark)).count() == 0
 

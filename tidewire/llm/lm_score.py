@@ -1,16 +1,18 @@
 """Language-model scores from a log-bilinear model.
 
 The context, two preceding tokens, predicts a vector, ``sum_j C_j r(w_j)``, whose
-dot product with a word's target vector plus its bias is the word's score; a
-softmax over the vocabulary, one matrix product for a batch of different
-contexts, turns scores into normalised probabilities.  The vocabulary is the
-``vocabulary`` most frequent training tokens and one class for all others; within
-that class words share its mass by their counts, plus one, so the probabilities of
-all words, seen or not, add up to one.
-
-Training is noise-contrastive and uses every training document: each task runs
-stochastic gradients over its own blocks of documents, starting from the same
-parameters, and the tasks' parameters are averaged in Spark; ``rounds`` times.
+dot product with a word's target vector plus its bias is the word's score.  The
+vocabulary follows the counts: every word whose share of the training tokens is one
+in ``SHARE`` or more, and one entry for all others, within which words share its
+mass by their counts, plus one.  The words stand in classes by frequency, each with a
+target vector and a bias of its own; a softmax over the classes times one over
+the words of a class, matrix products for batches of different contexts, turns
+scores into normalised probabilities: those of all words, seen or not, add up to one.
+
+Training is noise-contrastive, for words and classes alike, and uses every training
+document: each task runs stochastic gradients over its own blocks of documents,
+starting from the same parameters, and the tasks' parameters are averaged in Spark;
+``rounds`` times.
 
 Word counts are exact counts of the whole corpus.  They are joined to the words of
 bounded blocks of documents, never broadcast: a block carries its different words
@@ -18,12 +20,17 @@ once, so what is shuffled is words per block, not tokens.
 
 Defined cases: a null text is empty and has the end token only; a null
 ``doc_id`` counts as the empty text in the fold; repeated rows count and are scored
-one by one; an empty table gives an empty result; without training documents N
+one by one; words of equal counts stand in order of their text; a text of any length
+is one document of a block, a word of any length one word; other columns than
+``doc_id`` and ``text``, whatever their names, are left aside; an empty table gives
+an empty result; without training documents N
 and V are 0 and every word is unknown.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -33,10 +40,15 @@ from pyspark.sql import functions as F
 from tidewire.llm.core import LOWER, held_out, text_blocks, word_hashes, words_of, written
 
 FOLDS, TEST_FOLD = 7, 2
-#: Classes of the softmax (the last one: all other words), size of the vectors.
-VOCABULARY, SIZE = 1024, 16
-#: Noise samples shared by a batch, noise per data token, batch, rounds of averaging.
-SAMPLES, NOISE, BATCH, ROUNDS = 96, 12.0, 2048, 2
+#: The vocabulary holds the words with a share of the training tokens of one in so many
+#: (so no more words than that, whatever the input) that occur so often at least.
+SHARE, LEAST = 1 << 16, 5
+#: Size of the vectors.
+SIZE = 16
+#: Noise samples shared by a batch, noise per data token, different triples of a batch, step, rounds of averaging.
+SAMPLES, NOISE, BATCH, RATE, ROUNDS = 96, 12.0, 2048, 0.05, 2
+#: Highest count of a triple in one step; triples of one context that stay together.
+HEAVY, GROUP = 8, 32
 #: Text bytes of a block.
 BLOCK = 16 << 20
 #: The end token; no word holds white space.
@@ -102,81 +114,146 @@ def token_blocks(docs: DataFrame) -> DataFrame:
 
 class Model:
     """Parameters in one vector: context vectors R, target vectors Q, context
-    matrices C (two), biases."""
+    matrices C (two) and biases of the ``k`` words; target vectors and biases of
+    their classes, runs of ``width`` words each, the square root of ``k``."""
 
     def __init__(self, flat: np.ndarray, k: int, d: int = SIZE):
         self.flat, self.k, self.d = flat, k, d
-        at = [0, k * d, 2 * k * d, 2 * k * d + 2 * d * d, 2 * k * d + 2 * d * d + k]
-        self.r, self.q, self.c, self.b = (flat[a:z] for a, z in zip(at, at[1:]))
+        self.width = max(1, int(np.ceil(np.sqrt(k))))
+        self.n_classes = n = -(-k // self.width)
+        at = np.cumsum([0, k * d, k * d, 2 * d * d, k, n * d, n])
+        self.r, self.q, self.c, self.b, self.qc, self.bc = (flat[i:j] for i, j in zip(at, at[1:]))
         self.r, self.q, self.c = self.r.reshape(k, d), self.q.reshape(k, d), self.c.reshape(2, d, d)
+        self.qc = self.qc.reshape(n, d)
+
+    @staticmethod
+    def length(k: int, d: int = SIZE) -> int:
+        n = -(-k // max(1, int(np.ceil(np.sqrt(k)))))
+        return 2 * k * d + 2 * d * d + k + n * d + n
+
+    def class_share(self, share: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(share, np.arange(0, self.k, self.width))
 
     @classmethod
     def start(cls, share: np.ndarray, d: int = SIZE, seed: int = 3) -> Model:
         k, rng = len(share), np.random.default_rng(seed)
-        m = cls(np.zeros(2 * k * d + 2 * d * d + k, np.float32), k, d)
-        m.r[:], m.q[:] = rng.normal(0, 0.1, (k, d)), rng.normal(0, 0.1, (k, d))
+        m = cls(np.zeros(cls.length(k, d), np.float32), k, d)
+        for own in (m.r, m.q, m.qc):
+            own[:] = rng.normal(0, 0.1, own.shape)
         m.c[:] = np.eye(d) * 0.5
-        m.b[:] = np.log(share)
+        m.b[:], m.bc[:] = np.log(share), np.log(m.class_share(share))
         return m
 
     def predicted(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         return self.r[one] @ self.c[0] + self.r[two] @ self.c[1]
 
-    def log_probs(self, one: np.ndarray, two: np.ndarray, word: np.ndarray, chunk: int = 4096) -> np.ndarray:
-        """Natural log of the normalised probabilities; every different context
-        meets the whole vocabulary once."""
-        u, which = np.unique(one.astype(np.int64) * self.k + two, return_inverse=True)
-        order = np.argsort(which, kind="stable")
-        cut = np.searchsorted(which[order], np.arange(0, len(u) + chunk, chunk))
-        out = np.empty(len(word), np.float64)
+    def log_probs(self, one: np.ndarray, two: np.ndarray, word: np.ndarray, chunk: int = 1 << 16) -> np.ndarray:
+        """Natural log of the normalised probabilities: of the word's class, times
+        of the word in it.  Every different context meets all classes once, and the
+        words of each class that follows it there."""
+        u, back = np.unique((one.astype(np.int64) * self.k + two) * self.k + word, return_inverse=True)
+        out = np.empty(len(u), np.float64)
         for i in range(0, len(u), chunk):
-            s = self.predicted(u[i:i + chunk] // self.k, u[i:i + chunk] % self.k) @ self.q.T
-            s += self.b
-            s -= s.max(axis=1, keepdims=True)
-            at = order[cut[i // chunk]:cut[i // chunk + 1]]
-            own = s[which[at] - i, word[at]]
-            np.exp(s, out=s)
-            out[at] = own - np.log(s.sum(axis=1))[which[at] - i]
+            out[i:i + chunk] = self._of_triples(u[i:i + chunk])
+        return out[back]
+
+    def _of_triples(self, triples: np.ndarray) -> np.ndarray:
+        word, context = triples % self.k, triples // self.k
+        first, which = _runs(context)
+        p = self.predicted(context[first] // self.k, context[first] % self.k)
+        kind = word // self.width
+        s = p @ self.qc.T
+        s += self.bc
+        out = (s[which, kind] - _log_sum_exp(s)[which]).astype(np.float64)
+        # words of one class in order of their contexts, each context once
+        order = np.argsort(kind, kind="stable")
+        cut = np.searchsorted(kind[order], np.arange(self.n_classes + 1))
+        for c in np.flatnonzero(np.diff(cut)):
+            at = order[cut[c]:cut[c + 1]]
+            lo, hi = c * self.width, min((c + 1) * self.width, self.k)
+            begins, row = _runs(which[at])
+            s = p[which[at][begins]] @ self.q[lo:hi].T
+            s += self.b[lo:hi]
+            out[at] += s[row, word[at] - lo] - _log_sum_exp(s)[row]
         return out
 
 
-def train_block(model: Model, squares: np.ndarray, share: np.ndarray, one, two, word, rng, rate: float = 0.05) -> None:
-    """One pass of noise-contrastive AdaGrad over the tokens of a block."""
-    k, d = model.k, model.d
-    acc = Model(squares, k, d)
-    base = np.log(NOISE * share).astype(np.float32)
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the runs of equal values, and each place's run."""
+    new = np.r_[True, values[1:] != values[:-1]][:len(values)]
+    return np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def _log_sum_exp(s: np.ndarray) -> np.ndarray:
+    top = s.max(axis=1, keepdims=True)
+    return np.log(np.exp(s - top).sum(axis=1)) + top[:, 0]
+
+
+def _drawn_batches(triples: np.ndarray, weight: np.ndarray, k: int, rng) -> tuple[np.ndarray, np.ndarray]:
+    """Different triples with their counts in random order.  A triple with a high
+    count comes several times with a share of it; triples of one context stay
+    together in groups of ``GROUP`` or so, whose prediction is computed once."""
+    parts = -(-weight // HEAVY)
+    triples, weight = np.repeat(triples, parts), np.repeat((weight / parts).astype(np.float32), parts)
+    first, which = _runs(triples // k)
+    groups = -(-np.diff(np.r_[first, len(triples)]) // GROUP)
+    group = (np.cumsum(groups) - groups)[which] + rng.integers(0, groups[which])
+    order = np.argsort(rng.permutation(groups.sum())[group], kind="stable")
+    return triples[order], weight[order]
+
+
+def train_block(model: Model, squares: np.ndarray, share: np.ndarray, one, two, word, rng, rate: float = RATE) -> None:
+    """One pass of noise-contrastive AdaGrad over the tokens of a block, words
+    and classes at once.  Equal triples of context and word are one step with
+    their count as weight."""
+    k = model.k
+    acc = Model(squares, k, model.d)
+    share_c = model.class_share(share)
+    base, base_c = (np.log(NOISE * x).astype(np.float32) for x in (share, share_c))
+    mass_c = (NOISE * share_c).astype(np.float32)
     pick = np.cumsum(share)
-    dims = np.arange(d)
-    order = rng.permutation(len(word))
-
-    def scatter(index, grad):
-        return np.bincount((index[:, None] * d + dims).ravel(), grad.ravel(), k * d).reshape(k, d).astype(np.float32)
-    for at in range(0, len(order), BATCH):
-        i = order[at:at + BATCH]
-        a, b, w = one[i], two[i], word[i]
+    triples, weight = np.unique((one.astype(np.int64) * k + two) * k + word, return_counts=True)
+    triples, weight = _drawn_batches(triples, weight, k, rng)
+
+    def sums(index, grad):
+        order = np.argsort(index, kind="stable")
+        first, _ = _runs(index[order])
+        return index[order][first], np.add.reduceat(grad[order], first)
+
+    def step(own, sq, rows, g):
+        g = g / total
+        sq[rows] += g * g
+        own[rows] += rate * g / np.sqrt(sq[rows] + 1e-8)
+    for at in range(0, len(triples), BATCH):
+        t, wt = triples[at:at + BATCH], weight[at:at + BATCH]
+        w, context = t % k, t // k
+        kind = w // model.width
+        first, which = _runs(context)
+        a, b = context[first] // k, context[first] % k
+        total, seen = wt.sum(), np.add.reduceat(wt, first)[:, None]
         noise = np.minimum(np.searchsorted(pick, rng.random(SAMPLES)), k - 1)
         ra, rb = model.r[a], model.r[b]
         p = ra @ model.c[0] + rb @ model.c[1]
-        qw, qn = model.q[w], model.q[noise]
+        pw, qw, qk, qn = p[which], model.q[w], model.qc[kind], model.q[noise]
         # data: pushed up by what it lacks; noise: pushed down by what it has
-        up = 1 / (1 + np.exp((p * qw).sum(axis=1) + model.b[w] - base[w]))
-        down = p @ -qn.T
-        down -= model.b[noise] - base[noise]
-        np.exp(down, out=down)
-        down += 1
-        np.divide(NOISE / SAMPLES, down, out=down)
-        dp = up[:, None] * qw - down @ qn
-        n = len(i)
-        grads = (scatter(np.r_[a, b], np.r_[dp @ model.c[0].T, dp @ model.c[1].T]),
-                 scatter(np.r_[w, noise], np.r_[up[:, None] * p, -(down.T @ p)]),
-                 np.stack([ra.T @ dp, rb.T @ dp]),
-                 np.bincount(np.r_[w, noise], np.r_[up, -down.sum(axis=0)], k).astype(np.float32))
-        for own, sq, g in zip((model.r, model.q, model.c, model.b), (acc.r, acc.q, acc.c, acc.b), grads):
-            g /= n
-            sq += g * g
-            g *= rate
-            g /= np.sqrt(sq + 1e-8)
-            own += g
+        up = wt / (1 + np.exp(np.einsum("ij,ij->i", pw, qw) + model.b[w] - base[w]))
+        up_c = wt / (1 + np.exp(np.einsum("ij,ij->i", pw, qk) + model.bc[kind] - base_c[kind]))
+        down = NOISE / SAMPLES * seen / (1 + np.exp(p @ -qn.T - (model.b[noise] - base[noise])))
+        # of the classes the noise is not drawn but taken at its expectation
+        down_c = mass_c * seen / (1 + np.exp(p @ -model.qc.T - (model.bc - base_c)))
+        dp = np.add.reduceat(up[:, None] * qw + up_c[:, None] * qk, first) - down @ qn - down_c @ model.qc
+        targets = sums(np.r_[w, noise], np.c_[np.r_[up[:, None] * pw, -(down.T @ p)], np.r_[up, -down.sum(axis=0)]])
+        classes, g = sums(kind, np.c_[up_c[:, None] * pw, up_c])
+        grad_c = np.c_[-(down_c.T @ p), -down_c.sum(axis=0)]
+        grad_c[classes] += g
+        contexts = sums(np.r_[a, b], np.r_[dp @ model.c[0].T, dp @ model.c[1].T])
+        every = slice(None)
+        step(model.c, acc.c, every, np.stack([ra.T @ dp, rb.T @ dp]))
+        step(model.r, acc.r, *contexts)
+        step(model.q, acc.q, targets[0], targets[1][:, :-1])
+        step(model.b, acc.b, targets[0], targets[1][:, -1])
+        step(model.qc, acc.qc, every, grad_c[:, :-1])
+        step(model.bc, acc.bc, every, grad_c[:, -1])
 
 
 def _classes(words: list[str], number: dict[str, int], k: int) -> np.ndarray:
@@ -193,15 +270,28 @@ def _contexts(tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     return one, two
 
 
+#: Numbers of a piece of the parameters, tasks whose pieces are added first.
+PIECE, FAN = 4096, 256
+_PIECES = "at int, near int, n long, sums binary"
+
+
+def _piece(at: int, near: int, n: int, sums: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([at], pa.int32()), pa.array([near], pa.int32()), pa.array([n], pa.int64()),
+         pa.array([sums.tobytes()], pa.binary())], names=["at", "near", "n", "sums"])
+
+
 def train(blocks: DataFrame, words: list[tuple[str, int]], total: int, rounds: int = ROUNDS) -> Model:
     """Fit on all training tokens.  ``words``: the vocabulary (end token
-    first) with its counts; only one parameter vector reaches the driver a round."""
+    first) with its counts.  The tasks' parameters travel in pieces of ``PIECE``
+    numbers, which Spark adds up, by ``FAN`` tasks first and then all; one parameter
+    vector reaches the driver a round."""
     k = len(words) + 1
     counts = np.array([c for _, c in words] + [max(0, total - sum(c for _, c in words))], np.float64) + 1
     share = counts / counts.sum()
-    number = {w: i for i, (w, _) in enumerate(words)}
-    model = Model.start(share)
     spark = blocks.sparkSession
+    number = spark.sparkContext.broadcast({w: i for i, (w, _) in enumerate(words)})
+    model = Model.start(share)
 
     def task(state, seed):
         def run(batches):
@@ -212,7 +302,7 @@ def train(blocks: DataFrame, words: list[tuple[str, int]], total: int, rounds: i
                     row = {c: b.column(c)[r] for c in ("block", "held", "ends", "tokens", "words")}
                     rng = rng or np.random.default_rng([seed, row["block"].as_py()])
                     ends = row["ends"].values.to_numpy().astype(np.int64)
-                    tokens = _classes(row["words"].as_py(), number, k)[np.frombuffer(row["tokens"].as_py(), "<i4")]
+                    tokens = _classes(row["words"].as_py(), number.value, k)[np.frombuffer(row["tokens"].as_py(), "<i4")]
                     one, two = _contexts(tokens, ends)
                     held = np.array(row["held"].as_py(), bool)
                     use = np.flatnonzero(np.repeat(~held, np.diff(np.r_[0, ends])))
@@ -220,25 +310,34 @@ def train(blocks: DataFrame, words: list[tuple[str, int]], total: int, rounds: i
                         train_block(m, squares, share, one[use], two[use], tokens[use], rng)
                         n += len(use)
             if n:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([float(n)]), pa.array([flat.astype(np.float64)], pa.list_(pa.float64()))], names=["n", "p"])
+                near = TaskContext.get().partitionId() // FAN
+                for i in range(0, len(flat), PIECE):
+                    yield _piece(i // PIECE, near, n, n * flat[i:i + PIECE].astype(np.float64))
         return run
 
+    def added(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = whole = 0
+        for b in batches:
+            for r in range(b.num_rows):
+                n += b.column(2)[r].as_py()
+                whole = whole + np.frombuffer(b.column(3)[r].as_py())
+        yield _piece(key[0].as_py(), key[1].as_py(), n, whole)
+
     for i in range(rounds):
-        state = spark.sparkContext.broadcast(model.flat)  # fixed by VOCABULARY and SIZE
-        each = blocks.select("block", "held", "ends", "tokens", "words").mapInArrow(
-            task(state, i), "n double, p array<double>")
-        mean = each.select("n", F.posexplode("p").alias("at", "v")).groupBy("at").agg(
-            (F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("v")).collect()
+        state = spark.sparkContext.broadcast(model.flat)  # bounded by SHARE and SIZE
+        pieces = blocks.select("block", "held", "ends", "tokens", "words").mapInArrow(task(state, i), _PIECES)
+        for key in (F.col("near"), F.lit(0).alias("near")):
+            pieces = pieces.select("at", key, "n", "sums").groupBy("at", "near").applyInArrow(added, _PIECES)
+        mean = pieces.collect()
         if mean:
             flat = np.zeros(len(model.flat), np.float32)
             for r in mean:
-                flat[r["at"]] = r["v"]
+                flat[r["at"] * PIECE:(r["at"] + 1) * PIECE] = np.frombuffer(r["sums"]) / r["n"]
             model = Model(flat, k)
     return model
 
 
-def lm_score(docs: DataFrame, vocabulary: int = VOCABULARY, rounds: int = ROUNDS) -> DataFrame:
+def lm_score(docs: DataFrame, share: int = SHARE, rounds: int = ROUNDS) -> DataFrame:
     """``docs(doc_id, text)`` as ``doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score`` (log10)."""
     spark = docs.sparkSession
@@ -247,20 +346,21 @@ def lm_score(docs: DataFrame, vocabulary: int = VOCABULARY, rounds: int = ROUNDS
         F.col("t.words").alias("word"), F.col("t.counts").alias("c")).where("c > 0")
     counts = written(each.groupBy("word").agg(F.sum("c").alias("c")), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.where(F.col("word") != END_WORD).orderBy(F.desc("c"), "word").limit(vocabulary - 2).collect()
+    least = max(LEAST, -(-total // share))
+    top = counts.where((F.col("word") != END_WORD) & (F.col("c") >= least)).orderBy(F.desc("c"), "word").collect()
     ends = counts.where(F.col("word") == END_WORD).first()
     words = [(END_WORD, ends["c"] if ends else 0)] + [(r["word"], r["c"]) for r in top]
     model = train(blocks, words, total, rounds)
     k = len(words) + 1
     other_tokens = total - sum(c for _, c in words)
     other_words = max(0, distinct - sum(c > 0 for _, c in words))
-    number = {w: i for i, (w, _) in enumerate(words)}
+    number = spark.sparkContext.broadcast({w: i for i, (w, _) in enumerate(words)})
     state = spark.sparkContext.broadcast(model.flat)
 
     looked = blocks.select("block", F.posexplode("words").alias("at", "word")).join(counts, "word", "left").select(
         "block", "at", F.coalesce("c", F.lit(0)).alias("c"), "word")
     # only the vocabulary's words are needed by name, all others by their count
-    looked = looked.select("block", "at", "c", F.when(F.col("word").isin([w for w, _ in words]), F.col("word")).alias("w"))
+    looked = looked.select("block", "at", "c", F.when((F.col("c") >= least) | (F.col("word") == END_WORD), F.col("word")).alias("w"))
 
     def score(body: pa.Table, found: pa.Table) -> pa.Table:
         at = found["at"].to_numpy()
@@ -268,7 +368,7 @@ def lm_score(docs: DataFrame, vocabulary: int = VOCABULARY, rounds: int = ROUNDS
         c[at] = found["c"].to_numpy()
         kind = np.full(len(at), k - 1, np.int64)
         named = found.filter(found["w"].is_valid())
-        kind[named["at"].to_numpy()] = [number[w] for w in named["w"].to_pylist()]
+        kind[named["at"].to_numpy()] = [number.value[w] for w in named["w"].to_pylist()]
         local = np.frombuffer(body["tokens"][0].as_py(), "<i4")
         ends = body["ends"][0].values.to_numpy().astype(np.int64)
         tokens = kind[local]
