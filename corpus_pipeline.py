@@ -5,10 +5,17 @@ duplicates one document stays, passages that repeat elsewhere are cut out,
 documents that hold benchmark items go, and what is left is packed.  Every stage
 reads what its predecessor wrote and returns the columns of ``documents``, the last
 one returns the pieces of the packed sequences.
+
+Defined cases: nulls, blank texts, texts of any length, ties and repeated rows are
+what each stage's module says of them; an empty table gives an empty result; other
+columns than those of ``documents`` are passed on as they are up to packing, which
+leaves them aside.
 """
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewire.llm.core import documents, ready, written
@@ -55,12 +62,22 @@ STAGES = [("quality classifier", quality), ("MinHash near-dedup", near_duplicate
 ORACLE_SQL = None
 
 
+def release(spark: SparkSession) -> None:
+    """The driver gives up the plans, generated classes and broadcasts of the
+    statements before, of which a stage runs up to a hundred; Python's references to
+    them go first."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each writes Parquet below the shared
     checkpoint folder, which the next one reads."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
+        release(spark)
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    release(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
