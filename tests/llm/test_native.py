@@ -3,10 +3,12 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.rows import edge_docs, empty_docs, prose
+from tidewire.llm import quality_rules
 from tidewire.llm.license_scan import PHRASES, license_scan
 from tidewire.llm.quality_rules import weak_quality
 from tidewire.llm.url_graph import RULES, fitting_rule, spread, url_filter, url_parts
@@ -75,6 +77,37 @@ def test_quality_rules_base_columns(spark):
     assert got == sorted(want, key=str)
 
 
+def test_quality_rules_posterior_by_plain_em(spark):
+    """The posterior of every document against EM in plain numpy, run until it settles."""
+    names = list(quality_rules.RULES)
+    rows = weak_quality(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+    v = np.array([[r[f"vote_{k}"] for k in names] for r in rows])
+    table = {y: np.tile(np.array(b), (len(names), 1)) for y, b in quality_rules.BELIEF.items()}  # votes 0, -1, 1
+    at, prior, weight = np.where(v == 0, 0, np.where(v < 0, 1, 2)), 0.8, max(1.0, quality_rules.BELIEF_WEIGHT * len(v))
+    rule = np.arange(len(names))
+
+    def posterior():
+        good, bad = (np.log(table[y][rule, at]).sum(axis=1) for y in ("good", "bad"))
+        return 1 / (1 + np.exp(bad - good - np.log(prior / (1 - prior))))
+    for _ in range(2000):
+        p = posterior()
+        for y, share in (("good", p), ("bad", 1 - p)):
+            seen = np.array([[share[at[:, i] == c].sum() for c in range(3)] for i in rule])
+            table[y] = (seen + weight * np.array(quality_rules.BELIEF[y])) / (share.sum() + weight)
+        prior = (p.sum() + 0.8 * weight) / (len(p) + weight)
+    assert np.abs(posterior() - np.array([r.posterior for r in rows])).max() < 0.01
+
+
+def test_quality_rules_long_texts(spark):
+    """Over two megabytes of text, of blanks, and one word of 10,000 letters."""
+    many = prose(150_000, 4)
+    texts = [many, many[:200_000] + " " + many[:200_000], " " * 2_500_000, "x" * 10_000, "x" * 10_000 + " a b " + "x" * 10_000 + " a b"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r[0]: tuple(r[1:]) for r in weak_quality(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").collect()}
+    assert got == {i: _counts(t) for i, t in enumerate(texts)}
+
+
 def test_quality_rules_keep_clean_and_drop_junk(spark):
     sf = "/root/testdata/sf0.01"
     out = weak_quality(spark.read.parquet(f"{sf}/documents.parquet"))

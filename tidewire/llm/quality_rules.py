@@ -13,8 +13,10 @@ the number of rules, whatever the size of the corpus.
 
 Defined cases: a null text counts as empty; a document without words gets
 no vote and the prior as its posterior; repeated rows are judged one by one
-and each counts in EM; an empty table gives an empty result.  A document of
-n words compares 3-word windows by 64 - log2(n) bits of a hash.
+and each counts in EM; a text of any length is judged whole; a posterior of exactly
+the threshold is kept; other columns than ``doc_id`` and ``text``, whatever their
+names, are left aside; an empty table gives an empty result.  Windows of three words
+that share a hash are compared by their words, so their count is exact.
 """
 
 from __future__ import annotations
@@ -73,8 +75,13 @@ def text_counts(docs: DataFrame) -> DataFrame:
     t = t.withColumn("again", F.expr(
         "filter(s, (x, k) -> shiftright(x, bits) = shiftright(get(s, k - 1), bits) "
         "or shiftright(x, bits) = shiftright(get(s, k + 1), bits))"))
+    # all windows found twice are among these; their words, which hold no blank, decide
+    t = t.withColumn("s", F.expr(
+        "sort_array(transform(transform(again, x -> int(x & (shiftleft(1L, bits) - 1))), p -> "
+        "named_struct('words', concat_ws(' ', get(w, p), get(w, p + 1), get(w, p + 2)), 'p', bigint(p))))"))
     t = t.withColumn("n_repeat_words", F.expr(
-        "aggregate(sort_array(transform(again, x -> x & (shiftleft(1L, bits) - 1))), "
+        "aggregate(sort_array(transform(filter(s, (x, k) -> x.words <=> get(s, k - 1).words "
+        "or x.words <=> get(s, k + 1).words), x -> x.p)), "
         "named_struct('till', 0L, 'n', 0L), "
         "(a, p) -> named_struct('till', p + 3, 'n', a.n + p + 3 - greatest(a.till, p)), a -> a.n)"))
     return t.drop("w", "bits", "s", "again")
@@ -92,12 +99,18 @@ def votes(counts: DataFrame, rules: dict = RULES) -> DataFrame:
 _VOTES = (0, -1, 1)
 
 
-def fit_rules(patterns: DataFrame, names: list[str], rounds: int = 15, prior: float = 0.8) -> dict:
-    """EM over ``patterns(vote_*, n)``.  One small aggregation a round; only
-    its sums, two per rule and vote, reach the driver."""
+#: EM ends when no parameter moves by more.
+SETTLED = 1e-5
+
+
+def fit_rules(patterns: DataFrame, names: list[str], rounds: int | None = None, prior: float = 0.8) -> dict:
+    """EM over ``patterns(vote_*, n)`` until no parameter moves by more than
+    ``SETTLED``, or for ``rounds``.  One small aggregation a round; only its sums, two
+    per rule and vote, reach the driver."""
     model = {"prior": prior} | {y: {k: BELIEF[y] for k in names} for y in BELIEF}
     cells = F.posexplode(F.array(*[f"vote_{k}" for k in names])).alias("rule", "vote")
-    for _ in range(rounds):
+    done, moved = 0, 1.0
+    while moved > SETTLED and done != rounds:
         p = patterns.select("n", posterior(model, names).alias("p"), cells)
         rows = p.groupBy("rule", "vote").agg(F.sum(F.col("n") * F.col("p")).alias("good"),
                                              F.sum(F.col("n") * (1 - F.col("p"))).alias("bad")).collect()
@@ -106,9 +119,13 @@ def fit_rules(patterns: DataFrame, names: list[str], rounds: int = 15, prior: fl
         n = whole["good"] + whole["bad"]
         weight = max(1.0, BELIEF_WEIGHT * n)
         seen = lambda i, v, y: hit[i, v][y] if (i, v) in hit else 0.0  # noqa: E731, B023
+        before = model
         model = {"prior": (whole["good"] + prior * weight) / (n + weight)} | {
             y: {k: tuple((seen(i, v, y) + weight * b) / (whole[y] + weight) for v, b in zip(_VOTES, BELIEF[y]))
                 for i, k in enumerate(names)} for y in BELIEF}
+        moved = max(abs(model["prior"] - before["prior"]), *(
+            abs(a - b) for y in BELIEF for k in names for a, b in zip(model[y][k], before[y][k])))
+        done += 1
     return model
 
 
@@ -127,7 +144,7 @@ def posterior(model: dict, names: list[str]) -> Column:
     return 1 / (1 + F.exp(-total))
 
 
-def weak_quality(docs: DataFrame, rules: dict = RULES, rounds: int = 15,
+def weak_quality(docs: DataFrame, rules: dict = RULES, rounds: int | None = None,
                  threshold: float = 0.5) -> DataFrame:
     """``docs(doc_id, text)`` judged: the base counts, ``base_failed``,
     ``kept``, ``posterior`` and the votes.  The counts are computed once and
