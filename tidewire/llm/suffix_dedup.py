@@ -36,6 +36,9 @@ from tidewire.llm.bwt import collection_bwt
 from tidewire.llm.core import FILES_PER_CORE, mix, text_blocks, written
 
 LENGTH, GRAM, CORE = 100, 32, 80
+#: Text bytes that are looked at together (a longer document is a block of its own):
+#: their hashes and minima take a dozen arrays of eight bytes a place.
+BLOCK = 1 << 18
 #: Windows in a run at most (one without equal hashes has 69 at most); runs that a task gathers before it collapses them.
 RUN = 96
 GATHER = 2_000_000
@@ -178,7 +181,7 @@ def frequent_hashes(docs: DataFrame, buckets: int) -> np.ndarray:
                 [pa.array(np.r_[k[many].view(np.int64), 0]), pa.array(np.r_[c[many], 0]),
                  pa.array(np.r_[np.zeros(many.sum(), np.int64), total])], names=["key", "n", "total"])
         for b in batches:
-            for _, _, raw, off in text_blocks(b):
+            for _, _, raw, off in text_blocks(b, limit=BLOCK):
                 _, key, content, start, n, row = block_runs(raw, off)
                 runs.add(key, content, row, start, n)
                 if runs.n > GATHER:
@@ -242,7 +245,7 @@ def run_places(docs: DataFrame, buckets: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array(ls, pa.bool_()),
                                                pa.array(bs, pa.binary())], names=["bucket", "later", "cols"])
         for b in batches:
-            for i, j, raw, off in text_blocks(b):
+            for i, j, raw, off in text_blocks(b, limit=BLOCK):
                 h, key, content, start, n, row = block_runs(raw, off)
                 doc = _rows(b, i, j)
                 if len(hot) and len(key):
