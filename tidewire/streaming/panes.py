@@ -3,7 +3,8 @@
 Both operators keep, per key and window, the count of every distinct value and what is known of
 its panes, and emit accumulating panes in long form: every firing repeats the group's counts, one
 row per value.  They are ``transformWithState`` operators, so timers are part of the state and
-survive a restart.
+survive a restart.  Such operators keep several state tables each, which Spark's default state
+store cannot hold: where the session names that one, they choose RocksDB for the queries started next.
 
 * ``timer_panes``: a pane fires ``delay`` of processing time after its first element, as
   early firings do; the next element opens the next pane.
@@ -22,7 +23,7 @@ import sys
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -142,9 +143,18 @@ class _LatePanes(_Panes):
             self.fired.clear()
 
 
+def _column_families(spark: SparkSession) -> None:
+    """A state store with column families, unless the session names one of its own choice.  A query
+    keeps the store that its checkpoint records; others of this session are free to share this one."""
+    name, package = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state"
+    if spark.conf.get(name) == f"{package}.HDFSBackedStateStoreProvider":
+        spark.conf.set(name, f"{package}.RocksDBStateStoreProvider")
+
+
 def _grouped(stream: DataFrame, key: str, value: str, ts: str, window: int, parts: int) -> DataFrame:
     if not stream.isStreaming:
         raise ValueError("panes are fired on a stream")
+    _column_families(stream.sparkSession)
     start = F.floor(F.unix_millis(ts) / F.lit(window)).cast("long") * window
     part = F.pmod(F.xxhash64(value), F.lit(parts)).cast("int") if parts > 1 else F.lit(0)
     return stream.select(start.alias("window_ms"), F.col(key).cast("string").alias("key"), part.alias("part"),
