@@ -77,6 +77,44 @@ def test_timer_panes_accumulate_over_panes(spark, scratch):
     assert _panes(spark, f"{scratch}/out") == [("a", 0, "early", 0, "x", 1), ("a", 0, "early", 1, "x", 1), ("a", 0, "early", 1, "y", 1)]
 
 
+def test_timers_are_waited_for_after_a_repeated_batch(spark, scratch):
+    """A restarted run repeats the micro-batch that was cut short, without the rows that came since."""
+    from pathlib import Path
+
+    from tests.conftest import local_path
+    out, ck = f"{scratch}/out", f"{scratch}/ck"
+    run_timers(timer_panes(_topic(spark, f"{scratch}/in", 0, [("a", "x", 1000)]), delay="1 millisecond"), out, ck,
+               delay="1 millisecond", every="200 milliseconds")
+    begun, ended = (max((f for f in Path(local_path(ck), log).iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+                    for log in ("offsets", "commits"))
+    if begun.name == ended.name:  # the run was stopped between two micro-batches: as if in the last one
+        ended.unlink()
+    run_timers(timer_panes(_topic(spark, f"{scratch}/in", 1, [("a", "y", 2000)]), delay="1 millisecond"), out, ck,
+               delay="1 millisecond", every="200 milliseconds")
+    assert [r for r in _panes(spark, out) if r[3] == 1] == [("a", 0, "early", 1, "x", 1), ("a", 0, "early", 1, "y", 1)]
+
+
+def test_panes_choose_a_state_store_that_holds_them(spark, scratch):
+    """Spark's default store has no column families; a store of the session's own choice stays."""
+    from tidewire.streaming.panes import _column_families
+    name, package = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state"
+    before = spark.conf.get(name)
+    rows = [("a", "x", 1000), ("a", "y", 2000), ("b", None, 41000)]
+    try:
+        spark.conf.set(name, f"{package}.HDFSBackedStateStoreProvider")
+        run_early(late_panes(_topic(spark, f"{scratch}/late", 0, rows)), f"{scratch}/out", f"{scratch}/ck")
+        spark.conf.set(name, f"{package}.HDFSBackedStateStoreProvider")
+        run_timers(timer_panes(_topic(spark, f"{scratch}/timer", 0, rows), delay="1 second"), f"{scratch}/out2", f"{scratch}/ck2",
+                   delay="1 second", every="200 milliseconds")
+        spark.conf.set(name, "org.example.Store")
+        _column_families(spark)
+        assert spark.conf.get(name) == "org.example.Store"
+    finally:
+        spark.conf.set(name, before)
+    assert _panes(spark, f"{scratch}/out") == [("a", 0, "on-time", 0, "x", 1), ("a", 0, "on-time", 0, "y", 1)]
+    assert _panes(spark, f"{scratch}/out2") == [("a", 0, "early", 0, "x", 1), ("a", 0, "early", 0, "y", 1), ("b", 40, "early", 0, "", 1)]
+
+
 def test_panes_need_a_stream_and_a_fixed_duration(spark):
     with pytest.raises(KeyError):
         millis("2 months")

@@ -68,8 +68,9 @@ def run_timers(df, path: str, checkpoint: str, delay: str = EARLY_FIRING_DELAY,
     timer can be pending, then stop it.  Its output goes through the replay-safe sink.
 
     A timer that an earlier run left is due ``delay`` after this one's start at the latest, one of
-    this run ``delay`` after the last micro-batch with rows: the first micro-batch without rows that
-    begins after both has fired them all."""
+    this run ``delay`` after the end of the last micro-batch with new input: the first micro-batch
+    without any that begins after both has fired them all.  A run's first micro-batch does not count:
+    it may repeat one that was cut short, as of that one's input and time."""
     from tidewire.sinks.replay_safe import replay_safe_sink
     from tidewire.streaming.panes import millis
     wait = dt.timedelta(milliseconds=millis(delay))
@@ -81,10 +82,10 @@ def run_timers(df, path: str, checkpoint: str, delay: str = EARLY_FIRING_DELAY,
             if q.exception() is not None:
                 raise RuntimeError(str(q.exception()))
             for p in [p for p in q.recentProgress if p.batchId > seen]:
-                seen, began = p.batchId, dt.datetime.fromisoformat(p.timestamp)
-                if p.numInputRows:
-                    due = max(due, began + wait)
-                elif began > due:
+                first, seen, began = seen < 0, p.batchId, dt.datetime.fromisoformat(p.timestamp)
+                if p.numInputRows or any(s.startOffset != s.endOffset for s in p.sources):
+                    due = max(due, began + dt.timedelta(milliseconds=p.durationMs["triggerExecution"]) + wait)
+                elif began > due and not first:
                     return q
             time.sleep(0.2)
         raise TimeoutError(f"timers still pending after {timeout_s} s")
