@@ -85,7 +85,8 @@ def bracket_join(entries, value_field: str = "value", count_field: str = "n", li
     lets callers pre-aggregate equal values before the group shuffle.
     NULL values render as ``null``; an empty or NULL array gives ``""``.
     The result is one string per group, so this is a view for small groups: its size is
-    counted first, and a line of more than ``limit`` characters fails the job; it is never cut.
+    counted first, and a line of more than ``limit`` characters fails the job, as does a value
+    that is there more often than a line can repeat it; it is never cut.
     """
     ordered = F.array_sort(_c(entries))
     extra = len(BRACKET_ITEM[0]) + len(BRACKET_ITEM[1])
@@ -98,6 +99,8 @@ def bracket_join(entries, value_field: str = "value", count_field: str = "n", li
             e[count_field].cast("int"),
         ),
     )
+    equal = F.array_max(F.transform(ordered, lambda e: e[count_field]))
+    many = F.when(equal > (1 << 31) - 1, F.lit("too many equal values: ")).otherwise(F.lit(""))
     line = F.when(F.coalesce(size, F.lit(0)) <= limit, F.array_join(pieces, "")).otherwise(F.raise_error(F.concat(
-        F.lit(f"a list is too long for one line of {limit} characters (use bracket_parts): "), size.cast("string"))))
+        many, F.lit(f"a list is too long for one line of {limit} characters (use bracket_parts): "), size.cast("string"))))
     return F.coalesce(line, F.lit(""))
