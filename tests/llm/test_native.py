@@ -45,6 +45,17 @@ def test_license_base_columns(spark):
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
 
 
+def test_license_phrases_are_the_contracts(spark):
+    """``the mit license`` alone is a label of the method, not a place of the base."""
+    docs = spark.createDataFrame([
+        (1, "The MIT License"), (2, "sold under the MIT license; under the mit license"), (3, "cc by-nc the mit license"),
+        (4, "Apache License, Version 2")], "doc_id long, text string")
+    got = {r[0]: tuple(r)[1:] for r in license_scan(docs).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels").collect()}
+    assert got == {1: (3, 0, None, None, "", "mit"), 2: (9, 2, 1, 5, "mit", "mit"), 3: (6, 1, 0, 0, "cc-by-nc", "cc-by-nc,mit"),
+                   4: (4, 1, 0, 0, "apache-2", "apache-2")}
+
+
 def test_license_votes_find_a_changed_copy(spark):
     """One word dropped and one put in: the votes lie on three diagonals."""
     t = ("permission is hereby granted free of charge to any person obtaining a copy of this fine software and "

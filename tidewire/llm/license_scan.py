@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 K = 3
 #: Phrases whose places are counted exactly, and their labels.
 PHRASES = [
-    ("mit", "the mit license"),
+    ("mit", "under the mit license"),
     ("apache-2", "apache license version 2"),
     ("cc-by-nc", "cc by nc"),
 ]
@@ -37,6 +37,7 @@ TEMPLATES = [
     ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in "
                  "compliance with the license"),
     ("apache-2", "licensed under the apache license version 2 0"),
+    ("mit", "the mit license"),
     ("mit", "released under the mit license"),
     ("mit", "licensed under the mit license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided "
