@@ -14,11 +14,9 @@ leaves them aside.
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm.core import documents, ready, written
+from tidewire.llm.core import documents, ready, release, written
 from tidewire.llm.queries import QUERIES
 
 
@@ -62,14 +60,6 @@ STAGES = [("quality classifier", quality), ("MinHash near-dedup", near_duplicate
 ORACLE_SQL = None
 
 
-def release(spark: SparkSession) -> None:
-    """The driver gives up the plans, generated classes and broadcasts of the
-    statements before, of which a stage runs up to a hundred; Python's references to
-    them go first."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each writes Parquet below the shared
     checkpoint folder, which the next one reads."""

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -104,6 +105,24 @@ def test_components_of_paths_and_stars(spark):
     assert got == {**{i: 0 for i in range(61)}, **{j: 100 for j in range(100, 140)}}
 
 
+def test_components_run_no_round_for_links_that_are_settled(spark, monkeypatch):
+    """Each round is some ten stages whose plans and threads the driver holds."""
+    import sys
+    module, core = sys.modules["tidewire.llm.components"], sys.modules["tidewire.llm.core"]
+    rounds, let_go = [], []
+    monkeypatch.setattr(module, "written", lambda *a, f=module.written, **k: rounds.append(a[1]) or f(*a, **k))
+    monkeypatch.setattr(core, "release", lambda s, f=core.release: let_go.append(s) or f(s))
+    stars = [(2, 1), (1, 3), (3, 1), (5, 6), (None, 4), (8, 8)]
+    out = components(spark.createDataFrame(stars, "a long, b long")).collect()
+    assert sorted(map(tuple, out)) == [(1, 1), (2, 1), (3, 1), (5, 5), (6, 5)]
+    assert len(rounds) == len(let_go) == 1
+    out = components(spark.createDataFrame([(1, 3), (2, 3), (3, 4)], "a long, b long")).collect()
+    assert sorted(map(tuple, out)) == [(1, 1), (2, 1), (3, 1), (4, 1)]
+    assert len(rounds) == len(let_go) > 2
+    with pytest.raises(RuntimeError, match="did not settle in 1 rounds"):
+        components(spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long"), 1)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.binary(max_size=14).map(lambda b: bytes(x % 3 for x in b)), max_size=8),
        st.integers(1, 4), st.sampled_from([2, 3, 5, 1000]))

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -55,6 +56,22 @@ def test_quality_edge_cases(spark):
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted for r in out)
 
 
+def test_training_sample_is_read_in_place(spark):
+    """Texts' features are views of the columns the driver got, in the order of ids and
+    features; copies of each text's would leave its memory in pieces."""
+    from tidewire.llm.features import _views, labelled_sample
+    cut = [pa.array([b"abcd", b"", b"efghijkl", b"mnop"])[1:], pa.array([b""])]
+    assert [v.tobytes() for v in _views(pa.chunked_array(cut))] == [b"", b"efghijkl", b"mnop", b""]
+    rows = [(i, prose(40, i)) for i in (3, 1, 2)] + [(2, prose(40, 9)), (None, "no id"), (4, "no label")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    some = labelled_sample(docs, labels(spark, [(i, i % 2, 0) for i in (1, 2, 3)]), "quality", F.lit(True), 10, 16)
+    assert [(s[0], s[4]) for s in some] == [(1, 1), (2, 0), (2, 0), (3, 1)]
+    assert some[1][1].tobytes() <= some[2][1].tobytes() and all(len(s[1]) == len(s[2]) for s in some)
+    for column in (1, 2):
+        place = sorted((s[column].ctypes.data, s[column].nbytes) for s in some)
+        assert all(a + n == b for (a, n), (b, _) in zip(place, place[1:]))
+
+
 # --- toxicity
 
 def test_ordinal_thresholds_are_ordered():

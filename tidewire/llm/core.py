@@ -8,6 +8,7 @@ works on whole blocks and never on single rows.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 from collections.abc import Iterator
@@ -49,12 +50,14 @@ def written(df: DataFrame, name: str, per_core: int | None = None) -> DataFrame:
     read again: cuts the lineage, so a lost executor costs one stage, and no
     later step computes it a second time.  ``per_core``: that many files for
     each of the cluster's cores at most, each made from several shuffle partitions one
-    after the other, instead of one file per shuffle partition."""
+    after the other, instead of one file per shuffle partition.  The driver lets go of
+    the statement."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     if per_core:
         df = df.coalesce(max(1, per_core * spark.sparkContext.defaultParallelism))
     df.write.option("compression", "zstd").parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -67,6 +70,15 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """The driver gives up the plans, generated classes and broadcasts of the
+    statements before, of which an operator runs up to a hundred; Python's references to
+    them go first, and memory that Arrow holds for later."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    spark._jvm.System.gc()
+
+
 def ready(spark: SparkSession) -> None:
     """Ship the package to the Python tasks (once per application), and let
     Spark drop the shuffle files of a statement when it ends: every operator

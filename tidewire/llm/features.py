@@ -3,6 +3,7 @@ statistics of a text's structure, and its metadata, as rows of (feature, value).
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -139,6 +140,17 @@ def feature_table(docs, bits: int, meta: str | None = None, binned: bool = True)
     return docs.mapInArrow(run, FEATURE_ROWS)
 
 
+def _views(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The 32-bit integers of each value of a binary column, where they are: small copies
+    would leave the driver's memory in pieces."""
+    out = []
+    for c in column.cast(pa.large_binary()).chunks:
+        _, off, data = c.buffers()
+        off = np.frombuffer(off, np.int64)[c.offset:c.offset + len(c) + 1].tolist()
+        out += [np.frombuffer(data, "<i4", (b - a) // 4, a) if b > a else np.zeros(0, "<i4") for a, b in zip(off, off[1:])]
+    return out
+
+
 def labelled_sample(docs, labels, target: str, keep, limit: int, bits: int, meta: str | None = None,
                     binned: bool = True) -> list:
     """At most ``limit`` documents with a label for ``target`` among those
@@ -154,8 +166,11 @@ def labelled_sample(docs, labels, target: str, keep, limit: int, bits: int, meta
     ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["label"]) for r in chosen], "doc_id long, label int")
     cols = ["doc_id", "text", *([meta] if meta else [])]
     some = docs.select(*cols).join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")
-    rows = feature_table(some, bits, meta, binned).collect()
+    rows = feature_table(some, bits, meta, binned).toArrow()
     label = {r["doc_id"]: r["label"] for r in chosen}
-    rows.sort(key=lambda r: (r["doc_id"], bytes(r["features"])))
-    return [(r["doc_id"], np.frombuffer(r["features"], "<i4"), np.frombuffer(r["counts"], "<i4"), r["words"],
-             label[r["doc_id"]]) for r in rows]
+    names = rows["doc_id"].to_pylist()
+    often = Counter(names)
+    feats, counts = (_views(rows[c]) for c in ("features", "counts"))
+    order = sorted(range(len(names)), key=lambda i: (names[i], feats[i].tobytes() if often[names[i]] > 1 else b""))
+    words = rows["words"].to_pylist()
+    return [(names[i], feats[i], counts[i], words[i], label[names[i]]) for i in order]

@@ -31,6 +31,8 @@ BITS, FACTORS, MAX_TRAIN, EPOCHS = 16, 6, 12_000, 8
 WORD_SCALE, REJECT_WEIGHT = 0.5, 3.0
 #: Documents that must show a word before it gets weights.
 MIN_DOCS = 8
+#: Training documents whose words are counted together.
+PORTION = 256
 FOLDS, TEST_FOLD, THRESHOLD = 5, 0, 0.3
 
 
@@ -68,25 +70,29 @@ def fit(sample: list, bits: int = BITS, factors: int = FACTORS, epochs: int = EP
     if not sample:
         model["v"][:] = 0
         return model
-    df = np.bincount(np.concatenate([s[1] for s in sample]), minlength=size)
+    df = np.zeros(size, np.int64)
+    for at in range(0, len(sample), PORTION):
+        df += np.bincount(np.concatenate([s[1] for s in sample[at:at + PORTION]]), minlength=size)
     known = df >= min(MIN_DOCS, max(1, len(sample) // 100))
     model["v"][~known] = 0
     y = np.array([s[4] for s in sample], dtype=np.float64)
     mean = float(np.clip(y.mean(), 0.01, 0.99))
     model["w0"] = float(np.log(mean / (1 - mean)))
-    data = []
-    for _, f, c, _, _ in sample:
-        x = values(np.zeros(len(f), np.int64), c, 1)
+    # two arrays for all texts, a text's features from ``edge`` on
+    edge = np.r_[0, np.cumsum([np.count_nonzero(known[s[1]]) for s in sample])]
+    feats, xs = np.empty(edge[-1], np.int32), np.empty(edge[-1], np.float32)
+    for i, (_, f, c, _, _) in enumerate(sample):
         ok = known[f]
-        data.append((f[ok].astype(np.int64), x[ok]))
+        feats[edge[i]:edge[i + 1]] = f[ok]
+        xs[edge[i]:edge[i + 1]] = values(np.zeros(len(f), np.int64), c, 1)[ok]
     gw, gv, g0 = np.full(size, 1e-6, np.float32), np.full((size, factors), 1e-6, np.float32), 1e-6
     for _ in range(epochs):
-        order = rng.permutation(len(data))
+        order = rng.permutation(len(sample))
         for at in range(0, len(order), batch):
             pick = order[at:at + batch]
-            f = np.concatenate([data[k][0] for k in pick])
-            x = np.concatenate([data[k][1] for k in pick])
-            r = np.repeat(np.arange(len(pick)), [len(data[k][0]) for k in pick])
+            f = np.concatenate([feats[edge[k]:edge[k + 1]] for k in pick]).astype(np.int64)
+            x = np.concatenate([xs[edge[k]:edge[k + 1]] for k in pick])
+            r = np.repeat(np.arange(len(pick)), edge[pick + 1] - edge[pick])
             heavy = np.where(y[pick] > 0, 1.0, REJECT_WEIGHT)
             err = ((scores(model, r, f, x, len(pick)) - y[pick]) * heavy).astype(np.float32) / len(pick)
             total = _sums(model["v"][f] * x[:, None], r, len(pick))
