@@ -98,6 +98,51 @@ def test_near_duplicates_in_a_crowd_of_one_template(spark):
     assert {r.doc_id: r.component_id for r in out} == {i: i - i % 2 for i, _ in rows}
 
 
+def test_near_duplicates_hand_python_batches_of_bounded_bytes(spark, monkeypatch):
+    """Ten thousand texts of a real table are tens of MB, held several times for each core."""
+    import pyarrow as pa
+
+    from tidewire.llm import components as stars
+    from tidewire.llm import core, near_dedup
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, sizes = spark.conf.get(name), []
+
+    def sized(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+    rows = [(i, prose(300, i // 2)) for i in range(200)]
+    docs = spark.createDataFrame(rows * 20, "doc_id long, text string").coalesce(1)
+
+    def written(df, *args):
+        sizes.append(docs.mapInArrow(sized, "n long, size long").collect())
+        return core.written(df, *args)
+    monkeypatch.setattr(near_dedup, "written", written)
+    monkeypatch.setattr(stars, "written", written)
+    got = near_duplicates(docs).select("doc_id", "component_id").distinct().collect()
+    assert {tuple(r) for r in got} == {(i, i - i % 2) for i, _ in rows}
+    assert len(sizes) > 6
+    assert all(sum(r.n for r in x) == 4000 and max(r.size for r in x) < 2 * near_dedup.BATCH for x in sizes)
+    assert spark.conf.get(name) == before
+
+
+def test_shingle_sets_of_texts_that_pack_well(spark):
+    from tidewire.llm.near_dedup import packed_texts, shingle_sets
+    rows = [(1, "a b c d e " * 60000), (2, "a b c d e"), (3, ""), (4, "x " * 300000), (5, "one two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: set(r.s) for r in shingle_sets(packed_texts(docs)).collect()}
+    assert {i: len(s) for i, s in got.items()} == {i: len(_set(t)) for i, t in rows}
+    assert got[2] < got[1]
+
+
+def test_a_block_of_fewer_words_than_a_shingle():
+    from tidewire.llm.near_dedup import block_shingles
+    for k in (4, 5):
+        for n in range(1, 7):
+            text = np.frombuffer(b"w " * n, np.uint8)
+            x, row = block_shingles(text, np.array([0, len(text)]), k)
+            assert len(x) == 1 and row.tolist() == [0]
+
+
 def test_components_of_paths_and_stars(spark):
     e = [(i, i + 1) for i in range(60)] + [(100, j) for j in range(101, 140)] + [(7, 7)]
     random.Random(1).shuffle(e)

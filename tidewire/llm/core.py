@@ -12,6 +12,7 @@ import gc
 import hashlib
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +80,20 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+@contextmanager
+def batch_bytes(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Statements that run inside hand Python Arrow batches of about ``limit`` bytes (a
+    longer row is a batch of its own), not of ten thousand rows whatever their size: an
+    executor holds a batch per core several times, in the JVM's native memory and in the worker."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ready(spark: SparkSession) -> None:
     """Ship the package to the Python tasks (once per application), and let
     Spark drop the shuffle files of a statement when it ends: every operator
@@ -190,7 +205,7 @@ def shingle_hashes(h: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray,
     first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
     count = np.diff(np.r_[first, n])
     acc = h.copy()
-    for j in range(1, k):
+    for j in range(1, min(k, n)):
         acc[:n - j] = acc[:n - j] * m + h[j:]
     full = np.zeros(n, dtype=bool)
     if n >= k:

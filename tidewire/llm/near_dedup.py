@@ -38,7 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.components import components
-from tidewire.llm.core import (FILES_PER_CORE, LOWER, discard, mix, shingle_hashes, text_blocks, word_hashes, words_of, written)
+from tidewire.llm.core import (FILES_PER_CORE, LOWER, batch_bytes, discard, mix, shingle_hashes, text_blocks, word_hashes,
+                               words_of, written)
 
 WORDS, PERCENT = 4, 80
 #: Trees, signature values of the least common prefix, and deeper values in the order.
@@ -55,6 +56,8 @@ CELLS = 1 << 20
 TOGETHER, PARTS = 2000, 16
 #: Bytes of text worked on together: a Python worker holds a dozen arrays of that many words.
 BLOCK = 1 << 18
+#: Bytes of an Arrow batch on its way to Python.
+BATCH = 1 << 21
 
 _U = np.uint64
 
@@ -232,15 +235,23 @@ def shingle_sets(packed: DataFrame, words: int = WORDS) -> DataFrame:
         import zstandard
         unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
-            texts = pa.array([unpack(t.as_py()) for t in b.column(1)], pa.binary()).cast(pa.string())
-            b = pa.RecordBatch.from_arrays([b.column(0), texts], names=["doc_id", "text"])
-            for i, j, raw, off in text_blocks(b, limit=BLOCK):
-                flat, row = block_shingles(raw, off, words)
-                flat = flat.view(np.int64)
-                edge = np.searchsorted(row, np.arange(j - i + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), pa.ListArray.from_arrays(edge, pa.array(flat))],
-                    names=["doc_id", "s"])
+            begin, texts, size = 0, [], 0
+            for end, t in enumerate(b.column(1), 1):  # a few packed bytes can be a long text
+                texts.append(unpack(t.as_py()))
+                size += len(texts[-1])
+                if size < BLOCK and end < b.num_rows:
+                    continue
+                some = pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(begin, end - begin), pa.array(texts, pa.binary()).cast(pa.string())],
+                    names=["doc_id", "text"])
+                begin, texts, size = end, [], 0
+                for i, j, raw, off in text_blocks(some, limit=BLOCK):
+                    flat, row = block_shingles(raw, off, words)
+                    flat = flat.view(np.int64)
+                    edge = np.searchsorted(row, np.arange(j - i + 1)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [some.column(0).slice(i, j - i), pa.ListArray.from_arrays(edge, pa.array(flat))],
+                        names=["doc_id", "s"])
     return packed.mapInArrow(run, "doc_id long, s array<long>")
 
 
@@ -361,7 +372,13 @@ def merged(at: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs(doc_id, text)`` as ``doc_id, n_shingles, component_id, kept``."""
+    """``docs(doc_id, text)`` as ``doc_id, n_shingles, component_id, kept``.  All that
+    Python works on is written here; what is left to the caller's statement are joins."""
+    with batch_bytes(docs.sparkSession, BATCH):
+        return _near_duplicates(docs, words, percent)
+
+
+def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sigs = written(signatures(docs, words), "signatures")
     own = sigs.where("n > 0 and doc_id is not null")
