@@ -94,6 +94,74 @@ def test_timers_are_waited_for_after_a_repeated_batch(spark, scratch):
     assert [r for r in _panes(spark, out) if r[3] == 1] == [("a", 0, "early", 1, "x", 1), ("a", 0, "early", 1, "y", 1)]
 
 
+class _State:
+    """A list or value state of one bucket, in memory."""
+
+    def __init__(self, *_):
+        self.held = []
+
+    def get(self):
+        return iter([*self.held]) if not isinstance(self.held, tuple) else self.held
+
+    def appendList(self, values):
+        self.held.extend(values)
+
+    def put(self, values):
+        self.held = [*values]
+
+    def update(self, value):
+        self.held = value
+
+    def clear(self):
+        self.held = []
+
+
+class _Value(_State):
+    def get(self):
+        return self.held or None
+
+
+class _Handle:
+    def __init__(self):
+        self.timers, self.getListState, self.getValueState = set(), _State, _Value
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+
+def test_groups_of_a_bucket_fire_each_at_its_own_time():
+    """``a`` opens at 0 and takes a row at 50, ``b`` opens at 50: due at 100 and 150, with a row of ``a`` at 150
+    that opens its next pane."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+    import pyarrow as pa
+
+    from tidewire.streaming.panes import _TimerPanes, _pack, _schema
+    panes, handle, got = _TimerPanes(20000, 100), _Handle(), []
+    panes.init(handle)
+    for now, rows in ((0, [("a", "x")]), (50, [("a", None), ("b", "y")]), (100, []), (149, []), (150, [("a", "x")]), (250, [])):
+        times = SimpleNamespace(getCurrentProcessingTimeInMs=lambda now=now: now)
+        if rows:
+            table = pa.Table.from_pylist([{"window_ms": 0, "key": k, "part": 0, "value": v, "n": 1} for k, v in rows], _schema())
+            assert not [*panes.handleInputRows((0, 0), iter([pd.DataFrame({"chunk": _pack(table)})]), times)]
+        for at in sorted(t for t in handle.timers if t <= now):
+            for frame in panes.handleExpiredTimer((0, 0), times, None):
+                got += sorted((now, r.key, r.pane, r.value or "", r.n) for r in frame.itertuples())
+            handle.timers.discard(at)
+    assert got == [(100, "a", 0, "", 1), (100, "a", 0, "x", 1), (150, "b", 0, "y", 1), (250, "a", 1, "", 1), (250, "a", 1, "x", 2)]
+
+
+def test_timer_panes_of_many_keys_share_state(spark, scratch):
+    """A state key, a timer and calls into the state for every key and window took a run of 600,000 of them far too long."""
+    rows = [(f"k{i}", f"v{i % 3}", 1000 + i) for i in range(1500)] * 2
+    q = run_timers(timer_panes(_topic(spark, f"{scratch}/in", 0, rows), delay="1 second"), f"{scratch}/out", f"{scratch}/ck",
+                   delay="1 second", every="200 milliseconds")
+    assert 0 < max(s.numRowsTotal for p in q.recentProgress for s in p.stateOperators) < 500
+    got = read_batches(spark, f"{scratch}/out", schema=PANE_ROWS).collect()
+    assert sorted((r.key, r.value, r.n, r.pane) for r in got) == sorted((f"k{i}", f"v{i % 3}", 2, 0) for i in range(1500))
+
+
 def test_panes_choose_a_state_store_that_holds_them(spark, scratch):
     """Spark's default store has no column families; a store of the session's own choice stays."""
     from tidewire.streaming.panes import _column_families
