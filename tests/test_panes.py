@@ -162,6 +162,32 @@ def test_timer_panes_of_many_keys_share_state(spark, scratch):
     assert sorted((r.key, r.value, r.n, r.pane) for r in got) == sorted((f"k{i}", f"v{i % 3}", 2, 0) for i in range(1500))
 
 
+def test_late_panes_of_many_values_share_state(spark, scratch):
+    """A state entry, and calls into the state, for every value of a group took a run of millions of them far too long."""
+    slices = [[("hot", f"v{i}", 1000 + i) for i in range(1500)] * 2 + [("end", "e", 41000)],
+              [("hot", "v7", 1500), ("hot", "new", 1600), ("end", "e", 41500)]]
+    held = []
+    for i, rows in enumerate(slices):
+        q = run_early(late_panes(_topic(spark, f"{scratch}/in", i, rows), lateness="1 minute"), f"{scratch}/out", f"{scratch}/ck")
+        held += [s.numRowsTotal for p in q.recentProgress for s in p.stateOperators]
+    assert 0 < max(held) < 100
+    got = [r for r in read_batches(spark, f"{scratch}/out", schema=PANE_ROWS).collect() if r.key == "hot"]
+    assert sorted((r.value, r.n) for r in got if (r.kind, r.pane) == ("on-time", 0)) == sorted((f"v{i}", 2) for i in range(1500))
+    assert sorted((r.value, r.n) for r in got if (r.kind, r.pane) == ("late", 1)) == sorted(
+        [("new", 1), *((f"v{i}", 3 if i == 7 else 2) for i in range(1500))])
+
+
+def test_late_panes_are_the_same_from_small_chunks(spark, scratch, monkeypatch):
+    """Counts of one bucket come in many chunks, which are added up meanwhile."""
+    from tidewire.streaming import panes
+    monkeypatch.setattr(panes, "_PACK_ROWS", 2)
+    monkeypatch.setattr(panes, "_CHUNK_ROWS", 1)
+    for i, rows in enumerate(LATE_SLICES):
+        run_early(late_panes(_topic(spark, f"{scratch}/in", i, rows), window="20 seconds", lateness="20 seconds", buckets=1),
+                  f"{scratch}/out", f"{scratch}/ck")
+    assert _panes(spark, f"{scratch}/out") == LATE_WANT
+
+
 def test_panes_choose_a_state_store_that_holds_them(spark, scratch):
     """Spark's default store has no column families; a store of the session's own choice stays."""
     from tidewire.streaming.panes import _column_families
